@@ -7,8 +7,6 @@ NTZ value as UTC wall-clock), and minute text is parsed with an explicit zone.
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,7 +18,8 @@ MAX_LONG = 9223372036854775807
 
 
 def _epoch_ntz() -> Column:
-    return F.lit(datetime(1970, 1, 1)).cast("timestamp_ntz")
+    # a typed NTZ literal: no session time zone is involved
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
 
 
 def _col(c) -> Column:

@@ -51,5 +51,5 @@ def assign_sequence(
     return (
         numbered.join(bases, on=keys, how="inner")
         .withColumn(out_col, (F.col("__base") + F.col("__rn") - 1 + F.lit(start)).cast("long"))
-        .drop(blk, "__rn", "__base")
+        .select(*df.columns, out_col)
     )

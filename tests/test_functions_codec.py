@@ -1,0 +1,96 @@
+"""F1-F10, P5, A1/A2, P2, K6."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from ledgerline.functions import (
+    keyword_match,
+    parse_minute_text,
+    partition_fields,
+    printable_ascii,
+    reverse_time_key,
+    route_partition,
+    safe_cast,
+)
+from ledgerline.operators.codec import decode_payload, encode_payload
+from ledgerline.operators.transform import ordered_steps, preview, transform_chain
+from ledgerline.plans.replay import minute_text_to_epoch
+from ledgerline.schemas import EVENT_RECORD
+
+
+def test_minute_text(spark):
+    df = spark.createDataFrame([("20170119T21:40",), ("garbage",), (None,)], "t string")
+    got = [r[0] for r in df.select(parse_minute_text("t")).collect()]
+    assert got == [minute_text_to_epoch("20170119T21:40"), None, None]
+    assert got[0] == int(dt.datetime(2017, 1, 19, 21, 40, tzinfo=dt.timezone.utc).timestamp())
+
+
+def test_partition_fields_ignore_session_zone(spark):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        ms = 1704412800000 + 3_600_000 * 5  # 2024-01-05 05:00 UTC
+        row = spark.createDataFrame([(ms,)], "ms long").select(*partition_fields("ms", with_year=True)).first()
+        assert tuple(row) == (2024, 1, 5, 5)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_reverse_key_orders_newest_first(spark):
+    df = spark.createDataFrame([(100,), (200,)], "s long")
+    keys = [r[0] for r in df.select(reverse_time_key("app", "s")).collect()]
+    assert keys[1] < keys[0] and keys[0] == "app" + str(9223372036854775807 - 100)
+
+
+def test_printable_and_keywords(spark):
+    df = spark.createDataFrame([("Straße\tok|\néx\U0001F600y",), ("PySpark rocks",), ("spark_streaming",),
+                                ("I like Spark.",)], "t string")
+    clean = [r[0] for r in df.select(printable_ascii("t")).collect()]
+    assert clean[0] == "Strae\tok|\nxy"
+    hits = [r[0] for r in df.select(keyword_match("t", ["spark", "python"])).collect()]
+    assert hits == [False, False, False, True]
+
+
+def test_route_is_stable_and_in_range(spark):
+    df = spark.range(200).select(F.col("id").alias("u"))
+    r1 = df.select("u", route_partition("u", 7).alias("p")).collect()
+    r2 = df.select("u", route_partition("u", 7).alias("p")).collect()
+    assert r1 == r2 and {r["p"] for r in r1} <= set(range(7))
+    assert spark.createDataFrame([(None,)], "u long").select(route_partition("u", 7)).first()[0] == 0
+
+
+def test_safe_cast(spark):
+    df = spark.createDataFrame([("12",), ("x",), (" 7 ",)], "s string")
+    assert [r[0] for r in df.select(safe_cast("s", "int")).collect()] == [12, None, 7]
+
+
+def test_encode_decode_round_trip_and_bad_rows(spark):
+    rows = [(1, 1704412800123, 5, "view", 1.5, '{"k": 1}'), (2, None, None, 'q"|\n', -0.0, None)]
+    df = spark.createDataFrame(rows, EVENT_RECORD)
+    enc = encode_payload(df, df.columns, keep=["event_id"]).withColumnRenamed("event_id", "id")
+    dec = decode_payload(enc, EVENT_RECORD, keep=["id"])
+    got = sorted(tuple(r)[1:-1] for r in dec.collect())
+    assert got == sorted(rows)
+    assert not any(r["is_bad"] for r in dec.collect())
+    broken = enc.withColumn("value", F.when(F.col("id") == 2, F.substring("value", 1, 5)).otherwise(F.col("value")))
+    flags = {r["id"]: r["is_bad"] for r in decode_payload(broken, EVENT_RECORD, keep=["id"]).collect()}
+    assert flags == {1: False, 2: True}
+    nulls = spark.createDataFrame([(None,)], "value binary")
+    assert decode_payload(nulls, EVENT_RECORD).first()["is_bad"] is True
+
+
+def test_steps_sort_as_text_and_chain_is_one_project(spark):
+    assert [n for n, _ in ordered_steps({"sql2": "a", "sql10": "b", "sql01": "c"})] == ["sql01", "sql10", "sql2"]
+    df = spark.range(5).select(F.col("id"), F.lit("ab").alias("s"))
+    steps = {"sql01": "SELECT id, upper(s) AS s", "sql02": "id * 2 AS id, concat(s, '{x}') AS s"}
+    out = transform_chain(df, steps)
+    assert sorted(tuple(r) for r in out.collect()) == [(i * 2, "AB{x}") for i in range(5)]
+    optimized = out._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("Project") == 1
+    assert transform_chain(df, None) is df
+
+
+def test_preview_is_ordered(spark):
+    df = spark.range(100).select((99 - F.col("id")).alias("k"))
+    assert [r[0] for r in preview(df, 3, ["k"]).collect()] == [0, 1, 2]
