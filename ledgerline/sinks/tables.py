@@ -13,6 +13,16 @@ from ledgerline.schemas import PARTITION_FIELDS
 from ledgerline.sources.delimited import CSV_OPTIONS, DELIMITER
 
 
+def clustered(df: DataFrame, partition_cols) -> DataFrame:
+    """Cluster rows by partition columns before a partitioned write.
+
+    A ``rebalance`` hint, not a plain repartition: AQE coalesces small
+    partitions and splits a skewed one (an hour holding a third of the rows)
+    into several tasks, so no single task writes a hot partition alone.
+    """
+    return df.hint("rebalance", *partition_cols) if partition_cols else df
+
+
 def _writer(df: DataFrame, partition_cols, mode: str, dynamic: bool):
     w = df.write.mode(mode).format("parquet")
     if dynamic:
@@ -31,11 +41,10 @@ def append_partitioned(
 ) -> None:
     """K1: append to a Parquet table partitioned by ``mon, day, hour``.
 
-    With ``cluster`` the rows are first hash-partitioned on the partition
-    columns, so each task writes few directories (one file per hour and task
-    instead of one per hour and input split).  AQE coalesces the shuffle.
+    With ``cluster`` the rows are first clustered on the partition columns
+    (see :func:`clustered`), so a directory gets few files.
     """
-    data = df.repartition(*partition_cols) if (cluster and partition_cols) else df
+    data = clustered(df, partition_cols) if cluster else df
     w = _writer(data, partition_cols, "append", dynamic=False)
     if table:
         w.saveAsTable(table) if path is None else w.option("path", path).saveAsTable(table)
@@ -50,7 +59,17 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) ->
 
     Re-running a batch with the same ``batch_id`` leaves one copy.
     """
-    _writer(df, partition_cols, "overwrite", dynamic=True).save(path)
+    _writer(clustered(df, partition_cols), partition_cols, "overwrite", dynamic=True).save(path)
+
+
+def overwrite_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[str]) -> None:
+    """Idempotent batch write: ``<path>/batch_id=<id>/`` is replaced as a whole.
+
+    Readers of ``path`` see ``batch_id`` as a partition column ahead of the
+    time columns; filters on the time columns still prune.
+    """
+    target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
+    _writer(clustered(df, partition_cols), partition_cols, "overwrite", dynamic=False).save(target)
 
 
 def write_offset_log(offset_rows: DataFrame, path: str, idempotent: bool = True) -> None:

@@ -3,9 +3,9 @@
 Per micro-batch (``foreachBatch``), on the same persisted batch:
 
 1. decode the payloads, derive ``mon, day, hour``, run the transform chain;
-2. write the rows under ``mon=/day=/hour=/batch_id=`` with dynamic partition
-   overwrite - a retried batch replaces its own files instead of adding
-   copies;
+2. write the rows to ``<sink>/batch_id=<id>/mon=/day=/hour=`` by overwriting
+   that batch's folder - a retried batch replaces everything it wrote before
+   (stale hour folders included) instead of adding copies;
 3. only then record the batch's offset ranges in the offset log, keyed by
    (appname, batch_id), also by overwrite.
 
@@ -27,7 +27,7 @@ from ledgerline.operators.codec import BAD_COL, decode_payload
 from ledgerline.operators.offsets import batch_offsets
 from ledgerline.operators.transform import transform_chain
 from ledgerline.schemas import PARTITION_FIELDS
-from ledgerline.sinks.tables import overwrite_partitions, write_offset_log
+from ledgerline.sinks.tables import overwrite_batch, overwrite_partitions, write_offset_log
 
 # Fixed value: the reference interval between micro-batches, in seconds.
 DEFAULT_TRIGGER_SECONDS = 180
@@ -59,8 +59,8 @@ def batch_writer(
             rows = decoded.filter(~F.col(BAD_COL)).select(
                 *[f.name for f in schema.fields], *partition_fields(time_field)
             )
-            out = transform_chain(rows, steps).withColumn("batch_id", stamp)
-            overwrite_partitions(out, sink, [*PARTITION_FIELDS, "batch_id"])
+            out = transform_chain(rows, steps)
+            overwrite_batch(out, sink, int(batch_id), list(PARTITION_FIELDS))
             write_offset_log(batch_offsets(batch, appname, stamp), offset_log_path)
         finally:
             batch.unpersist()
