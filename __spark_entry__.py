@@ -347,7 +347,7 @@ def q_publish(spark, sf_dir):
 def _run_stream(spark, sf_dir):
     root = scratch_path(spark, "stream")
     source = os.path.join(root, "log")
-    _log(spark, sf_dir).repartitionByRange(STREAM_FILES, "offset").write.parquet(source)
+    _log(spark, sf_dir).repartitionByRange(STREAM_FILES, "timestamp").write.parquet(source)
     sink, olog, ckpt = (os.path.join(root, n) for n in ("table", "offsets", "checkpoint"))
     stream = read_log_stream(spark, source, max_files_per_trigger=1)
     q = start_ingest(stream, sink, olog, ckpt, EVENT_RECORD, "ts_ms", ev.APPNAME, ev.EVENT_STEPS, available_now=True)

@@ -56,7 +56,12 @@ def decode_payload(
     payload is missing or did not parse).  No row is dropped.
     """
     parsed = decode_column(F.col(value_col), schema, fmt, avro_schema)
-    staged = df.select(*keep, F.col(value_col).isNull().alias("__missing"), parsed.alias("__p"))
+    # Parse once.  Filters on the result (e.g. NOT is_bad) would otherwise be
+    # pushed below the projection with the parse inlined into them, running
+    # it two or three times per row; a one-row ``inline`` is a Generate node
+    # that predicates referencing its output cannot cross.
+    once = F.struct(F.col(value_col).isNull().alias("__missing"), parsed.alias("__p"))
+    staged = df.select(*keep, F.inline(F.array(once)))
     fields = [F.col(f"__p.{f.name}").alias(f.name) for f in schema.fields]
     if fmt == "json":
         bad = F.col("__missing") | F.col(f"__p.{CORRUPT_COL}").isNotNull()
