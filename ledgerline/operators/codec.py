@@ -26,6 +26,16 @@ def _avro_functions():
     return avro
 
 
+def _checked(build, fmt: str):
+    """Build a projection; map Spark's "Avro not loaded" error to ours."""
+    try:
+        return build()
+    except Exception as exc:
+        if fmt == "avro" and "AVRO_NOT_LOADED" in str(exc):
+            raise MissingConnectorError("Avro payloads need the spark-avro package (spark.jars.packages)") from exc
+        raise
+
+
 def decode_column(value: Column, schema: T.StructType, fmt: str = "json", avro_schema: str | None = None) -> Column:
     """A struct column: the decoded fields plus ``__corrupt`` (raw text of bad JSON)."""
     if fmt == "json":
@@ -61,7 +71,7 @@ def decode_payload(
     # it two or three times per row; a one-row ``inline`` is a Generate node
     # that predicates referencing its output cannot cross.
     once = F.struct(F.col(value_col).isNull().alias("__missing"), parsed.alias("__p"))
-    staged = df.select(*keep, F.inline(F.array(once)))
+    staged = _checked(lambda: df.select(*keep, F.inline(F.array(once))), fmt)
     fields = [F.col(f"__p.{f.name}").alias(f.name) for f in schema.fields]
     if fmt == "json":
         bad = F.col("__missing") | F.col(f"__p.{CORRUPT_COL}").isNotNull()
@@ -89,4 +99,4 @@ def encode_payload(
     avro_schema: str | None = None,
 ) -> DataFrame:
     """Encode ``cols`` into one bytes column ``out_col``; ``keep`` columns pass through."""
-    return df.select(*keep, encode_column(cols, fmt, avro_schema).alias(out_col))
+    return _checked(lambda: df.select(*keep, encode_column(cols, fmt, avro_schema).alias(out_col)), fmt)
