@@ -86,6 +86,15 @@ def read_offset_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*OFFSET_LOG_COLUMNS)
 
 
+def write_log(log: DataFrame, path: str) -> None:
+    """A message log at rest: one folder per (topic, partition), rows in offset order.
+
+    Range reads on it prune folders by partition and skip row groups by offset.
+    """
+    log.repartition("topic", "partition").sortWithinPartitions("offset").write.mode("errorifexists").partitionBy(
+        "topic", "partition").parquet(path)
+
+
 def publish_log(df: DataFrame, sink: str, fmt: str = "parquet", bootstrap_servers: str | None = None) -> None:
     """K3: write keyed, routed messages (``key value topic partition``).
 

@@ -71,6 +71,11 @@ def log_from_table(
     return assign_sequence(routed, ["topic", "partition"], "__order", "offset", block_width).select(*LOG_COLUMNS)
 
 
+def read_log(spark: SparkSession, path: str) -> DataFrame:
+    """A log written by ``sinks.tables.write_log``, in MESSAGE_LOG column order."""
+    return spark.read.schema(MESSAGE_LOG).parquet(path).select(*LOG_COLUMNS)
+
+
 def ntz_as_utc_instant(ts) -> Column:
     """A TIMESTAMP_NTZ read as UTC wall-clock -> TIMESTAMP (instant)."""
     return F.timestamp_micros(epoch_micros(ts))

@@ -71,3 +71,23 @@ def test_stream_from_recorded_offsets(spark, scratch):
     got = spark.table("resume_t")
     log = ev.events_log(spark, SF_SMALL)
     assert got.count() == log.filter("partition <> 0 OR offset >= 100").count()
+
+
+def test_bad_payloads_go_to_quarantine_and_are_counted(spark, scratch):
+    root = scratch("quarantine")
+    sink, olog, bad = (os.path.join(root, n) for n in ("table", "offsets", "bad"))
+    seen = {}
+    write = batch_writer(EVENT_RECORD, "ts_ms", sink, olog, ev.APPNAME, quarantine=bad,
+                         on_metrics=lambda b, m: seen.setdefault(b, m))
+    batch = ev.events_log(spark, SF_SMALL).filter("offset < 40")
+    broken = batch.withColumn("value", F.when(F.col("offset") % 10 == 0, F.substring("value", 1, 5))
+                              .otherwise(F.col("value")))
+    write(broken, 3)
+    n = broken.count()
+    n_bad = broken.filter("offset % 10 = 0").count()
+    assert seen[3] == {"rows": n, "bad_rows": n_bad}
+    assert spark.read.parquet(sink).count() == n - n_bad
+    quarantined = spark.read.parquet(bad)
+    assert quarantined.count() == n_bad and set(quarantined.columns) >= {"key", "value", "offset", "batch_id"}
+    # the offset log still covers every message, good or bad
+    assert spark.read.parquet(olog).agg(F.sum(F.col("end_offset") - F.col("start_offset"))).first()[0] == n
