@@ -65,11 +65,16 @@ def replay_offsets(
     steps=None,
     sink: str | None = None,
     fmt: str = "json",
+    table: str | None = None,
 ) -> DataFrame:
-    """M1: replay ``[from, until)`` per partition, transformed; appended to ``sink`` if given."""
+    """M1: replay ``[from, until)`` per partition, transformed.
+
+    The rows are appended to the Parquet folder ``sink`` and/or the catalog
+    table ``table`` (``db.name``), partitioned by ``mon, day, hour``.
+    """
     out = transform_chain(decode_messages(read_offset_range(log, bounds), schema, time_field, fmt), steps)
-    if sink:
-        append_partitioned(out, path=sink)
+    if sink or table:
+        append_partitioned(out, path=sink, table=table)
     return out
 
 
@@ -85,10 +90,11 @@ def replay_time(
     mode: str = "covering",
     sink: str | None = None,
     fmt: str = "json",
+    table: str | None = None,
 ) -> DataFrame:
     """M2: replay the batches recorded in ``(begin, end]`` (epoch s or minute text)."""
     bounds = resolve_range(offset_log, appname, _epoch(begin), _epoch(end), mode)
-    return replay_offsets(log, bounds, schema, time_field, steps, sink, fmt)
+    return replay_offsets(log, bounds, schema, time_field, steps, sink, fmt, table)
 
 
 def replay_and_merge(base: DataFrame, deltas: DataFrame, keys) -> DataFrame:

@@ -87,11 +87,16 @@ def read_offset_log(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_log(log: DataFrame, path: str) -> None:
-    """A message log at rest: one folder per (topic, partition), rows in offset order.
+    """A message log at rest: one folder per (topic, partition), files in offset order.
 
-    Range reads on it prune folders by partition and skip row groups by offset.
+    A range repartition on (topic, partition, offset) cuts a big partition into
+    contiguous offset slices written by separate tasks (a hash repartition on
+    the partition would send a hot partition to one task).  Each file then
+    covers one offset slice, so range reads prune folders by partition and
+    skip files and row groups by offset.
     """
-    log.repartition("topic", "partition").sortWithinPartitions("offset").write.mode("errorifexists").partitionBy(
+    keys = ["topic", "partition", "offset"]
+    log.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("errorifexists").partitionBy(
         "topic", "partition").parquet(path)
 
 

@@ -64,3 +64,12 @@ def test_sequence_with_a_hot_group(spark):
     assert "__blk" in plan and "Window" in plan
     bound = spark.range(3000).select((F.col("id") - F.pmod("id", F.lit(50))).alias("b")).groupBy("b").count()
     assert bound.agg(F.max("count")).first()[0] <= 50
+
+
+def test_replay_appends_to_a_catalog_table(spark, scratch):
+    log = ev.events_log(spark, SF_SMALL)
+    bounds = [OffsetRange("events", 0, 0, 30), OffsetRange("events", 1, 0, 20)]
+    replay_offsets(log, bounds, EVENT_RECORD, "ts_ms", ev.EVENT_STEPS, sink=scratch("t"), table="replayed_t1")
+    replay_offsets(log, bounds, EVENT_RECORD, "ts_ms", ev.EVENT_STEPS, table="replayed_t1")
+    t = spark.table("replayed_t1")
+    assert t.count() == 100 and t.columns[-3:] == ["mon", "day", "hour"]

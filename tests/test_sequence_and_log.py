@@ -84,3 +84,28 @@ def test_range_read_is_pushed_to_the_scan(spark, scratch):
     plan = read_offset_range(at_rest, [OffsetRange("events", 0, 10, 20)])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "partition" in plan
     assert "PushedFilters" in plan and "offset" in plan
+
+
+def test_log_at_rest_splits_a_hot_partition(spark, scratch):
+    import os
+
+    from ledgerline.sinks.tables import write_log
+    from ledgerline.sources.log import read_log
+
+    # every message in partition 0: the write must still use several tasks / files
+    hot = ev.events_log(spark, SF_SMALL).withColumn("partition", F.lit(0)).withColumn(
+        "offset", F.row_number().over(Window.orderBy("key")) - 1)
+    path = scratch("hot")
+    # tiny data would be coalesced into one task; switch that off to see the split a big log gets
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        write_log(hot, path)
+    finally:
+        spark.conf.set(key, old)
+    local = path[len("file:"):] if path.startswith("file:") else path
+    files = [f for f in os.listdir(os.path.join(local, "topic=events", "partition=0")) if f.endswith(".parquet")]
+    assert len(files) > 1
+    back = read_log(spark, path)
+    assert back.count() == 1000 and back.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
