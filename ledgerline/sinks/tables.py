@@ -72,6 +72,27 @@ def overwrite_batch(df: DataFrame, path: str, batch_id: int, partition_cols: lis
     _writer(clustered(df, partition_cols), partition_cols, "overwrite", dynamic=False).save(target)
 
 
+def compact(
+    spark: SparkSession,
+    src: str,
+    dst: str,
+    partition_cols: tuple[str, ...] | list[str] = PARTITION_FIELDS,
+    drop: tuple[str, ...] = ("batch_id",),
+) -> None:
+    """Rewrite an ingest table (one folder per batch) as a compact new version.
+
+    The per-batch layout that makes ingest idempotent leaves many small files;
+    this writes the same rows, without the batch column, clustered by the time
+    partitions into ``dst`` (a new location: a table being read cannot be
+    overwritten).  A ``rebalance`` keeps a hot hour from landing on one task.
+    """
+    rows = spark.read.parquet(src)
+    rows = rows.drop(*[c for c in drop if c in rows.columns])
+    data_cols = [c for c in rows.columns if c not in partition_cols]
+    _writer(clustered(rows.select(*data_cols, *partition_cols), partition_cols), partition_cols,
+            "errorifexists", dynamic=False).save(dst)
+
+
 def write_offset_log(offset_rows: DataFrame, path: str, idempotent: bool = True) -> None:
     """K2: add offset-log rows; keyed by (appname, batch_id) so a retried batch replaces itself."""
     if idempotent:

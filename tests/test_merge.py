@@ -78,3 +78,21 @@ def test_hot_key_result_is_whole(spark):
     out = merge_by_key(base, deltas, "k")
     assert out.filter("k = -1").count() == 1000
     assert out.count() == 3000
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_rows = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)), st.sampled_from("abcxyz")), max_size=25)
+
+
+@settings(max_examples=10, deadline=None)
+@given(base=_rows, deltas=_rows)
+def test_merge_equals_outer_join_form(spark, base, deltas):
+    b, d = _kv(spark, base), _kv(spark, deltas)
+    got = _sorted(merge_by_key(b, d, "k"))
+    assert got == _sorted(merge_by_key_outer_join(b, d, "k"))
+    # and the definition: base rows whose key is not a non-null delta key, then all deltas
+    delta_keys = {k for k, _ in deltas if k is not None}
+    want = [r for r in base if r[0] is None or r[0] not in delta_keys] + list(deltas)
+    assert got == sorted(want, key=lambda t: (t[0] is None, t[0], t[1]))
