@@ -32,7 +32,7 @@ from ledgerline.operators.transform import transform_chain
 from ledgerline.schemas import PARTITION_FIELDS
 from ledgerline.sinks.tables import overwrite_batch, overwrite_partitions, write_offset_log
 
-# Fixed value: the reference interval between micro-batches, in seconds.
+# Fixed value: the default interval between micro-batches, in seconds.
 DEFAULT_TRIGGER_SECONDS = 180
 
 _log = logging.getLogger(__name__)
