@@ -13,7 +13,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerline.functions.timefields import epoch_millis, millis_to_seconds
+from ledgerline.functions.timefields import epoch_millis
 from ledgerline.operators.offsets import batch_offsets, hourly_batches
 from ledgerline.operators.sequence import DEFAULT_BLOCK_WIDTH
 from ledgerline.schemas import EVENT_RECORD
@@ -67,7 +67,3 @@ def events_log(spark: SparkSession, sf_dir: str, block_width: int = DEFAULT_BLOC
 def hourly_offset_log(log: DataFrame, appname: str = APPNAME) -> DataFrame:
     """OFFSET_LOG of a log cut into hourly batches."""
     return batch_offsets(hourly_batches(log, BATCH_SECONDS), appname)
-
-
-def seconds_of(ms_col: str = "ts_ms"):
-    return millis_to_seconds(ms_col)

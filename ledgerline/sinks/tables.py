@@ -7,7 +7,6 @@ Paths are whatever the caller passes: on a cluster, a shared filesystem
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerline.schemas import PARTITION_FIELDS
 from ledgerline.sources.delimited import CSV_OPTIONS, DELIMITER

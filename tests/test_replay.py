@@ -4,7 +4,6 @@ from functools import reduce
 
 from pyspark.sql import functions as F
 
-from ledgerline.operators.offsets import resolve_range
 from ledgerline.operators.sequence import assign_sequence
 from ledgerline.plans import events as ev
 from ledgerline.plans.replay import decode_messages, replay_offsets, replay_time
