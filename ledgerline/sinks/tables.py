@@ -173,6 +173,24 @@ def write_version(
     return name
 
 
+def create_table(
+    spark: SparkSession,
+    name: str,
+    schema,
+    path: str | None = None,
+    partition_cols: tuple[str, ...] | list[str] = (),
+) -> None:
+    """K8: an empty Parquet table with ``schema``, partitioned by ``partition_cols``.
+
+    Partition columns are declared once, as ordinary columns of the schema, and
+    end up last in the table.  With ``path`` the table is external.
+    """
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_cols)})" if partition_cols else ""
+    location = f" LOCATION '{path}'" if path else ""
+    spark.sql(f"CREATE TABLE {name} ({cols}) USING parquet{parts}{location}")
+
+
 def create_like(spark: SparkSession, new_table: str, template: str, path: str | None = None) -> None:
     """K7: an empty Parquet table shaped like ``template`` (partition columns kept), if absent."""
     location = f" LOCATION '{path}'" if path else ""
