@@ -109,3 +109,40 @@ def test_compaction_keeps_every_row(spark, scratch):
     local = lambda p: p[len("file:"):] if p.startswith("file:") else p
     n_files = lambda p: sum(f.endswith(".parquet") for _, _, fs in os.walk(local(p)) for f in fs)
     assert n_files(dst) < n_files(sink)
+
+
+def test_crash_between_data_and_offsets_then_restart(spark, scratch, monkeypatch):
+    import ledgerline.streaming.ingest as ingest
+
+    root = scratch("crash")
+    src = _write_source(spark, root, files=4)
+    real = ingest.write_offset_log
+    calls = {"n": 0}
+
+    def flaky(rows, path, idempotent=True):
+        calls["n"] += 1
+        if calls["n"] == 2:  # batch 1: its data is written, then the job dies
+            raise RuntimeError("executor lost")
+        real(rows, path, idempotent)
+
+    monkeypatch.setattr(ingest, "write_offset_log", flaky)
+    sink, olog, ckpt = (os.path.join(root, n) for n in ("table", "offsets", "ckpt"))
+
+    def run():
+        q = start_ingest(read_log_stream(spark, src, max_files_per_trigger=1), sink, olog, ckpt, EVENT_RECORD,
+                         "ts_ms", ev.APPNAME, ev.EVENT_STEPS, available_now=True)
+        try:
+            q.awaitTermination(600)
+        except Exception:  # noqa: BLE001 - the first run fails by design
+            pass
+        return q
+
+    first = run()
+    assert first.exception() is not None
+    second = run()
+    assert second.exception() is None
+    table = spark.read.parquet(sink)
+    assert table.count() == 1000 and table.select("event_id").distinct().count() == 1000
+    log = spark.read.parquet(olog)
+    assert log.agg(F.sum(F.col("end_offset") - F.col("start_offset"))).first()[0] == 1000
+    assert log.select("batch_id").distinct().count() == 4
