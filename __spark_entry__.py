@@ -48,6 +48,7 @@ from ledgerline.sinks.tables import (
     append_partitioned,
     create_like,
     frame_columns,
+    insert_into,
     write_delimited,
     write_log,
 )
@@ -319,7 +320,7 @@ def q_create_like_append(spark, sf_dir):
     rows.limit(0).write.format("parquet").partitionBy("mon", "day", "hour").option(
         "path", scratch_path(spark, "tables", template)).saveAsTable(template)
     create_like(spark, clone, template, path=scratch_path(spark, "tables", clone))
-    rows.write.insertInto(clone)
+    insert_into(spark, rows, clone)
     return spark.table(clone)
 
 

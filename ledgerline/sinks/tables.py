@@ -53,6 +53,12 @@ def append_partitioned(
         raise ValueError("give a path or a table name")
 
 
+def insert_into(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """K7's append: ``INSERT INTO`` an existing table by position, clustered by its partition columns."""
+    parts = [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    clustered(df, parts).write.insertInto(table)
+
+
 def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) -> None:
     """Idempotent write: replace exactly the partitions present in ``df``.
 

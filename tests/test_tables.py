@@ -9,6 +9,7 @@ from ledgerline.plans.versions import merge_version, version_stamp
 from ledgerline.sinks.tables import (
     append_partitioned,
     create_like,
+    insert_into,
     offset_deltas_name,
     overwrite_partitions,
     table_columns,
@@ -75,5 +76,5 @@ def test_versions_and_create_like(spark, scratch):
     cols = table_columns(spark, "clone_t1").collect()
     assert [c["name"] for c in cols] == ["id", "text", "x", "mon", "day", "hour"]
     assert [c["is_partition"] for c in cols] == [False, False, False, True, True, True]
-    _status(spark).select("id", "text", "x", "mon", "day", "hour").write.insertInto("clone_t1")
+    insert_into(spark, _status(spark).select("id", "text", "x", "mon", "day", "hour"), "clone_t1")
     assert spark.table("clone_t1").count() == 3
