@@ -1,0 +1,26 @@
+"""DataFrame -> DataFrame operators."""
+
+from ledgerline.operators.codec import MissingConnectorError, decode_payload, encode_payload
+from ledgerline.operators.merge import merge_by_key, merge_by_key_outer_join, unchanged_rows
+from ledgerline.operators.offsets import (
+    batch_counts,
+    batch_offsets,
+    cells_to_ranges,
+    hourly_batches,
+    latest_offsets,
+    newest_batches,
+    offset_cells,
+    resolve_range,
+    scan_offset_log,
+    starting_offsets,
+    starting_offsets_json,
+)
+from ledgerline.operators.sequence import assign_sequence
+from ledgerline.operators.transform import ordered_steps, preview, transform_chain
+
+__all__ = [
+    "MissingConnectorError", "assign_sequence", "batch_counts", "batch_offsets", "cells_to_ranges",
+    "decode_payload", "encode_payload", "hourly_batches", "latest_offsets", "merge_by_key",
+    "merge_by_key_outer_join", "newest_batches", "offset_cells", "ordered_steps", "preview", "resolve_range",
+    "scan_offset_log", "starting_offsets", "starting_offsets_json", "transform_chain", "unchanged_rows",
+]
