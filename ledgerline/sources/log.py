@@ -212,7 +212,11 @@ def read_kafka_range(spark: SparkSession, bootstrap_servers: str, bounds: Iterab
 
 def read_kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str, starting_offsets: str | None = None,
                       max_offsets_per_trigger: int | None = None) -> DataFrame:
-    """S1/S2 on Kafka: an unbounded stream, optionally from recorded offsets."""
+    """S1/S2 on Kafka: an unbounded stream, optionally from recorded offsets.
+
+    Ingesting it, pass ``cache_batch=True`` to ``start_ingest`` so each
+    micro-batch is fetched from the brokers once.
+    """
     builder = spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("subscribe", topic)
     if starting_offsets:
         builder = builder.option("startingOffsets", starting_offsets)

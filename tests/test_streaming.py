@@ -146,3 +146,16 @@ def test_crash_between_data_and_offsets_then_restart(spark, scratch, monkeypatch
     log = spark.read.parquet(olog)
     assert log.agg(F.sum(F.col("end_offset") - F.col("start_offset"))).first()[0] == 1000
     assert log.select("batch_id").distinct().count() == 4
+
+
+def test_cached_batches_give_the_same_result(spark, scratch):
+    root = scratch("cached")
+    sink, olog = os.path.join(root, "table"), os.path.join(root, "offsets")
+    write = batch_writer(EVENT_RECORD, "ts_ms", sink, olog, ev.APPNAME, ev.EVENT_STEPS, cache_batch=True)
+    batch = ev.events_log(spark, SF_SMALL).filter("offset < 60")
+    write(batch, 5)
+    write(batch, 5)
+    want = transform_chain(decode_messages(batch, EVENT_RECORD, "ts_ms"), ev.EVENT_STEPS)
+    got = spark.read.parquet(sink).drop("batch_id")
+    assert got.count() == want.count() and got.select(*want.columns).exceptAll(want).count() == 0
+    assert not batch.is_cached
