@@ -185,6 +185,14 @@ def kafka_offsets_json(ranges: list[OffsetRange], which: str) -> str:
     return json.dumps(spec, sort_keys=True)
 
 
+def kafka_assign_json(ranges: list[OffsetRange]) -> str:
+    """``assign`` text: the listed partitions only (``subscribe`` would read every partition)."""
+    spec: dict[str, list[int]] = {}
+    for r in ranges:
+        spec.setdefault(r.topic, []).append(int(r.partition))
+    return json.dumps({t: sorted(set(ps)) for t, ps in spec.items()}, sort_keys=True)
+
+
 def _kafka_load(builder, what: str):
     try:
         return builder.load()
@@ -197,13 +205,12 @@ def _kafka_load(builder, what: str):
 
 
 def read_kafka_range(spark: SparkSession, bootstrap_servers: str, bounds: Iterable | DataFrame) -> DataFrame:
-    """S3 on Kafka: a bounded batch read of the given offset ranges."""
+    """S3 on Kafka: a bounded batch read of exactly the given topic partitions and ranges."""
     ranges = _as_ranges(bounds)
-    topics = sorted({r.topic for r in ranges})
     builder = (
         spark.read.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
-        .option("subscribe", ",".join(topics))
+        .option("assign", kafka_assign_json(ranges))
         .option("startingOffsets", kafka_offsets_json(ranges, "start"))
         .option("endingOffsets", kafka_offsets_json(ranges, "end"))
     )

@@ -9,7 +9,7 @@ from ledgerline.operators.codec import MissingConnectorError, decode_payload, en
 from ledgerline.plans.publish import publish
 from ledgerline.schemas import EVENT_RECORD
 from ledgerline.sinks.tables import publish_log
-from ledgerline.sources.log import OffsetRange, kafka_offsets_json, read_kafka_range, read_kafka_stream
+from ledgerline.sources.log import OffsetRange, kafka_assign_json, kafka_offsets_json, read_kafka_range, read_kafka_stream
 
 from conftest import SF_SMALL
 
@@ -18,6 +18,7 @@ def test_kafka_offset_specs():
     ranges = [OffsetRange("t", 0, 2979, 3013), OffsetRange("t", 1, None, None)]
     assert json.loads(kafka_offsets_json(ranges, "start")) == {"t": {"0": 2979, "1": -2}}
     assert json.loads(kafka_offsets_json(ranges, "end")) == {"t": {"0": 3013, "1": -1}}
+    assert json.loads(kafka_assign_json(ranges + [OffsetRange("u", 3, 0, 1)])) == {"t": [0, 1], "u": [3]}
 
 
 def test_missing_kafka_package_is_a_clear_error(spark):
