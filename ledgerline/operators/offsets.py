@@ -27,8 +27,8 @@ RANGE_COLUMNS = ["topic", "partition", "from_offset", "until_offset"]
 
 
 def message_seconds(ts_col: str = "timestamp") -> Column:
-    """Epoch seconds of a message's TIMESTAMP (instant; no time-zone dependence)."""
-    return F.unix_seconds(F.col(ts_col))
+    """Epoch seconds (rounded down) of a message's TIMESTAMP; no time-zone dependence."""
+    return floor_div(F.unix_micros(F.col(ts_col)), 1_000_000)
 
 
 def hourly_batches(log: DataFrame, width_s: int = 3600, ts_col: str = "timestamp") -> DataFrame:
@@ -69,7 +69,7 @@ def scan_offset_log(offset_log: DataFrame, appname: str, begin_s: int, end_s: in
     )
 
 
-def _newest_first_key() -> Column:
+def _batch_order() -> Column:
     return F.struct(F.col("batch_ts"), F.col("batch_id"))
 
 
@@ -86,8 +86,8 @@ def resolve_range(offset_log: DataFrame, appname: str, begin_s: int, end_s: int,
         agg = [F.min("start_offset").alias("from_offset"), F.max("end_offset").alias("until_offset")]
     elif mode == "interior":
         agg = [
-            F.min_by("end_offset", _newest_first_key()).alias("from_offset"),
-            F.max_by("start_offset", _newest_first_key()).alias("until_offset"),
+            F.min_by("end_offset", _batch_order()).alias("from_offset"),
+            F.max_by("start_offset", _batch_order()).alias("until_offset"),
         ]
     else:
         raise ValueError(f"unknown range mode {mode!r}; use 'covering' or 'interior'")
@@ -106,7 +106,7 @@ def newest_batches(offset_log: DataFrame, appname: str, n: int) -> DataFrame:
 def latest_offsets(offset_log: DataFrame, appname: str) -> DataFrame:
     """L2: the newest entry per (topic, partition) of an app."""
     newest = F.max_by(F.struct(*[F.col(c) for c in ("batch_id", "batch_ts", "start_offset", "end_offset")]),
-                      _newest_first_key())
+                      _batch_order())
     return (
         offset_log.filter(F.col("appname") == F.lit(appname))
         .groupBy("topic", "partition")
