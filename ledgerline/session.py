@@ -49,3 +49,30 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique path under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark)
     return os.path.join(root, "ledgerline", *parts, uuid.uuid4().hex)
+
+
+def cluster_settings(input_bytes: int, executor_cores: int = 4, executor_memory_gb: int = 16) -> dict[str, str]:
+    """Session settings sized for a large cluster, derived from the input size.
+
+    * scan splits of 512 MB: 100 TB -> ~200k tasks, each far below an executor's memory;
+    * an initial shuffle width of about 1 GB per partition (bounded to 200..200,000), which AQE
+      coalesces toward 512 MB partitions at runtime and splits further when a partition is skewed;
+    * a 64 MB broadcast threshold only for sides Spark has measured (AQE re-plans on real sizes);
+    * UTC sessions, so wall-clock fields never depend on where a job runs.
+    """
+    gib = 1 << 30
+    shuffle = max(200, min(200_000, -(-int(input_bytes) // gib)))
+    per_core_mb = executor_memory_gb * 1024 // max(1, executor_cores)
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(shuffle),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512m",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+        "spark.sql.shuffle.partitions": str(shuffle),
+        "spark.sql.files.maxPartitionBytes": "512m" if per_core_mb >= 2048 else "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.session.timeZone": "UTC",
+    }

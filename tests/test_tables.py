@@ -78,3 +78,13 @@ def test_versions_and_create_like(spark, scratch):
     assert [c["is_partition"] for c in cols] == [False, False, False, True, True, True]
     insert_into(spark, _status(spark).select("id", "text", "x", "mon", "day", "hour"), "clone_t1")
     assert spark.table("clone_t1").count() == 3
+
+
+def test_cluster_settings_scale_with_input():
+    from ledgerline.session import cluster_settings
+
+    small, big = cluster_settings(10 << 30), cluster_settings(100 << 40)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert big["spark.sql.shuffle.partitions"] == "102400"  # 100 TB at ~1 GB per partition
+    assert cluster_settings(10 << 50)["spark.sql.shuffle.partitions"] == "200000"
+    assert big["spark.sql.adaptive.skewJoin.enabled"] == "true"
