@@ -16,9 +16,10 @@ Step 3's window and the join with the block bases share one shuffle on
 Choosing ``block_width``: it bounds the rows of one window task (a hot group
 can fill a whole block), while the count table has up to
 (id range / block_width) x groups rows.  The default 2^20 keeps a task near a
-million rows; at 10^12 messages over 10^4 partitions the count table is at
-most a few 10^9 small rows, under 1% of the data volume, and only it is
-shuffled again (the data side is already partitioned on (group, block)).
+million rows; at 10^12 messages over 10^4 partitions the count table has at
+most ~10^10 rows of three numbers (1% of the messages, far less in bytes),
+and only it is shuffled again (the data side is already partitioned on
+(group, block)).
 """
 
 from __future__ import annotations
