@@ -109,3 +109,20 @@ def test_log_at_rest_splits_a_hot_partition(spark, scratch):
     assert len(files) > 1
     back = read_log(spark, path)
     assert back.count() == 1000 and back.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
+
+
+def test_driver_side_bounds_are_size_checked(spark, monkeypatch):
+    import pytest
+
+    import ledgerline.sources.log as src
+    from ledgerline.operators.offsets import starting_offsets_json
+
+    bounds = spark.createDataFrame([("events", p, 0, 10) for p in range(3)],
+                                   "topic string, partition int, from_offset long, until_offset long")
+    monkeypatch.setattr(src, "MAX_TOPIC_PARTITIONS", 2)
+    with pytest.raises(ValueError):
+        read_offset_range(ev.events_log(spark, SF_SMALL), bounds)
+    starts = bounds.selectExpr("topic", "partition", "until_offset AS next_offset")
+    with pytest.raises(ValueError):
+        starting_offsets_json(starts, max_partitions=2)
+    assert starting_offsets_json(starts, max_partitions=3) == '{"events": {"0": 10, "1": 10, "2": 10}}'
