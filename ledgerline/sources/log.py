@@ -146,6 +146,15 @@ def read_from_offsets(log: DataFrame, starts: Iterable | DataFrame) -> DataFrame
     return read_offset_range(log, ranges)
 
 
+def resume_points(starts: DataFrame) -> list[OffsetRange]:
+    """``operators.offsets.starting_offsets`` rows -> ranges to start a new reader from.
+
+    One row per topic partition, size-checked like any bounds read to the driver.
+    """
+    return _as_ranges(starts.selectExpr("topic", "partition", "next_offset AS from_offset",
+                                        "CAST(NULL AS BIGINT) AS until_offset"))
+
+
 # --- streams ------------------------------------------------------------------------
 
 def read_log_stream(

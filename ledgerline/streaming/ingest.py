@@ -11,7 +11,9 @@ Per micro-batch (``foreachBatch``), on the same batch of rows:
 
 The query checkpoint records which offsets each batch_id covered, so after a
 failure Spark replays the same batch with the same id and both writes are
-idempotent.  Bad payloads go to an optional quarantine path, keyed the same way.
+idempotent.  Batch ids are the query's epoch ids plus a base kept next to the
+checkpoint, so a new query (new checkpoint) on the same table and offset log
+continues after the batches already recorded instead of replacing them.  Bad payloads go to an optional quarantine path, keyed the same way.
 """
 
 from __future__ import annotations
@@ -53,9 +55,13 @@ def batch_writer(
     quarantine: str | None = None,
     on_metrics: Callable[[int, dict], None] | None = _log_metrics,
     cache_batch: bool = False,
+    batch_base: int = 0,
 ):
     """The ``foreachBatch`` function of :func:`start_ingest`.
 
+    Rows and offsets are keyed by ``batch_base + epoch id`` (see
+    :func:`batch_id_base`).
+
     ``on_metrics(batch_id, {"rows": n, "bad_rows": m})`` receives counts that
     were observed while the data was written (no extra job).  The batch is
     read by the data write and by the offset aggregate; both see the same
@@ -66,7 +72,8 @@ def batch_writer(
     fetches from the brokers again.
     """
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
+    def write_batch(batch: DataFrame, epoch_id: int) -> None:
+        batch_id = int(batch_base) + int(epoch_id)
         if cache_batch:
             batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -113,10 +120,14 @@ def start_ingest(
     on_metrics: Callable[[int, dict], None] | None = _log_metrics,
     cache_batch: bool = False,
 ) -> StreamingQuery:
-    """Start the ingest query; ``available_now`` drains what is there and stops."""
+    """Start the ingest query; ``available_now`` drains what is there and stops.
+
+    One ingest query per ``appname`` at a time (as with a single consumer).
+    """
+    base = batch_id_base(stream.sparkSession, checkpoint, offset_log_path, appname)
     writer = stream.writeStream.foreachBatch(
         batch_writer(schema, time_field, sink, offset_log_path, appname, steps, fmt, quarantine, on_metrics,
-                     cache_batch)
+                     cache_batch, base)
     ).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
@@ -124,6 +135,33 @@ def start_ingest(
     return writer.start()
 
 
+BASE_FILE = "_ledgerline_batch_base"
+
+
+def batch_id_base(spark, checkpoint: str, offset_log_path: str, appname: str) -> int:
+    """First batch id of a query, so ids stay unique per app across queries.
+
+    A query's own epoch ids restart at 0 with every new checkpoint; a second
+    query writing to the same table and offset log would otherwise replace the
+    first one's ``batch_id=0``.  The base is the next id after the app's
+    largest recorded batch, kept next to the checkpoint so that a restart from
+    the same checkpoint maps each epoch to the same id again.
+    """
+    marker = f"{checkpoint.rstrip('/')}/{BASE_FILE}"
+    try:
+        return int(spark.read.text(marker).first()[0])
+    except Exception:  # noqa: BLE001 - no marker yet: a new query
+        pass
+    try:
+        recorded = spark.read.parquet(offset_log_path).filter(F.col("appname") == F.lit(appname))
+        top = recorded.agg(F.max("batch_id")).first()[0]
+    except Exception:  # noqa: BLE001 - no offset log yet
+        top = None
+    base = 0 if top is None else int(top) + 1
+    spark.createDataFrame([(str(base),)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+    return base
+
+
 def run_ingest(query: StreamingQuery, timeout_s: float | None = None) -> bool:
     """Wait for the query (at most ``timeout_s``); True when it has stopped."""
     if timeout_s is None:

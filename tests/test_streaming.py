@@ -159,3 +159,25 @@ def test_cached_batches_give_the_same_result(spark, scratch):
     got = spark.read.parquet(sink).drop("batch_id")
     assert got.count() == want.count() and got.select(*want.columns).exceptAll(want).count() == 0
     assert not batch.is_cached
+
+
+def test_new_query_resumes_from_recorded_offsets(spark, scratch):
+    from ledgerline.sources.log import resume_points
+
+    root = scratch("resume_log")
+    log = ev.events_log(spark, SF_SMALL)
+    early, late = os.path.join(root, "early"), os.path.join(root, "late")
+    log.filter("offset < 100").write.parquet(early)
+    sink, olog = os.path.join(root, "table"), os.path.join(root, "offsets")
+    q = start_ingest(read_log_stream(spark, early), sink, olog, os.path.join(root, "ckpt1"), EVENT_RECORD, "ts_ms",
+                     ev.APPNAME, available_now=True)
+    run_ingest(q, 600)
+    # the whole log arrives elsewhere; a new query with a new checkpoint resumes where the offset log ends
+    log.write.parquet(late)
+    starts = resume_points(starting_offsets(spark.read.parquet(olog), ev.APPNAME))
+    assert {s.from_offset for s in starts} == {100}
+    q2 = start_ingest(read_log_stream(spark, late, starts=starts), sink, olog, os.path.join(root, "ckpt2"),
+                      EVENT_RECORD, "ts_ms", ev.APPNAME, available_now=True)
+    run_ingest(q2, 600)
+    table = spark.read.parquet(sink)
+    assert table.count() == 1000 and table.select("event_id").distinct().count() == 1000
