@@ -129,8 +129,11 @@ def write_log(log: DataFrame, path: str) -> None:
 def publish_log(df: DataFrame, sink: str, fmt: str = "parquet", bootstrap_servers: str | None = None) -> None:
     """K3: write keyed, routed messages (``key value topic partition``).
 
-    ``fmt="kafka"`` sends them to Kafka (needs the connector); ``parquet``
-    appends a log table partitioned by topic and partition.
+    ``fmt="kafka"`` sends them to Kafka (needs the connector), which assigns
+    offsets and timestamps.  ``parquet`` appends the messages as they are,
+    partitioned by topic and partition; it holds no offsets, so to replay a
+    table-backed log build it with ``sources.log.log_from_table`` and
+    ``write_log`` instead.
     """
     msgs = df.select("key", "value", "topic", "partition")
     if fmt == "kafka":
