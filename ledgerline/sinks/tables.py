@@ -112,7 +112,44 @@ def read_offset_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*OFFSET_LOG_COLUMNS)
 
 
-def write_log(log: DataFrame, path: str) -> None:
+def append_log(spark: SparkSession, path: str, messages: DataFrame, order_col: str) -> None:
+    """K3 for a table-backed log: append messages with offsets that continue the log.
+
+    ``messages`` has ``key value topic partition timestamp`` and an integral,
+    unique ``order_col``; each partition's new offsets start at its current end
+    (one row per topic partition is read to the driver, size-checked, and
+    added as an inline expression - no join).  One writer per log at a time,
+    as with a partition leader.
+    """
+    from functools import reduce
+
+    from pyspark.sql import functions as F
+
+    from ledgerline.operators.sequence import assign_sequence
+    from ledgerline.sources.log import LOG_COLUMNS, MAX_TOPIC_PARTITIONS, read_log
+
+    try:
+        existing = read_log(spark, path)
+        ends = existing.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next")).limit(
+            MAX_TOPIC_PARTITIONS + 1).collect()
+    except Exception as exc:  # noqa: BLE001 - no log yet: offsets start at 0
+        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc).lower():
+            raise
+        ends = []
+    if len(ends) > MAX_TOPIC_PARTITIONS:
+        raise ValueError(f"more than {MAX_TOPIC_PARTITIONS} topic partitions")
+    numbered = assign_sequence(messages, ["topic", "partition"], order_col, "offset")
+    start = reduce(
+        lambda acc, r: F.when((F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"]),
+                              F.lit(int(r["next"]))).otherwise(acc),
+        ends,
+        F.lit(0).cast("long"),
+    )
+    out = numbered.withColumn("offset", F.col("offset") + start).select(*LOG_COLUMNS)
+    write_log(out, path, mode="append")
+
+
+def write_log(log: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """A message log at rest: one folder per (topic, partition), files in offset order.
 
     A range repartition on (topic, partition, offset) cuts a big partition into
@@ -122,7 +159,7 @@ def write_log(log: DataFrame, path: str) -> None:
     skip files and row groups by offset.
     """
     keys = ["topic", "partition", "offset"]
-    log.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("errorifexists").partitionBy(
+    log.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).partitionBy(
         "topic", "partition").parquet(path)
 
 

@@ -51,3 +51,28 @@ def test_publish_to_a_parquet_log(spark, scratch):
     # the published text is printable ASCII only
     texts = decode_payload(back, docs.select("doc_id", "text").schema).select("text").collect()
     assert all(all(c in "\t\n\r\x0b\x0c" or " " <= c <= "~" for c in r[0]) for r in texts)
+
+
+def test_append_log_continues_offsets(spark, scratch):
+    from ledgerline.sinks.tables import append_log
+    from ledgerline.sources.log import read_log
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    msgs = publish(docs, "text", ["the"], "doc_id", "source", 4, "documents", ["doc_id", "text"]).join(
+        docs.select(F.col("doc_id").cast("string").cast("binary").alias("key"), "doc_id"), "key").withColumn(
+        "timestamp", F.current_timestamp())
+    path = scratch("doclog")
+    first, second = msgs.filter("doc_id % 2 = 0"), msgs.filter("doc_id % 2 = 1")
+    append_log(spark, path, first, "doc_id")
+    append_log(spark, path, second, "doc_id")
+    log = read_log(spark, path)
+    assert log.count() == msgs.count()
+    stats = log.groupBy("partition").agg(F.count("*").alias("n"), F.min("offset").alias("lo"),
+                                        F.max("offset").alias("hi"), F.countDistinct("offset").alias("d")).collect()
+    assert all(r["lo"] == 0 and r["hi"] == r["n"] - 1 and r["d"] == r["n"] for r in stats)
+    # the second append numbers after the first, per partition
+    firsts = first.groupBy("partition").count().collect()
+    for r in firsts:
+        later = log.join(second.select("key"), "key").filter(F.col("partition") == r["partition"])
+        if later.count():
+            assert later.agg(F.min("offset")).first()[0] == r["count"]
