@@ -192,11 +192,12 @@ def test_ingest_then_compact_then_merge_a_version(spark, scratch):
     src = _write_source(spark, root, files=2)
     sink, _ = _ingest(spark, src, root)
     compact(spark, sink, os.path.join(root, "v0"))
-    spark.read.parquet(os.path.join(root, "v0")).write.option("path", os.path.join(root, "base")).saveAsTable("events_t9")
+    base_name = f"events_{os.urandom(4).hex()}"
+    spark.read.parquet(os.path.join(root, "v0")).write.option("path", os.path.join(root, "base")).saveAsTable(base_name)
     log = ev.events_log(spark, SF_SMALL)
     deltas = replay_offsets(log, [OffsetRange("events", 0, 0, 50)], EVENT_RECORD, "ts_ms",
                             {"sql01": "SELECT event_id, ts_ms, user_id, 'fixed' AS event_type, value, props, mon, day, hour"})
-    name = merge_version(spark, "events_t9", deltas, ["event_id"], version="v1")
+    name = merge_version(spark, base_name, deltas, ["event_id"], version="v1", path=os.path.join(root, "v1"))
     merged = spark.table(name)
     assert merged.count() == 1000
     assert merged.filter("event_type = 'fixed'").count() == 50
