@@ -201,3 +201,17 @@ def test_ingest_then_compact_then_merge_a_version(spark, scratch):
     merged = spark.table(name)
     assert merged.count() == 1000
     assert merged.filter("event_type = 'fixed'").count() == 50
+
+
+def test_a_batch_of_only_bad_payloads_leaves_the_table_readable(spark, scratch):
+    root = scratch("allbad")
+    sink, olog = os.path.join(root, "table"), os.path.join(root, "offsets")
+    write = batch_writer(EVENT_RECORD, "ts_ms", sink, olog, ev.APPNAME, on_metrics=None)
+    log = ev.events_log(spark, SF_SMALL)
+    write(log.filter("offset < 20"), 0)
+    write(log.filter("offset >= 20 AND offset < 30").withColumn("value", F.lit(b"{bad")), 1)
+    write(log.filter("offset >= 30 AND offset < 40"), 2)
+    table = spark.read.parquet(sink)
+    assert table.count() == log.filter("offset < 20 OR (offset >= 30 AND offset < 40)").count()
+    assert sorted(r[0] for r in table.select("batch_id").distinct().collect()) == [0, 2]
+    assert spark.read.parquet(olog).select("batch_id").distinct().count() == 3  # offsets of the bad batch too
