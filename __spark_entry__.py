@@ -40,7 +40,7 @@ from ledgerline.operators.offsets import (
 from ledgerline.operators.transform import preview, transform_chain
 from ledgerline.plans import events as ev
 from ledgerline.plans.publish import publish
-from ledgerline.plans.replay import decode_messages, replay_offsets, replay_time
+from ledgerline.plans.replay import decode_messages, replay_and_merge, replay_offsets, replay_time
 from ledgerline.plans.versions import merge_version
 from ledgerline.schemas import EVENT_RECORD
 from ledgerline.session import scratch_path
@@ -81,6 +81,9 @@ ORDERS_DELTA_FROM = "1998-01-01"  # deltas: orders placed from, status set to U
 SHIP_BASE_BEFORE = "1999-01-01"
 SHIP_DELTA_FROM = "1998-01-01"
 STREAM_FILES = 6
+DELTA_STEPS = {  # replay-and-merge: the deltas carry upper-cased event types
+    "sql01": "SELECT event_id, ts_ms, user_id, upper(event_type) AS event_type, value, props, mon, day, hour",
+}
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -257,15 +260,12 @@ def q_replay_time_interior(spark, sf_dir):
                        ev.EVENT_STEPS, mode="interior")
 
 
-DELTA_STEPS = {"sql01": "SELECT event_id, ts_ms, user_id, upper(event_type) AS event_type, value, props, mon, day, hour"}
-
-
 def q_replay_and_merge(spark, sf_dir):
     log = _log_at_rest(spark, sf_dir)
     olog = ev.hourly_offset_log(log)
     base = replay_time(log, olog, ev.APPNAME, BASE_BEGIN, BASE_END, EVENT_RECORD, "ts_ms")
     deltas = replay_time(log, olog, ev.APPNAME, DELTA_BEGIN, DELTA_END, EVENT_RECORD, "ts_ms", DELTA_STEPS)
-    return merge_by_key(base, deltas, "event_id")
+    return replay_and_merge(base, deltas, "event_id")
 
 
 # --- versions ---------------------------------------------------------------------------------
