@@ -393,45 +393,45 @@ def entry(spark: SparkSession) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
-        "message_log": q_message_log,
-        "offset_range_read": q_offset_range_read,
-        "starting_offset_read": q_starting_offset_read,
-        "decode_payload": q_decode_payload,
-        "decode_bad_rows": q_decode_bad_rows,
-        "partition_fields": q_partition_fields,
-        "parse_minute_text": q_parse_minute_text,
-        "reverse_time_key": q_reverse_time_key,
-        "sanitize_text": q_sanitize_text,
-        "sanitize_upper": q_sanitize_upper,
-        "keyword_filter": q_keyword_filter,
-        "route_partition": q_route_partition,
-        "safe_casts": q_safe_casts,
-        "transform_chain": q_transform_chain,
-        "preview": q_preview,
-        "offset_log": q_offset_log,
-        "batch_counts": q_batch_counts,
-        "split_cells": q_split_cells,
-        "range_covering": q_range_covering,
-        "range_interior": q_range_interior,
-        "newest_batches": q_newest_batches,
-        "latest_offsets": q_latest_offsets,
-        "starting_offsets": q_starting_offsets,
-        "replay_offsets": q_replay_offsets,
-        "replay_time": q_replay_time,
-        "replay_time_interior": q_replay_time_interior,
-        "replay_and_merge": q_replay_and_merge,
-        "unchanged_rows": q_unchanged_rows,
-        "merge_by_key": q_merge_by_key,
-        "merge_composite_key": q_merge_composite_key,
-        "version_table": q_version_table,
-        "partitioned_table": q_partitioned_table,
-        "create_like_append": q_create_like_append,
-        "table_columns": q_table_columns,
-        "delimited_round_trip": q_delimited_round_trip,
-        "delimited_round_trip_orders": q_delimited_round_trip_orders,
-        "publish": q_publish,
-        "stream_ingest": q_stream_ingest,
-        "stream_offset_log": q_stream_offset_log,
+        "message_log": q_message_log,  # F7 K3 (log from a table)
+        "offset_range_read": q_offset_range_read,  # S3 P8
+        "starting_offset_read": q_starting_offset_read,  # S2
+        "decode_payload": q_decode_payload,  # A1 A2
+        "decode_bad_rows": q_decode_bad_rows,  # A1 (bad rows)
+        "partition_fields": q_partition_fields,  # F4 F5
+        "parse_minute_text": q_parse_minute_text,  # F3
+        "reverse_time_key": q_reverse_time_key,  # F6 L1
+        "sanitize_text": q_sanitize_text,  # F2
+        "sanitize_upper": q_sanitize_upper,  # F2 F1
+        "keyword_filter": q_keyword_filter,  # P5
+        "route_partition": q_route_partition,  # F7
+        "safe_casts": q_safe_casts,  # F10
+        "transform_chain": q_transform_chain,  # P1 P2 L3 K10
+        "preview": q_preview,  # K6 L4
+        "offset_log": q_offset_log,  # E2
+        "batch_counts": q_batch_counts,  # E1
+        "split_cells": q_split_cells,  # E4 F8 F9 S8
+        "range_covering": q_range_covering,  # S4 E3 P7
+        "range_interior": q_range_interior,  # S4 E3 P7
+        "newest_batches": q_newest_batches,  # L1
+        "latest_offsets": q_latest_offsets,  # L2
+        "starting_offsets": q_starting_offsets,  # T6
+        "replay_offsets": q_replay_offsets,  # M1 S3 P3 A1 P2
+        "replay_time": q_replay_time,  # M2 F3 S4 E3
+        "replay_time_interior": q_replay_time_interior,  # M2 (interior)
+        "replay_and_merge": q_replay_and_merge,  # M6 M2 M4
+        "unchanged_rows": q_unchanged_rows,  # J1 P4
+        "merge_by_key": q_merge_by_key,  # M4 U1
+        "merge_composite_key": q_merge_composite_key,  # M4 (two keys, repeating)
+        "version_table": q_version_table,  # K4 K8 K11
+        "partitioned_table": q_partitioned_table,  # K1
+        "create_like_append": q_create_like_append,  # K7 K1
+        "table_columns": q_table_columns,  # K9
+        "delimited_round_trip": q_delimited_round_trip,  # S6 K5
+        "delimited_round_trip_orders": q_delimited_round_trip_orders,  # S6 K5
+        "publish": q_publish,  # M5 P5 F2 A2 F7
+        "stream_ingest": q_stream_ingest,  # M3 S1 T1-T3 T5 P6
+        "stream_offset_log": q_stream_offset_log,  # T4 E2 K2
     }
 
 
