@@ -149,18 +149,23 @@ def append_log(spark: SparkSession, path: str, messages: DataFrame, order_col: s
     write_log(out, path, mode="append")
 
 
-def write_log(log: DataFrame, path: str, mode: str = "errorifexists") -> None:
+def write_log(log: DataFrame, path: str, mode: str = "errorifexists", slice_width: int = 1 << 22) -> None:
     """A message log at rest: one folder per (topic, partition), files in offset order.
 
-    A range repartition on (topic, partition, offset) cuts a big partition into
-    contiguous offset slices written by separate tasks (a hash repartition on
-    the partition would send a hot partition to one task).  Each file then
-    covers one offset slice, so range reads prune folders by partition and
-    skip files and row groups by offset.
+    Rows are hash-partitioned on (topic, partition, offset div ``slice_width``):
+    offsets are dense and unique within a partition, so a slice holds at most
+    ``slice_width`` rows and a hot partition is spread over many tasks, without
+    the sampling pass a range repartition would add (which would compute a
+    derived log twice).  Sorted by offset within each task, files and row
+    groups cover narrow offset ranges, so range reads skip them by statistics.
     """
+    from pyspark.sql import functions as F
+
+    from ledgerline.functions.timefields import floor_div
+
     keys = ["topic", "partition", "offset"]
-    log.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode(mode).partitionBy(
-        "topic", "partition").parquet(path)
+    sliced = log.repartition(F.col("topic"), F.col("partition"), floor_div("offset", slice_width))
+    sliced.sortWithinPartitions(*keys).write.mode(mode).partitionBy("topic", "partition").parquet(path)
 
 
 def publish_log(df: DataFrame, sink: str, fmt: str = "parquet", bootstrap_servers: str | None = None) -> None:

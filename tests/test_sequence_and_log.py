@@ -96,12 +96,12 @@ def test_log_at_rest_splits_a_hot_partition(spark, scratch):
     hot = ev.events_log(spark, SF_SMALL).withColumn("partition", F.lit(0)).withColumn(
         "offset", F.row_number().over(Window.orderBy("key")) - 1)
     path = scratch("hot")
-    # tiny data would be coalesced into one task; switch that off to see the split a big log gets
+    # tiny data would be coalesced into one task; switch that off (and use narrow slices) to see the split
     key = "spark.sql.adaptive.coalescePartitions.enabled"
     old = spark.conf.get(key)
     spark.conf.set(key, "false")
     try:
-        write_log(hot, path)
+        write_log(hot, path, slice_width=100)
     finally:
         spark.conf.set(key, old)
     local = path[len("file:"):] if path.startswith("file:") else path
