@@ -28,7 +28,7 @@ def transform_chain(df: DataFrame, steps: Mapping[str, str] | Iterable[tuple[str
     """
     out = df
     for _name, text in ordered_steps(steps):
-        select_list = _SELECT.sub("", text.strip(), count=1)
+        select_list = _SELECT.sub("", text.strip().rstrip(";").rstrip(), count=1)
         # the formatter reads braces as placeholders; the step text is literal SQL
         escaped = select_list.replace("{", "{{").replace("}", "}}")
         out = out.sparkSession.sql(f"SELECT {escaped} FROM {{src}}", src=out)

@@ -89,6 +89,9 @@ def test_steps_sort_as_text_and_chain_is_one_project(spark):
     optimized = out._jdf.queryExecution().optimizedPlan().toString()
     assert optimized.count("Project") == 1
     assert transform_chain(df, None) is df
+    # a step written as a full statement, with DISTINCT and a trailing semicolon
+    dist = transform_chain(df, [("s", "select distinct s ;")])
+    assert [tuple(r) for r in dist.collect()] == [("ab",)]
 
 
 def test_preview_is_ordered(spark):
