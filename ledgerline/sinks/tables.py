@@ -6,10 +6,18 @@ Paths are whatever the caller passes: on a cluster, a shared filesystem
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerline.functions.timefields import floor_div
+from ledgerline.operators.codec import MissingConnectorError
+from ledgerline.operators.offsets import OFFSET_LOG_COLUMNS
+from ledgerline.operators.sequence import assign_sequence
 from ledgerline.schemas import PARTITION_FIELDS
 from ledgerline.sources.delimited import CSV_OPTIONS, DELIMITER
+from ledgerline.sources.log import LOG_COLUMNS, MAX_TOPIC_PARTITIONS, read_log
 
 
 def clustered(df: DataFrame, partition_cols) -> DataFrame:
@@ -107,8 +115,7 @@ def write_offset_log(offset_rows: DataFrame, path: str, idempotent: bool = True)
 
 
 def read_offset_log(spark: SparkSession, path: str) -> DataFrame:
-    from ledgerline.operators.offsets import OFFSET_LOG_COLUMNS
-
+    """The offset log written by :func:`write_offset_log`, in OFFSET_LOG column order."""
     return spark.read.parquet(path).select(*OFFSET_LOG_COLUMNS)
 
 
@@ -121,13 +128,6 @@ def append_log(spark: SparkSession, path: str, messages: DataFrame, order_col: s
     added as an inline expression - no join).  One writer per log at a time,
     as with a partition leader.
     """
-    from functools import reduce
-
-    from pyspark.sql import functions as F
-
-    from ledgerline.operators.sequence import assign_sequence
-    from ledgerline.sources.log import LOG_COLUMNS, MAX_TOPIC_PARTITIONS, read_log
-
     try:
         existing = read_log(spark, path)
         ends = existing.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next")).limit(
@@ -159,10 +159,6 @@ def write_log(log: DataFrame, path: str, mode: str = "errorifexists", slice_widt
     derived log twice).  Sorted by offset within each task, files and row
     groups cover narrow offset ranges, so range reads skip them by statistics.
     """
-    from pyspark.sql import functions as F
-
-    from ledgerline.functions.timefields import floor_div
-
     keys = ["topic", "partition", "offset"]
     sliced = log.repartition(F.col("topic"), F.col("partition"), floor_div("offset", slice_width))
     sliced.sortWithinPartitions(*keys).write.mode(mode).partitionBy("topic", "partition").parquet(path)
@@ -179,8 +175,6 @@ def publish_log(df: DataFrame, sink: str, fmt: str = "parquet", bootstrap_server
     """
     msgs = df.select("key", "value", "topic", "partition")
     if fmt == "kafka":
-        from ledgerline.operators.codec import MissingConnectorError
-
         try:
             msgs.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers or "").save()
         except Exception as exc:
