@@ -17,7 +17,7 @@ from ledgerline.operators.offsets import OFFSET_LOG_COLUMNS
 from ledgerline.operators.sequence import assign_sequence
 from ledgerline.schemas import PARTITION_FIELDS
 from ledgerline.sources.delimited import CSV_OPTIONS, DELIMITER
-from ledgerline.sources.log import LOG_COLUMNS, MAX_TOPIC_PARTITIONS, read_log
+from ledgerline.sources.log import LOG_COLUMNS, MAX_INLINE_RANGES, MAX_TOPIC_PARTITIONS, read_log
 
 
 def clustered(df: DataFrame, partition_cols) -> DataFrame:
@@ -139,14 +139,21 @@ def append_log(spark: SparkSession, path: str, messages: DataFrame, order_col: s
     if len(ends) > MAX_TOPIC_PARTITIONS:
         raise ValueError(f"more than {MAX_TOPIC_PARTITIONS} topic partitions")
     numbered = assign_sequence(messages, ["topic", "partition"], order_col, "offset")
-    start = reduce(
-        lambda acc, r: F.when((F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"]),
-                              F.lit(int(r["next"]))).otherwise(acc),
-        ends,
-        F.lit(0).cast("long"),
-    )
-    out = numbered.withColumn("offset", F.col("offset") + start).select(*LOG_COLUMNS)
-    write_log(out, path, mode="append")
+    if len(ends) <= MAX_INLINE_RANGES:
+        start = reduce(
+            lambda acc, r: F.when((F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"]),
+                                  F.lit(int(r["next"]))).otherwise(acc),
+            ends,
+            F.lit(0).cast("long"),
+        )
+        out = numbered.withColumn("offset", F.col("offset") + start)
+    else:
+        # many partitions: a table of starts whose size (one row per partition) is known here
+        starts = spark.createDataFrame([(r["topic"], int(r["partition"]), int(r["next"])) for r in ends],
+                                       "topic string, partition int, __next long")
+        out = numbered.join(F.broadcast(starts), ["topic", "partition"], "left").withColumn(
+            "offset", F.col("offset") + F.coalesce(F.col("__next"), F.lit(0)))
+    write_log(out.select(*LOG_COLUMNS), path, mode="append")
 
 
 def write_log(log: DataFrame, path: str, mode: str = "errorifexists", slice_width: int = 1 << 22) -> None:

@@ -53,8 +53,15 @@ def test_publish_to_a_parquet_log(spark, scratch):
     assert all(all(c in "\t\n\r\x0b\x0c" or " " <= c <= "~" for c in r[0]) for r in texts)
 
 
-def test_append_log_continues_offsets(spark, scratch):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("inline_limit", [256, 1])
+def test_append_log_continues_offsets(spark, scratch, monkeypatch, inline_limit):
+    import ledgerline.sinks.tables as tables
     from ledgerline.sinks.tables import append_log
+
+    monkeypatch.setattr(tables, "MAX_INLINE_RANGES", inline_limit)  # 1: the broadcast-join path
     from ledgerline.sources.log import read_log
 
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
