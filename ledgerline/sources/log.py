@@ -172,12 +172,20 @@ def read_log_stream(
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.parquet(path)
-    if starts:
-        ranges = _as_ranges(starts)
-        listed = reduce(lambda a, b: a | b, [(F.col("topic") == r.topic) & (F.col("partition") == r.partition) for r in ranges])
-        started = reduce(lambda a, b: a | b, [_range_predicate(OffsetRange(r.topic, r.partition, r.from_offset, None)) for r in ranges])
-        stream = stream.filter(~listed | started)
-    return stream
+    if not starts:
+        return stream
+    ranges = _as_ranges(starts)
+    if len(ranges) <= MAX_INLINE_RANGES:
+        listed = reduce(lambda a, b: a | b,
+                        [(F.col("topic") == r.topic) & (F.col("partition") == r.partition) for r in ranges])
+        started = reduce(lambda a, b: a | b,
+                         [_range_predicate(OffsetRange(r.topic, r.partition, r.from_offset, None)) for r in ranges])
+        return stream.filter(~listed | started)
+    # many partitions: a stream-static join with a starts table whose size is known here
+    table = spark.createDataFrame([(r.topic, r.partition, r.from_offset) for r in ranges],
+                                  "topic string, partition int, __lo long")
+    joined = stream.join(F.broadcast(table), ["topic", "partition"], "left")
+    return joined.filter(F.col("__lo").isNull() | (F.col("offset") >= F.col("__lo"))).select(*LOG_COLUMNS)
 
 
 # --- Kafka --------------------------------------------------------------------------

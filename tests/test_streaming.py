@@ -62,15 +62,24 @@ def test_rerun_of_a_batch_id_replaces_itself(spark, scratch):
     assert spark.read.parquet(olog).count() == 4
 
 
-def test_stream_from_recorded_offsets(spark, scratch):
+import pytest  # noqa: E402
+
+
+@pytest.mark.parametrize("inline_limit", [256, 1])
+def test_stream_from_recorded_offsets(spark, scratch, monkeypatch, inline_limit):
+    import ledgerline.sources.log as src
+
+    monkeypatch.setattr(src, "MAX_INLINE_RANGES", inline_limit)  # 1: the stream-static join path
     root = scratch("resume")
-    src = _write_source(spark, root, files=2)
-    stream = read_log_stream(spark, src, starts=[OffsetRange("events", 0, 100)])
-    q = stream.writeStream.format("memory").queryName("resume_t").trigger(availableNow=True).start()
+    src_dir = _write_source(spark, root, files=2)
+    stream = read_log_stream(spark, src_dir, starts=[OffsetRange("events", 0, 100), OffsetRange("events", 1, 5)])
+    name = f"resume_t{inline_limit}"
+    q = stream.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
     q.awaitTermination(300)
-    got = spark.table("resume_t")
+    got = spark.table(name)
     log = ev.events_log(spark, SF_SMALL)
-    assert got.count() == log.filter("partition <> 0 OR offset >= 100").count()
+    want = log.filter("(partition = 0 AND offset >= 100) OR (partition = 1 AND offset >= 5) OR partition > 1")
+    assert got.count() == want.count()
 
 
 def test_bad_payloads_go_to_quarantine_and_are_counted(spark, scratch):
