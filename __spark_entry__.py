@@ -47,8 +47,8 @@ from ledgerline.session import scratch_path
 from ledgerline.sinks.tables import (
     append_partitioned,
     create_like,
-    frame_columns,
     insert_into,
+    table_columns,
     write_delimited,
     write_log,
 )
@@ -325,7 +325,10 @@ def q_create_like_append(spark, sf_dir):
 
 
 def q_table_columns(spark, sf_dir):
-    return frame_columns(_t(spark, sf_dir, "orders")).select("name", "ordinal")
+    # the given orders file as an external catalog table, listed through the catalog
+    name = _unique_name("orders_ext")
+    spark.catalog.createTable(name, path=os.path.join(sf_dir, "orders.parquet"), source="parquet")
+    return table_columns(spark, name).select("name", "ordinal")
 
 
 def q_delimited_round_trip(spark, sf_dir):
