@@ -394,7 +394,31 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_replay_offsets(spark, SMOKE_DIR)
 
 
+def _llm_parts() -> tuple[dict, dict]:
+    """Queries and SQL of the optional ``ledgerline.llm`` subpackage and its pipeline, if present."""
+    try:
+        import corpus_pipeline
+        from ledgerline.llm import queries as llm
+    except ModuleNotFoundError as e:
+        if e.name is None or not (e.name == "corpus_pipeline" or e.name.startswith("ledgerline.llm")):
+            raise
+        return {}, {}
+    found, sql = dict(llm.QUERIES), dict(llm.ORACLE)
+    found["pipeline"] = corpus_pipeline.run
+    if corpus_pipeline.ORACLE_SQL:
+        sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _core_queries() | _llm_parts()[0]
+
+
+def oracle_sql() -> dict[str, str]:
+    return _core_oracle() | _llm_parts()[1]
+
+
+def _core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "message_log": q_message_log,  # F7 K3 (log from a table)
         "offset_range_read": q_offset_range_read,  # S3 P8
@@ -530,7 +554,7 @@ _LI_MERGED = (f"SELECT b.* FROM ({_LI_BASE}) b WHERE NOT EXISTS (SELECT 1 FROM (
 _DECODED = "SELECT event_id, ts_ms, user_id, event_type, value, props, " + _FIELDS + " FROM log"
 
 
-def oracle_sql() -> dict[str, str]:
+def _core_oracle() -> dict[str, str]:
     starts = " OR ".join(f'("partition" = {p} AND "offset" >= {START_OFFSET})' for p in range(4))
     replay_cov = _range_rows(RANGE_BEGIN, RANGE_END, "covering")
     replay_int = _range_rows(RANGE_BEGIN, RANGE_END, "interior")
