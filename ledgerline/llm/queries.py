@@ -4,7 +4,18 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, mixing
+from ledgerline.llm import (
+    ann,
+    decontaminate,
+    html_extract,
+    line_dedup,
+    mixing,
+    ngram_jaccard,
+    ngram_lm,
+    quality,
+    url_rules,
+    warc,
+)
 from ledgerline.llm.common import table
 
 
@@ -23,9 +34,52 @@ def q_decontaminate(spark, sf_dir):
     )
 
 
+def q_ann(spark, sf_dir):
+    return ann.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0)
+
+
+def q_line_dedup(spark, sf_dir):
+    cut = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.withColumnsRenamed({"__n_lines": "n_lines", "__n_removed": "n_removed"})
+
+
+def q_url_rules(spark, sf_dir):
+    pages, labels = table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels")
+    return url_rules.judge_urls(pages, url_rules.labelled_pages(pages, labels))
+
+
+def q_html(spark, sf_dir):
+    return html_extract.extract_pages(table(spark, sf_dir, "pages"))
+
+
+def q_quality(spark, sf_dir):
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def q_warc(spark, sf_dir):
+    read = warc.archive_round_trip(table(spark, sf_dir, "pages"))
+    return read.select("page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def q_lm(spark, sf_dir):
+    return ngram_lm.score_texts(table(spark, sf_dir, "documents"))
+
+
+def q_jaccard(spark, sf_dir):
+    return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix_sources": q_mix,
+    "op2_ann": q_ann,
+    "op3_ngram_lm": q_lm,
     "op4_decontaminate": q_decontaminate,
+    "op5_line_dedup": q_line_dedup,
+    "op6_url_rules": q_url_rules,
+    "op7_ngram_jaccard": q_jaccard,
+    "op8_html_extract": q_html,
+    "op9_quality": q_quality,
+    "op10_warc": q_warc,
 }
 
 ORACLE: dict[str, str] = {}
