@@ -246,7 +246,7 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
         if b["places"].is_valid:
             c[unpack(b["places"].as_py(), np.int32)] = unpack(b["counts"].as_py(), np.int64)
         log_p = np.log10((c + ALPHA) / total)
-        starts = np.r_[0, np.cumsum(lengths)[:-1]]
+        starts = np.r_[0, np.cumsum(lengths, dtype=np.int64)[:-1]]
         end = np.flatnonzero(words == np.uint64(END))[0]
         contexts = np.r_[end, tokens[:-1]].astype(np.int64)
         contexts[starts] = end
@@ -314,7 +314,7 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
             gain = trie.gains(keys[row])[unpack(table["places"][row].as_py(), np.uint32)]
             per_doc = unpack(table["per_doc"][row].as_py(), np.uint32)
             some = np.flatnonzero(per_doc)
-            sums = np.add.reduceat(gain, np.r_[0, np.cumsum(per_doc[some])[:-1]])
+            sums = np.add.reduceat(gain, np.r_[0, np.cumsum(per_doc[some], dtype=np.int64)[:-1]])
             blocks_.append(np.full(len(some), table["block"][row].as_py()))
             places.append(some)
             gains.append(sums)

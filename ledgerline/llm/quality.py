@@ -25,6 +25,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 SAMPLE_ROWS = 3_000
 WORD_DIM, SHAPE_DIM = 64, 64
@@ -162,7 +163,7 @@ class Network:
         if held.any() and len(set(y[held])) == 2:
             z = self.logits((x[held] * self.scale) + self.mean)
             loss = lambda t: np.logaddexp(0, np.where(y[held] == 1, -z, z) / t).mean()
-            self.temperature = float(min(np.geomspace(0.25, 8, 101), key=loss))
+            self.temperature = float(min(np.geomspace(1, 8, 101), key=loss))
 
     def logits(self, x: np.ndarray) -> np.ndarray:
         h = np.maximum((x - self.mean) / self.scale @ self.p[0] + self.p[1], 0)
@@ -188,9 +189,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     return one.orderBy("doc_id").select("text", "quality").toPandas()
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample_rows: int = SAMPLE_ROWS, keep: str | None = None) -> DataFrame:
-    """doc_id, held_out, score, predicted for every document; ``keep`` names a further column of
-    ``docs`` (its text hash, say) to pass through."""
+def _scored(docs: DataFrame, labels: DataFrame, columns: list[str], sample_rows: int) -> DataFrame:
+    """``columns`` of ``docs`` (with text) and ``__score``."""
     sample = labelled_sample(docs, labels, sample_rows)
     y = sample["quality"].to_numpy(float)
     base = float(y.mean()) if len(y) else 0.5
@@ -200,18 +200,27 @@ def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sa
         vectors = Vectors(texts)
         network = Network(Pooler(vectors).pool(texts).astype(float), y)
     model = docs.sparkSession.sparkContext.broadcast((vectors, network))
+    at = columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vectors, network = model.value
         pooler = Pooler(vectors) if network else None
         for batch in batches:
-            texts = batch["text"].to_pylist()
+            texts = batch.column(at).to_pylist()
             score = network.score(pooler.pool(texts)) if network else np.full(len(texts), base)
-            columns = [batch[c] for c in names] + [pa.array(score.astype(float), pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, [*names, "score"])
-
-    names = ["doc_id", "held_out", *([keep] if keep else [])]
-    rows = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), *([keep] if keep else []), "text")
-    kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-    scored = rows.mapInArrow(run, ", ".join(f"{c} {kinds[c]}" for c in names) + ", score double")
-    return scored.withColumn("predicted", (F.col("score") >= threshold).cast("int"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(score.astype(float), pa.float64())], [*columns, "__score"])
+
+    rows = docs.select(*[f"`{c}`" for c in columns])
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField("__score", DoubleType())]))
+
+
+def score_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """doc_id, held_out, score, predicted (1: the score reaches the threshold) for every document."""
+    scored = _scored(docs, labels, ["doc_id", "text"], sample_rows)
+    good = (F.col("__score") >= threshold).cast("int")
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), F.col("__score").alias("score"), good.alias("predicted"))
+
+
+def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """``docs`` with its own columns, without the documents whose score is below the threshold."""
+    return _scored(docs, labels, docs.columns, sample_rows).where(F.col("__score") >= threshold).drop("__score")
