@@ -62,26 +62,26 @@ def apportion(votes: DataFrame, group: Sequence[str], key: str, seats: Column) -
     over = Window.partitionBy(*group)
     half = F.count(F.lit(1)).over(over) / 2
     total = F.sum("votes").over(over)
-    low = F.when(F.col("n") > F.col("half"), F.floor(F.col("votes") * (F.col("n") - F.col("half")) / F.col("total") + 0.5) - 1)
-    high = F.floor(F.col("votes") * (F.col("n") + F.col("half")) / F.col("total") + 0.5) + 1
+    low = F.when(F.col("__n") > F.col("__half"), F.floor(F.col("votes") * (F.col("__n") - F.col("__half")) / F.col("__total") + 0.5) - 1)
+    high = F.floor(F.col("votes") * (F.col("__n") + F.col("__half")) / F.col("__total") + 0.5) + 1
     spans = (
         votes.where("votes > 0")
-        .select(*group, key, "votes", seats.cast("long").alias("n"))
-        .withColumn("half", half)
-        .withColumn("total", total)
-        .withColumn("low", F.greatest(F.coalesce(low, F.lit(0)), F.lit(0)).cast("long"))
-        .withColumn("high", F.greatest(high.cast("long"), F.col("low") + 1))
-        .withColumn("left", F.col("n") - F.sum("low").over(over))
+        .select(*group, key, "votes", seats.cast("long").alias("__n"))
+        .withColumn("__half", half)
+        .withColumn("__total", total)
+        .withColumn("__low", F.greatest(F.coalesce(low, F.lit(0)), F.lit(0)).cast("long"))
+        .withColumn("__high", F.greatest(high.cast("long"), F.col("__low") + 1))
+        .withColumn("__left", F.col("__n") - F.sum("__low").over(over))
     )
-    quotients = spans.withColumn("k", F.explode(F.sequence("low", "high"))).withColumn(
-        "quotient", F.when(F.col("k") > F.col("low"), F.col("votes") / (2 * F.col("k") - 1))
+    quotients = spans.withColumn("__seat", F.explode(F.sequence("__low", "__high"))).withColumn(
+        "__quotient", F.when(F.col("__seat") > F.col("__low"), F.col("votes") / (2 * F.col("__seat") - 1))
     )
-    order = Window.partitionBy(*group).orderBy(F.col("quotient").desc_nulls_last(), F.col(key), F.col("k"))
-    won = (F.col("quotient").isNotNull() & (F.row_number().over(order) <= F.col("left"))).cast("long")
+    order = Window.partitionBy(*group).orderBy(F.col("__quotient").desc_nulls_last(), F.col(key), F.col("__seat"))
+    won = (F.col("__quotient").isNotNull() & (F.row_number().over(order) <= F.col("__left"))).cast("long")
     return (
-        quotients.withColumn("won", won)
+        quotients.withColumn("__won", won)
         .groupBy(*group, key)
-        .agg((F.first("low") + F.sum("won")).alias("seats"))
+        .agg((F.first("__low") + F.sum("__won")).alias("seats"))
     )
 
 

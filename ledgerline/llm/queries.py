@@ -82,4 +82,50 @@ QUERIES = {
     "op10_warc": q_warc,
 }
 
-ORACLE: dict[str, str] = {}
+
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WINDOW_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+_SPACED_WORDS = f"regexp_extract_all({_LOWER}, '[^\\x20\\x09-\\x0D]+')"
+_DIGIT = "substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + CAST((CAST('0x' || substr(h, {at}, 5) AS BIGINT) >> {shift}) & 31 AS INTEGER), 1)"
+_BASE32 = " || ".join(_DIGIT.format(at=5 * (k // 4) + 1, shift=15 - 5 * (k % 4)) for k in range(32))
+
+ORACLE: dict[str, str] = {
+    "op4_decontaminate": f"""
+        WITH d AS (SELECT doc_id, {_WINDOW_WORDS} AS w FROM documents),
+        b AS (SELECT item_id, {_WINDOW_WORDS} AS w, least(13, len({_WINDOW_WORDS})) AS width FROM benchmark),
+        test AS (SELECT DISTINCT item_id, width, list_slice(w, i, i + width - 1) AS win
+                 FROM (SELECT *, unnest(range(1, len(w) - width + 2)) AS i FROM b WHERE width > 0)),
+        widths AS (SELECT DISTINCT width FROM test),
+        hits AS (SELECT doc_id, i, width, item_id FROM
+                 (SELECT doc_id, i, width, list_slice(w, i, i + width - 1) AS win FROM
+                  (SELECT *, unnest(range(1, len(w) - width + 2)) AS i FROM d, widths WHERE len(w) >= width))
+                 JOIN test USING (width, win)),
+        words AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM
+                  (SELECT doc_id, unnest(range(i, i + width)) AS p FROM hits) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+                  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+               CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+               coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+        FROM d LEFT JOIN words USING (doc_id) LEFT JOIN items USING (doc_id)""",
+    "op7_ngram_jaccard": f"""
+        WITH RECURSIVE d AS (SELECT doc_id, {_SPACED_WORDS} AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, list_slice(w, i, i + 4) AS g
+              FROM (SELECT *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (g)
+                  WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM pairs JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+                  WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+        reach(doc_id, r) AS (SELECT doc_id, doc_id FROM d
+                             UNION SELECT links.b, reach.r FROM reach JOIN links ON links.a = reach.doc_id)
+        SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(r) AS component_id
+        FROM reach LEFT JOIN n USING (doc_id) GROUP BY doc_id""",
+    "op10_warc": f"""
+        WITH p AS (SELECT page_id, url, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
+        f AS (SELECT h, min(page_id) AS first_id FROM p GROUP BY h)
+        SELECT page_id, coalesce(url, '') AS url, CAST(strlen(html) AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+               CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+        FROM p JOIN f USING (h)""",
+}
