@@ -40,7 +40,7 @@ from ledgerline.operators.offsets import (
 from ledgerline.operators.transform import preview, transform_chain
 from ledgerline.plans import events as ev
 from ledgerline.plans.publish import publish
-from ledgerline.plans.replay import decode_messages, replay_and_merge, replay_offsets, replay_time
+from ledgerline.plans.replay import decode_messages, minute_text_to_epoch, replay_and_merge, replay_offsets, replay_time
 from ledgerline.plans.versions import merge_version
 from ledgerline.schemas import EVENT_RECORD
 from ledgerline.session import scratch_path
@@ -48,13 +48,15 @@ from ledgerline.sinks.tables import (
     append_partitioned,
     create_like,
     insert_into,
+    offset_deltas_name,
+    publish_log,
     table_columns,
     write_delimited,
     write_log,
 )
 from ledgerline.sources.delimited import read_delimited
 from ledgerline.sources.log import OffsetRange, read_from_offsets, read_log, read_log_stream, read_offset_range
-from ledgerline.streaming.ingest import run_ingest, start_ingest
+from ledgerline.streaming.ingest import drain, start_ingest
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -65,7 +67,7 @@ REPLAY_BOUNDS = [  # [from, until) per partition; None = open end
     OffsetRange("events", 2, 1000, None),
     OffsetRange("events", 3, 500, 2500),
 ]
-START_OFFSET = 2979  # resume point of the starting-offset read, every partition
+RESUME_AT = 1705363200  # the starting-offset read resumes after the batches recorded up to 2024-01-16, UTC
 RANGE_BEGIN, RANGE_END = 1704412800, 1705017600  # (2024-01-05, 2024-01-12], UTC
 BASE_BEGIN, BASE_END = "20240101T00:00", "20240120T00:00"  # replay-and-merge base range
 DELTA_BEGIN, DELTA_END = "20240115T00:00", "20240131T00:00"  # replay-and-merge delta range
@@ -74,13 +76,15 @@ ROUTE_PARTITIONS = 16
 PUBLISH_PARTITIONS = 8
 NEWEST_N = 10
 PREVIEW_N = 5
-BAD_EVERY = 7  # every 7th event id gets a cut payload in decode_bad_rows
+BAD_EVERY = 7  # of seven event ids, those with these remainders get a bad payload in decode_bad_rows
 BAD_PREFIX_BYTES = 5
+BAD_FORMS = {0: "cut", 1: "empty", 2: "blank", 3: "no field", 4: "trailing"}
+QUARANTINE_EVERY = 10  # in the quarantine queries
 ORDERS_BASE_BEFORE = "1999-01-01"  # base version: orders placed before
 ORDERS_DELTA_FROM = "1998-01-01"  # deltas: orders placed from, status set to U
 SHIP_BASE_BEFORE = "1999-01-01"
 SHIP_DELTA_FROM = "1998-01-01"
-STREAM_FILES = 6
+STREAM_TIMEOUT_S = 1800
 DELTA_STEPS = {  # replay-and-merge: the deltas carry upper-cased event types
     "sql01": "SELECT event_id, ts_ms, user_id, upper(event_type) AS event_type, value, props, mon, day, hour",
 }
@@ -132,8 +136,10 @@ def q_offset_range_read(spark, sf_dir):
 
 
 def q_starting_offset_read(spark, sf_dir):
-    starts = [OffsetRange("events", p, START_OFFSET, None) for p in range(ev.N_PARTITIONS)]
-    return _log_view(read_from_offsets(_log(spark, sf_dir), starts))
+    log = _log_at_rest(spark, sf_dir)
+    recorded = ev.hourly_offset_log(log).filter(F.col("batch_ts") <= RESUME_AT)
+    starts = starting_offsets(recorded, ev.APPNAME).withColumnRenamed("next_offset", "from_offset")
+    return _log_view(read_from_offsets(log, starts))
 
 
 def q_decode_payload(spark, sf_dir):
@@ -142,12 +148,17 @@ def q_decode_payload(spark, sf_dir):
 
 def q_decode_bad_rows(spark, sf_dir):
     log = _log(spark, sf_dir)
-    event_id = F.col("key").cast("string").cast("long")
-    cut = log.withColumn(
-        "value", F.when(F.pmod(event_id, F.lit(BAD_EVERY)) == 0, F.substring("value", 1, BAD_PREFIX_BYTES)).otherwise(F.col("value"))
+    kind = F.pmod(F.col("key").cast("string").cast("long"), F.lit(BAD_EVERY))
+    bad = log.withColumn(
+        "value",
+        F.when(kind == 0, F.substring("value", 1, BAD_PREFIX_BYTES))
+        .when(kind == 1, F.lit(b""))
+        .when(kind == 2, F.lit(b" \t\n"))
+        .when(kind == 3, F.lit(b"{}"))
+        .when(kind == 4, F.concat("value", F.lit(b'{"x"')))
+        .otherwise(F.col("value")),
     )
-    decoded = decode_payload(cut.withColumn("key_text", F.col("key").cast("string")), EVENT_RECORD, keep=["key_text"])
-    return decoded
+    return decode_payload(bad.withColumn("key_text", F.col("key").cast("string")), EVENT_RECORD, keep=["key_text"])
 
 
 # --- scalar functions ---------------------------------------------------------------------
@@ -260,12 +271,41 @@ def q_replay_time_interior(spark, sf_dir):
                        ev.EVENT_STEPS, mode="interior")
 
 
-def q_replay_and_merge(spark, sf_dir):
+def _base_and_deltas(spark, sf_dir, partition_cols=()):
+    """The replayed base as a catalog table, the log, its offset log, and the deltas' bounds."""
     log = _log_at_rest(spark, sf_dir)
     olog = ev.hourly_offset_log(log)
-    base = replay_time(log, olog, ev.APPNAME, BASE_BEGIN, BASE_END, EVENT_RECORD, "ts_ms")
-    deltas = replay_time(log, olog, ev.APPNAME, DELTA_BEGIN, DELTA_END, EVENT_RECORD, "ts_ms", DELTA_STEPS)
-    return replay_and_merge(base, deltas, "event_id")
+    folder = scratch_path(spark, "tables")
+    base = _unique_name("events_base")
+    rows = replay_time(log, olog, ev.APPNAME, BASE_BEGIN, BASE_END, EVENT_RECORD, "ts_ms")
+    append_partitioned(rows, path=f"{folder}/{base}", table=base, partition_cols=partition_cols)
+    bounds = resolve_range(olog, ev.APPNAME, minute_text_to_epoch(DELTA_BEGIN), minute_text_to_epoch(DELTA_END))
+    return log, base, bounds, folder
+
+
+def q_replay_and_merge(spark, sf_dir):
+    """Replay the base into a table, the deltas into a table like it, merge both into a version."""
+    log, base, bounds, folder = _base_and_deltas(spark, sf_dir)
+    return spark.table(replay_and_merge(log, bounds, EVENT_RECORD, "ts_ms", base, "event_id", 0, "v1", DELTA_STEPS, folder))
+
+
+def q_replay_to_version(spark, sf_dir):
+    """The deltas table and the version that one replay-and-merge made, side by side, by day."""
+    log, base, bounds, folder = _base_and_deltas(spark, sf_dir, ["mon", "day"])
+    version = replay_and_merge(log, bounds, EVENT_RECORD, "ts_ms", base, "event_id", 7, "v2", DELTA_STEPS, folder)
+    deltas = spark.table(offset_deltas_name(base, 7)).withColumn("kind", F.lit("deltas"))
+    return deltas.unionByName(spark.table(version).withColumn("kind", F.lit("version")))
+
+
+def q_replay_quarantine(spark, sf_dir):
+    """A replay over a log with bad payloads: the good rows, and the raw messages in quarantine."""
+    log = _log(spark, sf_dir)
+    event_id = F.col("key").cast("string").cast("long")
+    some = log.withColumn("value", F.when(F.pmod(event_id, F.lit(QUARANTINE_EVERY)) == 3, F.lit(b"{}")).otherwise(F.col("value")))
+    path = scratch_path(spark, "quarantine")
+    good = replay_offsets(some, REPLAY_BOUNDS, EVENT_RECORD, "ts_ms", quarantine=path)
+    bad = spark.read.parquet(path).select(F.col("key").cast("string").cast("long").alias("event_id"), F.lit(True).alias("quarantined"))
+    return good.select("event_id", F.lit(False).alias("quarantined")).unionByName(bad)
 
 
 # --- versions ---------------------------------------------------------------------------------
@@ -296,6 +336,13 @@ def q_merge_composite_key(spark, sf_dir):
     return merge_by_key(base, deltas, ["l_orderkey", "l_linenumber"])
 
 
+def q_merge_null_keys(spark, sf_dir):
+    """The merge with NULL keys on both sides: they match nothing and all stay."""
+    base, deltas = _orders_versions(spark, sf_dir)
+    no_key = lambda df: df.withColumn("o_orderkey", F.when(F.pmod("o_custkey", F.lit(5)) != 0, F.col("o_orderkey")))
+    return merge_by_key(no_key(base), no_key(deltas), "o_orderkey")
+
+
 def _unique_name(prefix: str) -> str:
     return f"{prefix}_{os.urandom(6).hex()}"
 
@@ -345,6 +392,23 @@ def q_delimited_round_trip_orders(spark, sf_dir):
     return read_delimited(spark, path, orders.schema)
 
 
+def q_delimited_odd_text(spark, sf_dir):
+    """Texts that the plain form must escape, NULL and the empty text apart."""
+    docs = _t(spark, sf_dir, "documents").select("doc_id", _odd_text().alias("odd"), "text", "source")
+    path = scratch_path(spark, "delimited")
+    write_delimited(docs, path)
+    return read_delimited(spark, path, docs.schema)
+
+
+def _odd_text():
+    kind = F.pmod("doc_id", F.lit(7))
+    return (
+        F.when(kind == 0, F.lit("")).when(kind == 1, F.lit(None)).when(kind == 2, F.concat(F.lit("|"), "lang", F.lit("|")))
+        .when(kind == 3, F.concat("lang", F.lit("\r\n"), "source")).when(kind == 4, F.lit('"')).when(kind == 5, F.lit("\\N"))
+        .otherwise(F.concat(F.lit("\\"), "source", F.lit("\\\\n|")))
+    )
+
+
 # --- publish ---------------------------------------------------------------------------------
 
 def q_publish(spark, sf_dir):
@@ -357,24 +421,48 @@ def q_publish(spark, sf_dir):
     return decoded.drop("is_bad")
 
 
+def q_publish_replay(spark, sf_dir):
+    """Documents published in two goes to a log in the shared folder, and read back by offset range."""
+    docs = _t(spark, sf_dir, "documents")
+    path = scratch_path(spark, "published")
+    for part in (0, 1):
+        some = docs.filter(F.pmod("doc_id", F.lit(2)) == part)
+        publish_log(publish(some, "text", KEYWORDS, "doc_id", "source", PUBLISH_PARTITIONS, "documents", ["doc_id", "lang"]), path)
+    log = read_log(spark, path)
+    back = read_offset_range(log, [OffsetRange("documents", p, 0, None) for p in range(PUBLISH_PARTITIONS)])
+    decoded = decode_payload(back, docs.select("doc_id", "lang").schema, keep=["partition", "offset"], required=["doc_id"])
+    return decoded.filter(~F.col("is_bad")).drop("is_bad")
+
+
 # --- streaming ------------------------------------------------------------------------------
 
-def _run_stream(spark, sf_dir):
-    root = scratch_path(spark, "stream")
-    source = os.path.join(root, "log")
-    _log(spark, sf_dir).repartitionByRange(STREAM_FILES, "timestamp").write.parquet(source)
-    sink, olog, ckpt = (os.path.join(root, n) for n in ("table", "offsets", "checkpoint"))
-    stream = read_log_stream(spark, source, max_files_per_trigger=1)
-    q = start_ingest(stream, sink, olog, ckpt, EVENT_RECORD, "ts_ms", ev.APPNAME, ev.EVENT_STEPS, available_now=True)
-    run_ingest(q, timeout_s=1800)
-    if q.exception():
-        raise q.exception()
+def _run_stream(spark, sf_dir, app=ev.APPNAME, root=None, rows=None, quarantine=None, table=None):
+    """Drain the log, as its own files in arrival order, into a table under ``root``."""
+    root = root or scratch_path(spark, "stream")
+    own = scratch_path(spark, "stream", "source")
+    log = _log(spark, sf_dir)
+    (log if rows is None else log.filter(rows)).write.parquet(own)
+    sink, olog = f"{root}/table", f"{root}/offsets"
+    stream = read_log_stream(spark, own, max_files_per_trigger=max(1, spark.sparkContext.defaultParallelism // 2))
+    q = start_ingest(stream, sink, olog, scratch_path(spark, "stream", "checkpoint"), EVENT_RECORD, "ts_ms", app, ev.EVENT_STEPS,
+                     available_now=True, quarantine=quarantine, table=table)
+    drain(q, STREAM_TIMEOUT_S)
     return sink, olog
 
 
 def q_stream_ingest(spark, sf_dir):
-    sink, _ = _run_stream(spark, sf_dir)
-    return spark.read.parquet(sink).drop("batch_id")
+    table = _unique_name("events_ingested")
+    _run_stream(spark, sf_dir, table=table)
+    return spark.table(table).drop("appname", "batch_id")
+
+
+def q_stream_two_apps(spark, sf_dir):
+    """Two apps that ingest into one table: every row of both is there, and their offsets are apart."""
+    root = scratch_path(spark, "stream")
+    even = F.pmod("partition", F.lit(2)) == 0
+    sink, _ = _run_stream(spark, sf_dir, "app one/a", root, even)
+    _run_stream(spark, sf_dir, "app_two", root, ~even)
+    return spark.read.parquet(sink).select("appname", "event_id", "event_type", "mon", "day", "hour")
 
 
 def q_stream_offset_log(spark, sf_dir):
@@ -383,7 +471,7 @@ def q_stream_offset_log(spark, sf_dir):
         spark.read.parquet(olog)
         .groupBy("topic", "partition")
         .agg(F.min("start_offset").alias("start_offset"), F.max("end_offset").alias("end_offset"),
-             F.sum(F.col("end_offset") - F.col("start_offset")).alias("message_count"))
+             F.count_if(F.col("start_offset") >= F.col("end_offset")).alias("empty_ranges"))
     )
 
 
@@ -457,6 +545,12 @@ def _core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "delimited_round_trip": q_delimited_round_trip,  # S6 K5
         "delimited_round_trip_orders": q_delimited_round_trip_orders,  # S6 K5
         "publish": q_publish,  # M5 P5 F2 A2 F7
+        "publish_replay": q_publish_replay,  # K3 M5 S3
+        "replay_to_version": q_replay_to_version,  # M6 K7 K11 M4
+        "replay_quarantine": q_replay_quarantine,  # M1 A1 (bad payloads)
+        "merge_null_keys": q_merge_null_keys,  # J1 M4 (NULL keys)
+        "delimited_odd_text": q_delimited_odd_text,  # S6 K5 (escapes)
+        "stream_two_apps": q_stream_two_apps,  # M3 T6
         "stream_ingest": q_stream_ingest,  # M3 S1 T1-T3 T5 P6
         "stream_offset_log": q_stream_offset_log,  # T4 E2 K2
     }
@@ -478,7 +572,7 @@ log AS (
   FROM rec
 ),
 olog AS (
-  SELECT 'streaming_consumer' AS appname, topic, "partition", (ts_ms // 1000) // 3600 AS batch_id,
+  SELECT 'events_ingest' AS appname, topic, "partition", (ts_ms // 1000) // 3600 AS batch_id,
          max(ts_ms // 1000) AS batch_ts, min("offset") AS start_offset, max("offset") + 1 AS end_offset
   FROM log GROUP BY topic, "partition", (ts_ms // 1000) // 3600
 )"""
@@ -508,13 +602,13 @@ def _bounds_pred() -> str:
     return " OR ".join(parts)
 
 
-def _range_rows(begin: int, end: int, mode: str) -> str:
+def _range_rows(begin, end, mode: str) -> str:
     if mode == "covering":
         agg = "min(start_offset) AS lo, max(end_offset) AS hi"
     else:
         agg = "arg_min(end_offset, batch_ts) AS lo, arg_max(start_offset, batch_ts) AS hi"
     return (f"SELECT log.* FROM log JOIN (SELECT \"partition\", {agg} FROM olog "
-            f"WHERE appname = 'streaming_consumer' AND batch_ts > {begin} AND batch_ts <= {end} "
+            f"WHERE appname = 'events_ingest' AND batch_ts > {begin} AND batch_ts <= {end} "
             f"GROUP BY \"partition\") r USING (\"partition\") WHERE \"offset\" >= r.lo AND \"offset\" < r.hi")
 
 
@@ -523,14 +617,12 @@ def _ranges(begin: int, end: int, mode: str) -> str:
         agg = "min(start_offset) AS from_offset, max(end_offset) AS until_offset"
     else:
         agg = "arg_min(end_offset, batch_ts) AS from_offset, arg_max(start_offset, batch_ts) AS until_offset"
-    return (f"WITH {_LOG} SELECT topic, \"partition\", {agg} FROM olog WHERE appname = 'streaming_consumer' "
+    return (f"WITH {_LOG} SELECT topic, \"partition\", {agg} FROM olog WHERE appname = 'events_ingest' "
             f"AND batch_ts > {begin} AND batch_ts <= {end} GROUP BY topic, \"partition\"")
 
 
-def _epoch_text(t: str) -> int:
-    from ledgerline.plans.replay import minute_text_to_epoch
-
-    return minute_text_to_epoch(t)
+def _epoch_text(t: str) -> str:
+    return f"CAST(epoch(strptime('{t}', '%Y%m%dT%H:%M')) AS BIGINT)"
 
 
 _KW = "(^|[^a-z0-9_])(" + "|".join(KEYWORDS) + ")([^a-z0-9_]|$)"
@@ -543,6 +635,9 @@ _ORDERS_UNCHANGED = (f"SELECT b.* FROM ({_ORDERS_BASE}) b LEFT JOIN ({_ORDERS_DE
                      f"ON b.o_orderkey = d.o_orderkey WHERE d.o_orderkey IS NULL")
 _ORDERS_MERGED = f"{_ORDERS_UNCHANGED} UNION ALL {_ORDERS_DELTA}"
 
+_NO_KEY = ("SELECT CASE WHEN o_custkey % 5 <> 0 THEN o_orderkey END AS o_orderkey, o_custkey, o_orderstatus, "
+           "o_totalprice, o_orderdate, o_orderpriority FROM ({t})")
+
 _LI_COLS = ("l_orderkey, l_partkey, l_suppkey, l_linenumber, l_quantity, l_extendedprice, l_discount, l_tax, "
             "l_returnflag, {status} AS l_linestatus, l_shipdate")
 _LI_BASE = f"SELECT * FROM lineitem WHERE l_shipdate < TIMESTAMP '{SHIP_BASE_BEFORE}'"
@@ -555,7 +650,7 @@ _DECODED = "SELECT event_id, ts_ms, user_id, event_type, value, props, " + _FIEL
 
 
 def _core_oracle() -> dict[str, str]:
-    starts = " OR ".join(f'("partition" = {p} AND "offset" >= {START_OFFSET})' for p in range(4))
+    good = f"event_id % {BAD_EVERY} NOT IN ({', '.join(map(str, BAD_FORMS))})"
     replay_cov = _range_rows(RANGE_BEGIN, RANGE_END, "covering")
     replay_int = _range_rows(RANGE_BEGIN, RANGE_END, "interior")
     base_rows = _range_rows(_epoch_text(BASE_BEGIN), _epoch_text(BASE_END), "covering")
@@ -569,22 +664,20 @@ def _core_oracle() -> dict[str, str]:
         "offset_range_read": f"WITH {_LOG} SELECT topic, \"partition\", \"offset\", CAST(event_id AS VARCHAR) AS key_text "
                              f"FROM log WHERE {_bounds_pred()}",
         "starting_offset_read": f"WITH {_LOG} SELECT topic, \"partition\", \"offset\", CAST(event_id AS VARCHAR) AS key_text "
-                                f"FROM log WHERE {starts}",
+                                f"FROM log JOIN (SELECT \"partition\" AS p, max(end_offset) AS s FROM olog WHERE batch_ts <= {RESUME_AT} "
+                                f"GROUP BY 1) ON \"partition\" = p WHERE \"offset\" >= s",
         "decode_payload": f"WITH {_LOG} SELECT event_id, ts_ms, user_id, event_type, value, props, false AS is_bad FROM log",
         "decode_bad_rows": f"WITH {_LOG} SELECT CAST(event_id AS VARCHAR) AS key_text, "
-                           f"CASE WHEN event_id % {BAD_EVERY} = 0 THEN NULL ELSE event_id END AS event_id, "
-                           f"CASE WHEN event_id % {BAD_EVERY} = 0 THEN NULL ELSE ts_ms END AS ts_ms, "
-                           f"CASE WHEN event_id % {BAD_EVERY} = 0 THEN NULL ELSE user_id END AS user_id, "
-                           f"CASE WHEN event_id % {BAD_EVERY} = 0 THEN NULL ELSE event_type END AS event_type, "
-                           f"CASE WHEN event_id % {BAD_EVERY} = 0 THEN NULL ELSE value END AS value, "
-                           f"CASE WHEN event_id % {BAD_EVERY} = 0 THEN NULL ELSE props END AS props, "
-                           f"event_id % {BAD_EVERY} = 0 AS is_bad FROM log",
+                           + ", ".join(
+                               f"CASE WHEN {good} THEN {c} END AS {c}"
+                               for c in ("event_id", "ts_ms", "user_id", "event_type", "value", "props"))
+                           + f", NOT ({good}) AS is_bad FROM log",
         "partition_fields": f"SELECT event_id, epoch_us(ts) // 1000 AS ts_ms, epoch_us(ts) // 1000000 AS ts_s, {_FIELDS} "
                             f"FROM events",
         "parse_minute_text": "SELECT event_id, strftime(ts, '%Y%m%dT%H:%M') AS minute_text, "
                              "CAST(epoch(strptime(strftime(ts, '%Y%m%dT%H:%M'), '%Y%m%dT%H:%M')) AS BIGINT) AS minute_s "
                              "FROM events",
-        "reverse_time_key": "SELECT event_id, 'streaming_consumer' || CAST(9223372036854775807 - epoch_us(ts) // 1000000 "
+        "reverse_time_key": "SELECT event_id, 'events_ingest' || CAST(9223372036854775807 - epoch_us(ts) // 1000000 "
                             "AS VARCHAR) AS row_key FROM events",
         "sanitize_text": f"SELECT doc_id, regexp_replace(text, '{_PRINTABLE}', '', 'g') AS text_clean FROM documents",
         "sanitize_upper": f"SELECT doc_id, upper(regexp_replace(text, '{_PRINTABLE}', '', 'g')) AS text_upper FROM documents",
@@ -607,14 +700,14 @@ def _core_oracle() -> dict[str, str]:
                        f"|| ':' || CAST(\"partition\" AS VARCHAR) AS \"row\", start_offset, end_offset FROM olog",
         "range_covering": _ranges(RANGE_BEGIN, RANGE_END, "covering"),
         "range_interior": _ranges(RANGE_BEGIN, RANGE_END, "interior"),
-        "newest_batches": f"WITH {_LOG} SELECT * FROM olog WHERE appname = 'streaming_consumer' "
+        "newest_batches": f"WITH {_LOG} SELECT * FROM olog WHERE appname = 'events_ingest' "
                           f"ORDER BY batch_ts DESC, batch_id DESC, topic, \"partition\" LIMIT {NEWEST_N}",
         "latest_offsets": f"WITH {_LOG} SELECT topic, \"partition\", arg_max(batch_id, batch_ts) AS batch_id, "
                           f"max(batch_ts) AS batch_ts, arg_max(start_offset, batch_ts) AS start_offset, "
                           f"arg_max(end_offset, batch_ts) AS end_offset FROM olog "
-                          f"WHERE appname = 'streaming_consumer' GROUP BY topic, \"partition\"",
+                          f"WHERE appname = 'events_ingest' GROUP BY topic, \"partition\"",
         "starting_offsets": f"WITH {_LOG} SELECT topic, \"partition\", arg_max(end_offset, batch_ts) AS next_offset "
-                            f"FROM olog WHERE appname = 'streaming_consumer' GROUP BY topic, \"partition\"",
+                            f"FROM olog WHERE appname = 'events_ingest' GROUP BY topic, \"partition\"",
         "replay_offsets": f"WITH {_LOG} " + _chain(f"SELECT {_REC_FIELDS} FROM log WHERE {_bounds_pred()}"),
         "replay_time": f"WITH {_LOG} " + _chain(f"SELECT {_REC_FIELDS} FROM ({replay_cov})"),
         "replay_time_interior": f"WITH {_LOG} " + _chain(f"SELECT {_REC_FIELDS} FROM ({replay_int})"),
@@ -636,5 +729,23 @@ def _core_oracle() -> dict[str, str]:
                    f"WHERE regexp_matches(lower(text), '{_KW}')",
         "stream_ingest": f"WITH {_LOG} " + _chain(f"SELECT {_REC_FIELDS} FROM log"),
         "stream_offset_log": f"WITH {_LOG} SELECT topic, \"partition\", min(\"offset\") AS start_offset, "
-                             f"max(\"offset\") + 1 AS end_offset, count(*) AS message_count FROM log GROUP BY ALL",
+                             f"max(\"offset\") + 1 AS end_offset, CAST(0 AS BIGINT) AS empty_ranges FROM log GROUP BY ALL",
+        "stream_two_apps": f"WITH {_LOG} SELECT CASE WHEN \"partition\" % 2 = 0 THEN 'app one/a' ELSE 'app_two' END AS appname, "
+                           f"event_id, upper(event_type) || '/' || CAST(hour(ts) AS VARCHAR) AS event_type, {_FIELDS} FROM log",
+        "publish_replay": f"SELECT doc_id, lang, \"partition\", row_number() OVER (PARTITION BY \"partition\" "
+                          f"ORDER BY doc_id % 2, doc_id) - 1 AS \"offset\" FROM (SELECT doc_id, lang, "
+                          f"CAST({_ROUTE.format(c='source', n=PUBLISH_PARTITIONS)} AS INTEGER) AS \"partition\" "
+                          f"FROM documents WHERE regexp_matches(lower(text), '{_KW}'))",
+        "replay_to_version": f"WITH {_LOG}, deltas AS ({delta_sel}), base AS ({base_sel}) "
+                             f"SELECT *, 'deltas' AS kind FROM deltas UNION ALL "
+                             f"SELECT *, 'version' AS kind FROM (SELECT * FROM base WHERE event_id NOT IN "
+                             f"(SELECT event_id FROM deltas) UNION ALL SELECT * FROM deltas)",
+        "replay_quarantine": f"WITH {_LOG} SELECT event_id, event_id % {QUARANTINE_EVERY} = 3 AS quarantined "
+                             f"FROM log WHERE {_bounds_pred()}",
+        "merge_null_keys": f"WITH b AS ({_NO_KEY.format(t=_ORDERS_BASE)}), d AS ({_NO_KEY.format(t=_ORDERS_DELTA)}) "
+                           f"SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = b.o_orderkey) "
+                           f"UNION ALL SELECT * FROM d",
+        "delimited_odd_text": "SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN '|' || lang || '|' "
+                              "WHEN 3 THEN lang || chr(13) || chr(10) || source WHEN 4 THEN '\"' WHEN 5 THEN chr(92) || 'N' "
+                              "ELSE chr(92) || source || chr(92) || chr(92) || 'n|' END AS odd, text, source FROM documents",
     }

@@ -1,8 +1,9 @@
 """Epoch and wall-clock helpers.
 
 Every conversion here is independent of ``spark.sql.session.timeZone``: epochs
-are taken from ``timestamp_ntz`` values with ``timestampdiff`` (which reads an
-NTZ value as UTC wall-clock), and minute text is parsed with an explicit zone.
+are taken from the calendar fields of ``timestamp_ntz`` values by integer
+arithmetic (no cast through a zone, so daylight-saving gaps and overlaps do not
+matter), and minute text is parsed with an explicit zone.
 """
 
 from __future__ import annotations
@@ -28,7 +29,11 @@ def _col(c) -> Column:
 
 def epoch_micros(ts) -> Column:
     """Microseconds since the epoch of a TIMESTAMP_NTZ value read as UTC wall-clock."""
-    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), _col(ts))
+    ts = _col(ts)
+    days = F.datediff(ts.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    minutes = (days * 24 + F.hour(ts)) * 60 + F.minute(ts)
+    micros = (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("long")
+    return minutes * 60_000_000 + micros
 
 
 def floor_div(c, n: int) -> Column:
@@ -63,7 +68,9 @@ def partition_fields(ms, with_year: bool = False) -> list[Column]:
 
 def minute_text(ts) -> Column:
     """Wall-clock minute text ``YYYYMMDDTHH:MM`` of a TIMESTAMP_NTZ."""
-    return F.date_format(_col(ts), MINUTE_TEXT_FORMAT)
+    ts = _col(ts)
+    text = F.format_string("%04d%02d%02dT%02d:%02d", F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts))
+    return F.when(ts.isNotNull(), text)
 
 
 def parse_minute_text(text) -> Column:

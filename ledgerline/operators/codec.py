@@ -6,6 +6,9 @@ JSON uses ``from_json`` / ``to_json``; Avro uses Spark's ``from_avro`` /
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +29,23 @@ def _avro_functions():
     return avro
 
 
-def _checked(build, fmt: str):
+# Avro's names of the record types that payloads use.
+AVRO_TYPES = {
+    "int": "int", "bigint": "long", "smallint": "int", "tinyint": "int", "double": "double", "float": "float",
+    "string": "string", "boolean": "boolean", "binary": "bytes",
+}
+
+
+def avro_schema_of(schema: T.StructType, name: str = "record") -> str:
+    """A flat Avro record schema (JSON text) of ``schema``; every field may be null."""
+    unknown = [f.name for f in schema.fields if f.dataType.simpleString() not in AVRO_TYPES]
+    if unknown:
+        raise ValueError(f"no Avro type for fields {unknown}; give avro_schema")
+    fields = [{"name": f.name, "type": ["null", AVRO_TYPES[f.dataType.simpleString()]], "default": None} for f in schema.fields]
+    return json.dumps({"type": "record", "name": name, "fields": fields})
+
+
+def connector_checked(build, fmt: str):
     """Build a projection; map Spark's "Avro not loaded" error to ours."""
     try:
         return build()
@@ -46,9 +65,7 @@ def decode_column(value: Column, schema: T.StructType, fmt: str = "json", avro_s
             {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL},
         )
     if fmt == "avro":
-        if not avro_schema:
-            raise ValueError("avro decoding needs the writer schema as JSON text")
-        return _avro_functions().from_avro(value, avro_schema, {"mode": "PERMISSIVE"})
+        return _avro_functions().from_avro(value, avro_schema or avro_schema_of(schema), {"mode": "PERMISSIVE"})
     raise ValueError(f"unknown payload format {fmt!r}")
 
 
@@ -59,25 +76,33 @@ def decode_payload(
     value_col: str = "value",
     keep: list[str] | tuple[str, ...] = (),
     avro_schema: str | None = None,
+    required: list[str] | tuple[str, ...] = (),
 ) -> DataFrame:
     """Decode ``value_col`` into the columns of ``schema``.
 
-    Returns ``keep`` columns, the decoded columns, and ``is_bad`` (true when the
-    payload is missing or did not parse).  No row is dropped.
+    Returns ``keep`` columns, the decoded columns, and ``is_bad``: true when the payload is missing,
+    empty or blank, does not parse, holds anything after its record, has no field of the schema, or
+    lacks one of ``required``.  No row is dropped; a bad one has no fields.  ``avro_schema`` is the writer's schema (default:
+    derived from ``schema``).
     """
-    parsed = decode_column(F.col(value_col), schema, fmt, avro_schema)
+    value = F.col(value_col)
+    parsed = decode_column(value, schema, fmt, avro_schema)
+    one = F.lit(True)
+    if fmt == "json":  # as the only element of an array: nothing before, nothing after
+        one = F.coalesce(F.json_array_length(F.concat(F.lit("["), value.cast("string"), F.lit("]"))) == 1, F.lit(False))
     # Parse once.  Filters on the result (e.g. NOT is_bad) would otherwise be
     # pushed below the projection with the parse inlined into them, running
     # it two or three times per row; a one-row ``inline`` is a Generate node
     # that predicates referencing its output cannot cross.
-    once = F.struct(F.col(value_col).isNull().alias("__missing"), parsed.alias("__p"))
-    staged = _checked(lambda: df.select(*keep, F.inline(F.array(once))), fmt)
-    fields = [F.col(f"__p.{f.name}").alias(f.name) for f in schema.fields]
+    once = F.struct((value.isNull() | ~one).alias("__missing"), parsed.alias("__p"))
+    staged = connector_checked(lambda: df.select(*keep, F.inline(F.array(once))), fmt)
+    fields = [F.col(f"__p.{f.name}") for f in schema.fields]
+    nothing = reduce(lambda a, b: a & b, [F.col(f"__p.{f.name}").isNull() for f in schema.fields], F.lit(True))
+    bad = reduce(lambda a, b: a | b, [F.col(f"__p.{c}").isNull() for c in required], F.col("__missing") | nothing)
     if fmt == "json":
-        bad = F.col("__missing") | F.col(f"__p.{CORRUPT_COL}").isNotNull()
-    else:
-        bad = F.col("__missing") | F.col("__p").isNull()
-    return staged.select(*keep, *fields, bad.alias(BAD_COL))
+        bad = bad | F.col(f"__p.{CORRUPT_COL}").isNotNull()
+    flagged = staged.select(*keep, "__p", bad.alias(BAD_COL))
+    return flagged.select(*keep, *[F.when(~F.col(BAD_COL), f).alias(n) for f, n in zip(fields, schema.fieldNames(), strict=True)], BAD_COL)
 
 
 def encode_column(cols: list[str], fmt: str = "json", avro_schema: str | None = None) -> Column:
@@ -99,4 +124,4 @@ def encode_payload(
     avro_schema: str | None = None,
 ) -> DataFrame:
     """Encode ``cols`` into one bytes column ``out_col``; ``keep`` columns pass through."""
-    return _checked(lambda: df.select(*keep, encode_column(cols, fmt, avro_schema).alias(out_col)), fmt)
+    return connector_checked(lambda: df.select(*keep, encode_column(cols, fmt, avro_schema).alias(out_col)), fmt)

@@ -5,10 +5,10 @@ Shuffle and skew notes:
 * Only the delta *keys* matter for the anti-join, so they are de-duplicated
   first; the partial aggregate collapses a hot delta key map-side, before any
   shuffle.
-* A base row with a NULL key can never match (SQL equality), so those rows
-  skip the join entirely instead of all hashing to one reducer.  The two
-  reads of the base are complementary ``IS NULL`` / ``IS NOT NULL`` filters
-  pushed into the scan.
+* A base row with a NULL key can never match (SQL equality) and an anti-join
+  keeps it.  So that such rows do not all hash to one reducer, the join has a
+  salt beside the keys: 0 on keyed rows and on the deltas, spread values on
+  rows with a NULL key.  The base is read once.
 * Broadcast is not forced: AQE converts to a broadcast hash join when the
   de-duplicated keys measure small at runtime, and splits skewed base
   partitions (LeftAnti is a supported skew-join type) otherwise.
@@ -22,6 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+NULL_SALTS = 4096  # values over which rows with a NULL key are spread
+
+
 def _keys(keys: str | list[str]) -> list[str]:
     ks = [keys] if isinstance(keys, str) else list(keys)
     if not ks:
@@ -36,10 +39,10 @@ def _any_null(keys: list[str]) -> Column:
 def unchanged_rows(base: DataFrame, deltas: DataFrame, keys: str | list[str]) -> DataFrame:
     """Base rows whose key does not occur among the deltas (an equi anti-join)."""
     ks = _keys(keys)
-    delta_keys = deltas.select(*ks).filter(~_any_null(ks)).dropDuplicates(ks)
-    keyed = base.filter(~_any_null(ks)).join(delta_keys, on=ks, how="left_anti")
-    null_keyed = base.filter(_any_null(ks))
-    return keyed.select(*base.columns).unionByName(null_keyed.select(*base.columns))
+    salt = "__salt"
+    delta_keys = deltas.select(*ks).filter(~_any_null(ks)).dropDuplicates(ks).withColumn(salt, F.lit(0).cast("long"))
+    spread = F.when(_any_null(ks), F.pmod(F.xxhash64(*base.columns), F.lit(NULL_SALTS)) + 1).otherwise(F.lit(0).cast("long"))
+    return base.withColumn(salt, spread).join(delta_keys, [*ks, salt], "left_anti").select(*base.columns)
 
 
 def merge_by_key(base: DataFrame, deltas: DataFrame, keys: str | list[str]) -> DataFrame:

@@ -1,25 +1,26 @@
 """Dense per-group sequence numbers (log offsets) without one task per group.
 
 ``row_number() OVER (PARTITION BY p ORDER BY k)`` sends every row of a group
-to a single task; a log partition can hold a third of all messages.  Here the
-integral, unique order key is cut into blocks of ``block_width`` values, so a
-(group, block) holds at most ``block_width`` rows:
-
-1. count rows per (group, block)  - partial aggregation, tiny output;
-2. prefix-sum the counts per group - a window over the count table, whose size
-   is bounded by the number of blocks, not by the data;
-3. number rows within (group, block) and add the block's base.
-
-Step 3's window and the join with the block bases share one shuffle on
-(group, block).  The result equals the plain row_number form exactly.
-
-Choosing ``block_width``: it bounds the rows of one window task (a hot group
-can fill a whole block), while the count table has up to
-(id range / block_width) x groups rows.  The default 2^20 keeps a task near a
-million rows; at 10^12 messages over 10^4 partitions the count table has at
-most ~10^10 rows of three numbers (1% of the messages, far less in bytes),
-and only it is shuffled again (the data side is already partitioned on
-(group, block)).
+to a single task; a log partition can hold a third of all messages.  Here a
+group of more than ``block_rows`` rows is cut into blocks along its order key:
+
+1. one row per group is measured: its rows, and ``SEGMENTS`` + 1 quantiles of
+   the order key, written once so that every later step sees the same bounds;
+2. a row's block is its quantile segment, cut evenly into as many parts as the
+   segment's share of rows asks for - sparse, clustered and outlying ids all
+   give blocks of about ``block_rows`` rows;
+3. rows per (group, block) are counted, with partial aggregation; a prefix sum
+   over the counts gives each block's base.  There are at most
+   rows / block_rows + SEGMENTS + 1 blocks in a group, whatever its ids;
+4. rows are numbered within their block and the base is added.
+
+Step 4's window and the join with the bases share one shuffle on
+(group, block).  If no group has more than ``block_rows`` rows, step 1 says so
+and the rows are numbered by the plain window, whose tasks are then no larger.
+
+Rows with a NULL order key come first; a NULL group is a group.  No row is
+lost and the result equals the plain ``row_number`` form (rows that tie in the
+order key are numbered in an arbitrary order, as there).
 """
 
 from __future__ import annotations
@@ -27,9 +28,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.functions.timefields import floor_div
+from ledgerline.session import scratch_path
+
+DEFAULT_BLOCK_ROWS = 1 << 20
+SEGMENTS = 64
+BROADCAST_GROUPS = 20_000
 
-DEFAULT_BLOCK_WIDTH = 1 << 20
+
+def group_bounds(df: DataFrame, group_cols: list[str], order_col: str) -> DataFrame:
+    """One row per group: its columns, ``__rows`` and ``__bounds`` (quantiles of the order key)."""
+    steps = [i / SEGMENTS for i in range(SEGMENTS + 1)]
+    bounds = F.percentile_approx(F.col(order_col).cast("long"), steps, 10_000)
+    return df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("__rows"), bounds.alias("__bounds"))
 
 
 def assign_sequence(
@@ -37,27 +47,48 @@ def assign_sequence(
     group_cols: list[str],
     order_col: str,
     out_col: str = "offset",
-    block_width: int = DEFAULT_BLOCK_WIDTH,
+    block_rows: int = DEFAULT_BLOCK_ROWS,
     start: int = 0,
 ) -> DataFrame:
-    """Add ``out_col`` = start + rank of ``order_col`` within ``group_cols``.
+    """Add ``out_col`` = start + rank of ``order_col`` (integral) within ``group_cols``."""
+    if block_rows <= 0:
+        raise ValueError("block_rows must be positive")
+    spark = df.sparkSession
+    largest = df.groupBy(*group_cols).count().agg(F.max("count")).first()[0] or 0
+    if largest <= block_rows:
+        over = Window.partitionBy(*group_cols).orderBy(order_col)
+        return df.withColumn(out_col, (F.row_number().over(over) - 1 + F.lit(start)).cast("long"))
 
-    ``order_col`` must be integral and unique within a group (a record id).
-    """
-    if block_width <= 0:
-        raise ValueError("block_width must be positive")
+    path = scratch_path(spark, "sequence")
+    group_bounds(df, group_cols, order_col).write.parquet(path)
+    names = {c: f"__g_{c}" for c in group_cols}
+    bounds = spark.read.parquet(path).withColumnsRenamed(names)
+    if bounds.count() <= BROADCAST_GROUPS:
+        bounds = F.broadcast(bounds)
+    same = None
+    for c, g in names.items():
+        test = df[c].eqNullSafe(bounds[g])
+        same = test if same is None else same & test
+    key = F.col(order_col).cast("long")
+    parts = F.ceil(F.col("__rows") / (SEGMENTS * block_rows))
+    segment = F.size(F.filter("__bounds", lambda b: b <= key))  # 0: below all; SEGMENTS + 1: at the last or above
+    low = F.get("__bounds", segment - 1)
+    width = F.get("__bounds", segment) - low
+    part = F.least(parts - 1, F.floor((key - low) * parts / F.greatest(width, F.lit(1))))
+    block = F.when(key.isNull(), F.lit(-1)).otherwise(segment * parts + F.coalesce(part, F.lit(0)))
     blk = "__blk"
-    tagged = df.withColumn(blk, floor_div(order_col, block_width))
+    tagged = df.join(bounds, same).withColumn(blk, block.cast("long")).select(*df.columns, blk)
     keys = [*group_cols, blk]
 
     counts = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*group_cols).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base"))
-
+    bases = counts.select(
+        *[F.col(c).alias(f"__b_{c}") for c in keys], F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base")
+    )
     within = Window.partitionBy(*keys).orderBy(order_col)
     numbered = tagged.withColumn("__rn", F.row_number().over(within))
-    return (
-        numbered.join(bases, on=keys, how="inner")
-        .withColumn(out_col, (F.col("__base") + F.col("__rn") - 1 + F.lit(start)).cast("long"))
-        .select(*df.columns, out_col)
-    )
+    same = numbered[blk] == bases[f"__b_{blk}"]
+    for c in group_cols:
+        same = same & numbered[c].eqNullSafe(bases[f"__b_{c}"])
+    out = (F.col("__base") + F.col("__rn") - 1 + F.lit(start)).cast("long")
+    return numbered.join(bases, same).withColumn(out_col, out).select(*df.columns, out_col)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.timefields import epoch_millis
 from ledgerline.operators.offsets import batch_offsets, hourly_batches
-from ledgerline.operators.sequence import DEFAULT_BLOCK_WIDTH
+from ledgerline.operators.sequence import DEFAULT_BLOCK_ROWS
 from ledgerline.schemas import EVENT_RECORD
 from ledgerline.sources.log import log_from_table, ntz_as_utc_instant
 
@@ -23,7 +23,7 @@ from ledgerline.sources.log import log_from_table, ntz_as_utc_instant
 # offset log, and the batch width of the hourly offset log.
 TOPIC = "events"
 N_PARTITIONS = 4
-APPNAME = "streaming_consumer"
+APPNAME = "events_ingest"
 BATCH_SECONDS = 3600
 
 # Transform steps in the shape of the consumer's ini: each a SELECT list read
@@ -48,7 +48,7 @@ def event_records(events: DataFrame) -> DataFrame:
     )
 
 
-def events_log(spark: SparkSession, sf_dir: str, block_width: int = DEFAULT_BLOCK_WIDTH) -> DataFrame:
+def events_log(spark: SparkSession, sf_dir: str, block_rows: int = DEFAULT_BLOCK_ROWS) -> DataFrame:
     """The MESSAGE_LOG built from ``events``."""
     rec = event_records(table(spark, sf_dir, "events"))
     return log_from_table(
@@ -60,7 +60,7 @@ def events_log(spark: SparkSession, sf_dir: str, block_width: int = DEFAULT_BLOC
         timestamp=ntz_as_utc_instant("ts"),
         payload_cols=EVENT_COLUMNS,
         n_partitions=N_PARTITIONS,
-        block_width=block_width,
+        block_rows=block_rows,
     )
 
 

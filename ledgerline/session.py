@@ -6,7 +6,6 @@ shared filesystem); we only pick our own folder when it is unset (tests).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -42,22 +41,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return sc.getCheckpointDir() or current
+    if not sc.master.startswith("local"):
+        raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share (master {sc.master})")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="ledgerline-ckpt-"))
     return sc.getCheckpointDir()
 
 
+_roots: dict[str, str] = {}
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
-    """A fresh, unique path under the shared checkpoint root."""
-    root = ensure_checkpoint_dir(spark)
-    return os.path.join(root, "ledgerline", *parts, uuid.uuid4().hex)
+    """A fresh, unique path under the shared checkpoint root, in a folder of this application that goes
+    when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _roots:
+        root = "/".join([ensure_checkpoint_dir(spark).rstrip("/"), "ledgerline", app])
+        place = spark._jvm.org.apache.hadoop.fs.Path(root)
+        store = place.getFileSystem(spark._jsc.hadoopConfiguration())
+        store.mkdirs(place)
+        store.deleteOnExit(place)
+        _roots[app] = root
+    return "/".join([_roots[app], *parts, uuid.uuid4().hex])
 
 
 def cluster_settings(input_bytes: int, executor_cores: int = 4, executor_memory_gb: int = 16) -> dict[str, str]:
     """Session settings sized for a large cluster, derived from the input size.
 
     * scan splits of 512 MB: 100 TB -> ~200k tasks, each far below an executor's memory;
-    * an initial shuffle width of about 1 GB per partition (bounded to 200..200,000), which AQE
-      coalesces toward 512 MB partitions at runtime and splits further when a partition is skewed;
+    * an initial shuffle width of about 1 GB per partition (a setting only, held within 200..200,000: more
+      reduce tasks cost more than larger ones), which AQE coalesces toward 512 MB partitions at runtime
+      and splits further when a partition is skewed;
     * a 64 MB broadcast threshold only for sides Spark has measured (AQE re-plans on real sizes);
     * UTC sessions, so wall-clock fields never depend on where a job runs.
     """

@@ -6,8 +6,9 @@ Paths are whatever the caller passes: on a cluster, a shared filesystem
 
 from __future__ import annotations
 
-from functools import reduce
+from urllib.parse import quote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +17,9 @@ from ledgerline.operators.codec import MissingConnectorError
 from ledgerline.operators.offsets import OFFSET_LOG_COLUMNS
 from ledgerline.operators.sequence import assign_sequence
 from ledgerline.schemas import PARTITION_FIELDS
-from ledgerline.sources.delimited import CSV_OPTIONS, DELIMITER
-from ledgerline.sources.log import LOG_COLUMNS, MAX_INLINE_RANGES, MAX_TOPIC_PARTITIONS, read_log
+from ledgerline.session import scratch_path
+from ledgerline.sources.delimited import CSV_OPTIONS, DELIMITER, escaped_line
+from ledgerline.sources.log import BROADCAST_BOUNDS, LOG_COLUMNS, ORDER_COL, is_missing_source, read_log
 
 
 def clustered(df: DataFrame, partition_cols) -> DataFrame:
@@ -39,6 +41,23 @@ def _writer(df: DataFrame, partition_cols, mode: str, dynamic: bool):
     return w
 
 
+def path_missing(exc: Exception) -> bool:
+    """Whether a read failed because there is nothing at its path - and for no other reason."""
+    return isinstance(exc, AnalysisException) and exc.getCondition() == "PATH_NOT_FOUND"
+
+
+def _same_columns(df: DataFrame, path: str) -> None:
+    """Refuse to append to a folder that holds a table of other columns (another folder layout)."""
+    try:
+        there = df.sparkSession.read.parquet(path).columns
+    except AnalysisException as exc:
+        if path_missing(exc) or exc.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # nothing, or an empty folder
+            return
+        raise
+    if set(there) != set(df.columns):
+        raise ValueError(f"the table at {path} has columns {sorted(there)}, not {sorted(df.columns)}: another layout")
+
+
 def append_partitioned(
     df: DataFrame,
     path: str | None = None,
@@ -51,6 +70,8 @@ def append_partitioned(
     With ``cluster`` the rows are first clustered on the partition columns
     (see :func:`clustered`), so a directory gets few files.
     """
+    if path and not table:
+        _same_columns(df, path)
     data = clustered(df, partition_cols) if cluster else df
     w = _writer(data, partition_cols, "append", dynamic=False)
     if table:
@@ -75,14 +96,44 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) ->
     _writer(clustered(df, partition_cols), partition_cols, "overwrite", dynamic=True).save(path)
 
 
-def overwrite_batch(df: DataFrame, path: str, batch_id: int, partition_cols: list[str]) -> None:
-    """Idempotent batch write: ``<path>/batch_id=<id>/`` is replaced as a whole.
+BATCH_COLUMNS = ("appname", "batch_id")
+SMALL_BATCH_ROWS = 1_000_000
+
+
+def batch_path(path: str, appname: str, batch_id: int) -> str:
+    """The folder of one app's batch; the name is escaped as Spark escapes partition values."""
+    return f"{path.rstrip('/')}/appname={quote(appname, safe=' ')}/batch_id={int(batch_id)}"
+
 
-    Readers of ``path`` see ``batch_id`` as a partition column ahead of the
-    time columns; filters on the time columns still prune.
+def overwrite_batch(df: DataFrame, path: str, appname: str, batch_id: int, partition_cols: list[str], rows: int | None = None) -> None:
+    """Idempotent batch write: ``<path>/appname=<app>/batch_id=<id>/`` is replaced as a whole.
+
+    Apps that share a table never touch each other's folders.  Readers of ``path`` see ``appname`` and
+    ``batch_id`` as partition columns ahead of the time columns; filters on the time columns still
+    prune.  A batch of few ``rows`` is dealt over all cores by its partition columns, as AQE would
+    leave one task to write every folder; a larger one is rebalanced (hot hours are split).
     """
-    target = f"{path.rstrip('/')}/batch_id={int(batch_id)}"
-    _writer(clustered(df, partition_cols), partition_cols, "overwrite", dynamic=False).save(target)
+    small = rows is not None and rows <= SMALL_BATCH_ROWS and partition_cols
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    data = df.repartition(cores, *partition_cols) if small else clustered(df, partition_cols)
+    _writer(data, partition_cols, "overwrite", dynamic=False).save(batch_path(path, appname, batch_id))
+
+
+def register_batch(spark: SparkSession, table: str, path: str, df: DataFrame, appname: str, batch_id: int, partition_cols: list[str]) -> None:
+    """Show a written batch in the catalog table ``table`` over ``path``; the table is made if absent."""
+    if not spark.catalog.tableExists(table):
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+        parts = ", ".join(f"`{c}`" for c in (*BATCH_COLUMNS, *partition_cols))
+        spark.sql(f"CREATE TABLE {table} ({cols}, appname string, batch_id bigint) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
+    folder = batch_path(path, appname, batch_id)
+    found = spark.read.parquet(folder).select(*partition_cols).distinct().collect()  # the hours of one batch
+    if not found:
+        return
+    app = appname.replace("\\", "\\\\").replace("'", "\\'")
+    value = lambda v: "null" if v is None else str(int(v))
+    specs = [f"PARTITION (appname='{app}', batch_id={int(batch_id)}, " + ", ".join(f"`{c}`={value(r[c])}" for c in partition_cols) + ")" for r in found]
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(specs))
+    spark.catalog.refreshTable(table)
 
 
 def compact(
@@ -90,12 +141,12 @@ def compact(
     src: str,
     dst: str,
     partition_cols: tuple[str, ...] | list[str] = PARTITION_FIELDS,
-    drop: tuple[str, ...] = ("batch_id",),
+    drop: tuple[str, ...] = BATCH_COLUMNS,
 ) -> None:
     """Rewrite an ingest table (one folder per batch) as a compact new version.
 
     The per-batch layout that makes ingest idempotent leaves many small files;
-    this writes the same rows, without the batch column, clustered by the time
+    this writes the same rows, without the app and batch columns, clustered by the time
     partitions into ``dst`` (a new location: a table being read cannot be
     overwritten).  A ``rebalance`` keeps a hot hour from landing on one task.
     """
@@ -114,46 +165,66 @@ def write_offset_log(offset_rows: DataFrame, path: str, idempotent: bool = True)
         _writer(offset_rows, [], "append", dynamic=False).save(path)
 
 
+def compact_offset_log(spark: SparkSession, src: str, dst: str, files: int = 1) -> None:
+    """Rewrite an offset log (a folder per batch) as few files per app, in order of ``batch_ts``.
+
+    Every trigger adds a folder; the compact log's files and row groups cover narrow time ranges, so the
+    ``batch_ts`` filters of a range look-up skip them by statistics.  ``dst`` is a new location."""
+    rows = spark.read.parquet(src).select(*OFFSET_LOG_COLUMNS)
+    ordered = rows.repartitionByRange(files, "appname", "batch_ts").sortWithinPartitions("appname", "batch_ts", "topic", "partition")
+    ordered.write.mode("errorifexists").partitionBy("appname").parquet(dst)
+
+
 def read_offset_log(spark: SparkSession, path: str) -> DataFrame:
     """The offset log written by :func:`write_offset_log`, in OFFSET_LOG column order."""
     return spark.read.parquet(path).select(*OFFSET_LOG_COLUMNS)
 
 
-def append_log(spark: SparkSession, path: str, messages: DataFrame, order_col: str) -> None:
+def _log_ends(spark: SparkSession, path: str) -> DataFrame | None:
+    """Next offset per (topic, partition): from the small table of ends that appends keep beside the log,
+    or once from a log that has none; None if there is no log."""
+    try:
+        ends = spark.read.schema("topic string, partition int, next long").parquet(_ends_path(path))
+        return ends.groupBy("topic", "partition").agg(F.max("next").alias("next"))
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
+    try:
+        return read_log(spark, path).groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next"))
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
+    return None
+
+
+def _ends_path(path: str) -> str:
+    return path.rstrip("/") + "-ends"
+
+
+def append_log(spark: SparkSession, path: str, messages: DataFrame, order_col: str = ORDER_COL) -> None:
     """K3 for a table-backed log: append messages with offsets that continue the log.
 
-    ``messages`` has ``key value topic partition timestamp`` and an integral,
-    unique ``order_col``; each partition's new offsets start at its current end
-    (one row per topic partition is read to the driver, size-checked, and
-    added as an inline expression - no join).  One writer per log at a time,
-    as with a partition leader.
+    ``messages`` has ``key value topic partition timestamp`` and an integral ``order_col``; each
+    partition's new offsets start at its current end.  The new ends are recorded before the messages
+    are written, so a failed append leaves a gap in the offsets, never an offset used twice.  One writer
+    per log at a time, as with a partition leader.
     """
-    try:
-        existing = read_log(spark, path)
-        ends = existing.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next")).limit(
-            MAX_TOPIC_PARTITIONS + 1).collect()
-    except Exception as exc:  # noqa: BLE001 - no log yet: offsets start at 0
-        if "PATH_NOT_FOUND" not in str(exc) and "does not exist" not in str(exc).lower():
-            raise
-        ends = []
-    if len(ends) > MAX_TOPIC_PARTITIONS:
-        raise ValueError(f"more than {MAX_TOPIC_PARTITIONS} topic partitions")
     numbered = assign_sequence(messages, ["topic", "partition"], order_col, "offset")
-    if len(ends) <= MAX_INLINE_RANGES:
-        start = reduce(
-            lambda acc, r: F.when((F.col("topic") == r["topic"]) & (F.col("partition") == r["partition"]),
-                                  F.lit(int(r["next"]))).otherwise(acc),
-            ends,
-            F.lit(0).cast("long"),
-        )
-        out = numbered.withColumn("offset", F.col("offset") + start)
-    else:
-        # many partitions: a table of starts whose size (one row per partition) is known here
-        starts = spark.createDataFrame([(r["topic"], int(r["partition"]), int(r["next"])) for r in ends],
-                                       "topic string, partition int, __next long")
-        out = numbered.join(F.broadcast(starts), ["topic", "partition"], "left").withColumn(
-            "offset", F.col("offset") + F.coalesce(F.col("__next"), F.lit(0)))
-    write_log(out.select(*LOG_COLUMNS), path, mode="append")
+    ends = _log_ends(spark, path)
+    if ends is not None:
+        starts = ends.withColumnRenamed("next", "__next")
+        starts = F.broadcast(starts) if starts.count() <= BROADCAST_BOUNDS else starts
+        numbered = numbered.join(starts, ["topic", "partition"], "left").withColumn(
+            "offset", F.col("offset") + F.coalesce("__next", F.lit(0)))
+    ends = numbered.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next"))
+    if ends.isEmpty():
+        return
+    if _log_ends(spark, path) is not None:  # ends of partitions that this append does not touch
+        ends = ends.unionByName(_log_ends(spark, path)).groupBy("topic", "partition").agg(F.max("next").alias("next"))
+    target = scratch_path(spark, "ends")
+    ends.write.parquet(target)
+    spark.read.parquet(target).coalesce(1).write.mode("append").parquet(_ends_path(path))
+    write_log(numbered.select(*LOG_COLUMNS), path, mode="append")
 
 
 def write_log(log: DataFrame, path: str, mode: str = "errorifexists", slice_width: int = 1 << 22) -> None:
@@ -172,24 +243,22 @@ def write_log(log: DataFrame, path: str, mode: str = "errorifexists", slice_widt
 
 
 def publish_log(df: DataFrame, sink: str, fmt: str = "parquet", bootstrap_servers: str | None = None) -> None:
-    """K3: write keyed, routed messages (``key value topic partition``).
+    """K3: write keyed, routed messages (``plans.publish.publish``'s output).
 
-    ``fmt="kafka"`` sends them to Kafka (needs the connector), which assigns
-    offsets and timestamps.  ``parquet`` appends the messages as they are,
-    partitioned by topic and partition; it holds no offsets, so to replay a
-    table-backed log build it with ``sources.log.log_from_table`` and
-    ``write_log`` instead.
+    ``fmt="kafka"`` sends them to Kafka (needs the connector), which assigns offsets; its errors pass
+    through.  ``parquet`` appends them to the log at ``sink`` with offsets that continue it, so
+    ``read_log`` and replays read them back.
     """
-    msgs = df.select("key", "value", "topic", "partition")
-    if fmt == "kafka":
-        try:
-            msgs.write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers or "").save()
-        except Exception as exc:
-            if "kafka" in str(exc).lower():
-                raise MissingConnectorError("publish_log needs the spark-sql-kafka package") from exc
-            raise
+    if fmt != "kafka":
+        append_log(df.sparkSession, sink, df)
         return
-    msgs.write.mode("append").partitionBy("topic", "partition").parquet(sink)
+    try:
+        df.select("key", "value", "topic", "partition").write.format("kafka").option(
+            "kafka.bootstrap.servers", bootstrap_servers or "").save()
+    except Exception as exc:
+        if is_missing_source(exc, "kafka"):
+            raise MissingConnectorError("publish_log needs the spark-sql-kafka package") from exc
+        raise
 
 
 # --- versions ---------------------------------------------------------------------
@@ -216,9 +285,7 @@ def write_version(
     With ``path`` the table is external (its files live there).
     """
     name = version_names(table, version)["version"]
-    w = df.write.mode("errorifexists").format("parquet")
-    if partition_cols:
-        w = w.partitionBy(*partition_cols)
+    w = _writer(clustered(df, partition_cols), partition_cols, "errorifexists", dynamic=False)
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
@@ -264,6 +331,13 @@ def frame_columns(df: DataFrame) -> DataFrame:
 
 # --- delimited text ---------------------------------------------------------------
 
-def write_delimited(df: DataFrame, path: str, sep: str = DELIMITER, mode: str = "errorifexists") -> None:
-    """K5: pipe-delimited text; every field quoted so separators and newlines survive."""
-    df.write.mode(mode).options(**{**CSV_OPTIONS, "sep": sep}).option("quoteAll", "true").csv(path)
+def write_delimited(df: DataFrame, path: str, sep: str = DELIMITER, mode: str = "errorifexists", quoted: bool = False) -> None:
+    """K5: delimited text, one line per record: backslash escapes, ``\\N`` for NULL, no quotes.
+
+    With ``quoted`` a CSV form instead: every field in quotes, newlines kept (files then do not split,
+    and an empty text reads back as NULL).
+    """
+    if quoted:
+        df.write.mode(mode).options(**{**CSV_OPTIONS, "sep": sep}).option("quoteAll", "true").csv(path)
+        return
+    df.select(escaped_line(df.schema, sep).alias("value")).write.mode(mode).text(path)

@@ -11,26 +11,23 @@ package is on the classpath; without it a clear error is raised.
 from __future__ import annotations
 
 import json
+from collections import defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.functions.routing import route_partition
 from ledgerline.functions.timefields import epoch_micros
-from ledgerline.operators.codec import MissingConnectorError, encode_column
-from ledgerline.operators.sequence import DEFAULT_BLOCK_WIDTH, assign_sequence
+from ledgerline.operators.codec import MissingConnectorError, connector_checked, encode_column
+from ledgerline.operators.sequence import DEFAULT_BLOCK_ROWS, assign_sequence
 from ledgerline.schemas import MESSAGE_LOG
 
 LOG_COLUMNS = [f.name for f in MESSAGE_LOG.fields]
 
-# Above this many (topic, partition) ranges the predicate becomes a join with
-# a bounds table instead of one OR-ed filter; both are exact.
-MAX_INLINE_RANGES = 256
-# A bounds table is one row per topic partition; refuse anything bigger.
-MAX_TOPIC_PARTITIONS = 100_000
+ORDER_COL = "__order"  # a message's place among the messages published with it
+BROADCAST_BOUNDS = 1_000_000  # most rows of a bounds table that is broadcast; beyond it the join shuffles
 
 
 @dataclass(frozen=True)
@@ -52,23 +49,25 @@ def log_from_table(
     timestamp: Column,
     payload_cols: list[str],
     n_partitions: int,
-    block_width: int = DEFAULT_BLOCK_WIDTH,
+    block_rows: int = DEFAULT_BLOCK_ROWS,
+    fmt: str = "json",
+    avro_schema: str | None = None,
 ) -> DataFrame:
     """Publish a table as a log: route each row to a partition, number it in
-    ``order_col`` order within the partition, encode its payload as JSON.
+    ``order_col`` order within the partition, encode its payload as ``fmt``.
 
     Offsets are assigned by :func:`assign_sequence` (bounded tasks whatever
     the partition sizes).  ``timestamp`` must be a TIMESTAMP.
     """
-    routed = df.select(
+    routed = connector_checked(lambda: df.select(
         F.lit(topic).alias("topic"),
         route_partition(route, n_partitions).alias("partition"),
-        F.col(order_col).alias("__order"),
+        F.col(order_col).alias(ORDER_COL),
         key.cast("string").cast("binary").alias("key"),
-        encode_column(payload_cols).alias("value"),
+        encode_column(payload_cols, fmt, avro_schema).alias("value"),
         timestamp.alias("timestamp"),
-    )
-    return assign_sequence(routed, ["topic", "partition"], "__order", "offset", block_width).select(*LOG_COLUMNS)
+    ), fmt)
+    return assign_sequence(routed, ["topic", "partition"], ORDER_COL, "offset", block_rows).select(*LOG_COLUMNS)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -84,64 +83,75 @@ def ntz_as_utc_instant(ts) -> Column:
 # --- bounded reads ---------------------------------------------------------------
 
 def _as_ranges(bounds) -> list[OffsetRange]:
+    """Ranges as a list.  A DataFrame of bounds (one row per topic partition) is collected, as connector
+    options ask for; reads of a log at rest join with it instead."""
     if isinstance(bounds, DataFrame):
-        rows = bounds.select("topic", "partition", "from_offset", "until_offset").limit(MAX_TOPIC_PARTITIONS + 1).collect()
-        if len(rows) > MAX_TOPIC_PARTITIONS:
-            raise ValueError(f"bounds hold more than {MAX_TOPIC_PARTITIONS} rows; expected one per topic partition")
+        rows = bounds.select("topic", "partition", "from_offset", "until_offset").collect()
         return [OffsetRange(r[0], int(r[1]), r[2], r[3]) for r in rows]
-    out = []
-    for b in bounds:
-        out.append(b if isinstance(b, OffsetRange) else OffsetRange(*b))
-    return out
+    return [b if isinstance(b, OffsetRange) else OffsetRange(*b) for b in bounds]
+
+
+def _any(tests: list[Column]) -> Column:
+    """A balanced OR, so that many ranges do not nest deep."""
+    if len(tests) == 1:
+        return tests[0]
+    half = len(tests) // 2
+    return _any(tests[:half]) | _any(tests[half:])
 
 
-def _range_predicate(r: OffsetRange) -> Column:
-    cond = (F.col("topic") == F.lit(r.topic)) & (F.col("partition") == F.lit(r.partition))
-    if r.from_offset is not None:
-        cond = cond & (F.col("offset") >= F.lit(int(r.from_offset)))
-    if r.until_offset is not None:
-        cond = cond & (F.col("offset") < F.lit(int(r.until_offset)))
-    return cond
+def _within(r: tuple[int | None, int | None]) -> Column:
+    test = F.lit(True)
+    if r[0] is not None:
+        test = F.col("offset") >= F.lit(int(r[0]))
+    if r[1] is not None:
+        upper = F.col("offset") < F.lit(int(r[1]))
+        test = test & upper if r[0] is not None else upper
+    return test
+
+
+def _ranges_predicate(ranges: list[OffsetRange]) -> Column:
+    """One test per distinct pair of bounds: topic, ``partition IN (...)``, offsets."""
+    grouped: dict[tuple, list[int]] = defaultdict(list)
+    for r in ranges:
+        grouped[r.topic, r.from_offset, r.until_offset].append(int(r.partition))
+    return _any([
+        (F.col("topic") == F.lit(topic)) & F.col("partition").isin(sorted(set(parts))) & _within((lo, hi))
+        for (topic, lo, hi), parts in grouped.items()
+    ])
+
+
+def _checked_bounds(bounds: DataFrame) -> DataFrame:
+    return F.broadcast(bounds) if bounds.count() <= BROADCAST_BOUNDS else bounds
 
 
 def read_offset_range(log: DataFrame, bounds: Iterable | DataFrame) -> DataFrame:
     """Messages with ``from <= offset < until`` in each given partition.
 
-    ``bounds`` is a list of :class:`OffsetRange` / tuples, or a DataFrame with
-    columns ``topic, partition, from_offset, until_offset`` (at most one row
-    per topic partition; it is read to the driver, as a Kafka read needs).
-    The ranges become a plain predicate on the log, so it reaches the Parquet
-    scan (partition pruning on topic/partition, row-group skipping on offset).
-    An empty list reads nothing.
+    A list of :class:`OffsetRange` / tuples becomes a plain predicate, one test per distinct pair of
+    bounds whatever their number, so partition pruning and row-group skipping on the offset reach the
+    Parquet scan.  A DataFrame with columns ``topic, partition, from_offset, until_offset`` stays one:
+    the log is joined with it (partitions prune at run time) under the least and greatest bound, which
+    are scalar subqueries that reach the scan.  No bounds read nothing.
     """
-    ranges = _as_ranges(bounds)
-    if not ranges:
-        return log.filter(F.lit(False))
-    if len(ranges) <= MAX_INLINE_RANGES:
-        return log.filter(reduce(lambda a, b: a | b, [_range_predicate(r) for r in ranges]))
-    # Many partitions: a coarse pushed-down window, then an exact join with the
-    # bounds table, whose size (one row per range) is known here.
-    lows = [r.from_offset for r in ranges]
-    highs = [r.until_offset for r in ranges]
-    coarse = log
-    if all(v is not None for v in lows):
-        coarse = coarse.filter(F.col("offset") >= F.lit(int(min(lows))))
-    if all(v is not None for v in highs):
-        coarse = coarse.filter(F.col("offset") < F.lit(int(max(highs))))
-    spark = log.sparkSession
-    table = spark.createDataFrame(
-        [(r.topic, r.partition, r.from_offset, r.until_offset) for r in ranges],
-        "topic string, partition int, __lo long, __hi long",
-    )
-    joined = coarse.join(F.broadcast(table), on=["topic", "partition"], how="inner")
-    keep = (F.col("__lo").isNull() | (F.col("offset") >= F.col("__lo"))) & (
-        F.col("__hi").isNull() | (F.col("offset") < F.col("__hi"))
-    )
-    return joined.filter(keep).select(*log.columns)
+    if not isinstance(bounds, DataFrame):
+        ranges = _as_ranges(bounds)
+        return log.filter(_ranges_predicate(ranges)) if ranges else log.filter(F.lit(False))
+    table = bounds.select(
+        F.col("topic").alias("__t"), F.col("partition").alias("__p"),
+        F.col("from_offset").alias("__lo"), F.col("until_offset").alias("__hi"),
+    )
+    least = table.agg(F.coalesce(F.min(F.coalesce("__lo", F.lit(-(1 << 63)))), F.lit(0))).scalar()
+    most = table.agg(F.coalesce(F.max(F.coalesce("__hi", F.lit((1 << 63) - 1))), F.lit(0))).scalar()
+    window = log.filter((F.col("offset") >= least) & (F.col("offset") <= most))
+    inside = F.col("offset").between(F.coalesce("__lo", F.col("offset")), F.coalesce(F.col("__hi") - 1, F.col("offset")))
+    same = (F.col("topic") == F.col("__t")) & (F.col("partition") == F.col("__p"))
+    return window.join(_checked_bounds(table), same & inside).select(*log.columns)
 
 
 def read_from_offsets(log: DataFrame, starts: Iterable | DataFrame) -> DataFrame:
     """Messages at or after a start offset per partition (open end)."""
+    if isinstance(starts, DataFrame):
+        return read_offset_range(log, starts.withColumn("until_offset", F.lit(None).cast("long")))
     ranges = [OffsetRange(r.topic, r.partition, r.from_offset, None) for r in _as_ranges(starts)]
     return read_offset_range(log, ranges)
 
@@ -149,7 +159,7 @@ def read_from_offsets(log: DataFrame, starts: Iterable | DataFrame) -> DataFrame
 def resume_points(starts: DataFrame) -> list[OffsetRange]:
     """``operators.offsets.starting_offsets`` rows -> ranges to start a new reader from.
 
-    One row per topic partition, size-checked like any bounds read to the driver.
+    One row per topic partition.
     """
     return _as_ranges(starts.selectExpr("topic", "partition", "next_offset AS from_offset",
                                         "CAST(NULL AS BIGINT) AS until_offset"))
@@ -174,18 +184,9 @@ def read_log_stream(
     stream = reader.parquet(path)
     if not starts:
         return stream
-    ranges = _as_ranges(starts)
-    if len(ranges) <= MAX_INLINE_RANGES:
-        listed = reduce(lambda a, b: a | b,
-                        [(F.col("topic") == r.topic) & (F.col("partition") == r.partition) for r in ranges])
-        started = reduce(lambda a, b: a | b,
-                         [_range_predicate(OffsetRange(r.topic, r.partition, r.from_offset, None)) for r in ranges])
-        return stream.filter(~listed | started)
-    # many partitions: a stream-static join with a starts table whose size is known here
-    table = spark.createDataFrame([(r.topic, r.partition, r.from_offset) for r in ranges],
-                                  "topic string, partition int, __lo long")
-    joined = stream.join(F.broadcast(table), ["topic", "partition"], "left")
-    return joined.filter(F.col("__lo").isNull() | (F.col("offset") >= F.col("__lo"))).select(*LOG_COLUMNS)
+    ranges = [OffsetRange(r.topic, r.partition, r.from_offset, None) for r in _as_ranges(starts)]
+    listed = _ranges_predicate([OffsetRange(r.topic, r.partition) for r in ranges])
+    return stream.filter(~listed | _ranges_predicate(ranges))
 
 
 # --- Kafka --------------------------------------------------------------------------
@@ -210,11 +211,17 @@ def kafka_assign_json(ranges: list[OffsetRange]) -> str:
     return json.dumps({t: sorted(set(ps)) for t, ps in spec.items()}, sort_keys=True)
 
 
+def is_missing_source(exc: Exception, name: str) -> bool:
+    """Whether a read or write failed because the data source ``name`` is not on the classpath."""
+    text = str(exc).lower()
+    return name in text and ("find data source" in text or "data_source_not_found" in text)
+
+
 def _kafka_load(builder, what: str):
     try:
         return builder.load()
     except Exception as exc:  # the JVM error names the missing data source
-        if "kafka" in str(exc).lower() and ("find data source" in str(exc).lower() or "DATA_SOURCE_NOT_FOUND" in str(exc)):
+        if is_missing_source(exc, "kafka"):
             raise MissingConnectorError(
                 f"{what} needs the spark-sql-kafka package on the classpath (spark.jars.packages)"
             ) from exc
@@ -222,8 +229,17 @@ def _kafka_load(builder, what: str):
 
 
 def read_kafka_range(spark: SparkSession, bootstrap_servers: str, bounds: Iterable | DataFrame) -> DataFrame:
-    """S3 on Kafka: a bounded batch read of exactly the given topic partitions and ranges."""
-    ranges = _as_ranges(bounds)
+    """S3 on Kafka: a bounded batch read of exactly the given topic partitions and ranges.
+
+    Inverted ranges (interior bounds of a single batch) hold nothing and are left out; without any
+    range the result is empty and Kafka is not asked.
+    """
+    ranges = [
+        r for r in _as_ranges(bounds)
+        if r.from_offset is None or r.until_offset is None or r.from_offset < r.until_offset
+    ]
+    if not ranges:
+        return spark.createDataFrame([], MESSAGE_LOG).select(*LOG_COLUMNS)
     builder = (
         spark.read.format("kafka")
         .option("kafka.bootstrap.servers", bootstrap_servers)
@@ -238,8 +254,8 @@ def read_kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str, s
                       max_offsets_per_trigger: int | None = None) -> DataFrame:
     """S1/S2 on Kafka: an unbounded stream, optionally from recorded offsets.
 
-    Ingesting it, pass ``cache_batch=True`` to ``start_ingest`` so each
-    micro-batch is fetched from the brokers once.
+    ``start_ingest`` caches the micro-batches of such a stream (``cache_batch``), so each is fetched
+    from the brokers once.
     """
     builder = spark.readStream.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("subscribe", topic)
     if starting_offsets:

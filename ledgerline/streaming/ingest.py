@@ -2,18 +2,22 @@
 
 Per micro-batch (``foreachBatch``), on the same batch of rows:
 
-1. decode the payloads, derive ``mon, day, hour``, run the transform chain;
-2. write the rows to ``<sink>/batch_id=<id>/mon=/day=/hour=`` by overwriting
-   that batch's folder - a retried batch replaces everything it wrote before
-   (stale hour folders included) instead of adding copies;
-3. only then record the batch's offset ranges in the offset log, keyed by
+1. take the batch's offset ranges (one row per topic partition); a batch without messages ends here;
+2. decode the payloads, derive ``mon, day, hour``, run the transform chain, and
+   write the rows to ``<sink>/appname=<app>/batch_id=<id>/mon=/day=/hour=`` by
+   overwriting that batch's folder - a retried batch replaces everything it wrote
+   before (stale hour folders included) instead of adding copies, and apps that
+   share a table never meet; with ``table`` the folder is shown in that catalog table;
+3. only then record the offset ranges in the offset log, keyed by
    (appname, batch_id), also by overwrite.
 
 The query checkpoint records which offsets each batch_id covered, so after a
 failure Spark replays the same batch with the same id and both writes are
 idempotent.  Batch ids are the query's epoch ids plus a base kept next to the
-checkpoint, so a new query (new checkpoint) on the same table and offset log
-continues after the batches already recorded instead of replacing them.  Bad payloads go to an optional quarantine path, keyed the same way.
+checkpoint, so a new query (new checkpoint) of the same app continues after the
+batches already recorded instead of replacing them.  Bad payloads go to an
+optional quarantine path, keyed the same way; without one they fail the batch
+(or are left out, if ``on_bad="drop"``).
 """
 
 from __future__ import annotations
@@ -22,17 +26,18 @@ import logging
 from collections.abc import Callable
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ledgerline.functions.timefields import partition_fields
 from ledgerline.operators.codec import BAD_COL, decode_payload
 from ledgerline.operators.offsets import batch_offsets
 from ledgerline.operators.transform import transform_chain
-from ledgerline.schemas import PARTITION_FIELDS
-from ledgerline.sinks.tables import overwrite_batch, overwrite_partitions, write_offset_log
+from ledgerline.plans.replay import decode_messages
+from ledgerline.schemas import OFFSET_LOG, PARTITION_FIELDS
+from ledgerline.sinks.tables import batch_path, overwrite_batch, path_missing, register_batch, write_offset_log
 
 # Fixed value: the default interval between micro-batches, in seconds.
 DEFAULT_TRIGGER_SECONDS = 180
@@ -56,53 +61,63 @@ def batch_writer(
     on_metrics: Callable[[int, dict], None] | None = _log_metrics,
     cache_batch: bool = False,
     batch_base: int = 0,
+    avro_schema: str | None = None,
+    with_year: bool = False,
+    table: str | None = None,
+    on_bad: str | None = None,
 ):
     """The ``foreachBatch`` function of :func:`start_ingest`.
 
-    Rows and offsets are keyed by ``batch_base + epoch id`` (see
-    :func:`batch_id_base`).
-
-    ``on_metrics(batch_id, {"rows": n, "bad_rows": m})`` receives counts that
-    were observed while the data was written (no extra job).  The batch is
-    read by the data write and by the offset aggregate; both see the same
-    rows (a micro-batch's files or offset ranges are fixed).  For a columnar
-    file log a second read costs only the four offset columns, cheaper than
-    caching every column (measured 12.4 s vs 15.5 s at sf0.1), so the default
-    does not cache; pass ``cache_batch=True`` for Kafka, where a second read
-    fetches from the brokers again.
+    Rows and offsets are keyed by ``appname`` and ``batch_base + epoch id`` (see
+    :func:`batch_id_base`).  ``on_bad`` is as in ``decode_messages``.
+
+    The batch is read twice: for its offsets (of a columnar file log that is four
+    columns) and for its data, by one write that also counts.  With ``cache_batch``,
+    or if bad messages are to be kept, it is read once and held meanwhile.
+    ``on_metrics(batch_id, {"rows": n, "bad_rows": m})`` receives the counts.
     """
+    parts = [*(["year"] if with_year else []), *PARTITION_FIELDS]
+    on_bad = on_bad or ("quarantine" if quarantine else "fail")
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         batch_id = int(batch_base) + int(epoch_id)
-        if cache_batch:
+        hold = cache_batch or bool(quarantine)
+        if hold:
             batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            if batch.isEmpty():
+            stamp = F.lit(batch_id).cast("long")
+            ranges = batch_offsets(batch, appname, stamp).collect()  # one row per topic partition
+            if not ranges:
                 return
-            stamp = F.lit(int(batch_id)).cast("long")
-            staged = batch.withColumn("__message", F.struct("topic", "partition", "offset", "key", "value"))
-            decoded = decode_payload(staged, schema, fmt=fmt, keep=["__message"] if quarantine else [])
             if quarantine:
+                raw = batch.withColumn("__message", F.struct("topic", "partition", "offset", "key", "value"))
+                decoded = decode_payload(raw, schema, fmt=fmt, keep=["__message"], avro_schema=avro_schema, required=[time_field])
                 bad = decoded.filter(F.col(BAD_COL)).select("__message.*")
-                overwrite_partitions(bad.withColumn("batch_id", stamp), quarantine, ["batch_id"])
-            seen = Observation(f"ingest_{int(batch_id)}")
-            observed = decoded.observe(seen, F.count(F.lit(1)).alias("rows"),
-                                       F.sum(F.col(BAD_COL).cast("long")).alias("bad_rows"))
-            rows = observed.filter(~F.col(BAD_COL)).select(
-                *[f.name for f in schema.fields], *partition_fields(time_field)
-            )
+                bad.write.mode("overwrite").parquet(batch_path(quarantine, appname, batch_id))
+            seen = Observation(f"ingest_{batch_id}")
+            rows = decode_messages(batch, schema, time_field, fmt, with_year, on_bad="drop" if quarantine else on_bad,
+                                   avro_schema=avro_schema, counts=seen)
             out = transform_chain(rows, steps)
-            overwrite_batch(out, sink, int(batch_id), list(PARTITION_FIELDS))
-            write_offset_log(batch_offsets(batch, appname, stamp), offset_log_path)
+            messages = sum(r["end_offset"] - r["start_offset"] for r in ranges)
+            overwrite_batch(out, sink, appname, batch_id, parts, messages)
+            if table:
+                register_batch(batch.sparkSession, table, sink, out, appname, batch_id, parts)
+            offsets = batch.sparkSession.createDataFrame(ranges, OFFSET_LOG)
+            write_offset_log(offsets.coalesce(1), offset_log_path)
             if on_metrics:
-                on_metrics(int(batch_id), dict(seen.get))
+                on_metrics(batch_id, dict(seen.get))
         finally:
-            if cache_batch:
+            if hold:
                 batch.unpersist()
 
     return write_batch
 
 
+def _fetched_by_query(stream: DataFrame) -> bool:
+    """Whether each read of a micro-batch fetches from brokers again (a Kafka source)."""
+    return "kafka" in stream._jdf.queryExecution().analyzed().toString().lower()
+
+
 def start_ingest(
     stream: DataFrame,
     sink: str,
@@ -118,16 +133,24 @@ def start_ingest(
     quarantine: str | None = None,
     query_name: str | None = None,
     on_metrics: Callable[[int, dict], None] | None = _log_metrics,
-    cache_batch: bool = False,
+    cache_batch: bool | None = None,
+    avro_schema: str | None = None,
+    with_year: bool = False,
+    table: str | None = None,
+    on_bad: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest query; ``available_now`` drains what is there and stops.
 
-    One ingest query per ``appname`` at a time (as with a single consumer).
+    One ingest query per ``appname`` at a time (as with a single consumer).  With ``table`` the rows
+    are also a catalog table over ``sink``.  ``cache_batch`` defaults to the source's kind: batches from
+    Kafka are cached, those from files are not.
     """
+    decode_payload(stream, schema, fmt=fmt, avro_schema=avro_schema)  # a missing connector shows here
+    cache_batch = _fetched_by_query(stream) if cache_batch is None else cache_batch
     base = batch_id_base(stream.sparkSession, checkpoint, offset_log_path, appname)
     writer = stream.writeStream.foreachBatch(
         batch_writer(schema, time_field, sink, offset_log_path, appname, steps, fmt, quarantine, on_metrics,
-                     cache_batch, base)
+                     cache_batch, base, avro_schema, with_year, table, on_bad)
     ).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
@@ -145,26 +168,41 @@ def batch_id_base(spark, checkpoint: str, offset_log_path: str, appname: str) ->
     query writing to the same table and offset log would otherwise replace the
     first one's ``batch_id=0``.  The base is the next id after the app's
     largest recorded batch, kept next to the checkpoint so that a restart from
-    the same checkpoint maps each epoch to the same id again.
+    the same checkpoint maps each epoch to the same id again; it is written once,
+    before the first batch.  Only a path that is not there counts as "nothing recorded": any
+    other read error is raised, as a wrong base would replace batches.
     """
     marker = f"{checkpoint.rstrip('/')}/{BASE_FILE}"
     try:
         return int(spark.read.text(marker).first()[0])
-    except Exception:  # noqa: BLE001 - no marker yet: a new query
-        pass
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
+    top = None
     try:
-        recorded = spark.read.parquet(offset_log_path).filter(F.col("appname") == F.lit(appname))
+        recorded = spark.read.schema(OFFSET_LOG).parquet(offset_log_path).filter(F.col("appname") == F.lit(appname))
         top = recorded.agg(F.max("batch_id")).first()[0]
-    except Exception:  # noqa: BLE001 - no offset log yet
-        top = None
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
     base = 0 if top is None else int(top) + 1
-    spark.createDataFrame([(str(base),)], "value string").coalesce(1).write.mode("overwrite").text(marker)
+    spark.createDataFrame([(str(base),)], "value string").coalesce(1).write.mode("errorifexists").text(marker)
     return base
 
 
 def run_ingest(query: StreamingQuery, timeout_s: float | None = None) -> bool:
-    """Wait for the query (at most ``timeout_s``); True when it has stopped."""
+    """Wait for the query (at most ``timeout_s``); True when it has stopped, False if it still runs."""
     if timeout_s is None:
         query.awaitTermination()
         return True
     return bool(query.awaitTermination(timeout_s))
+
+
+def drain(query: StreamingQuery, timeout_s: float) -> None:
+    """Wait for a query that stops by itself; a query that has not ended by then is stopped and a
+    ``TimeoutError`` raised, as what it wrote is only a part."""
+    if not run_ingest(query, timeout_s):
+        query.stop()
+        raise TimeoutError(f"the ingest had not ended after {timeout_s:g} s")
+    if query.exception():
+        raise query.exception()

@@ -5,19 +5,26 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.operators.codec import MissingConnectorError, decode_payload, encode_payload
+from ledgerline.operators.codec import MissingConnectorError, avro_schema_of, decode_payload, encode_payload
 from ledgerline.plans.publish import publish
 from ledgerline.schemas import EVENT_RECORD
 from ledgerline.sinks.tables import publish_log
-from ledgerline.sources.log import OffsetRange, kafka_assign_json, kafka_offsets_json, read_kafka_range, read_kafka_stream
+from ledgerline.sources.log import (
+    OffsetRange,
+    is_missing_source,
+    kafka_assign_json,
+    kafka_offsets_json,
+    read_kafka_range,
+    read_kafka_stream,
+)
 
 from conftest import SF_SMALL
 
 
 def test_kafka_offset_specs():
-    ranges = [OffsetRange("t", 0, 2979, 3013), OffsetRange("t", 1, None, None)]
-    assert json.loads(kafka_offsets_json(ranges, "start")) == {"t": {"0": 2979, "1": -2}}
-    assert json.loads(kafka_offsets_json(ranges, "end")) == {"t": {"0": 3013, "1": -1}}
+    ranges = [OffsetRange("t", 0, 120, 180), OffsetRange("t", 1, None, None)]
+    assert json.loads(kafka_offsets_json(ranges, "start")) == {"t": {"0": 120, "1": -2}}
+    assert json.loads(kafka_offsets_json(ranges, "end")) == {"t": {"0": 180, "1": -1}}
     assert json.loads(kafka_assign_json(ranges + [OffsetRange("u", 3, 0, 1)])) == {"t": [0, 1], "u": [3]}
 
 
@@ -53,21 +60,17 @@ def test_publish_to_a_parquet_log(spark, scratch):
     assert all(all(c in "\t\n\r\x0b\x0c" or " " <= c <= "~" for c in r[0]) for r in texts)
 
 
-import pytest  # noqa: E402
-
-
-@pytest.mark.parametrize("inline_limit", [256, 1])
-def test_append_log_continues_offsets(spark, scratch, monkeypatch, inline_limit):
+@pytest.mark.parametrize("most", [1_000_000, 1])
+def test_append_log_continues_offsets(spark, scratch, monkeypatch, most):
     import ledgerline.sinks.tables as tables
     from ledgerline.sinks.tables import append_log
 
-    monkeypatch.setattr(tables, "MAX_INLINE_RANGES", inline_limit)  # 1: the broadcast-join path
+    monkeypatch.setattr(tables, "BROADCAST_BOUNDS", most)  # 1: the shuffled join
     from ledgerline.sources.log import read_log
 
     docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
     msgs = publish(docs, "text", ["the"], "doc_id", "source", 4, "documents", ["doc_id", "text"]).join(
-        docs.select(F.col("doc_id").cast("string").cast("binary").alias("key"), "doc_id"), "key").withColumn(
-        "timestamp", F.current_timestamp())
+        docs.select(F.col("doc_id").cast("string").cast("binary").alias("key"), "doc_id"), "key")
     path = scratch("doclog")
     first, second = msgs.filter("doc_id % 2 = 0"), msgs.filter("doc_id % 2 = 1")
     append_log(spark, path, first, "doc_id")
@@ -83,3 +86,52 @@ def test_append_log_continues_offsets(spark, scratch, monkeypatch, inline_limit)
         later = log.join(second.select("key"), "key").filter(F.col("partition") == r["partition"])
         if later.count():
             assert later.agg(F.min("offset")).first()[0] == r["count"]
+
+
+def test_avro_reaches_the_connector_in_every_pipeline(spark, scratch):
+    """Without the spark-avro package each pipeline names it; none stops earlier."""
+    from ledgerline.plans import events as ev
+    from ledgerline.plans.replay import replay_offsets, replay_time
+    from ledgerline.sources.log import log_from_table, read_log_stream
+    from ledgerline.streaming.ingest import batch_writer, start_ingest
+
+    log = ev.events_log(spark, SF_SMALL)
+    path = scratch("log")
+    log.write.parquet(path)
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    bounds = [OffsetRange("events", 0, 0, 5)]
+    schema = avro_schema_of(EVENT_RECORD)
+    assert [f["name"] for f in json.loads(schema)["fields"]] == EVENT_RECORD.fieldNames()
+    calls = [
+        lambda **k: replay_offsets(log, bounds, EVENT_RECORD, "ts_ms", **k),
+        lambda **k: replay_time(log, ev.hourly_offset_log(log), ev.APPNAME, 0, 1 << 40, EVENT_RECORD, "ts_ms", **k),
+        lambda **k: start_ingest(read_log_stream(spark, path), scratch("t"), scratch("o"), scratch("c"), EVENT_RECORD, "ts_ms", "app", **k),
+        lambda **k: batch_writer(EVENT_RECORD, "ts_ms", scratch("t"), scratch("o"), "app", **k)(log.limit(5), 0),
+        lambda **k: publish(docs, "text", ["the"], "doc_id", "source", 4, "documents", ["doc_id", "text"], **k),
+        lambda **k: log_from_table(docs, "d", F.col("doc_id"), F.col("source"), "doc_id", F.current_timestamp(), ["doc_id"], 2, **k),
+    ]
+    for call in calls:
+        for more in ({}, {"avro_schema": schema}):
+            with pytest.raises(MissingConnectorError):
+                call(fmt="avro", **more)
+
+
+def test_kafka_errors_pass_through_but_for_the_missing_package(spark):
+    docs = spark.createDataFrame([(1, "the", "s")], "doc_id long, text string, source string")
+    msgs = publish(docs, "text", ["the"], "doc_id", "source", 4, "t", ["doc_id"])
+    with pytest.raises(MissingConnectorError):
+        publish_log(msgs, "t", fmt="kafka", bootstrap_servers="localhost:1")
+    assert not is_missing_source(RuntimeError("kafka broker not available"), "kafka")
+    assert read_kafka_range(spark, "localhost:1", []).count() == 0
+    assert read_kafka_range(spark, "localhost:1", [OffsetRange("t", 0, 9, 4)]).count() == 0
+
+
+def test_published_messages_replay_by_offset(spark, scratch):
+    from ledgerline.sources.log import read_log, read_offset_range
+
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    path = scratch("published")
+    publish_log(publish(docs, "text", ["the"], "doc_id", "source", 2, "d", ["doc_id"], timestamp=F.lit("2024-01-01 00:00:00").cast("timestamp")), path)
+    log = read_log(spark, path)
+    assert log.filter("offset IS NULL OR timestamp IS NULL").count() == 0
+    assert read_offset_range(log, [OffsetRange("d", 0, 2, 5), OffsetRange("d", 1, 0, 1)]).count() == 4

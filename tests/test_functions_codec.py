@@ -97,3 +97,29 @@ def test_steps_sort_as_text_and_chain_is_one_project(spark):
 def test_preview_is_ordered(spark):
     df = spark.range(100).select((99 - F.col("id")).alias("k"))
     assert [r[0] for r in preview(df, 3, ["k"]).collect()] == [0, 1, 2]
+
+
+def test_wall_clock_epochs_ignore_the_session_zone(spark):
+    """In the gap and the overlap of daylight saving, and before the epoch."""
+    from datetime import datetime, timezone
+
+    from ledgerline.functions.timefields import epoch_micros, epoch_millis, minute_text, parse_minute_text, partition_fields
+
+    times = ["2024-03-10 02:30:00", "2024-03-10 02:59:59.999999", "2024-11-03 01:30:00.000001", "1969-12-31 23:59:59.5", "1900-01-01 00:00:00", "2011-12-30 12:00:00"]
+    want = []
+    for t in times:
+        d = datetime.fromisoformat(t).replace(tzinfo=timezone.utc) - datetime(1970, 1, 1, tzinfo=timezone.utc)
+        want.append((d.days * 86_400 + d.seconds) * 1_000_000 + d.microseconds)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for zone in ("America/Los_Angeles", "Pacific/Apia", "UTC"):
+            spark.conf.set("spark.sql.session.timeZone", zone)
+            df = spark.createDataFrame([(i, t) for i, t in enumerate(times)], "i int, t string").select("i", F.col("t").cast("timestamp_ntz").alias("ts"))
+            rows = df.select("i", epoch_micros("ts").alias("us"), epoch_millis("ts").alias("ms"), minute_text("ts").alias("m"),
+                             parse_minute_text(minute_text("ts")).alias("s"), *partition_fields(epoch_millis("ts"))).orderBy("i").collect()
+            assert [r["us"] for r in rows] == want
+            assert [r["m"] for r in rows] == [datetime.fromisoformat(t).strftime("%Y%m%dT%H:%M").zfill(14) for t in times]
+            assert [r["s"] for r in rows] == [w // 60_000_000 * 60 for w in want]
+            assert [(r["mon"], r["day"], r["hour"]) for r in rows] == [(d.month, d.day, d.hour) for d in map(datetime.fromisoformat, times)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)

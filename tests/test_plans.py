@@ -2,7 +2,7 @@
 
 import __spark_entry__ as entry
 from ledgerline.plans import events as ev
-from ledgerline.plans.replay import decode_messages, replay_time
+from ledgerline.plans.replay import decode_messages, replay_offsets, replay_time
 from ledgerline.schemas import EVENT_RECORD
 from ledgerline.sinks.tables import write_log
 from ledgerline.sources.log import read_log
@@ -23,9 +23,22 @@ def test_replay_from_a_log_at_rest_has_no_shuffle_and_pushes_offsets(spark, scra
     replay = replay_time(log, spark.read.parquet(olog_path), ev.APPNAME, entry.RANGE_BEGIN, entry.RANGE_END,
                          EVENT_RECORD, "ts_ms", ev.EVENT_STEPS)
     plan = _plan(replay)
+    # the log side is never shuffled: the bounds, one row per partition, are broadcast
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    log_scan = next(x for x in plan.split("FileScan") if "value" in x.split("ReadSchema")[-1][:80])
+    assert "subquery" in log_scan and "PartitionFilters: [" in log_scan
+
+
+def test_replay_of_listed_ranges_is_a_pushed_down_scan(spark, scratch):
+    path = scratch("log")
+    write_log(ev.events_log(spark, SF_SMALL), path)
+    plan = _plan(replay_offsets(read_log(spark, path), entry.REPLAY_BOUNDS, EVENT_RECORD, "ts_ms", ev.EVENT_STEPS))
     assert "Exchange" not in plan
     assert "PartitionFilters: [" in plan and "GreaterThanOrEqual(offset" in plan and "LessThan(offset" in plan
-    assert "ReadSchema: struct<value:binary,offset:bigint>" in plan  # only what the replay needs
+
+
+def test_merge_reads_the_base_once(spark):
+    assert _plan(entry.queries()["merge_by_key"](spark, SF_SMALL)).count("FileScan") == 3  # base, delta keys, deltas
 
 
 def test_map_only_queries_do_not_shuffle(spark):

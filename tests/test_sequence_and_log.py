@@ -23,13 +23,13 @@ def _naive(df):
 def test_sequence_equals_row_number(spark, ids, width):
     rows = [(i, abs(i) % 3) for i in ids]
     df = spark.createDataFrame(rows, "id long, g int")
-    got = sorted(tuple(r) for r in assign_sequence(df, ["g"], "id", "offset", block_width=width).collect())
+    got = sorted(tuple(r) for r in assign_sequence(df, ["g"], "id", "offset", block_rows=width).collect())
     want = sorted(tuple(r) for r in _naive(df).select("id", "g", "offset").collect())
     assert [(a, b, c) for a, b, c in got] == want
 
 
 def test_events_log_is_dense_per_partition(spark):
-    log = ev.events_log(spark, SF_SMALL, block_width=97)
+    log = ev.events_log(spark, SF_SMALL, block_rows=97)
     stats = log.groupBy("partition").agg(F.count("*").alias("n"), F.min("offset").alias("lo"),
                                         F.max("offset").alias("hi"), F.countDistinct("offset").alias("d")).collect()
     assert sum(r["n"] for r in stats) == 1000
@@ -37,9 +37,9 @@ def test_events_log_is_dense_per_partition(spark):
         assert r["lo"] == 0 and r["hi"] == r["n"] - 1 and r["d"] == r["n"]
 
 
-def test_block_width_does_not_change_the_log(spark):
-    a = ev.events_log(spark, SF_SMALL, block_width=13)
-    b = ev.events_log(spark, SF_SMALL, block_width=1 << 30)
+def test_block_rows_do_not_change_the_log(spark):
+    a = ev.events_log(spark, SF_SMALL, block_rows=13)
+    b = ev.events_log(spark, SF_SMALL, block_rows=1 << 30)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
@@ -55,18 +55,52 @@ def test_offset_range_read_bounds(spark):
     assert read_offset_range(log, [OffsetRange("events", 0, 20, 10)]).count() == 0
 
 
-def test_many_ranges_use_the_join_path(spark):
-    log = ev.events_log(spark, SF_SMALL)
-    import ledgerline.sources.log as src
+def test_sequence_keeps_null_keys_and_groups(spark):
+    rows = [(None, 1), (5, 1), (3, 1), (None, None), (7, None), (1, None), (2, 2)]
+    df = spark.createDataFrame(rows, "id long, g int")
+    for width in (1, 100):
+        got = sorted((tuple(r) for r in assign_sequence(df, ["g"], "id", block_rows=width).collect()), key=repr)
+        assert got == sorted([(None, 1, 0), (3, 1, 1), (5, 1, 2), (None, None, 0), (1, None, 1), (7, None, 2), (2, 2, 0)], key=repr)
+
+
+def test_sequence_blocks_are_bounded_whatever_the_ids(spark):
+    import ledgerline.operators.sequence as seq
+
+    step = 1 << 21
+    sparse = spark.range(6000).select((F.col("id") * step).alias("id"), F.lit(0).alias("g"))
+    outliers = spark.range(6000).select(F.when(F.col("id") < 3, -(1 << 60) + F.col("id")).otherwise(F.col("id")).alias("id"), F.lit(0).alias("g"))
+    for df in (sparse, outliers):
+        out = assign_sequence(df, ["g"], "id", block_rows=50)
+        assert out.select("offset").exceptAll(spark.range(6000).select("id")).count() == 0
+        joined = out._jdf.queryExecution().optimizedPlan().toString()
+        assert "__blk" in joined
+    # the count table: at most rows / block_rows + SEGMENTS + 1 blocks, and blocks of about block_rows rows
+    bounds = seq.group_bounds(sparse, ["g"], "id").first()
+    assert bounds["__rows"] == 6000 and len(bounds["__bounds"]) == seq.SEGMENTS + 1
+    blocks = [sum(lo <= i * step < hi for i in range(6000)) for lo, hi in zip(bounds["__bounds"], bounds["__bounds"][1:])]
+    assert max(blocks) <= 2 * 6000 / seq.SEGMENTS
+
+
+def test_many_ranges_are_one_predicate(spark, scratch):
+    from ledgerline.sinks.tables import write_log
+    from ledgerline.sources.log import read_log
 
-    ranges = [OffsetRange("events", p, 3, 9) for p in range(4)] + [OffsetRange("other", p, 0, 5) for p in range(300)]
-    old = src.MAX_INLINE_RANGES
-    try:
-        src.MAX_INLINE_RANGES = 8
-        joined = read_offset_range(log, ranges).count()
-    finally:
-        src.MAX_INLINE_RANGES = old
-    assert joined == read_offset_range(log, ranges[:4]).count() == 24
+    path = scratch("log")
+    write_log(ev.events_log(spark, SF_SMALL), path)
+    log = read_log(spark, path)
+    ranges = [OffsetRange("events", p, 3, 9) for p in range(4)] + [OffsetRange("other", p, 0, 5 + p % 3) for p in range(300)]
+    got = read_offset_range(log, ranges)
+    assert got.count() == read_offset_range(log, ranges[:4]).count() == 24
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "GreaterThanOrEqual(offset" in plan and "LessThan(offset" in plan
+    # the same bounds as a table: joined, one row per partition, partitions pruned, a window of offsets at the scan
+    table = spark.createDataFrame([(r.topic, r.partition, r.from_offset, r.until_offset) for r in ranges],
+                                  "topic string, partition int, from_offset long, until_offset long")
+    joined = read_offset_range(log, table)
+    assert joined.exceptAll(got).count() == 0 and joined.count() == 24
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "subquery" in plan.split("FileScan")[1]
+    assert read_offset_range(log, table.limit(0)).count() == 0
 
 
 def test_from_offsets_and_dataframe_bounds(spark):
@@ -109,20 +143,3 @@ def test_log_at_rest_splits_a_hot_partition(spark, scratch):
     assert len(files) > 1
     back = read_log(spark, path)
     assert back.count() == 1000 and back.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
-
-
-def test_driver_side_bounds_are_size_checked(spark, monkeypatch):
-    import pytest
-
-    import ledgerline.sources.log as src
-    from ledgerline.operators.offsets import starting_offsets_json
-
-    bounds = spark.createDataFrame([("events", p, 0, 10) for p in range(3)],
-                                   "topic string, partition int, from_offset long, until_offset long")
-    monkeypatch.setattr(src, "MAX_TOPIC_PARTITIONS", 2)
-    with pytest.raises(ValueError):
-        read_offset_range(ev.events_log(spark, SF_SMALL), bounds)
-    starts = bounds.selectExpr("topic", "partition", "until_offset AS next_offset")
-    with pytest.raises(ValueError):
-        starting_offsets_json(starts, max_partitions=2)
-    assert starting_offsets_json(starts, max_partitions=3) == '{"events": {"0": 10, "1": 10, "2": 10}}'

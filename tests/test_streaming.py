@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerline.operators.offsets import starting_offsets, starting_offsets_json
@@ -10,7 +11,7 @@ from ledgerline.plans.replay import decode_messages
 from ledgerline.operators.transform import transform_chain
 from ledgerline.schemas import EVENT_RECORD
 from ledgerline.sources.log import OffsetRange, read_log_stream
-from ledgerline.streaming.ingest import batch_writer, run_ingest, start_ingest
+from ledgerline.streaming.ingest import batch_writer, drain, run_ingest, start_ingest
 
 from conftest import SF_SMALL
 
@@ -34,7 +35,7 @@ def test_stream_equals_batch_and_restart_adds_none(spark, scratch):
     root = scratch("stream")
     src = _write_source(spark, root)
     sink, olog = _ingest(spark, src, root)
-    streamed = spark.read.parquet(sink).drop("batch_id")
+    streamed = spark.read.parquet(sink).drop("appname", "batch_id")
     batch = transform_chain(decode_messages(ev.events_log(spark, SF_SMALL), EVENT_RECORD, "ts_ms"), ev.EVENT_STEPS)
     assert streamed.count() == 1000
     assert streamed.select(*batch.columns).exceptAll(batch).count() == 0
@@ -62,18 +63,11 @@ def test_rerun_of_a_batch_id_replaces_itself(spark, scratch):
     assert spark.read.parquet(olog).count() == 4
 
 
-import pytest  # noqa: E402
-
-
-@pytest.mark.parametrize("inline_limit", [256, 1])
-def test_stream_from_recorded_offsets(spark, scratch, monkeypatch, inline_limit):
-    import ledgerline.sources.log as src
-
-    monkeypatch.setattr(src, "MAX_INLINE_RANGES", inline_limit)  # 1: the stream-static join path
+def test_stream_from_recorded_offsets(spark, scratch):
     root = scratch("resume")
     src_dir = _write_source(spark, root, files=2)
     stream = read_log_stream(spark, src_dir, starts=[OffsetRange("events", 0, 100), OffsetRange("events", 1, 5)])
-    name = f"resume_t{inline_limit}"
+    name = "resume_t"
     q = stream.writeStream.format("memory").queryName(name).trigger(availableNow=True).start()
     q.awaitTermination(300)
     got = spark.table(name)
@@ -97,7 +91,7 @@ def test_bad_payloads_go_to_quarantine_and_are_counted(spark, scratch):
     assert seen[3] == {"rows": n, "bad_rows": n_bad}
     assert spark.read.parquet(sink).count() == n - n_bad
     quarantined = spark.read.parquet(bad)
-    assert quarantined.count() == n_bad and set(quarantined.columns) >= {"key", "value", "offset", "batch_id"}
+    assert quarantined.count() == n_bad and set(quarantined.columns) >= {"key", "value", "offset", "appname", "batch_id"}
     # the offset log still covers every message, good or bad
     assert spark.read.parquet(olog).agg(F.sum(F.col("end_offset") - F.col("start_offset"))).first()[0] == n
 
@@ -110,7 +104,7 @@ def test_compaction_keeps_every_row(spark, scratch):
     sink, _ = _ingest(spark, src, root)
     dst = os.path.join(root, "compacted")
     compact(spark, sink, dst)
-    before = spark.read.parquet(sink).drop("batch_id")
+    before = spark.read.parquet(sink).drop("appname", "batch_id")
     after = spark.read.parquet(dst)
     assert sorted(after.columns) == sorted(before.columns)
     assert after.count() == before.count() == 1000
@@ -165,7 +159,7 @@ def test_cached_batches_give_the_same_result(spark, scratch):
     write(batch, 5)
     write(batch, 5)
     want = transform_chain(decode_messages(batch, EVENT_RECORD, "ts_ms"), ev.EVENT_STEPS)
-    got = spark.read.parquet(sink).drop("batch_id")
+    got = spark.read.parquet(sink).drop("appname", "batch_id")
     assert got.count() == want.count() and got.select(*want.columns).exceptAll(want).count() == 0
     assert not batch.is_cached
 
@@ -215,7 +209,7 @@ def test_ingest_then_compact_then_merge_a_version(spark, scratch):
 def test_a_batch_of_only_bad_payloads_leaves_the_table_readable(spark, scratch):
     root = scratch("allbad")
     sink, olog = os.path.join(root, "table"), os.path.join(root, "offsets")
-    write = batch_writer(EVENT_RECORD, "ts_ms", sink, olog, ev.APPNAME, on_metrics=None)
+    write = batch_writer(EVENT_RECORD, "ts_ms", sink, olog, ev.APPNAME, on_metrics=None, on_bad="drop")
     log = ev.events_log(spark, SF_SMALL)
     write(log.filter("offset < 20"), 0)
     write(log.filter("offset >= 20 AND offset < 30").withColumn("value", F.lit(b"{bad")), 1)
@@ -224,3 +218,103 @@ def test_a_batch_of_only_bad_payloads_leaves_the_table_readable(spark, scratch):
     assert table.count() == log.filter("offset < 20 OR (offset >= 30 AND offset < 40)").count()
     assert sorted(r[0] for r in table.select("batch_id").distinct().collect()) == [0, 2]
     assert spark.read.parquet(olog).select("batch_id").distinct().count() == 3  # offsets of the bad batch too
+
+
+def test_two_apps_share_a_table(spark, scratch):
+    root = scratch("apps")
+    sink, olog = f"{root}/table", f"{root}/offsets"
+    log = ev.events_log(spark, SF_SMALL).filter("offset < 50")
+    for app in ("a", "b/c=d e%"):
+        batch_writer(EVENT_RECORD, "ts_ms", sink, olog, app)(log, 0)
+    table = spark.read.parquet(sink)
+    assert {r[0]: r[1] for r in table.groupBy("appname").count().collect()} == {"a": log.count(), "b/c=d e%": log.count()}
+
+
+def test_an_unreadable_offset_log_stops_a_new_query(spark, scratch):
+    from ledgerline.streaming.ingest import batch_id_base
+
+    root = scratch("unreadable")
+    olog = f"{root}/offsets"
+    assert batch_id_base(spark, f"{root}/c0", olog, "a") == 0  # nothing recorded yet
+    batch_writer(EVENT_RECORD, "ts_ms", f"{root}/table", olog, "a")(ev.events_log(spark, SF_SMALL).filter("offset < 5"), 4)
+    assert batch_id_base(spark, f"{root}/c1", olog, "a") == 5
+    assert batch_id_base(spark, f"{root}/c1", olog, "a") == 5  # the marker stands
+    assert batch_id_base(spark, f"{root}/c2", olog, "other") == 0
+    spark.createDataFrame([("not parquet",)], "value string").write.text(f"{olog}/appname=a/batch_id=9")
+    with pytest.raises(Exception, match="(?i)parquet|corrupt|magic"):
+        batch_id_base(spark, f"{root}/c3", olog, "a")
+
+
+def test_bad_payloads_fail_a_batch_by_default_and_none_reaches_the_table(spark, scratch):
+    root = scratch("bad")
+    log = ev.events_log(spark, SF_SMALL).filter("offset < 40")
+    value = F.col("value")
+    kinds = [F.lit(b""), F.lit(b"  "), F.lit(b"{}"), F.concat(value, F.lit(b"{\"x\"")), F.lit(b"[]"), F.lit(b"7"), F.lit(None).cast("binary")]
+    broken = log
+    for i, kind in enumerate(kinds):
+        broken = broken.withColumn("value", F.when(F.col("offset") == i, kind).otherwise(value))
+    with pytest.raises(Exception, match="bad payload"):
+        batch_writer(EVENT_RECORD, "ts_ms", f"{root}/t0", f"{root}/o0", "a")(broken, 0)
+    seen = {}
+    batch_writer(EVENT_RECORD, "ts_ms", f"{root}/t", f"{root}/o", "a", quarantine=f"{root}/q", on_metrics=lambda b, m: seen.update(m))(broken, 0)
+    n, n_bad = broken.count(), broken.filter(F.col("offset") < len(kinds)).count()
+    assert seen == {"rows": n, "bad_rows": n_bad}
+    table = spark.read.parquet(f"{root}/t")
+    assert table.count() == n - n_bad and table.filter("mon IS NULL OR event_id IS NULL").count() == 0
+    assert spark.read.parquet(f"{root}/q").count() == n_bad
+
+
+def test_ingest_into_a_catalog_table_with_years(spark, scratch):
+    root = scratch("catalog")
+    name = f"ingested_{os.urandom(4).hex()}"
+    log = ev.events_log(spark, SF_SMALL)
+    write = batch_writer(EVENT_RECORD, "ts_ms", f"{root}/t", f"{root}/o", "it's", table=name, with_year=True)
+    for i, part in enumerate(("offset < 100", "offset >= 100", "offset >= 100")):
+        write(log.filter(part), min(i, 1))  # the last one again
+    table = spark.table(name)
+    assert table.count() == 1000 and {r[0] for r in table.select("year").distinct().collect()} == {2024}
+    assert table.columns[-6:] == ["appname", "batch_id", "year", "mon", "day", "hour"]
+
+
+def test_a_query_that_does_not_end_raises(spark, scratch):
+    root = scratch("endless")
+    src = _write_source(spark, root, files=2)
+    q = start_ingest(read_log_stream(spark, src, max_files_per_trigger=1), f"{root}/t", f"{root}/o", f"{root}/c", EVENT_RECORD, "ts_ms",
+                     "a", trigger_seconds=1)
+    with pytest.raises(TimeoutError):
+        drain(q, 3)
+    assert not q.isActive
+
+
+def test_a_batch_is_scanned_at_most_twice(spark, scratch):
+    root = scratch("scans")
+    path = f"{root}/log"
+    ev.events_log(spark, SF_SMALL).write.parquet(path)
+    counter = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        counter.add(1)
+        yield from batches
+
+    batch = spark.read.parquet(path).coalesce(1).mapInArrow(counted, spark.read.parquet(path).schema)
+    batch_writer(EVENT_RECORD, "ts_ms", f"{root}/t", f"{root}/o", "a")(batch, 0)
+    assert counter.value <= 2
+    before = counter.value
+    batch_writer(EVENT_RECORD, "ts_ms", f"{root}/t", f"{root}/o", "a", cache_batch=True)(batch, 1)
+    assert counter.value - before == 1
+
+
+def test_offset_log_compaction_prunes_on_time(spark, scratch):
+    from ledgerline.operators.offsets import OFFSET_LOG_COLUMNS, scan_offset_log
+    from ledgerline.sinks.tables import compact_offset_log, read_offset_log, write_offset_log
+
+    root = scratch("olog")
+    rows = ev.hourly_offset_log(ev.events_log(spark, SF_SMALL))
+    write_offset_log(rows, f"{root}/log")
+    compact_offset_log(spark, f"{root}/log", f"{root}/compact", files=3)
+    compact = read_offset_log(spark, f"{root}/compact")
+    assert compact.columns == OFFSET_LOG_COLUMNS
+    assert compact.exceptAll(rows).count() == 0 and compact.count() == rows.count()
+    assert len(compact.inputFiles()) <= 3
+    plan = scan_offset_log(compact, ev.APPNAME, 0, 5)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(batch_ts" in plan and "PartitionFilters: [isnotnull(appname" in plan

@@ -58,9 +58,51 @@ def test_delimited_round_trip_with_pipes_quotes_newlines(spark, scratch):
     assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
 
 
+@pytest.mark.parametrize("sep", ["|", "\t", ";;"])
+def test_delimited_plain_form_escapes(spark, scratch, sep):
+    texts = ["", None, "\\N", "|", "\t", ";;", "a\nb", "\r\n", "\\", "\\n", "\\\\N|", '"', "\x01\x02", "\\1", " x ", "é\u2028"]
+    df = spark.createDataFrame([(i, t, t, float(i)) for i, t in enumerate(texts)], "id long, a string, b string, c double")
+    path = scratch("plain")
+    write_delimited(df, path, sep=sep)
+    assert sorted(map(tuple, read_delimited(spark, path, df.schema, sep=sep).collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_delimited_files_of_other_tools(spark, scratch):
+    path = scratch("foreign")
+    spark.createDataFrame([('1|say "hi"|2.5',), ("\\N|\\N|\\N",), ("3||0",)], "value string").write.text(path)
+    got = read_delimited(spark, path, _foreign())
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(1, 'say "hi"', 2.5), (None, None, None), (3, "", 0.0)], key=str)
+    with pytest.raises(Exception, match="has not 4 fields"):
+        read_delimited(spark, path, _foreign().add("more", _foreign()["t"].dataType)).collect()
+
+
+def _foreign():
+    from pyspark.sql import types as T
+
+    return T.StructType().add("k", T.IntegerType()).add("t", T.StringType()).add("v", T.DoubleType())
+
+
+def test_quoted_form_round_trip(spark, scratch):
+    df, path = _status(spark), scratch("quoted")
+    write_delimited(df, path, quoted=True)
+    back = read_delimited(spark, path, df.schema, quoted=True)
+    assert sorted(map(tuple, back.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    from ledgerline.session import ensure_checkpoint_dir
+
+    conf = SimpleNamespace(get=lambda *a: None)
+    spark = SimpleNamespace(sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: conf, master="spark://host:1"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        ensure_checkpoint_dir(spark)
+
+
 def test_versions_and_create_like(spark, scratch):
     assert version_names("t", "20170120_1527") == {"version": "t_20170120_1527", "deltas": "t_deltas_20170120_1527"}
-    assert offset_deltas_name("t", 2979) == "t_2979_deltas"
+    assert offset_deltas_name("t", 41) == "t_41_deltas"
     assert len(version_stamp()) == len("20170120_1527")
     base = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     base.write.option("path", scratch("base_tbl")).saveAsTable("base_tbl_t1")
