@@ -7,10 +7,8 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# The keywords the feed was filtered on, and the characters kept
-# by the printable filter (space to tilde, tab, newline, carriage return,
-# vertical tab, form feed).
-FEED_KEYWORDS = ["python", "spark", "cloudera"]
+# Fixed value: the characters kept by the printable filter (space to tilde,
+# tab, newline, carriage return, vertical tab, form feed).
 NOT_PRINTABLE = r"[^\x20-\x7E\t\n\r\x0B\x0C]"
 
 # A term matches as a whole token: not preceded or followed by [a-z0-9_] (the

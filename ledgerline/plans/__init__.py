@@ -1,10 +1,10 @@
 """Composite jobs built from the operators, sources and sinks."""
 
 from ledgerline.plans.publish import publish
-from ledgerline.plans.replay import decode_messages, minute_text_to_epoch, replay_and_merge, replay_offsets, replay_time
+from ledgerline.plans.replay import decode_messages, minute_text_to_epoch, replay_and_merge, replay_kafka_time, replay_offsets, replay_time
 from ledgerline.plans.versions import merge_version, version_stamp
 
 __all__ = [
-    "decode_messages", "merge_version", "minute_text_to_epoch", "publish", "replay_and_merge", "replay_offsets",
-    "replay_time", "version_stamp",
+    "decode_messages", "merge_version", "minute_text_to_epoch", "publish", "replay_and_merge", "replay_kafka_time",
+    "replay_offsets", "replay_time", "version_stamp",
 ]

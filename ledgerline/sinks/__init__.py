@@ -4,6 +4,7 @@ from ledgerline.sinks.tables import (
     append_log,
     append_partitioned,
     compact,
+    compact_offset_log,
     create_like,
     create_table,
     frame_columns,
@@ -22,7 +23,7 @@ from ledgerline.sinks.tables import (
 )
 
 __all__ = [
-    "append_log", "append_partitioned", "compact", "create_like", "create_table", "frame_columns", "insert_into",
+    "append_log", "append_partitioned", "compact", "compact_offset_log", "create_like", "create_table", "frame_columns", "insert_into",
     "offset_deltas_name", "overwrite_batch", "overwrite_partitions", "publish_log", "read_offset_log",
     "table_columns", "version_names", "write_delimited", "write_log", "write_offset_log", "write_version",
 ]
