@@ -12,7 +12,8 @@ the rule's; the longest wins and overrules the mined ones.
 Defined cases: a null url, or one without ``://``, has an empty host and path and no tokens, fits no
 rule, and is allowed; null labels don't count; a page labelled more than once is bad if any of its
 labels is; without labels nothing is mined; repeated rows each get their result; other columns are
-ignored.  FP-growth bounds the rules by their support, whatever the number of urls.
+ignored.  Rules are mined from at most about ``SAMPLE_ROWS`` labelled pages, drawn by hash, as FP-growth
+gathers the pages of a frequent token in one task; every url is judged.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from ledgerline.llm.common import ascii_lower, checked_broadcast, staged
 BAD = "label=bad"
 MIN_SUPPORT = 0.002
 MIN_COUNT = 20  # labelled urls that a rule must rest on, however few there are
+SAMPLE_ROWS = 500_000  # labelled pages that rules are mined from
+SEED = 17
 MIN_CONFIDENCE = 0.6
 MIN_LIFT = 1.2
 
@@ -171,9 +174,12 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, rules: Sequence[UrlRule] =
     )
 
 
-def labelled_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
+def labelled_pages(pages: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """url, bad of the pages that ``labels`` covers (a page's id is its label's doc_id): bad is low
-    quality or toxic."""
+    quality or toxic.  Of more than ``sample_rows`` labels, about so many are drawn by a hash of the id."""
     bad = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
-    known = labels.where("quality is not null or toxic is not null").groupBy(F.col("doc_id").alias("page_id")).agg(F.max(bad).alias("bad"))
+    given = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
+    share = min(1.0, sample_rows / max(1, given.count()))
+    drawn = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    known = given.where(drawn).groupBy(F.col("doc_id").alias("page_id")).agg(F.max(bad).alias("bad"))
     return pages.select("page_id", "url").join(known, "page_id").select("url", "bad")
