@@ -16,12 +16,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def staged(df: DataFrame, name: str = "stage") -> DataFrame:
     """``df`` written once to the shared scratch folder and read back: cuts the lineage and
-    survives a lost executor, whose share Spark reads again from the files."""
+    survives a lost executor, whose share Spark reads again from the files.  The shuffle files
+    of the write go with it, as nothing reads them again."""
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -7,7 +7,8 @@ lie in the leading columns of both, whose number follows from the set's size; th
 those column blocks only, its cells are accumulated per pair, and pairs below the size-derived bounds are
 discarded.  What is left is settled by the overlap of the whole sets.
 
-Within a column, rows are not paired with each other but with the column's first row.  Links found so
+A row that shares fewer than ``k`` leading columns with all others together is linked with nothing and
+goes first.  Within a column, rows are not paired with each other but with the column's first row.  Links found so
 join rows to classes; then only classes that still share a column are compared, by their first rows.  The
 Jaccard distance is a metric: two classes whose first rows are further apart than the threshold and both
 radii have no link between them, and only for the others are the rows of the shared columns paired.  So a
@@ -29,17 +30,18 @@ import xxhash
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from ledgerline.llm.common import checked_broadcast, staged
 
 N = 5
 PERCENT = 80  # threshold, in hundredths
 LEAD = 8  # common n-grams asked for among the leading columns
-LOCAL_COUNT = 8  # a column is reported as frequent by a task from this count on
-FREQUENT_SHARE = 1 / 2000
-FREQUENT_LEAST = 50
-MAX_FREQUENT = 1_000_000
-CHUNK = 2_000_000
+LOCAL_COUNT = 3  # a column's count is reported by a chunk of documents from this on
+FREQUENT_LEAST = 8  # columns with at least so many counted rows come last in the order
+MAX_FREQUENT = 2_000_000  # and at most so many, the most frequent
+CHUNK = 4_000_000
+CORE_ROUNDS = 2
 CACHE = 500_000
 
 
@@ -78,8 +80,9 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
 
 
 def frequent_columns(docs: DataFrame, n: int = N) -> DataFrame:
-    """n-gram hashes that many rows hold, from counts over all documents.  Columns that stay below
-    ``LOCAL_COUNT`` in every chunk are not reported; they only keep their place in the order."""
+    """n-gram hashes that several rows hold, the most frequent first, from counts over all documents.
+    Columns that stay below ``LOCAL_COUNT`` in every chunk are not reported, and those beyond
+    ``MAX_FREQUENT`` are left out; they only keep their place in the order."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, held, size = WordHashes(), [], 0
@@ -100,9 +103,13 @@ def frequent_columns(docs: DataFrame, n: int = N) -> DataFrame:
             yield report()
 
     counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    least = max(FREQUENT_LEAST, docs.count() * FREQUENT_SHARE)
-    # at most the number of n-grams / least rows; the order may hold any set of them
-    return counted.where(F.col("n") >= least).orderBy(F.desc("n"), "token").limit(MAX_FREQUENT)
+    counted = staged(counted.where(F.col("n") >= FREQUENT_LEAST), "frequent")
+    # the counts that at most MAX_FREQUENT columns reach; the order may hold any set of columns
+    least, held = FREQUENT_LEAST, counted.count()
+    while held > MAX_FREQUENT:
+        least *= 2
+        held = counted.where(F.col("n") >= least).count()
+    return counted.where(F.col("n") >= least)
 
 
 def lead_length(size: int, percent: int, lead: int) -> tuple[int, int]:
@@ -117,7 +124,7 @@ def incidence(docs: DataFrame, frequent: Broadcast, n: int, percent: int, lead:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, last = WordHashes(), frequent.value
+        hashes, (last, place) = WordHashes(), frequent.value
         for batch in batches:
             sizes, names, leads, asked = [], [], [], []
             for text in batch["text"].to_pylist():
@@ -127,8 +134,9 @@ def incidence(docs: DataFrame, frequent: Broadcast, n: int, percent: int, lead:
                 head = columns
                 if len(columns) and len(last):
                     at = np.searchsorted(last, columns)
-                    often = last[np.minimum(at, len(last) - 1)] == columns
-                    head = np.concatenate([columns[~often], columns[often]])
+                    at = np.minimum(at, len(last) - 1)
+                    often = last[at] == columns
+                    head = np.concatenate([columns[~often], columns[often][np.argsort(place[at[often]], kind="stable")]])
                 sizes.append(len(columns))
                 leads.append(head[:length])
                 asked.append(k)
@@ -168,30 +176,52 @@ class Product:
     def __init__(self, docs: DataFrame, n: int, percent: int, lead: int):
         self.docs, self.n, self.percent = docs.select("doc_id", "text"), n, percent
         spark = docs.sparkSession
-        frequent = frequent_columns(docs, n).select("token").toArrow()["token"].to_numpy()  # at most MAX_FREQUENT
-        shared = spark.sparkContext.broadcast(np.sort(frequent.astype(np.int64).view(np.uint64)))
+        frequent = frequent_columns(docs, n).toArrow()  # at most MAX_FREQUENT
+        tokens = frequent["token"].to_numpy().astype(np.int64).view(np.uint64)
+        order = np.argsort(tokens)
+        shared = spark.sparkContext.broadcast((tokens[order], frequent["n"].to_numpy().astype(np.int64)[order]))
         self.rows = staged(incidence(self.docs, shared, n, percent, lead), "incidence")
-        self.sets = staged(
+        sets = staged(
             self.rows.where("size > 0")
             .groupBy("row")
-            .agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("k").alias("k"), F.first("lead").alias("lead")),
+            .agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("k").alias("k"), F.first("lead").alias("lead"))
+            .withColumnRenamed("row", "hash"),
             "incidence_rows",
         )
-        columns = self.sets.select("row", F.explode("lead").alias("token"))
-        firsts = columns.groupBy("token").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first <> last")
-        firsts = checked_broadcast(staged(firsts.select("token", "first"), "columns"))
-        self.cells = staged(columns.join(firsts, "token"), "cells")  # token, row, first: columns of two rows or more
+        # a row is named by its smallest doc_id, so that a column's first row is the oldest text; by its
+        # hash if the doc_id is null, no whole number, or names several rows
+        name = F.col("hash")
+        if isinstance(self.docs.schema["doc_id"].dataType, IntegralType):
+            several = sets.groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("twice"))
+            sets = sets.join(checked_broadcast(staged(several, "several")), F.col("doc_id") == F.col("twice"), "left")
+            name = F.coalesce(F.when(F.col("twice").isNull(), F.col("doc_id").cast("long")), name)
+        sets = sets.withColumn("row", name)
+        self.sets = sets.select("row", "hash", "doc_id", "size", "k")
+        self.cells = self._cells(sets.select("row", F.explode("lead").alias("token")))
+
+    def _cells(self, columns: DataFrame) -> DataFrame:
+        """token, row, first: the leading columns of two rows or more, and their first row.  A row with
+        fewer than ``k`` of them is linked with nothing and goes, which may leave other rows too few."""
+        cells = columns
+        for again in range(CORE_ROUNDS + 1):
+            firsts = cells.groupBy("token").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first <> last")
+            firsts = checked_broadcast(staged(firsts.select("token", "first"), "columns"))
+            cells = staged(cells.select("token", "row").join(firsts, "token"), "cells")
+            if again == CORE_ROUNDS:
+                return cells
+            held = cells.groupBy("row").agg(F.count(F.lit(1)).alias("held"))
+            core = held.join(self.sets.select("row", "k"), "row").where("held >= k").select("row")
+            cells = cells.join(checked_broadcast(staged(core, "core")), "row", "left_semi")
 
     def enough(self, common: Column, a: Column, b: Column) -> Column:
         return common * 100 >= (a + b - common) * self.percent
 
     def bounded(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) that the sizes and the accumulated leading cells allow."""
-        side = lambda x: self.sets.select(*[F.col(c).alias(f"{c}_{x}") for c in ("row", "size", "k", "lead")])
+        """Pairs (a, b, cells) that their sizes and accumulated leading cells allow."""
+        side = lambda x: self.sets.select(F.col("row").alias(x), F.col("size").alias(f"size_{x}"), F.col("k").alias(f"k_{x}"))
         fits = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * self.percent
-        cells = F.size(F.array_intersect("lead_a", "lead_b"))
-        joined = pairs.join(side("a").withColumnRenamed("row_a", "a"), "a").join(side("b").withColumnRenamed("row_b", "b"), "b")
-        return joined.where(fits).where(cells >= F.least("k_a", "k_b")).select("a", "b")
+        joined = pairs.join(side("a"), "a").join(side("b"), "b")
+        return joined.where(fits).where(F.col("cells") >= F.least("k_a", "k_b")).select("a", "b")
 
     def overlaps(self, pairs: DataFrame) -> DataFrame:
         """a, b, jaccard of the whole sets, which are made anew from the texts of the rows asked for."""
@@ -199,7 +229,7 @@ class Product:
         if pairs.isEmpty():
             return pairs.select("a", "b", F.lit(0.0).alias("jaccard"), F.lit(False).alias("linked"))
         asked = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
-        asked = staged(self.sets.select("row", "doc_id").join(asked, "row"), "asked")
+        asked = staged(self.sets.select("row", "hash", "doc_id").join(asked, "row"), "asked")
         names = checked_broadcast(asked.select(F.col("doc_id").alias("name")).distinct())
         texts = self.docs.join(names, self.docs["doc_id"].eqNullSafe(names["name"]), "left_semi")
         n = self.n
@@ -210,10 +240,10 @@ class Product:
                 sets = [ngram_set(t, hashes, n) for t in batch["text"].to_pylist()]
                 sets = [s for s in sets if len(s)]
                 name = np.array([xxhash.xxh64_intdigest(s.tobytes()) for s in sets], np.uint64)
-                yield pa.RecordBatch.from_arrays([_signed(name), _lists(sets)], ["row", "columns"])
+                yield pa.RecordBatch.from_arrays([_signed(name), _lists(sets)], ["hash", "columns"])
 
-        made = texts.select("text").mapInArrow(make, "row long, columns array<long>")
-        made = staged(made.join(asked.select("row"), "row", "left_semi").groupBy("row").agg(F.first("columns").alias("columns")), "sets")
+        made = texts.select("text").mapInArrow(make, "hash long, columns array<long>")
+        made = staged(made.join(asked.select("hash", "row"), "hash").groupBy("row").agg(F.first("columns").alias("columns")), "sets")
         side = lambda x: made.select(F.col("row").alias(x), F.col("columns").alias(f"columns_{x}"))
         common = F.size(F.array_intersect("columns_a", "columns_b"))
         whole = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", common.alias("common"), F.size("columns_a").alias("na"), F.size("columns_b").alias("nb"))
@@ -225,37 +255,38 @@ class Product:
 
     def links(self) -> DataFrame:
         """a, b: enough links between rows to give every component of the whole join."""
+        cells = F.count(F.lit(1)).alias("cells")
         pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-        stars = self.cells.where("row <> first").select(*pair("row", "first")).distinct()
+        stars = self.cells.where("row <> first").groupBy(*pair("row", "first")).agg(cells)
         stars = self.overlaps(self.bounded(stars)).where("linked")
         links = stars.select("a", "b")
         classes = staged(components(links), "classes")
-        # columns that rows of several classes share
+        # columns that rows of several classes share; a row without a class is one
         placed = self.cells.join(classes.withColumnRenamed("node", "row"), "row", "left")
         placed = placed.withColumn("component", F.coalesce("component", "row"))
         split = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
         placed = staged(placed.join(split, "token", "left_semi").select("token", "row", "component"), "placed")
         reach = placed.select("token", "component").distinct()
         met = reach.select("token", F.col("component").alias("a")).join(reach.select("token", F.col("component").alias("b")), "token")
-        met = met.where("a < b").select("a", "b").distinct()
-        radius = (
-            classes.where("node <> component")
-            .join(stars.select(F.col("a").alias("component"), F.col("b").alias("node"), "jaccard"), ["component", "node"], "left")
-            .groupBy("component")
-            .agg(F.max(F.coalesce(1 - F.col("jaccard"), F.lit(1.0))).alias("radius"))
-        )
-        radius = staged(radius, "radius")
-        met = met.join(radius.withColumnsRenamed({"component": "a", "radius": "ra"}), "a", "left")
-        met = met.join(radius.withColumnsRenamed({"component": "b", "radius": "rb"}), "b", "left")
-        met = staged(met.select("a", "b", (F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0))).alias("radii")), "met")
-        single = met.where("radii = 0").select("a", "b")
-        links = links.union(self.overlaps(self.bounded(single)).where("linked").select("a", "b"))
-        wide = met.where("radii > 0")
-        near = self.overlaps(wide.select("a", "b")).join(wide, ["a", "b"])
-        open_ = near.where((1 - F.col("jaccard")) <= (1 - self.percent / 100) + F.col("radii") + 1e-9).select("a", "b")
+        met = met.where("a < b").groupBy("a", "b").agg(cells)
+        # a class's radius (distance of its rows from its first one, where that is known) and sizes
+        inside = classes.join(self.sets.select(F.col("row").alias("node"), "size", "k"), "node")
+        inside = inside.join(stars.select(F.col("a").alias("component"), F.col("b").alias("node"), "jaccard"), ["component", "node"], "left")
+        away = F.when(F.col("node") == F.col("component"), 0.0).otherwise(F.coalesce(1 - F.col("jaccard"), F.lit(1.0)))
+        spread = inside.groupBy("component").agg(F.max(away).alias("radius"), F.min("size").alias("low"), F.max("size").alias("high"), F.min("k").alias("k"))
+        alone = self.sets.select(F.col("row").alias("component"), F.lit(0.0).alias("radius"), F.col("size").alias("low"), F.col("size").alias("high"), "k")
+        spread = staged(spread.union(alone.join(classes, alone["component"] == classes["node"], "left_anti")), "spread")
+        side = lambda x: spread.select(*[F.col(c).alias(x if c == "component" else f"{c}_{x}") for c in spread.columns])
+        met = met.join(side("a"), "a").join(side("b"), "b").where(F.col("cells") >= F.least("k_a", "k_b"))
+        met = met.where(F.least("high_a", "high_b") * 100 >= F.greatest("low_a", "low_b") * self.percent)
+        met = staged(met.select("a", "b", (F.col("radius_a") + F.col("radius_b")).alias("radii")), "met")
+        near = self.overlaps(met.select("a", "b"))  # first rows against first rows
+        links = links.union(near.where("linked").select("a", "b"))
+        open_ = near.where("not linked").join(met.where("radii > 0"), ["a", "b"])
+        open_ = open_.where((1 - F.col("jaccard")) <= (1 - self.percent / 100) + F.col("radii") + 1e-9).select("a", "b")
         left = placed.select("token", F.col("row").alias("ra"), F.col("component").alias("a"))
         right = placed.select("token", F.col("row").alias("rb"), F.col("component").alias("b"))
-        rest = open_.join(left, "a").join(right, ["token", "b"]).select(*pair("ra", "rb")).distinct()
+        rest = open_.join(left, "a").join(right, ["token", "b"]).groupBy(*pair("ra", "rb")).agg(cells)
         return links.union(self.overlaps(self.bounded(rest)).where("linked").select("a", "b"))
 
 
@@ -266,10 +297,10 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, lead
     named = product.sets.select("row", "doc_id").join(classes.withColumnRenamed("node", "row"), "row")
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("smallest"))
     named = named.join(smallest, "component").select("row", "smallest")
-    firsts = product.sets.select("row", F.col("doc_id").alias("own")).join(named, "row", "left")
-    firsts = firsts.select("row", F.coalesce("smallest", "own").alias("component_id"))
-    rows = product.rows.select("doc_id", "size", F.when(F.col("size") > 0, F.col("row")).alias("row"))
-    return rows.join(firsts, "row", "left").select(
+    firsts = product.sets.select("row", "hash", F.col("doc_id").alias("own")).join(named, "row", "left")
+    firsts = firsts.select("hash", F.coalesce("smallest", "own").alias("component_id"))
+    rows = product.rows.select("doc_id", "size", F.when(F.col("size") > 0, F.col("row")).alias("hash"))
+    return rows.join(firsts, "hash", "left").select(
         "doc_id",
         F.col("size").alias("n_shingles"),
         F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),

@@ -104,6 +104,7 @@ def _chains():
 def test_jaccard_chains(make_docs, monkeypatch, frequent):
     monkeypatch.setattr(ngram_jaccard, "FREQUENT_LEAST", frequent)
     monkeypatch.setattr(ngram_jaccard, "LOCAL_COUNT", 2)
+    monkeypatch.setattr(ngram_jaccard, "MAX_FREQUENT", 300)
     docs = _chains()
     got = ngram_jaccard.jaccard_components(make_docs(docs))
     assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(docs), key=repr)
