@@ -15,7 +15,7 @@ context's range.
 
 Spark reads the texts once, into blocks of encoded tokens in the shared folder; counts all words of the
 training texts by a shuffle; gives each block the counts of its words; and sends each shard the distinct
-bigrams of each block with where they occur.  Only sums per document come back.
+bigrams of each block with where they occur.  Only the sums of a block's documents come back.
 
 Defined cases: a null or empty text is its end token alone; a null doc_id is not held out; repeated rows are
 texts of their own; without training texts all words are unknown and every probability is that of the
@@ -294,51 +294,49 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
 
     def one_shard(table: pa.Table) -> pa.Table:
         if table["shard"][0].as_py() < 0:  # documents: as they are
-            rows = [(b, i, *d.values()) for b, docs_ in zip(table["block"].to_pylist(), table["docs"].to_pylist(), strict=True) for i, d in enumerate(docs_)]
-            columns = list(zip(*rows, strict=True))
-            return pa.table([pa.array(x, t) for x, t in zip(columns, result_types, strict=True)], result_names)
+            return table.select(["block", "docs"]).append_column("gains", pa.nulls(table.num_rows, pa.binary()))
         keys, bases, times = [], [], []
         for row in range(table.num_rows):
             left = np.cumsum(unpack(table["contexts"][row].as_py(), np.uint32), dtype=np.uint64)
             keys.append((left << np.uint64(BITS)) | unpack(table["successors"][row].as_py(), np.uint32))
             bases.append(unpack(table["base"][row].as_py(), np.uint8))
             times.append(unpack(table["trained"][row].as_py(), np.uint32))
+        cuts = np.r_[0, np.cumsum([len(x) for x in keys])]
         distinct, firsts, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
         count = np.bincount(inverse, weights=np.concatenate(times))
         p = 10.0 ** (-BASE_STEP * np.concatenate(bases)[firsts])
         held = count > 0
         trie = Trie(distinct[held], np.log10(1 + count[held] / (MU * p[held])))
-        del distinct, firsts, inverse, count, p
-        blocks_, places, gains = [], [], []
+        found = trie.gains(distinct)[inverse]  # every block's bigrams, looked up once
+        trie.file.close()
+        sums = []
         for row in range(table.num_rows):
-            gain = trie.gains(keys[row])[unpack(table["places"][row].as_py(), np.uint32)]
+            gain = found[cuts[row] : cuts[row + 1]][unpack(table["places"][row].as_py(), np.uint32)]
             per_doc = unpack(table["per_doc"][row].as_py(), np.uint32)
-            some = np.flatnonzero(per_doc)
-            sums = np.add.reduceat(gain, np.r_[0, np.cumsum(per_doc[some], dtype=np.int64)[:-1]])
-            blocks_.append(np.full(len(some), table["block"][row].as_py()))
-            places.append(some)
-            gains.append(sums)
-        trie.file.close()
-        m = sum(map(len, gains))
-        columns = [np.concatenate(blocks_), np.concatenate(places), None, None, None, None, None, np.concatenate(gains)]
-        return pa.table([pa.nulls(m, t) if x is None else pa.array(x, t) for x, t in zip(columns, result_types, strict=True)], result_names)
-
-    result_names = ["block", "place", "doc_id", "held_out", "n_tokens", "n_known", "base", "gain"]
+            ends = np.r_[0.0, np.cumsum(gain)][np.cumsum(per_doc, dtype=np.int64)]
+            sums.append(pack(np.diff(ends, prepend=0.0)))
+        return pa.table([table["block"], pa.nulls(len(sums), list_type), pa.array(sums, pa.binary())], ["block", "docs", "gains"])
+
+    def one_block_sum(table: pa.Table) -> pa.Table:
+        """A block's documents with the gains that all shards found for them."""
+        info = next(x for x in table["docs"].combine_chunks() if x.is_valid).values
+        gain = info.field("gain").to_numpy(zero_copy_only=False).copy()
+        for x in table["gains"].to_pylist():
+            if x is not None:
+                gain += unpack(x, np.float64)
+        fields = [info.field(c) for c in result_names[:-1]]
+        return pa.table([*fields, pa.array(gain)], result_names)
+
+    result_names = ["doc_id", "held_out", "n_tokens", "n_known", "base", "gain"]
     doc_type = to_arrow_type(blocks.schema["doc_ids"].dataType.elementType)
-    result_types = [pa.int64(), pa.int64(), doc_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
-    list_type = pa.list_(pa.struct(list(zip(result_names[2:], result_types[2:], strict=True))))
-    struct = ", ".join(f"{name}: {k}" for name, k in zip(result_names[2:], (kind, "boolean", "bigint", "bigint", "double", "double"), strict=True))
+    result_types = [doc_type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+    list_type = pa.list_(pa.struct(list(zip(result_names, result_types, strict=True))))
+    struct = ", ".join(f"{name}: {k}" for name, k in zip(result_names, (kind, "boolean", "bigint", "bigint", "double", "double"), strict=True))
     sent = f"shard long, block long, docs array<struct<{struct}>>, " + ", ".join(f"{c} binary" for c in names[3:])
-    messages = blocks.join(known_counts(blocks, counts), "block", "left").mapInArrow(split, sent)
-    parts = messages.groupBy("shard").applyInArrow(one_shard, f"block long, place long, {doc_fields}")
-    texts = parts.groupBy("block", "place").agg(
-        F.max("doc_id").alias("doc_id"),
-        F.max("held_out").alias("held_out"),
-        F.sum("n_tokens").alias("n_tokens"),
-        F.sum("n_known").alias("n_known"),
-        F.sum("base").alias("base_score"),
-        F.sum("gain").alias("gain"),
-    )
+    known = staged(known_counts(blocks, counts), "lm_known")
+    messages = blocks.join(known, "block", "left").mapInArrow(split, sent)
+    parts = messages.groupBy("shard").applyInArrow(one_shard, f"block long, docs array<struct<{struct}>>, gains binary")
+    texts = parts.groupBy("block").applyInArrow(one_block_sum, doc_fields).withColumnRenamed("base", "base_score")
     return texts.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"),
         "base_score", (F.col("base_score") + F.col("gain")).alias("score"),
