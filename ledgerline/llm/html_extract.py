@@ -6,7 +6,7 @@ of its text) and a parent-child potential are learned from labelled pages; sum-p
 up and down the tree once each, and a node's text is kept if its marginal is at least one half.
 
 Training pages are the written ones below (``TRAINING_PAGES``, ``c`` marks content nodes) and a bounded
-sample (``sample_rows``) of the pages given, labelled by their own article and main elements.
+sample (about ``sample_rows``, drawn by hash) of the pages given, labelled by their own article and main elements.
 
 Text inside a block has its character references decoded and its white space made one space; blocks
 are joined in page order by one space.  Scripts, styles, the head and form controls hold no text of
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLE_ROWS = 400
-PRIOR = 0.5  # pseudo-count of every feature and transition
+PRIOR = 0.1  # pseudo-count of every feature and transition
 SEED = 5
 
 # Element roles of HTML.
@@ -66,6 +66,8 @@ TOKEN = re.compile(
     re.S | re.I,
 )
 HINTS = re.compile(r"""\b(class|id|role|data-c)\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""", re.I)
+ROLES = frozenset("article main nav aside footer header form".split())
+TOP = frozenset(("page", "html", "body"))
 SPLIT = re.compile(r"[^a-z]+")
 CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
@@ -76,16 +78,16 @@ TRAINING_PAGES = (  # fixed values: labelled pages
     '<aside class="related"><h3>Related</h3><ul><li><a href=4>Another story</a></li></ul></aside><blockquote data-c=1><p data-c=1>What was said.</p></blockquote>'
     '<ul data-c=1><li data-c=1>One point of the list.</li><li data-c=1>Another point of it.</li></ul></article></main>'
     '<section class="comments" id="comments"><h2>Comments</h2><div class="comment"><p>I do not agree with any of this, said a reader.</p></div>'
-    '<form><p>Write a comment</p></form></section><footer><p>Copyright the paper</p></footer></body>',
-    '<body><div id="cookie-notice"><p>We use cookies to make this site work.</p></div><div class="menu"><ul><li><a href=1>Start</a></li></ul></div>'
+    '<form><p>Write a comment</p></form></section><div><p>Offers of our partners this week</p></div><footer><p>Copyright the paper</p></footer></body>',
+    '<body><header><h1>The site</h1><h2>A motto</h2><ul><li><a href=9>x</a></li></ul></header><div id="cookie-notice"><p>We use cookies to make this site work.</p></div><div class="menu"><ul><li><a href=1>Start</a></li></ul></div>'
     '<div id="content" data-c=1><div class="post" data-c=1><h2 data-c=1>Notes of a journey</h2><div data-c=1>Plain text in a division, which runs on for a while.</div>'
     '<p data-c=1>Then a paragraph.</p><div class="ad">Buy this now</div><p data-c=1>And one more, at the end of it.</p><table data-c=1><tr data-c=1><td data-c=1>1 kg</td></tr></table>'
-    '</div></div><div class="sidebar"><p>About the author, in some words.</p></div><div id="footer">All rights reserved</div></body>',
-    '<body><nav><a href=1>a</a> <a href=2>b</a></nav><aside><p>A note at the side of the page.</p></aside><article data-c=1><header><p>By someone, in May</p></header>'
+    '</div></div><div class="sidebar"><p>About the author, in some words.</p></div><div id="footer"><h3>Contact</h3><p>All rights reserved</p><ul><li>x</li></ul></div></body>',
+    '<body><nav><a href=1>a</a> <a href=2>b</a></nav><p>You are here.</p><aside><h1>Aside</h1><p>A note at the side of the page.</p></aside><article data-c=1><header><p>By someone, in May</p></header>'
     '<h1 data-c=1>Title</h1><section data-c=1><h2 data-c=1>Part one</h2><p data-c=1>Text of the part.</p><figure data-c=1><figcaption data-c=1>A caption.</figcaption></figure></section>'
     '<section data-c=1><p data-c=1>More of it.</p><pre data-c=1>x = 1</pre></section><form class="newsletter"><p>Sign up for our letter</p></form>'
     '<footer><p>Filed under things</p></footer></article><div role="alert"><p>This site will be down on Monday.</p></div></body>',
-    '<body><div><div><p data-c=1>A bare page has only paragraphs that hold some sentences each.</p><p data-c=1>Nothing else tells their role, but they are long.</p></div></div></body>',
+    '<body><div data-c=1><div data-c=1><p data-c=1>A bare page has only paragraphs that hold some sentences each.</p><p data-c=1>Nothing else tells their role, but they are long.</p></div></div></body>',
 )
 
 
@@ -186,24 +188,33 @@ def features(node: Node) -> tuple[str, ...]:
     return ("tag=" + node.tag, f"text={size}/{share}", *("hint=" + h for h in node.hints))
 
 
+def kinds(nodes: list[Node]) -> list[int]:
+    """How a node hangs on its parent: 0 in a role of its own, 1 plainly, 2 plainly at the top of a page
+    that has an article or main element, 3 at the top of one that has none."""
+    main = any(node.tag in ("article", "main") for node in nodes)
+    return [
+        0 if node.tag in ROLES or node.hints else 1 if nodes[node.parent].tag not in TOP else 1 if node.tag in TOP else 2 if main else 3
+        for node in nodes
+    ]
+
+
 class TreeModel:
-    """Log-odds of features and of a child's state given its parent's."""
+    """Log-odds of features, and potentials of a child's state given its kind and its parent's state."""
 
     def __init__(self, pages: Iterable[list[Node]]):
         seen = [Counter(), Counter()]
         states = [PRIOR, PRIOR]
-        steps = [[PRIOR, PRIOR], [PRIOR, PRIOR]]
-        names: set[str] = set()
+        steps = [[[PRIOR, PRIOR], [PRIOR, PRIOR]] for _ in range(4)]
         for nodes in pages:
-            for node in nodes[1:]:
+            for node, kind in zip(nodes[1:], kinds(nodes)[1:], strict=True):
                 state = int(node.label)
                 states[state] += 1
-                steps[int(nodes[node.parent].label) if node.parent else 0][state] += 1
+                steps[kind][int(nodes[node.parent].label)][state] += 1
                 seen[state].update(features(node))
-        names = set(seen[0]) | set(seen[1])
-        self.odds = {f: math.log((seen[1][f] + PRIOR) / (states[1] + 1)) - math.log((seen[0][f] + PRIOR) / (states[0] + 1)) for f in names}
-        self.steps = [[x / sum(row) for x in row] for row in steps]
-        self.unseen = 0.0
+        self.odds = {
+            f: math.log((seen[1][f] + PRIOR) / states[1]) - math.log((seen[0][f] + PRIOR) / states[0]) for f in set(seen[0]) | set(seen[1])
+        }
+        self.steps = [[[x / sum(row) for x in row] for row in table] for table in steps]
         self.known: dict[tuple[str, ...], float] = {}
 
     def evidence(self, node: Node) -> float:
@@ -212,7 +223,7 @@ class TreeModel:
         if key not in self.known:
             if len(self.known) > 20_000:
                 self.known.clear()
-            odds = sum(self.odds.get(f, self.unseen) for f in key)
+            odds = sum(self.odds.get(f, 0.0) for f in key)
             if "hint=boiler" in key and "hint=content" not in key:
                 odds = min(odds, -4.0)
             self.known[key] = math.exp(max(-12.0, min(12.0, odds)))
@@ -220,8 +231,7 @@ class TreeModel:
 
     def marginals(self, nodes: list[Node]) -> list[float]:
         """Probability of content of every node: messages from the leaves up, then from the root down."""
-        (t00, t01), (t10, t11) = self.steps
-        n = len(nodes)
+        n, kind = len(nodes), kinds(nodes)
         up0, up1 = [1.0] * n, [1.0] * n  # evidence below and at the node
         to0, to1 = [1.0] * n, [1.0] * n  # message to the parent
         for i in range(n - 1, 0, -1):
@@ -229,6 +239,7 @@ class TreeModel:
             s = b0 + b1
             b0, b1 = b0 / s, b1 / s
             up0[i], up1[i] = b0, b1
+            (t00, t01), (t10, t11) = self.steps[kind[i]]
             m0, m1 = t00 * b0 + t01 * b1, t10 * b0 + t11 * b1
             to0[i], to1[i] = m0, m1
             p = nodes[i].parent
@@ -245,6 +256,7 @@ class TreeModel:
                 q1, q0 = out[p] / max(to1[i], 1e-300), (1 - out[p]) / max(to0[i], 1e-300)
                 s = q0 + q1
                 q0, q1 = q0 / s, q1 / s
+            (t00, t01), (t10, t11) = self.steps[kind[i]]
             b0, b1 = up0[i] * (q0 * t00 + q1 * t10), up1[i] * (q0 * t01 + q1 * t11)
             out[i] = b1 / (b0 + b1)
         return out
@@ -285,8 +297,10 @@ def train(sample: Iterable[str]) -> TreeModel:
 def extract_pages(pages: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """``pages`` (page_id, url, html) -> page_id, url, text, n_chars."""
     rows = pages.select("page_id", "url", "html")
-    sample = rows.where("html is not null").orderBy(F.xxhash64(F.lit(SEED), "page_id"), "page_id", "url").limit(sample_rows)
-    model = train(r["html"] for r in sample.select("html").collect())  # at most sample_rows pages
+    share = sample_rows / max(rows.count(), 1)
+    drawn = F.pmod(F.xxhash64(F.lit(SEED), "page_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
+    sample = rows.where("html is not null").where(drawn).select("html").limit(2 * sample_rows)  # a draw of about sample_rows by hash
+    model = train(r["html"] for r in sample.collect())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
