@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by an inverted multi-index.
 
 The unit vectors are split in two halves, each quantised by its own codebook (k-means on a bounded
-sample of ``sample_rows`` rows); a row's cell is its pair of centroids and every row is indexed.
+sample of about ``sample_rows`` rows, drawn by hash); a row's cell is its pair of centroids and every row is indexed.
 A query walks the centroid pairs in order of summed distance with a heap, until the cells walked
 hold ``share`` of all rows (``min_candidates`` at least), and their rows are reranked by the exact
 cosine in double precision.  ``share=1`` walks all cells and is exact.
@@ -35,6 +35,7 @@ SHARE = 0.45
 MIN_CANDIDATES = 1_000
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 2_048
+WALKS_PER_TASK = 128
 SEED = 11
 
 
@@ -150,7 +151,9 @@ def nearest_neighbours(
     the k nearest other rows."""
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vec_col)
-    sample = rows.orderBy(F.xxhash64(F.lit(SEED), "id"), "id").limit(sample_rows).select("vec").toPandas()  # bounded
+    share_drawn = sample_rows / max(rows.count(), 1)
+    drawn = F.pmod(F.xxhash64(F.lit(SEED), "id"), F.lit(1 << 30)) < int(share_drawn * (1 << 30)) + 1
+    sample = rows.where(drawn).orderBy("id").select("vec").toPandas()  # about sample_rows: ids are distinct
     result = "query_id long, vec_id long, score double"
     if not len(sample):
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
@@ -185,8 +188,9 @@ def nearest_neighbours(
             yield pd.DataFrame(out, columns=["id", "vec", "first", "seconds"])
 
     asked = index.where(is_query).select("id", "vec")
-    query_blocks = max(1, -(-asked.count() // block_queries))
-    plans = asked.repartition("id").mapInPandas(plan, "id long, vec array<double>, first int, seconds array<int>")
+    n_asked = asked.count()
+    query_blocks = max(1, -(-n_asked // block_queries))
+    plans = asked.repartition(max(1, -(-n_asked // WALKS_PER_TASK)), "id").mapInPandas(plan, "id long, vec array<double>, first int, seconds array<int>")
     plans = plans.withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1))).withColumn(
         "block", F.pmod(F.xxhash64("id"), F.lit(query_blocks)).cast("int")
     )
