@@ -19,10 +19,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later repeated runs of lines go; a document goes if all its lines do.  n_chars is counted anew."""
-    cut = line_dedup.drop_repeated_lines(docs)
+    """Later repeated passages go; a document goes if all its lines do.  n_chars of a cut text is counted anew."""
+    cut = line_dedup.drop_repeated_lines(docs.withColumn("__before", F.char_length("text")))
     cut = cut.where((F.col("__n_removed") == 0) | (F.col("__n_removed") < F.col("__n_lines")))
-    n_chars = F.when(F.col("__n_removed") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    after = F.char_length("text")
+    n_chars = F.when(after < F.col("__before"), after.cast("long")).otherwise(F.col("n_chars"))
     return cut.withColumn("n_chars", n_chars).select(*docs.columns)
 
 

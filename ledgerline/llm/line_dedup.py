@@ -1,25 +1,30 @@
-"""Line dedup by winnowing over line hashes.
-
-A text is its lines; a window is a shortest stretch of whole lines with at least ``min_words`` words,
-one for each line that it starts at and one for each line that it ends at.  A window's fingerprint is its
-least line hash, at its anchor; two equal runs of at least ``min_words`` words hold the same windows with
-the same anchors, so they always share a fingerprint.  Positions are joined on fingerprint and window, the
-first one in (doc_id, text hash, line) order stays, and the later ones go.  Windows that start at every line
-of a run and windows that end at every line carry a match on both ways, so their union is the whole
-repeated run.  Every line that goes stands at an earlier place that stays or has an earlier one itself.
-
-Rows that are shuffled are windows (hashes and positions), pre-aggregated per fingerprint, so a line that
-a third of all documents hold is one row per task.  Texts are cut in place.
-
-Defined cases: lines compare after trimming and with white space made one space; a null text stays null and
-an empty one empty; null doc_ids come last; rows repeated in full are one document, and each keeps what
-it keeps; within one document a later run goes if it does not overlap the first; texts are read whole;
-empty tables and other columns pass through.
+"""Line dedup by winnowing over word hashes, with every match carried past line ends.
+
+A text is its words; a window is ``min_words`` words in a row, wherever its lines begin and end.  A window's
+fingerprint is the least hash of the shorter runs (half as many words) inside it, so equal windows have equal
+fingerprints, and neighbouring windows mostly share theirs: a text sends one mark for each stretch of windows
+with the same fingerprint.  Only where a fingerprint stands at two places are the windows themselves sent;
+they are joined on fingerprint and window hash with the first place in (doc_id, text hash, word) order, which
+stays.  Later ones go, and their union is the whole repeated passage to the word, inside lines as well.  Every
+word that goes stands at an earlier place that stays or has an earlier one itself.
+
+Rows that are shuffled are marks and windows (hashes and positions), pre-aggregated per fingerprint, so a
+passage that a third of all documents hold is one row per task.  Of texts that are equal as a whole only the
+first one sends them; the others go.  Texts are cut in place: a line goes if all its words go, and keeps its
+other words if some do.
+
+Defined cases: words are what stands between white space, so how lines are broken or indented does not matter;
+a blank line goes if the words before and after it do; a null text stays null and an empty one empty; null
+doc_ids come last; rows repeated in full are one document, and each keeps what it keeps; within one document
+a later window goes if it does not overlap the first; texts are read whole; empty tables and other columns
+pass through.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -30,62 +35,117 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import checked_broadcast, staged
 
 MIN_WORDS = 50
+HELD_WORDS = 500_000  # most words whose hashes a task keeps
+MULTIPLIER = 0x9E3779B97F4A7C15
+WORD = re.compile(r"\S+")
 
-WINDOW_COLUMNS = ["doc_id", "th", "start", "stop", "fingerprint", "window"]
-
-
-def line_windows(text: str, min_words: int) -> list[tuple[int, int, int, int]]:
-    """(start, stop, fingerprint, window hash) of every window of a text."""
-    words = [line.split() for line in text.split("\n")]
-    sizes = [len(w) for w in words]
-    if sum(sizes) < min_words:
-        return []
-    hashes = np.fromiter((xxhash.xxh64_intdigest(" ".join(w)) for w in words), np.uint64, len(words))
-    data, values = hashes.tobytes(), hashes.view(np.int64).tolist()
-    spans, stop, held = [], 0, 0
-    for start in range(len(sizes)):  # shortest from each start
-        while held < min_words and stop < len(sizes):
-            held += sizes[stop]
-            stop += 1
-        if held < min_words:
-            break
-        spans.append((start, stop))
-        held -= sizes[start]
-    start, held = 0, 0
-    for end in range(len(sizes)):  # shortest up to each end
-        held += sizes[end]
-        while held - sizes[start] >= min_words:
-            held -= sizes[start]
-            start += 1
-        if held >= min_words:
-            spans.append((start, end + 1))
-    out = []
-    for start, stop in dict.fromkeys(spans):
-        window = xxhash.xxh64_intdigest(data[8 * start : 8 * stop])
-        out.append((start, stop - 1, min(values[start:stop]), window - (1 << 64) if window >= 1 << 63 else window))
-    return out
-
-
-def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """doc_id, th (hash of the text), spans (array of line ranges start..stop) of what repeats an
-    earlier place."""
+MARK_COLUMNS = ["doc_id", "th", "marks"]
+WINDOW_COLUMNS = ["doc_id", "th", "start", "fingerprint", "window"]
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, each taken once."""
+
+    def __missing__(self, word: str) -> int:
+        if len(self) >= HELD_WORDS:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word)
+        return value
+
+    def of(self, text: str) -> np.ndarray:
+        words = text.split()
+        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+
+@lru_cache(maxsize=2)
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    both = []
+    for x in (MULTIPLIER, pow(MULTIPLIER, -1, 1 << 64)):
+        run = np.full(n, x, np.uint64)
+        run[0] = 1
+        both.append(np.cumprod(run))
+    return both[0], both[1]
+
+
+def run_hashes(words: np.ndarray, width: int) -> np.ndarray:
+    """Hash of every run of ``width`` words."""
+    ahead, back = _powers(1 << max(10, len(words).bit_length()))
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * ahead[: len(words)], out=sums[1:])
+    x = (sums[width:] - sums[:-width]) * back[: len(words) - width + 1]
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
+    size = 1
+    while 2 * size <= width:
+        values, size = np.minimum(values[:-size], values[size:]), 2 * size
+    rest = width - size
+    return np.minimum(values[:-rest], values[rest:]) if rest else values
+
+
+def fingerprints(words: np.ndarray, min_words: int) -> np.ndarray:
+    """The fingerprint of every window of a text with at least ``min_words`` words."""
+    gram = (min_words + 1) // 2
+    return sliding_least(run_hashes(words, gram), min_words - gram + 1)
+
+
+def marks(prints: np.ndarray, min_words: int) -> np.ndarray:
+    """One fingerprint for each stretch of windows; two if a stretch is longer than one place can make it."""
+    starts = np.flatnonzero(np.r_[True, prints[1:] != prints[:-1]])
+    lengths = np.diff(np.r_[starts, len(prints)])
+    return np.repeat(prints[starts], np.where(lengths > min_words - (min_words + 1) // 2 + 1, 2, 1))
+
+
+def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
+    """doc_id, th (hash of the text), starts (first words of the windows that repeat an earlier place;
+    -1 if the text does as a whole)."""
     rows = docs.where("text is not null").select("doc_id", F.xxhash64("text").alias("th"), "text")
     kind = rows.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
         for batch in batches:
             at, out = [], []
             for i, text in enumerate(batch["text"].to_pylist()):
-                found = line_windows(text, min_words)
-                at += [i] * len(found)
-                out += found
+                words = hashes.of(text)
+                if len(words) >= min_words:
+                    at.append(i)
+                    out.append(marks(fingerprints(words, min_words), min_words).view(np.int64))
             at = pa.array(at, pa.int64())
-            cols = np.array(out, np.int64).reshape(-1, 4)
-            arrays = [pa.array(cols[:, 0].astype(np.int32)), pa.array(cols[:, 1].astype(np.int32)), pa.array(cols[:, 2]), pa.array(cols[:, 3])]
-            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(at), batch["th"].take(at), *arrays], WINDOW_COLUMNS)
+            yield pa.RecordBatch.from_arrays([batch["doc_id"].take(at), batch["th"].take(at), pa.array(out, pa.list_(pa.int64()))], MARK_COLUMNS)
 
-    windows = staged(rows.mapInArrow(run, f"doc_id {kind}, th long, start int, stop int, fingerprint long, window long"), "line_windows")
-    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "start", "stop")
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            at, cols = [], [[], [], []]
+            for i, (text, wanted) in enumerate(zip(batch["text"].to_pylist(), batch["wanted"], strict=True)):
+                words = hashes.of(text)
+                prints = fingerprints(words, min_words)
+                here = np.flatnonzero(np.isin(prints.view(np.int64), wanted.values.to_numpy(zero_copy_only=False)))
+                at.append(np.full(len(here), i))
+                for col, x in zip(cols, (here.astype(np.int32), prints[here].view(np.int64), run_hashes(words, min_words)[here].view(np.int64)), strict=True):
+                    col.append(x)
+            if at:
+                where = pa.array(np.concatenate(at), pa.int64())
+                arrays = [pa.array(np.concatenate(x)) for x in cols]
+                yield pa.RecordBatch.from_arrays([batch["doc_id"].take(where), batch["th"].take(where), *arrays], WINDOW_COLUMNS)
+
+    marked = staged(rows.mapInArrow(mark, f"doc_id {kind}, th long, marks array<long>"), "line_marks")
+    row = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id")
+    copied = marked.groupBy("th").agg(F.min(row).alias("least"), F.max(row).alias("most"))
+    copied = copied.where(~F.col("least").eqNullSafe(F.col("most"))).select("th", F.col("least.doc_id").alias("__least"))
+    copied = checked_broadcast(staged(copied, "line_copies").withColumn("__copied", F.lit(True)))
+    marked = marked.join(copied, "th", "left").withColumn("copy", F.col("__copied").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("__least")))
+    copies = marked.where("copy").select("doc_id", "th").distinct().withColumn("starts", F.array(F.lit(-1)))
+    sent = marked.where("not copy").select("doc_id", "th", F.explode("marks").alias("fingerprint"))
+    twice = staged(sent.groupBy("fingerprint").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("fingerprint"), "line_twice")
+    wanted = sent.join(checked_broadcast(twice), "fingerprint").groupBy("doc_id", "th").agg(F.collect_set("fingerprint").alias("wanted"))
+    wanted = checked_broadcast(staged(wanted, "line_wanted").withColumnsRenamed({"doc_id": "__id", "th": "__th"}))
+    asked = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th"))).select("doc_id", "th", "text", "wanted")
+    windows = staged(asked.mapInArrow(send, f"doc_id {kind}, th long, start int, fingerprint long, window long"), "line_windows")
+    place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "start")
     firsts = (
         windows.groupBy("fingerprint", "window")
         .agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n"))
@@ -93,28 +153,67 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         .select("fingerprint", "window", "first")
     )
     same_doc = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("th") == F.col("first.th"))
-    later = windows.join(firsts, ["fingerprint", "window"]).where(~same_doc | (F.col("start") > F.col("first.stop")))
-    return later.groupBy("doc_id", "th").agg(F.collect_set(F.struct("start", "stop")).alias("spans"))
-
-
-def _inside(i: Column) -> Column:
-    return F.exists("__spans", lambda s: (s["start"] <= i) & (i <= s["stop"]))
+    later = windows.join(firsts, ["fingerprint", "window"]).where(~same_doc | (F.col("start") >= F.col("first.start") + min_words))
+    return later.groupBy("doc_id", "th").agg(F.collect_set("start").alias("starts")).unionByName(copies)
+
+
+def cut_text(text: str, starts: np.ndarray, min_words: int) -> tuple[str, int]:
+    """``text`` without the windows that begin at the words ``starts``, and how many lines went."""
+    lines = text.split("\n")
+    sizes = [len(x.split()) for x in lines]
+    edges = np.zeros(sum(sizes) + 1, np.int64)
+    edges[starts] = 1
+    edges[starts + min_words] -= 1
+    gone = [True, *(np.cumsum(edges[:-1]) > 0).tolist(), True]  # as are the ends of the text
+    kept, at = [], 1
+    for line, size in zip(lines, sizes, strict=True):
+        if not size:
+            if not (gone[at - 1] and gone[at]):
+                kept.append(line)
+            continue
+        flags = gone[at : at + size]
+        at += size
+        if True not in flags:
+            kept.append(line)
+        elif False in flags:
+            parts, begun = [], None
+            for m, flag in zip(WORD.finditer(line), flags, strict=True):
+                if flag:
+                    begun = None
+                elif begun is None:
+                    begun = m.start()
+                    parts.append(m[0])
+                else:
+                    parts[-1] = line[begun : m.end()]
+            kept.append(" ".join(parts))
+    return "\n".join(kept), len(lines) - len(kept)
+
+
+def _cut(min_words: int) -> Column:
+    """struct<text, removed> of __cut_text and __starts."""
+
+    @F.arrow_udf("struct<text: string, removed: long>")
+    def cut(texts: pa.Array, starts: pa.Array) -> pa.Array:
+        out = []
+        for text, x in zip(texts.to_pylist(), starts, strict=True):
+            out.append((None, None) if text is None else cut_text(text, x.values.to_numpy(zero_copy_only=False), min_words))
+        kept, removed = zip(*out, strict=True) if out else ((), ())
+        return pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(removed, pa.int64())], ["text", "removed"])
+
+    return cut("__cut_text", "__starts")
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with its own columns, texts without later repeated runs, and n_lines, n_removed
-    (lines; named with a leading underscore pair)."""
-    runs = staged(repeated_runs(docs, min_words), "line_runs")
-    runs = checked_broadcast(runs.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("spans").alias("__spans")))
+    """``docs`` with its own columns, texts without later repeated passages, and n_lines, n_removed
+    (lines that went whole; named with a leading underscore pair)."""
+    found = staged(repeated_windows(docs, min_words), "line_runs")
+    found = checked_broadcast(found.select(F.col("doc_id").alias("__id"), F.col("th").alias("__th"), F.col("starts").alias("__starts")))
     same = docs["doc_id"].eqNullSafe(F.col("__id")) & (F.xxhash64(docs["text"]) == F.col("__th"))
-    lines = F.split("text", "\n", -1)
-    cut = (
-        docs.join(runs, same, "left")
-        .withColumn("__kept", F.when(F.col("__spans").isNotNull(), F.filter(lines, lambda x, i: ~_inside(i))))
-        .withColumn("__n_lines", F.coalesce(F.size(lines), F.lit(0)).cast("long"))
-    )
-    cut = cut.withColumn("__n_lines", F.when(F.col("text").isNull(), F.lit(0).cast("long")).otherwise(F.col("__n_lines")))
-    removed = F.when(F.col("__kept").isNotNull(), F.col("__n_lines") - F.size("__kept")).otherwise(F.lit(0)).cast("long")
-    text = F.when(F.col("__kept").isNotNull(), F.array_join("__kept", "\n")).otherwise(F.col("text"))
+    whole = F.coalesce(F.element_at("__starts", 1) < 0, F.lit(False))
+    joined = docs.join(found, same, "left").withColumn("__cut_text", F.when(F.col("__starts").isNotNull() & ~whole, F.col("text")))
+    cut = joined.withColumn("__cut", _cut(min_words))
+    n_lines = F.when(F.col("text").isNull(), F.lit(0)).otherwise(F.size(F.split("text", "\n", -1))).cast("long")
+    removed = F.when(whole, n_lines).otherwise(F.coalesce("__cut.removed", F.lit(0).cast("long")))
+    text = F.when(whole, F.lit("")).when(F.col("__starts").isNotNull(), F.col("__cut.text")).otherwise(F.col("text"))
     columns = [text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns]
-    return cut.select(*columns, F.col("__n_lines"), removed.alias("__n_removed"))
+    return cut.select(*columns, n_lines.alias("__n_lines"), removed.alias("__n_removed"))

@@ -143,6 +143,35 @@ def test_line_dedup_odd_rows(make_docs, odd_rows):
     assert (4, None) in texts and (5, "") in texts and texts.count((2, "")) == 2
 
 
+def test_line_dedup_inside_lines(make_docs):
+    """Passages that start or end inside a line, of which no whole lines hold 50 words, against every window in plain Python."""
+    import random
+
+    rnd = random.Random(5)
+    word = lambda: "".join(rnd.choices("abcdefghij", k=6))
+    words = lambda n: " ".join(word() for _ in range(n))
+    a, b, c, seed = words(30), words(41), words(45), words(40)
+    docs = [
+        (1, words(20) + " " + a + "\n" + b + " " + words(9)), (2, "own " + a + "\n" + b + " more of it"), (3, a + " " + b + "\n\n"),
+        (4, c + " " + words(4)), (5, c + " four other words here"),  # 45 words: too few
+        (6, seed + " " + words(3)), (7, seed + " " + a), (8, "x " + seed + " " + a + " y"),  # the first place of the seed is not that of the match
+        (9, "\n".join([words(60)] * 2)), (10, "a b " * 100), (11, a + "\n" + b), (None, a + "\n" + b),
+    ]
+    first, places = {}, []
+    for doc, text in sorted(docs, key=lambda d: (d[0] is None, d[0])):
+        w = text.split()
+        for i in range(len(w) - 49):
+            first.setdefault(tuple(w[i : i + 50]), (doc, i))
+            places.append((doc, i, first[tuple(w[i : i + 50])]))
+    gone = {(doc, i + k) for doc, i, (d, j) in places if d != doc or i >= j + 50 for k in range(50)}
+    got = {r["doc_id"]: r for r in line_dedup.drop_repeated_lines(make_docs(docs)).collect()}
+    for doc, text in docs:
+        assert got[doc]["text"].split() == [x for i, x in enumerate(text.split()) if (doc, i) not in gone]
+    assert got[2]["text"] == "own\nmore of it" and got[2]["__n_removed"] == 0
+    assert got[3]["text"] == "" and got[3]["__n_removed"] == got[3]["__n_lines"] == 3
+    assert got[8]["text"] == "x y" and [got[i]["text"] for i in (4, 5, 11, None)] == [docs[3][1], docs[4][1], "", ""]
+
+
 # --- language model ---------------------------------------------------------------------------
 
 @pytest.mark.parametrize("sizes", [(2_000_000, 4_000_000), (900, 2_500)])
