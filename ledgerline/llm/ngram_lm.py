@@ -9,17 +9,21 @@ so a text's score is its unigram score, plus log10(MU / (c(v) + MU)) for every c
 log10(1 + c(v w) / (MU p(w))) of every bigram that the trie holds.  The trie is cut in shards by the hash of
 the bigram, so neither a frequent word nor the corpus outgrows a task.  A shard has two levels: its
 contexts, with monotone pointers to their successors, and the successors, made monotone by adding up the
-ranges before them; contexts, pointers and successors are Elias-Fano sequences and the gains one byte each,
+ranges before them; contexts, pointers and successors are Elias-Fano sequences and the gains two bytes each,
 all in one memory-mapped file.  A bigram is found by its context, then by successor search relative to the
 context's range.
 
+Training words are numbered from their counts (densely, frequent ones first); a bigram is the pair of its
+words' numbers, whole, and gains and probabilities are kept in steps over two bytes, whose range no corpus
+passes.
+
 Spark reads the texts once, into blocks of encoded tokens in the shared folder; counts all words of the
-training texts by a shuffle; gives each block the counts of its words; and sends each shard the distinct
+training texts by a shuffle; gives each block the counts and numbers of its words; and sends each shard the distinct
 bigrams of each block with where they occur.  Only the sums of a block's documents come back.
 
 Defined cases: a null or empty text is its end token alone; a null doc_id is not held out; repeated rows are
 texts of their own; without training texts all words are unknown and every probability is that of the
-smoothing; other columns are ignored.  Words are told apart by 64-bit hashes, bigrams by 48 bits.
+smoothing; other columns are ignored.  Words are told apart by 64-bit hashes, bigrams by the numbers of their words.
 """
 
 from __future__ import annotations
@@ -46,16 +50,33 @@ STEP = 1 / 32  # of quantised gains, in log10
 BASE_STEP = 1 / 24  # of quantised unigram probabilities, in log10
 END = xxhash.xxh64_intdigest(b"\n end")  # no word holds white space
 SAMPLE = 4096
-BITS = 24
-LOW = np.uint64((1 << BITS) - 1)
+BITS = 24  # of a successor in a trie's keys, unless told
+KEY_BITS = 62  # most bits of a trie's keys
+ROW_BITS = 33  # of monotonically_increasing_id below the partition
 
 
 def pack(values: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(values).tobytes())
+    """Compressed by planes (all first bytes, all second bytes, ...): high bytes are mostly zero."""
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return zstandard.ZstdCompressor(level=1).compress(planes.tobytes())
 
 
 def unpack(data: bytes, kind: type) -> np.ndarray:
-    return np.frombuffer(zstandard.ZstdDecompressor().decompress(data), kind)
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
+def quantise(values: np.ndarray, step: float) -> np.ndarray:
+    """Steps of values in log10, in two bytes: up to 2,047 for ``STEP`` and 2,730 for ``BASE_STEP``."""
+    return np.minimum(np.rint(values / step), 65535).astype(np.uint16)
+
+
+def pair_keys(left: np.ndarray, right: np.ndarray, bits: int) -> tuple[np.ndarray, int]:
+    """(left << bits | right) of numbers under 2^bits, and the bits; where two do not fit, of their ranks."""
+    if 2 * bits > KEY_BITS:
+        left, right = (np.unique(x, return_inverse=True)[1] for x in (left, right))
+        bits = max(1, len(right).bit_length())
+    return (left.astype(np.uint64) << np.uint64(bits)) | right.astype(np.uint64), bits
 
 
 class EliasFano:
@@ -98,16 +119,17 @@ class EliasFano:
 class Trie:
     """Contexts -> successors -> quantised gains, in one memory-mapped file."""
 
-    def __init__(self, keys: np.ndarray, gains: np.ndarray):
-        """``keys``: distinct sorted (context << 24 | successor); ``gains``: log10 gains."""
-        contexts, starts = np.unique(keys >> np.uint64(BITS), return_index=True)
-        successors = (keys & LOW).astype(np.int64)
+    def __init__(self, keys: np.ndarray, gains: np.ndarray, bits: int = BITS):
+        """``keys``: distinct sorted (context << bits | successor); ``gains``: log10 gains."""
+        self.bits, self.low = bits, np.uint64((1 << bits) - 1)
+        contexts, starts = np.unique(keys >> np.uint64(bits), return_index=True)
+        successors = (keys & self.low).astype(np.int64)
         ends = np.r_[starts[1:], len(keys)].astype(np.int64)
         spans = np.r_[0, np.cumsum(successors[ends - 1] + 1)[:-1]] if len(keys) else np.empty(0, np.int64)
         monotone = successors + np.repeat(spans, ends - starts)
-        codes = np.minimum(np.rint(gains / STEP), 255).astype(np.uint8)
+        codes = quantise(gains, STEP)
         levels = [EliasFano.of(contexts), EliasFano.of(np.r_[0, ends]), EliasFano.of(monotone)]
-        parts = [x for level in levels for x in (level.low, level.high, level.samples.astype(np.int64).view(np.uint8))] + [codes]
+        parts = [x for level in levels for x in (level.low, level.high, level.samples.astype(np.int64).view(np.uint8))] + [codes.view(np.uint8)]
         self.file = tempfile.TemporaryFile()  # gone when it is closed
         self.file.write(b"\0" + b"".join(x.tobytes() for x in parts))
         self.file.flush()
@@ -119,7 +141,7 @@ class Trie:
             EliasFano(level.n, level.width, views[3 * i], views[3 * i + 1], np.frombuffer(views[3 * i + 2].tobytes(), np.int64))
             for i, level in enumerate(levels)
         ]
-        self.contexts, self.pointers, self.successors, self.codes = *mapped, views[-1]
+        self.contexts, self.pointers, self.successors, self.codes = *mapped, views[-1].view(np.uint16)
 
     def gains(self, keys: np.ndarray, chunk: int = 1 << 18) -> np.ndarray:
         """Gains of sorted distinct keys; 0 for those that the trie lacks."""
@@ -127,11 +149,11 @@ class Trie:
         if not len(keys) or not self.contexts.n:
             return out
         contexts, pointers = self.contexts.all(), self.pointers.all()
-        asked = (keys >> np.uint64(BITS)).astype(np.int64)
+        asked = (keys >> np.uint64(self.bits)).astype(np.int64)
         rank = np.searchsorted(contexts, asked)
         rank[rank == len(contexts)] = 0
         here = np.flatnonzero(contexts[rank] == asked)
-        rank, wanted = rank[here], (keys[here] & LOW).astype(np.int64)
+        rank, wanted = rank[here], (keys[here] & self.low).astype(np.int64)
         at = 0
         while at < len(here):
             first = rank[at]
@@ -143,8 +165,8 @@ class Trie:
             ends = pointers[first + 1 : last + 1] - lo
             base = np.r_[before, values[ends[:-1] - 1] + 1]  # of each context's range
             owner = np.repeat(np.arange(last - first), np.diff(np.r_[0, ends]))
-            have = (owner << BITS) + values - base[owner]
-            want = ((rank[at:stop] - first) << BITS) + wanted[at:stop]
+            have = (owner << self.bits) + values - base[owner]
+            want = ((rank[at:stop] - first) << self.bits) + wanted[at:stop]
             place = np.searchsorted(have, want)
             place[place == len(have)] = 0
             hit = have[place] == want
@@ -207,14 +229,25 @@ def encode_blocks(docs: DataFrame, folds: int = 10) -> DataFrame:
 
 
 def known_counts(blocks: DataFrame, counts: DataFrame) -> DataFrame:
-    """block, places, counts: the training counts of the words of each block that have any."""
+    """block, places, counts, ids: the training counts and numbers of the words of each block that have any."""
 
     def pack_group(table: pa.Table) -> pa.Table:
-        packed = [pack(table[c].to_numpy()) for c in ("place", "c")]
-        return pa.table({"block": table["block"].slice(0, 1), "places": pa.array(packed[:1], pa.binary()), "counts": pa.array(packed[1:], pa.binary())})
+        packed = {name: pa.array([pack(table[c].to_numpy())], pa.binary()) for name, c in (("places", "place"), ("counts", "c"), ("ids", "id"))}
+        return pa.table({"block": table["block"].slice(0, 1)} | packed)
 
     words = blocks.select("block", F.posexplode("words").alias("place", "word")).join(counts, "word")
-    return words.select("block", F.col("place").cast("int"), "c").groupBy("block").applyInArrow(pack_group, "block long, places binary, counts binary")
+    return words.select("block", F.col("place").cast("int"), "c", "id").groupBy("block").applyInArrow(pack_group, "block long, places binary, counts binary, ids binary")
+
+
+def number_words(counts: DataFrame) -> tuple[DataFrame, int, int, int]:
+    """Staged word, c, id; the sum of the counts, the number of words, and the first number above all ids:
+    the words of each partition in order of their counts, dealt out in turn, so that frequent words have
+    small ids and ids are about as dense as partitions are even."""
+    ranked = staged(counts.sortWithinPartitions(F.desc("c")).withColumn("id", F.monotonically_increasing_id()), "lm_counts")
+    part, row = F.shiftright("id", ROW_BITS), F.col("id").bitwiseAND(F.lit((1 << ROW_BITS) - 1))
+    n, v, parts, rows = ranked.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.max(part), F.max(row)).first()
+    parts, rows = (0, 0) if parts is None else (int(parts) + 1, int(rows) + 1)
+    return ranked.withColumn("id", row * F.lit(parts).cast("long") + part), int(n), int(v), parts * rows
 
 
 def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
@@ -222,9 +255,9 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
     crc32(doc_id) mod ``folds`` is 0 are held out of the training."""
     blocks = staged(encode_blocks(docs, folds), "lm_blocks")
     seen = blocks.select(F.explode(F.arrays_zip("words", "trained")).alias("x")).select(F.col("x.words").alias("word"), F.col("x.trained").alias("c"))
-    counts = staged(seen.where("c > 0").groupBy("word").agg(F.sum("c").alias("c")), "lm_counts")
-    n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    n, v = int(n), int(v)
+    counts, n, v, top = number_words(seen.where("c > 0").groupBy("word").agg(F.sum("c").alias("c")))
+    bits = max(1, top.bit_length())
+    wide = np.uint32 if bits <= 32 else np.uint64
     size = blocks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     shards = max(1, -(-size // SHARD_TOKENS))
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
@@ -242,9 +275,10 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
         lengths = b["lengths"].values.to_numpy(zero_copy_only=False)
         held = b["held_out"].values.to_numpy(zero_copy_only=False).astype(bool)
         tokens = unpack(b["tokens"].as_py(), np.uint32)
-        c = np.zeros(len(words), np.int64)
+        c, ids = np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
         if b["places"].is_valid:
-            c[unpack(b["places"].as_py(), np.int32)] = unpack(b["counts"].as_py(), np.int64)
+            places = unpack(b["places"].as_py(), np.int32)
+            c[places], ids[places] = unpack(b["counts"].as_py(), np.int64), unpack(b["ids"].as_py(), np.int64)
         log_p = np.log10((c + ALPHA) / total)
         starts = np.r_[0, np.cumsum(lengths, dtype=np.int64)[:-1]]
         end = np.flatnonzero(words == np.uint64(END))[0]
@@ -263,25 +297,32 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
         at = np.flatnonzero(both)
         if not len(at):
             return
-        key = ((words[contexts[at]] & LOW) << np.uint64(BITS)) | ((words[tokens[at]] >> np.uint64(BITS)) & LOW)
-        mixed = key * np.uint64(0x9E3779B97F4A7C15)
-        shard = (mixed >> np.uint64(40)) % np.uint64(shards)
-        distinct, firsts, inverse = np.unique((shard << np.uint64(2 * BITS)) | key, return_index=True, return_inverse=True)
-        edges = np.searchsorted(distinct, np.arange(shards + 1, dtype=np.uint64) << np.uint64(2 * BITS))
+        by_id = np.argsort(ids)  # places in this order sort as ids do, in fewer bits
+        rank = np.empty(len(ids), np.uint64)
+        rank[by_id] = np.arange(len(ids), dtype=np.uint64)
+        half = np.uint64(32)
+        pairs, firsts, inverse = np.unique((rank[contexts[at]] << half) | rank[tokens[at]], return_index=True, return_inverse=True)
+        left, right = (ids[by_id[x.astype(np.int64)]].astype(np.uint64) for x in (pairs >> half, pairs & np.uint64(0xFFFFFFFF)))
+        mixed = (left * np.uint64(0xD6E8FEB86659FD93) + right) * np.uint64(0x9E3779B97F4A7C15)
+        of_pair = ((mixed >> np.uint64(40)) % np.uint64(shards)).astype(np.uint16 if shards < 1 << 16 else np.uint32)
+        dealt = np.argsort(of_pair, kind="stable")
+        moved = np.empty(len(dealt), np.int64)
+        moved[dealt] = np.arange(len(dealt))
+        left, right, firsts, inverse = left[dealt], right[dealt], firsts[dealt], moved[inverse]
+        edges = np.searchsorted(of_pair[dealt], np.arange(shards + 1))
+        shard = of_pair[dealt][inverse]
         doc_of = np.repeat(np.arange(len(lengths)), lengths)[at]
-        trained = np.bincount(inverse, weights=~held[doc_of], minlength=len(distinct)).astype(np.uint32)
-        quantised = np.minimum(np.rint(-log_p[tokens[at][firsts]] / BASE_STEP), 255).astype(np.uint8)
+        trained = np.bincount(inverse, weights=~held[doc_of], minlength=len(pairs)).astype(np.uint32)
+        quantised = quantise(-log_p[tokens[at][firsts]], BASE_STEP)
         order = np.argsort(shard, kind="stable")
-        cuts = np.searchsorted(shard[order], np.arange(shards + 1, dtype=np.uint64))
+        cuts = np.searchsorted(shard[order], np.arange(shards + 1))
         for s in range(shards):
             lo, hi = edges[s], edges[s + 1]
             if lo == hi:
                 continue
             mine = order[cuts[s] : cuts[s + 1]]
-            keys = distinct[lo:hi]
-            left = ((keys >> np.uint64(BITS)) & LOW).astype(np.uint32)
             blobs = [
-                np.diff(left, prepend=np.uint32(0)), (keys & LOW).astype(np.uint32), quantised[lo:hi], trained[lo:hi],
+                np.diff(left[lo:hi], prepend=np.uint64(0)).astype(wide), right[lo:hi].astype(wide), quantised[lo:hi], trained[lo:hi],
                 (inverse[mine] - lo).astype(np.uint32), np.bincount(doc_of[mine], minlength=len(lengths)).astype(np.uint32),
             ]
             yield message(s, block, None, *[pa.array([pack(x)], pa.binary()) for x in blobs])
@@ -295,18 +336,19 @@ def score_texts(docs: DataFrame, folds: int = 10) -> DataFrame:
     def one_shard(table: pa.Table) -> pa.Table:
         if table["shard"][0].as_py() < 0:  # documents: as they are
             return table.select(["block", "docs"]).append_column("gains", pa.nulls(table.num_rows, pa.binary()))
-        keys, bases, times = [], [], []
+        lefts, rights, bases, times = [], [], [], []
         for row in range(table.num_rows):
-            left = np.cumsum(unpack(table["contexts"][row].as_py(), np.uint32), dtype=np.uint64)
-            keys.append((left << np.uint64(BITS)) | unpack(table["successors"][row].as_py(), np.uint32))
-            bases.append(unpack(table["base"][row].as_py(), np.uint8))
+            lefts.append(np.cumsum(unpack(table["contexts"][row].as_py(), wide), dtype=np.uint64))
+            rights.append(unpack(table["successors"][row].as_py(), wide))
+            bases.append(unpack(table["base"][row].as_py(), np.uint16))
             times.append(unpack(table["trained"][row].as_py(), np.uint32))
-        cuts = np.r_[0, np.cumsum([len(x) for x in keys])]
-        distinct, firsts, inverse = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        cuts = np.r_[0, np.cumsum([len(x) for x in lefts])]
+        keys, key_bits = pair_keys(np.concatenate(lefts), np.concatenate(rights), bits)
+        distinct, firsts, inverse = np.unique(keys, return_index=True, return_inverse=True)
         count = np.bincount(inverse, weights=np.concatenate(times))
         p = 10.0 ** (-BASE_STEP * np.concatenate(bases)[firsts])
         held = count > 0
-        trie = Trie(distinct[held], np.log10(1 + count[held] / (MU * p[held])))
+        trie = Trie(distinct[held], np.log10(1 + count[held] / (MU * p[held])), key_bits)
         found = trie.gains(distinct)[inverse]  # every block's bigrams, looked up once
         trie.file.close()
         sums = []

@@ -190,6 +190,38 @@ def test_lm(make_docs, odd_rows, monkeypatch, sizes):
     assert not any(got.values())
 
 
+@pytest.mark.parametrize("key_bits", [62, 2])
+def test_lm_words_that_share_hash_bits(make_docs, monkeypatch, key_bits):
+    """Words whose hashes agree in 24 bits are still words of their own, as contexts and as successors."""
+    import xxhash
+
+    monkeypatch.setattr(ngram_lm, "KEY_BITS", key_bits)  # whole numbers, or ranks where they do not fit
+    seen, pairs = [{}, {}], [None, None]
+    for word in (f"w{i}" for i in range(40_000)):
+        h = xxhash.xxh64_intdigest(word.encode())
+        for k in (0, 1):
+            bits = h >> 24 * k & 0xFFFFFF
+            pairs[k] = pairs[k] or ((seen[k][bits], word) if bits in seen[k] else None)
+            seen[k].setdefault(bits, word)
+    (c1, c2), (s1, s2) = pairs
+    trained = [i for i in range(200) if not brute.held_out(i, 10)]
+    held = [i for i in range(200) if brute.held_out(i, 10)]
+    docs = [(i, f"{c1} {s1}") for i in trained[:60]] + [(i, f"x {c2} y {s2} z") for i in trained[60:70]] + [(held[0], f"{c1} {s2}"), (held[1], f"{c2} {s1}")]
+    got = {r["doc_id"]: r["score"] for r in ngram_lm.score_texts(make_docs(docs)).collect()}
+    for (doc, _), want in zip(docs, brute.lm_scores(docs, ngram_lm.MU), strict=True):
+        assert abs(got[doc] - want[4]) <= 0.05 * want[0]
+
+
+def test_lm_large_gains_and_rare_words():
+    import numpy as np
+
+    keys = np.arange(1, 6, dtype=np.uint64) << np.uint64(24)
+    gains = np.array([0.5, 7.96875, 8.5, 12.0, 20.0])  # a gain is at most about log10(N / 22)
+    assert np.allclose(ngram_lm.Trie(keys, gains).gains(keys), gains)
+    rare = np.array([1.0, 10.625, 11.0, 16.0])  # -log10 p of a word
+    assert np.allclose(ngram_lm.quantise(rare, ngram_lm.BASE_STEP) * ngram_lm.BASE_STEP, rare, atol=ngram_lm.BASE_STEP)
+
+
 def test_elias_fano_and_trie():
     import numpy as np
 
