@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import checked_broadcast, staged
 
 MIN_WORDS = 50
-HELD_WORDS = 500_000  # most words whose hashes a task keeps
+HELD_WORDS = 1_000_000  # most words whose hashes a task keeps
 MULTIPLIER = 0x9E3779B97F4A7C15
 WORD = re.compile(r"\S+")
 
