@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import functions as F
 
 from ledgerline.llm import (
     ann,
     decontaminate,
+    hard_negatives,
     html_extract,
     line_dedup,
     mixing,
     ngram_jaccard,
     ngram_lm,
     quality,
+    spelling,
+    token_counts,
     url_rules,
     warc,
 )
@@ -69,6 +73,23 @@ def q_jaccard(spark, sf_dir):
     return ngram_jaccard.jaccard_components(table(spark, sf_dir, "documents"))
 
 
+def q_hard_negatives(spark, sf_dir):
+    relabel = F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, relabel=relabel)
+
+
+TOKEN_LIMIT = 1024
+
+
+def q_token_counts(spark, sf_dir):
+    counted = token_counts.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
+
+
+def q_spelling(spark, sf_dir):
+    return spelling.group_variants(table(spark, sf_dir, "documents"), typo_every=31)
+
+
 QUERIES = {
     "op1_mix_sources": q_mix,
     "op2_ann": q_ann,
@@ -80,6 +101,9 @@ QUERIES = {
     "op8_html_extract": q_html,
     "op9_quality": q_quality,
     "op10_warc": q_warc,
+    "op11_hard_negatives": q_hard_negatives,
+    "op12_token_counts": q_token_counts,
+    "op13_spelling": q_spelling,
 }
 
 
@@ -128,4 +152,43 @@ ORACLE: dict[str, str] = {
                CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN page_id <> first_id THEN first_id END AS refers_to
         FROM p JOIN f USING (h)""",
+    "op11_hard_negatives": """
+        WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                          list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+                   FROM embeddings WHERE label IS NOT NULL AND embedding IS NOT NULL
+                   AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        s AS (SELECT a.vec_id AS anchor_id, a.label = b.label AS same, b.vec_id,
+                     CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+              FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+        p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+              QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+        SELECT anchor_id, positive_id, positive_score, s.vec_id AS negative_id, score AS negative_score,
+               CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, s.vec_id) AS INTEGER) AS rank
+        FROM p JOIN s USING (anchor_id) WHERE NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score
+        QUALIFY rank <= 5""",
+    "op13_spelling": """
+        WITH RECURSIVE tab AS (SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)), lambda c, k:
+            CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+        runs AS (SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                        'abcdefghijklmnopqrstuvwxyz') AS run FROM documents),
+        dist AS (SELECT run, concat(doc_id, ':', run) AS s, count(*) AS n FROM runs GROUP BY ALL),
+        hashed AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295,
+                   list_transform(range(strlen(s)), lambda i: CAST('0x' || substr(hex(s), 2 * i + 1, 2) AS BIGINT))),
+                   lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS h FROM dist, tab),
+        g AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+                     CAST(sum(n) AS BIGINT) AS n FROM hashed GROUP BY 1),
+        w AS (SELECT word, n FROM g WHERE length(word) >= 7 AND n >= 2),
+        spot AS (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM w),
+        gap AS (SELECT word, n, i, substr(word, 1, i - 1) AS a, substr(word, i + 1) AS z FROM spot),
+        near AS (SELECT x.word, y.word AS other, y.n AS o FROM gap x JOIN gap y USING (i, a, z) WHERE x.word <> y.word
+                 UNION SELECT x.word, y.word, y.n FROM gap x JOIN w y ON y.word = x.a || x.z
+                 UNION SELECT y.word, x.word, x.n FROM gap x JOIN w y ON y.word = x.a || x.z),
+        top AS (SELECT word, count(*) AS n_near, max(o) AS m FROM near GROUP BY word),
+        best AS (SELECT word, any_value(n_near) AS n_near, any_value(m) AS m, min(other) FILTER (o = m) AS f FROM near JOIN top USING (word) GROUP BY word),
+        told AS (SELECT word, n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near, CASE WHEN m >= 10 * n THEN f END AS form,
+                        CASE WHEN m >= 10 * n THEN m END AS form_n FROM w LEFT JOIN best USING (word)),
+        chain(word, root, d) AS (SELECT word, word, 0 FROM told
+                                 UNION ALL SELECT chain.word, told.form, d + 1 FROM chain JOIN told ON told.word = chain.root WHERE form IS NOT NULL)
+        SELECT word, form, arg_max(root, d) AS root, any_value(n) AS n, any_value(n_near) AS n_near, any_value(form_n) AS form_n
+        FROM chain JOIN told USING (word) GROUP BY word, form""",
 }
