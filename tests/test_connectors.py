@@ -18,7 +18,7 @@ from ledgerline.sources.log import (
     read_kafka_stream,
 )
 
-from conftest import SF_SMALL
+from tests.support import SF_SMALL
 
 
 def test_kafka_offset_specs():

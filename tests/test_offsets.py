@@ -19,7 +19,7 @@ from ledgerline.operators.offsets import (
 from ledgerline.plans import events as ev
 from ledgerline.schemas import OFFSET_LOG
 
-from conftest import SF_SMALL
+from tests.support import SF_SMALL
 
 APP = "app"
 

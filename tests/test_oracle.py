@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as entry
 from tools.check_oracle import TABLES, rows_of
 
-from conftest import SF_SMALL
+from tests.support import SF_SMALL
 
 @pytest.fixture(scope="module")
 def duck():

@@ -7,7 +7,7 @@ from ledgerline.schemas import EVENT_RECORD
 from ledgerline.sinks.tables import write_log
 from ledgerline.sources.log import read_log
 
-from conftest import SF_SMALL
+from tests.support import SF_SMALL
 
 
 def _plan(df) -> str:

@@ -11,7 +11,7 @@ from ledgerline.schemas import EVENT_RECORD
 from ledgerline.sinks.tables import write_log
 from ledgerline.sources.log import OffsetRange, read_log, read_offset_range
 
-from conftest import SF_SMALL
+from tests.support import SF_SMALL
 
 BEGIN, END = 1704412800, 1705017600
 

@@ -9,7 +9,7 @@ from ledgerline.operators.sequence import assign_sequence
 from ledgerline.plans import events as ev
 from ledgerline.sources.log import OffsetRange, read_from_offsets, read_offset_range
 
-from conftest import SF_SMALL
+from tests.support import SF_SMALL
 
 
 def _naive(df):

@@ -13,7 +13,7 @@ from ledgerline.schemas import EVENT_RECORD
 from ledgerline.sources.log import OffsetRange, read_log_stream
 from ledgerline.streaming.ingest import batch_writer, drain, run_ingest, start_ingest
 
-from conftest import SF_SMALL
+from tests.support import SF_SMALL
 
 
 def _write_source(spark, root, files=4):
