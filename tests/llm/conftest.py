@@ -1,10 +1,5 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
 #: Names that operators use inside; as further columns of a table they must not disturb.
 CLASHING = ("size", "h", "th", "n", "words", "rank", "shard", "score", "row", "k", "rule", "key", "end", "token", "vec", "first", "spans", "label")
 DOC_SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} int" for c in CLASHING)

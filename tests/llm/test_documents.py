@@ -2,7 +2,7 @@
 
 import math
 
-import brute
+from tests.llm import brute
 import pytest
 from pyspark.sql import functions as F
 

@@ -4,7 +4,7 @@ import base64
 import hashlib
 import random
 
-import brute
+from tests.llm import brute
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
