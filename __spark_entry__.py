@@ -25,10 +25,13 @@ from ledgerline.functions.timefields import (
     partition_fields,
     reverse_time_key,
 )
+from ledgerline.operators.audit import audit_offsets, range_islands
 from ledgerline.operators.codec import decode_payload
-from ledgerline.operators.merge import merge_by_key, unchanged_rows
+from ledgerline.operators.merge import merge_by_key, merge_chain, prefilter_for, unchanged_rows
 from ledgerline.operators.offsets import (
     batch_counts,
+    batch_offsets,
+    carry_forward,
     cells_to_ranges,
     hourly_batches,
     latest_offsets,
@@ -41,9 +44,10 @@ from ledgerline.operators.transform import preview, transform_chain
 from ledgerline.plans import events as ev
 from ledgerline.plans.publish import publish
 from ledgerline.plans.replay import decode_messages, minute_text_to_epoch, replay_and_merge, replay_offsets, replay_time
-from ledgerline.plans.versions import merge_version
+from ledgerline.plans.versions import merge_chain_version, merge_version
 from ledgerline.schemas import EVENT_RECORD
 from ledgerline.session import scratch_path
+from ledgerline.sinks.manifest import committed_offsets, read_committed
 from ledgerline.sinks.tables import (
     append_partitioned,
     create_like,
@@ -51,12 +55,13 @@ from ledgerline.sinks.tables import (
     offset_deltas_name,
     publish_log,
     table_columns,
+    version_names,
     write_delimited,
     write_log,
 )
 from ledgerline.sources.delimited import read_delimited
 from ledgerline.sources.log import OffsetRange, read_from_offsets, read_log, read_log_stream, read_offset_range
-from ledgerline.streaming.ingest import drain, start_ingest
+from ledgerline.streaming.ingest import drain, run_batches, start_ingest
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -85,6 +90,13 @@ ORDERS_DELTA_FROM = "1998-01-01"  # deltas: orders placed from, status set to U
 SHIP_BASE_BEFORE = "1999-01-01"
 SHIP_DELTA_FROM = "1998-01-01"
 STREAM_TIMEOUT_S = 1800
+CHAIN_YEARS = ("1996", "1997", "1998")  # merge-chain deltas: orders from the year on, status set to the ordinal
+AUDIT_BATCH = 100  # offsets of a batch in the audit queries
+AUDIT_SKIP, AUDIT_AGAIN = (10, 3), (7, 2)  # batches left out, and batches that begin early: id % a = b
+AUDIT_EARLY = 5  # offsets by which they do
+AUDIT_HOLE = (50, (1, 2))  # offsets that the log has lost: offset % a in b
+IDLE_STRETCH = 250  # offsets of a source file in the stream with idle partitions
+ODD_APPS = ("app+1", "caf\u00e9, =1%")  # names that need care in paths
 DELTA_STEPS = {  # replay-and-merge: the deltas carry upper-cased event types
     "sql01": "SELECT event_id, ts_ms, user_id, upper(event_type) AS event_type, value, props, mon, day, hour",
 }
@@ -253,6 +265,46 @@ def q_starting_offsets(spark, sf_dir):
     return starting_offsets(_offset_log(spark, sf_dir), ev.APPNAME)
 
 
+def q_offset_log_idle(spark, sf_dir):
+    """The hourly offset log with a row for every known partition in every batch."""
+    return carry_forward(_offset_log(spark, sf_dir))
+
+
+def q_range_interior_idle(spark, sf_dir):
+    """Interior bounds when idle partitions are recorded too: all from the same two batches."""
+    return resolve_range(carry_forward(_offset_log(spark, sf_dir)), ev.APPNAME, RANGE_BEGIN, RANGE_END, "interior")
+
+
+def _faulty_batches(spark, sf_dir):
+    """The log cut into batches by offset, some left out and some reaching into the one before."""
+    log = _log(spark, sf_dir)
+    cut = batch_offsets(log, ev.APPNAME, F.floor(F.col("offset") / AUDIT_BATCH))
+    kept = cut.filter(F.pmod("batch_id", F.lit(AUDIT_SKIP[0])) != AUDIT_SKIP[1])
+    again = F.pmod("batch_id", F.lit(AUDIT_AGAIN[0])) == AUDIT_AGAIN[1]
+    return log, kept.withColumn("start_offset", F.col("start_offset") - F.when(again, AUDIT_EARLY).otherwise(0))
+
+
+def q_continuity_audit(spark, sf_dir):
+    """Offsets never ingested, ingested twice, lost from the log, or yet to come."""
+    log, batches = _faulty_batches(spark, sf_dir)
+    kept = log.filter(~F.pmod("offset", F.lit(AUDIT_HOLE[0])).isin(*AUDIT_HOLE[1]))
+    return audit_offsets(batches, kept, slice_width=1 << 10).drop("appname")
+
+
+def q_range_islands(spark, sf_dir):
+    """What the recorded batches cover, as the fewest ranges."""
+    return range_islands(_faulty_batches(spark, sf_dir)[1]).drop("appname")
+
+
+def q_rows_as_bounds(spark, sf_dir):
+    """Resume points as plain rows, made a table again with their schema, and read from."""
+    log = _log_at_rest(spark, sf_dir)
+    recorded = ev.hourly_offset_log(log).filter(F.col("batch_ts") <= RESUME_AT)
+    points = [tuple(r) for r in starting_offsets(recorded, ev.APPNAME).collect()]  # one row per partition
+    starts = spark.createDataFrame(points, "topic string, partition int, from_offset long")
+    return _log_view(read_from_offsets(log, starts))
+
+
 # --- replay ------------------------------------------------------------------------------------
 
 def q_replay_offsets(spark, sf_dir):
@@ -328,19 +380,61 @@ def q_merge_by_key(spark, sf_dir):
     return merge_by_key(base, deltas, "o_orderkey")
 
 
-def q_merge_composite_key(spark, sf_dir):
+def _lineitem_versions(spark, sf_dir):
     li = _t(spark, sf_dir, "lineitem")
     base = li.filter(F.col("l_shipdate") < F.lit(SHIP_BASE_BEFORE).cast("timestamp_ntz"))
     deltas = li.filter(F.col("l_shipdate") >= F.lit(SHIP_DELTA_FROM).cast("timestamp_ntz")).withColumn(
         "l_linestatus", F.lit("U"))
-    return merge_by_key(base, deltas, ["l_orderkey", "l_linenumber"])
+    return base, deltas
+
+
+def q_merge_composite_key(spark, sf_dir):
+    return merge_by_key(*_lineitem_versions(spark, sf_dir), ["l_orderkey", "l_linenumber"])
+
+
+def _some_keys_null(orders):
+    return orders.withColumn("o_orderkey", F.when(F.pmod("o_custkey", F.lit(5)) != 0, F.col("o_orderkey")))
 
 
 def q_merge_null_keys(spark, sf_dir):
     """The merge with NULL keys on both sides: they match nothing and all stay."""
-    base, deltas = _orders_versions(spark, sf_dir)
-    no_key = lambda df: df.withColumn("o_orderkey", F.when(F.pmod("o_custkey", F.lit(5)) != 0, F.col("o_orderkey")))
-    return merge_by_key(no_key(base), no_key(deltas), "o_orderkey")
+    base, deltas = (_some_keys_null(df) for df in _orders_versions(spark, sf_dir))
+    return merge_by_key(base, deltas, "o_orderkey")
+
+
+def q_merge_prefiltered(spark, sf_dir):
+    """The merge on two keys with a filter over the delta keys: only possible matches are joined."""
+    base, deltas, keys = *_lineitem_versions(spark, sf_dir), ["l_orderkey", "l_linenumber"]
+    return merge_by_key(base, deltas, keys, prefilter_for(base, deltas, keys, few=0))
+
+
+def q_merge_null_prefiltered(spark, sf_dir):
+    """The merge with NULL keys on both sides, with a filter."""
+    base, deltas = (_some_keys_null(df) for df in _orders_versions(spark, sf_dir))
+    return merge_by_key(base, deltas, "o_orderkey", prefilter_for(base, deltas, "o_orderkey", few=0))
+
+
+def _order_chain(spark, sf_dir):
+    """Three delta tables of orders, each from a later year on."""
+    o = _t(spark, sf_dir, "orders")
+    return [o.filter(F.col("o_orderdate") >= F.lit(f"{year}-01-01").cast("timestamp_ntz")).withColumn("o_orderstatus", F.lit(str(i)))
+            for i, year in enumerate(CHAIN_YEARS)]
+
+
+def q_merge_chain(spark, sf_dir):
+    """A base and three delta tables in one pass; for each key the newest table that holds it wins."""
+    base, _ = _orders_versions(spark, sf_dir)
+    return merge_chain(_some_keys_null(base), [_some_keys_null(d) for d in _order_chain(spark, sf_dir)], "o_orderkey")
+
+
+def q_merge_chain_version(spark, sf_dir):
+    """The same chain as catalog tables, into the version of the last, with a filter."""
+    name, versions = _unique_name("orders"), [f"v{y}" for y in CHAIN_YEARS]
+    base, _ = _orders_versions(spark, sf_dir)
+    tables = {name: base} | {version_names(name, v)["deltas"]: d for v, d in zip(versions, _order_chain(spark, sf_dir), strict=True)}
+    for table, rows in tables.items():
+        rows.write.format("parquet").option("path", scratch_path(spark, "tables", table)).saveAsTable(table)
+    return spark.table(merge_chain_version(spark, name, versions, "o_orderkey", scratch_path(spark, "tables", name), prefilter=True, few=0))
 
 
 def _unique_name(prefix: str) -> str:
@@ -436,20 +530,28 @@ def q_publish_replay(spark, sf_dir):
 
 # --- streaming ------------------------------------------------------------------------------
 
-def _run_stream(spark, sf_dir, app=ev.APPNAME, root=None, rows=None, quarantine=None, table=None):
+def _run_stream(spark, sf_dir, app=ev.APPNAME, root=None, rows=None, quarantine=None, table=None, by_partition=False, **more):
     """Drain the log, as its own files in arrival order, into a table under ``root``."""
     root = root or scratch_path(spark, "stream")
     own = scratch_path(spark, "stream", "source")
     log = _log(spark, sf_dir)
-    (log if rows is None else log.filter(rows)).write.parquet(own)
+    log = log if rows is None else log.filter(rows)
+    if by_partition:  # a file per log partition and stretch of offsets, so that a batch misses some partitions
+        log = log.repartition("partition", F.floor(F.col("offset") / IDLE_STRETCH)).sortWithinPartitions("offset")
+    log.write.parquet(own)
     sink, olog = f"{root}/table", f"{root}/offsets"
     stream = read_log_stream(spark, own, max_files_per_trigger=max(1, spark.sparkContext.defaultParallelism // 2))
     q = start_ingest(stream, sink, olog, scratch_path(spark, "stream", "checkpoint"), EVENT_RECORD, "ts_ms", app, ev.EVENT_STEPS,
-                     available_now=True, quarantine=quarantine, table=table)
+                     available_now=True, quarantine=quarantine, table=table, **more)
     drain(q, STREAM_TIMEOUT_S)
     return sink, olog
 
 
+def _ingested_schema(spark):
+    rows = spark.createDataFrame([], EVENT_RECORD).select(*ev.EVENT_COLUMNS, *partition_fields("ts_ms"))
+    return transform_chain(rows, ev.EVENT_STEPS).schema
+
+
 def q_stream_ingest(spark, sf_dir):
     table = _unique_name("events_ingested")
     _run_stream(spark, sf_dir, table=table)
@@ -465,6 +567,50 @@ def q_stream_two_apps(spark, sf_dir):
     return spark.read.parquet(sink).select("appname", "event_id", "event_type", "mon", "day", "hour")
 
 
+def q_stream_committed(spark, sf_dir):
+    """An ingest whose batches are shown by commit records, read through them."""
+    sink, _ = _run_stream(spark, sf_dir, committed=True)
+    return read_committed(spark, sink, _ingested_schema(spark)).drop("appname", "batch_id")
+
+
+def q_stream_committed_offsets(spark, sf_dir):
+    """What the commit records of an ingest with idle partitions tell: per partition the offsets read, and
+    whether every batch from its first on has a row for it."""
+    sink, _ = _run_stream(spark, sf_dir, committed=True, idle_partitions=True, by_partition=True)
+    told = committed_offsets(spark, sink)
+    last = told.agg(F.max("batch_id")).first()[0]
+    return told.groupBy("topic", "partition").agg(
+        F.min("start_offset").alias("start_offset"), F.max("end_offset").alias("end_offset"),
+        (F.count("*") == F.lit(last) - F.min("batch_id") + 1).alias("in_every_batch"),
+    )
+
+
+def q_stream_app_names(spark, sf_dir):
+    """Two apps with odd names that ingest into one catalog table, read through the catalog."""
+    root, table = scratch_path(spark, "stream"), _unique_name("events_apps")
+    for i, app in enumerate(ODD_APPS):
+        _run_stream(spark, sf_dir, app, root, F.pmod("partition", F.lit(2)) == i, table=table)
+    return spark.table(table).select("appname", "event_id", "event_type", "mon", "day", "hour")
+
+
+def q_stream_interval(spark, sf_dir):
+    """The ingest with its interval trigger: stopped once the first batch, of all files, is done."""
+    root, own = scratch_path(spark, "stream"), scratch_path(spark, "stream", "source")
+    _log(spark, sf_dir).write.parquet(own)
+    q = start_ingest(read_log_stream(spark, own), f"{root}/table", f"{root}/offsets", scratch_path(spark, "stream", "checkpoint"),
+                     EVENT_RECORD, "ts_ms", ev.APPNAME, ev.EVENT_STEPS)
+    run_batches(q, 1, STREAM_TIMEOUT_S)
+    return spark.read.parquet(f"{root}/table").drop("appname", "batch_id")
+
+
+def q_replay_two_part_table(spark, sf_dir):
+    """A replay appended to a table of a database, ``db.table``."""
+    db, name = _unique_name("db"), _unique_name("replayed")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{scratch_path(spark, 'tables', db)}'")
+    replay_offsets(_log(spark, sf_dir), REPLAY_BOUNDS, EVENT_RECORD, "ts_ms", ev.EVENT_STEPS, table=f"{db}.{name}")
+    return spark.table(f"{db}.{name}")
+
+
 def q_stream_offset_log(spark, sf_dir):
     _, olog = _run_stream(spark, sf_dir)
     return (
@@ -553,6 +699,20 @@ def _core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "stream_two_apps": q_stream_two_apps,  # M3 T6
         "stream_ingest": q_stream_ingest,  # M3 S1 T1-T3 T5 P6
         "stream_offset_log": q_stream_offset_log,  # T4 E2 K2
+        "merge_prefiltered": q_merge_prefiltered,  # J1 M4 (filter over the delta keys)
+        "merge_null_prefiltered": q_merge_null_prefiltered,  # J1 M4 (filter, NULL keys)
+        "merge_chain": q_merge_chain,  # M4 (a chain of deltas in one pass)
+        "merge_chain_version": q_merge_chain_version,  # M4 K4 K11 (chain of catalog tables)
+        "offset_log_idle": q_offset_log_idle,  # E2 T4 (partitions without messages)
+        "range_interior_idle": q_range_interior_idle,  # E3 (over idle rows)
+        "continuity_audit": q_continuity_audit,  # S3 E2 (gaps and islands)
+        "range_islands": q_range_islands,  # E2 (coverage)
+        "rows_as_bounds": q_rows_as_bounds,  # S7 T6 S2
+        "stream_committed": q_stream_committed,  # M3 K1 (commit records)
+        "stream_committed_offsets": q_stream_committed_offsets,  # K2 T4 E2 (commit records, idle partitions)
+        "stream_app_names": q_stream_app_names,  # M3 T3 (catalog table)
+        "stream_interval": q_stream_interval,  # T1
+        "replay_two_part_table": q_replay_two_part_table,  # F11 M1 K1
     }
 
 
@@ -646,6 +806,35 @@ _LI_DELTA = (f"SELECT {_LI_COLS.format(status=repr('U'))} FROM lineitem "
 _LI_MERGED = (f"SELECT b.* FROM ({_LI_BASE}) b WHERE NOT EXISTS (SELECT 1 FROM ({_LI_DELTA}) d "
               f"WHERE d.l_orderkey = b.l_orderkey AND d.l_linenumber = b.l_linenumber) UNION ALL {_LI_DELTA}")
 
+_IDLE = """
+batches AS (SELECT appname, batch_id, max(batch_ts) AS ts FROM olog GROUP BY ALL),
+parts AS (SELECT appname, topic, "partition", min(batch_id) AS f FROM olog GROUP BY ALL),
+idle AS (
+  SELECT appname, topic, "partition", batch_id, coalesce(batch_ts, ts) AS batch_ts,
+         coalesce(start_offset, last_value(end_offset IGNORE NULLS) OVER w) AS start_offset,
+         last_value(end_offset IGNORE NULLS) OVER w AS end_offset
+  FROM parts JOIN batches USING (appname) LEFT JOIN olog USING (appname, topic, "partition", batch_id)
+  WHERE batch_id >= f
+  WINDOW w AS (PARTITION BY appname, topic, "partition" ORDER BY batch_id ROWS UNBOUNDED PRECEDING)
+)"""
+
+_FAULTY = f"""
+cut AS (SELECT "partition", "offset" // {AUDIT_BATCH} AS id, min("offset") AS s, max("offset") + 1 AS e FROM log GROUP BY ALL),
+r AS (SELECT "partition", CASE WHEN id % {AUDIT_AGAIN[0]} = {AUDIT_AGAIN[1]} THEN s - {AUDIT_EARLY} ELSE s END AS s, e
+      FROM cut WHERE id % {AUDIT_SKIP[0]} <> {AUDIT_SKIP[1]})"""
+
+
+def _chain_sql(keyed: str) -> str:
+    """The base and each delta table over it, one after the other."""
+    merged = keyed.format(t=_ORDERS_BASE)
+    for i, year in enumerate(CHAIN_YEARS):
+        d = keyed.format(t=f"SELECT o_orderkey, o_custkey, '{i}' AS o_orderstatus, o_totalprice, o_orderdate, o_orderpriority "
+                           f"FROM orders WHERE o_orderdate >= TIMESTAMP '{year}-01-01'")
+        merged = (f"SELECT * FROM ({merged}) m WHERE NOT EXISTS (SELECT 1 FROM ({d}) d WHERE d.o_orderkey = m.o_orderkey) "
+                  f"UNION ALL SELECT * FROM ({d})")
+    return merged
+
+
 _DECODED = "SELECT event_id, ts_ms, user_id, event_type, value, props, " + _FIELDS + " FROM log"
 
 
@@ -745,6 +934,46 @@ def _core_oracle() -> dict[str, str]:
         "merge_null_keys": f"WITH b AS ({_NO_KEY.format(t=_ORDERS_BASE)}), d AS ({_NO_KEY.format(t=_ORDERS_DELTA)}) "
                            f"SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = b.o_orderkey) "
                            f"UNION ALL SELECT * FROM d",
+        "merge_prefiltered": _LI_MERGED,
+        "merge_null_prefiltered": f"WITH b AS ({_NO_KEY.format(t=_ORDERS_BASE)}), d AS ({_NO_KEY.format(t=_ORDERS_DELTA)}) "
+                                  f"SELECT * FROM b WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.o_orderkey = b.o_orderkey) "
+                                  f"UNION ALL SELECT * FROM d",
+        "merge_chain": _chain_sql(_NO_KEY),
+        "merge_chain_version": _chain_sql("SELECT * FROM ({t})"),
+        "offset_log_idle": f"WITH {_LOG}, {_IDLE} SELECT * FROM idle",
+        "range_interior_idle": f"WITH {_LOG}, {_IDLE} SELECT topic, \"partition\", arg_min(end_offset, batch_id) AS from_offset, "
+                               f"arg_max(start_offset, batch_id) AS until_offset FROM idle "
+                               f"WHERE batch_ts > {RANGE_BEGIN} AND batch_ts <= {RANGE_END} GROUP BY ALL",
+        "continuity_audit": f"""WITH {_LOG}, {_FAULTY},
+            there AS (SELECT "partition", "offset" AS o FROM log WHERE "offset" % {AUDIT_HOLE[0]} NOT IN {AUDIT_HOLE[1]}),
+            taken AS (SELECT "partition", o, count(*) AS c FROM (SELECT "partition", unnest(range(s, e)) AS o FROM r) GROUP BY ALL),
+            ends AS (SELECT "partition", min(s) AS s, max(e) AS e FROM r GROUP BY ALL),
+            span AS (SELECT "partition", least(ends.s, min(o)) AS lo, greatest(ends.e, max(o) + 1) AS hi, ends.e AS last
+                     FROM ends JOIN there USING ("partition") GROUP BY "partition", ends.s, ends.e),
+            grid AS (SELECT "partition", last, unnest(range(lo, hi)) AS o FROM span),
+            k AS (SELECT "partition", o, unnest(list_filter([
+                    CASE WHEN there.o IS NOT NULL AND c IS NULL AND o < last THEN 'gap' END, CASE WHEN c > 1 THEN 'repeated' END,
+                    CASE WHEN there.o IS NULL AND c > 0 THEN 'missing' END,
+                    CASE WHEN there.o IS NOT NULL AND c IS NULL AND o >= last THEN 'pending' END,
+                    CASE WHEN there.o IS NULL AND c IS NULL THEN 'absent' END], lambda x: x IS NOT NULL)) AS kind
+                  FROM grid LEFT JOIN taken USING ("partition", o) LEFT JOIN there USING ("partition", o)),
+            i AS (SELECT *, o - row_number() OVER (PARTITION BY "partition", kind ORDER BY o) AS run FROM k)
+            SELECT 'events' AS topic, "partition", kind, min(o) AS from_offset, max(o) + 1 AS until_offset
+            FROM i GROUP BY "partition", kind, run""",
+        "range_islands": f"""WITH {_LOG}, {_FAULTY},
+            o AS (SELECT DISTINCT "partition", unnest(range(s, e)) AS o FROM r),
+            i AS (SELECT *, o - row_number() OVER (PARTITION BY "partition" ORDER BY o) AS run FROM o)
+            SELECT 'events' AS topic, "partition", min(o) AS from_offset, max(o) + 1 AS until_offset FROM i GROUP BY "partition", run""",
+        "rows_as_bounds": f"WITH {_LOG} SELECT topic, \"partition\", \"offset\", CAST(event_id AS VARCHAR) AS key_text "
+                          f"FROM log JOIN (SELECT \"partition\" AS p, max(end_offset) AS s FROM olog WHERE batch_ts <= {RESUME_AT} "
+                          f"GROUP BY 1) ON \"partition\" = p WHERE \"offset\" >= s",
+        "stream_committed": f"WITH {_LOG} " + _chain(f"SELECT {_REC_FIELDS} FROM log"),
+        "stream_committed_offsets": f"WITH {_LOG} SELECT topic, \"partition\", min(\"offset\") AS start_offset, "
+                                    f"max(\"offset\") + 1 AS end_offset, true AS in_every_batch FROM log GROUP BY ALL",
+        "stream_app_names": f"WITH {_LOG} SELECT CASE WHEN \"partition\" % 2 = 0 THEN '{ODD_APPS[0]}' ELSE '{ODD_APPS[1]}' END AS appname, "
+                            f"event_id, upper(event_type) || '/' || CAST(hour(ts) AS VARCHAR) AS event_type, {_FIELDS} FROM log",
+        "stream_interval": f"WITH {_LOG} " + _chain(f"SELECT {_REC_FIELDS} FROM log"),
+        "replay_two_part_table": f"WITH {_LOG} " + _chain(f"SELECT {_REC_FIELDS} FROM log WHERE {_bounds_pred()}"),
         "delimited_odd_text": "SELECT doc_id, CASE doc_id % 7 WHEN 0 THEN '' WHEN 1 THEN NULL WHEN 2 THEN '|' || lang || '|' "
                               "WHEN 3 THEN lang || chr(13) || chr(10) || source WHEN 4 THEN '\"' WHEN 5 THEN chr(92) || 'N' "
                               "ELSE chr(92) || source || chr(92) || chr(92) || 'n|' END AS odd, text, source FROM documents",

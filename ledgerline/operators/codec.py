@@ -86,23 +86,27 @@ def decode_payload(
     derived from ``schema``).
     """
     value = F.col(value_col)
-    parsed = decode_column(value, schema, fmt, avro_schema)
-    one = F.lit(True)
-    if fmt == "json":  # as the only element of an array: nothing before, nothing after
-        one = F.coalesce(F.json_array_length(F.concat(F.lit("["), value.cast("string"), F.lit("]"))) == 1, F.lit(False))
+    if fmt == "json":  # one parse: the record as the only element of an array, nothing before or after it
+        text = F.concat(F.lit('{"__r":['), value.cast("string"), F.lit("]}"))
+        wrapped = T.StructType([T.StructField("__r", T.ArrayType(schema)), T.StructField(CORRUPT_COL, T.StringType(), True)])
+        parsed = F.from_json(text, wrapped, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT_COL})
+    else:
+        parsed = decode_column(value, schema, fmt, avro_schema)
     # Parse once.  Filters on the result (e.g. NOT is_bad) would otherwise be
     # pushed below the projection with the parse inlined into them, running
     # it two or three times per row; a one-row ``inline`` is a Generate node
     # that predicates referencing its output cannot cross.
-    once = F.struct((value.isNull() | ~one).alias("__missing"), parsed.alias("__p"))
+    once = F.struct(value.isNull().alias("__missing"), parsed.alias("__p"))
     staged = connector_checked(lambda: df.select(*keep, F.inline(F.array(once))), fmt)
-    fields = [F.col(f"__p.{f.name}") for f in schema.fields]
-    nothing = reduce(lambda a, b: a & b, [F.col(f"__p.{f.name}").isNull() for f in schema.fields], F.lit(True))
-    bad = reduce(lambda a, b: a | b, [F.col(f"__p.{c}").isNull() for c in required], F.col("__missing") | nothing)
+    record = F.get("__p.__r", 0) if fmt == "json" else F.col("__p")
+    bad = F.col("__missing")
     if fmt == "json":
-        bad = bad | F.col(f"__p.{CORRUPT_COL}").isNotNull()
+        bad = bad | F.col(f"__p.{CORRUPT_COL}").isNotNull() | (F.coalesce(F.size("__p.__r"), F.lit(0)) != 1)
+    fields = {f.name: record[f.name] for f in schema.fields}
+    bad = bad | reduce(lambda a, b: a & b, [c.isNull() for c in fields.values()], F.lit(True))
+    bad = reduce(lambda a, b: a | b, [fields[c].isNull() for c in required], bad)
     flagged = staged.select(*keep, "__p", bad.alias(BAD_COL))
-    return flagged.select(*keep, *[F.when(~F.col(BAD_COL), f).alias(n) for f, n in zip(fields, schema.fieldNames(), strict=True)], BAD_COL)
+    return flagged.select(*keep, *[F.when(~F.col(BAD_COL), c).alias(n) for n, c in fields.items()], BAD_COL)
 
 
 def encode_column(cols: list[str], fmt: str = "json", avro_schema: str | None = None) -> Column:

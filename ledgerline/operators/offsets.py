@@ -14,6 +14,7 @@ import json
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from ledgerline.functions.timefields import floor_div, reverse_time_key
 
@@ -57,6 +58,37 @@ def batch_offsets(batch: DataFrame, appname: str, batch_id: Column | None = None
     )
 
 
+def carry_forward(offset_log: DataFrame) -> DataFrame:
+    """An offset log with a row for every topic partition in every batch from the partition's first on.
+
+    A partition without new messages in a batch has the empty range at its end so far, with the
+    batch's time: what a consumer records that asks all its partitions.  The rows that are there stay as
+    they are.  Batches follow by ``batch_id``.  The join is on the app; its size is that of the result.
+    """
+    part = ["appname", "topic", "partition"]
+    batches = offset_log.groupBy("appname", "batch_id").agg(F.max("batch_ts").alias("__ts"))
+    first = offset_log.groupBy(*part).agg(F.min("batch_id").alias("__first"))
+    grid = first.join(batches, "appname").filter(F.col("batch_id") >= F.col("__first")).select(*part, "batch_id", "__ts")
+    full = grid.join(offset_log, [*part, "batch_id"], "left")
+    so_far = Window.partitionBy(*part).orderBy("batch_id").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.last("end_offset", ignorenulls=True).over(so_far)
+    return full.withColumn("__end", end).select(
+        *part, "batch_id", F.coalesce("batch_ts", "__ts").alias("batch_ts"),
+        F.coalesce("start_offset", "__end").alias("start_offset"), F.col("__end").alias("end_offset"),
+    ).select(*OFFSET_LOG_COLUMNS)
+
+
+def with_idle_partitions(ranges: DataFrame, ends: DataFrame, appname: str, batch_id: int, batch_ts: int) -> DataFrame:
+    """One batch's ranges (OFFSET_LOG columns) and an empty range for each topic partition of ``ends``
+    (``topic, partition, end_offset``; what is recorded so far) without messages in it."""
+    idle = ends.select("topic", "partition", "end_offset").join(ranges, ["topic", "partition"], "left_anti")
+    rows = idle.select(
+        F.lit(appname).alias("appname"), "topic", "partition", F.lit(int(batch_id)).cast("long").alias("batch_id"),
+        F.lit(int(batch_ts)).cast("long").alias("batch_ts"), F.col("end_offset").alias("start_offset"), "end_offset",
+    )
+    return ranges.unionByName(rows)
+
+
 def batch_counts(batch: DataFrame) -> DataFrame:
     """Messages per (topic, partition, batch)."""
     return batch.groupBy("topic", "partition", "batch_id").agg(F.count(F.lit(1)).alias("message_count"))

@@ -8,7 +8,9 @@ time range stays a DataFrame of one row per partition.
 from __future__ import annotations
 
 from datetime import datetime, timezone
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,8 +21,7 @@ from ledgerline.operators.offsets import resolve_range
 from ledgerline.operators.transform import transform_chain
 from ledgerline.plans.versions import merge_version, version_stamp
 from ledgerline.schemas import PARTITION_FIELDS
-from ledgerline.session import scratch_path
-from ledgerline.sinks.tables import append_partitioned, create_like, insert_into, offset_deltas_name, version_names
+from ledgerline.sinks.tables import append_partitioned, create_like, insert_into, offset_deltas_name, path_missing, version_names
 from ledgerline.sources.log import _as_ranges, read_kafka_range, read_offset_range
 
 RAW_COL = "__message"
@@ -99,8 +100,8 @@ def replay_offsets(
 
     The rows are appended to the Parquet folder ``sink`` and/or the catalog
     table ``table`` (``db.name``), partitioned by ``mon, day, hour`` (``with_year``: ``year`` first).
-    With either, they are written once to a folder of their own and the result is a read of it, so
-    using the result does not replay again.
+    They are written there and nowhere else, and the result is a read of the files that the replay added
+    (one writer to a table at a time), so using it does not replay again.
     """
     messages = read_offset_range(log, bounds)
     decoded = decode_messages(messages, schema, time_field, fmt, with_year, quarantine, on_bad, avro_schema, counts)
@@ -108,11 +109,26 @@ def replay_offsets(
     if not sink and not table:
         return out
     parts = [c for c in ("year", *PARTITION_FIELDS) if c in out.columns]
-    own = scratch_path(log.sparkSession, "replay")
-    out.write.parquet(own)
-    written = log.sparkSession.read.schema(out.schema).parquet(own)
-    append_partitioned(written, path=sink, table=table, partition_cols=parts)
-    return written
+    spark = log.sparkSession
+    before = _files(spark, sink, table)
+    append_partitioned(out, path=sink, table=table, partition_cols=parts)
+    added = sorted(_files(spark, sink, table) - before)
+    if not added:
+        return spark.createDataFrame([], out.schema)
+    root = added[0].split(f"/{parts[0]}=")[0]
+    return spark.read.schema(out.schema).option("basePath", root).parquet(*added).select(*out.columns)
+
+
+def _files(spark: SparkSession, sink: str | None, table: str | None) -> set[str]:
+    """The files of a table or folder; none if it is not there yet."""
+    if table and not spark.catalog.tableExists(table):
+        return set()
+    try:
+        return {unquote(f) for f in (spark.table(table) if table else spark.read.schema("x int").parquet(sink)).inputFiles()}
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
+    return set()
 
 
 def replay_time(

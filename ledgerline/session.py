@@ -64,6 +64,11 @@ def scratch_path(spark: SparkSession, *parts: str) -> str:
     return "/".join([_roots[app], *parts, uuid.uuid4().hex])
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place))
+
+
 def cluster_settings(input_bytes: int, executor_cores: int = 4, executor_memory_gb: int = 16) -> dict[str, str]:
     """Session settings sized for a large cluster, derived from the input size.
 

@@ -6,8 +6,6 @@ Paths are whatever the caller passes: on a cluster, a shared filesystem
 
 from __future__ import annotations
 
-from urllib.parse import quote
-
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -98,11 +96,28 @@ def overwrite_partitions(df: DataFrame, path: str, partition_cols: list[str]) ->
 
 BATCH_COLUMNS = ("appname", "batch_id")
 SMALL_BATCH_ROWS = 1_000_000
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"  # fixed value: the folder name of a NULL partition value
+
+
+# The characters that Spark escapes (as %XX) in the folder names of partition values.
+ESCAPED_IN_PATHS = frozenset('"#%\'*/:=?\\{[]^\x7f') | frozenset(map(chr, range(1, 0x20)))
+
+
+def partition_folder(column: str, value: str) -> str:
+    """``column=value`` as Spark names the folder of a partition value."""
+    if not value:
+        raise ValueError(f"{column} must not be empty")
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in ESCAPED_IN_PATHS else c for c in value)
 
 
 def batch_path(path: str, appname: str, batch_id: int) -> str:
-    """The folder of one app's batch; the name is escaped as Spark escapes partition values."""
-    return f"{path.rstrip('/')}/appname={quote(appname, safe=' ')}/batch_id={int(batch_id)}"
+    """The folder of one app's batch."""
+    return f"{path.rstrip('/')}/{partition_folder('appname', appname)}/batch_id={int(batch_id)}"
+
+
+def sql_text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def overwrite_batch(df: DataFrame, path: str, appname: str, batch_id: int, partition_cols: list[str], rows: int | None = None) -> None:
@@ -113,25 +128,42 @@ def overwrite_batch(df: DataFrame, path: str, appname: str, batch_id: int, parti
     prune.  A batch of few ``rows`` is dealt over all cores by its partition columns, as AQE would
     leave one task to write every folder; a larger one is rebalanced (hot hours are split).
     """
+    write_batch_folder(df, batch_path(path, appname, batch_id), partition_cols, rows)
+
+
+def write_batch_folder(df: DataFrame, folder: str, partition_cols: list[str], rows: int | None = None) -> None:
+    """The rows of one batch as the whole content of ``folder``."""
     small = rows is not None and rows <= SMALL_BATCH_ROWS and partition_cols
     cores = df.sparkSession.sparkContext.defaultParallelism
     data = df.repartition(cores, *partition_cols) if small else clustered(df, partition_cols)
-    _writer(data, partition_cols, "overwrite", dynamic=False).save(batch_path(path, appname, batch_id))
+    _writer(data, partition_cols, "overwrite", dynamic=False).save(folder)
 
 
 def register_batch(spark: SparkSession, table: str, path: str, df: DataFrame, appname: str, batch_id: int, partition_cols: list[str]) -> None:
-    """Show a written batch in the catalog table ``table`` over ``path``; the table is made if absent."""
+    """Show a written batch in the catalog table ``table`` over ``path``; the table is made if absent.
+
+    Every partition is added with the folder that holds it, so no name has to be guessed.  A batch
+    without rows (all its payloads bad) adds none.
+    """
     if not spark.catalog.tableExists(table):
         cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
         parts = ", ".join(f"`{c}`" for c in (*BATCH_COLUMNS, *partition_cols))
-        spark.sql(f"CREATE TABLE {table} ({cols}, appname string, batch_id bigint) USING parquet PARTITIONED BY ({parts}) LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE {table} ({cols}, appname string, batch_id bigint) USING parquet PARTITIONED BY ({parts}) LOCATION {sql_text(path)}")
     folder = batch_path(path, appname, batch_id)
-    found = spark.read.parquet(folder).select(*partition_cols).distinct().collect()  # the hours of one batch
+    try:
+        found = spark.read.schema(df.schema).parquet(folder).select(*partition_cols).distinct().collect()  # the hours of one batch
+    except AnalysisException as exc:
+        if not path_missing(exc):
+            raise
+        found = []
     if not found:
         return
-    app = appname.replace("\\", "\\\\").replace("'", "\\'")
-    value = lambda v: "null" if v is None else str(int(v))
-    specs = [f"PARTITION (appname='{app}', batch_id={int(batch_id)}, " + ", ".join(f"`{c}`={value(r[c])}" for c in partition_cols) + ")" for r in found]
+    shown = lambda v: NO_VALUE if v is None else str(int(v))
+    specs = []
+    for r in found:
+        spec = [f"appname={sql_text(appname)}", f"batch_id={int(batch_id)}", *(f"`{c}`={'null' if r[c] is None else int(r[c])}" for c in partition_cols)]
+        place = "/".join([folder, *(f"{c}={shown(r[c])}" for c in partition_cols)])
+        specs.append(f"PARTITION ({', '.join(spec)}) LOCATION {sql_text(place)}")
     spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS " + " ".join(specs))
     spark.catalog.refreshTable(table)
 
@@ -209,6 +241,13 @@ def append_log(spark: SparkSession, path: str, messages: DataFrame, order_col: s
     are written, so a failed append leaves a gap in the offsets, never an offset used twice.  One writer
     per log at a time, as with a partition leader.
     """
+    numbered = _numbered(spark, path, messages, order_col)
+    if _record_ends(spark, path, numbered):
+        write_log(numbered, path, mode="append")
+
+
+def _numbered(spark: SparkSession, path: str, messages: DataFrame, order_col: str) -> DataFrame:
+    """``messages`` with the offsets that continue the log, computed and written once."""
     numbered = assign_sequence(messages, ["topic", "partition"], order_col, "offset")
     ends = _log_ends(spark, path)
     if ends is not None:
@@ -216,15 +255,23 @@ def append_log(spark: SparkSession, path: str, messages: DataFrame, order_col: s
         starts = F.broadcast(starts) if starts.count() <= BROADCAST_BOUNDS else starts
         numbered = numbered.join(starts, ["topic", "partition"], "left").withColumn(
             "offset", F.col("offset") + F.coalesce("__next", F.lit(0)))
+    own = scratch_path(spark, "numbered")
+    numbered.select(*LOG_COLUMNS).write.parquet(own)
+    return read_log(spark, own)
+
+
+def _record_ends(spark: SparkSession, path: str, numbered: DataFrame) -> bool:
+    """Record the log's ends after ``numbered``; False if it holds nothing."""
     ends = numbered.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next"))
     if ends.isEmpty():
-        return
-    if _log_ends(spark, path) is not None:  # ends of partitions that this append does not touch
-        ends = ends.unionByName(_log_ends(spark, path)).groupBy("topic", "partition").agg(F.max("next").alias("next"))
+        return False
+    before = _log_ends(spark, path)
+    if before is not None:  # ends of partitions that this append does not touch
+        ends = ends.unionByName(before).groupBy("topic", "partition").agg(F.max("next").alias("next"))
     target = scratch_path(spark, "ends")
     ends.write.parquet(target)
     spark.read.parquet(target).coalesce(1).write.mode("append").parquet(_ends_path(path))
-    write_log(numbered.select(*LOG_COLUMNS), path, mode="append")
+    return True
 
 
 def write_log(log: DataFrame, path: str, mode: str = "errorifexists", slice_width: int = 1 << 22) -> None:

@@ -23,10 +23,12 @@ from ledgerline.functions.timefields import epoch_micros
 from ledgerline.operators.codec import MissingConnectorError, connector_checked, encode_column
 from ledgerline.operators.sequence import DEFAULT_BLOCK_ROWS, assign_sequence
 from ledgerline.schemas import MESSAGE_LOG
+from ledgerline.session import scratch_path
 
 LOG_COLUMNS = [f.name for f in MESSAGE_LOG.fields]
 
 ORDER_COL = "__order"  # a message's place among the messages published with it
+LISTED_BOUNDS = 1_000  # rows of a bounds table whose partitions are named at the scan
 BROADCAST_BOUNDS = 1_000_000  # most rows of a bounds table that is broadcast; beyond it the join shuffles
 
 
@@ -120,32 +122,41 @@ def _ranges_predicate(ranges: list[OffsetRange]) -> Column:
     ])
 
 
-def _checked_bounds(bounds: DataFrame) -> DataFrame:
-    return F.broadcast(bounds) if bounds.count() <= BROADCAST_BOUNDS else bounds
-
-
 def read_offset_range(log: DataFrame, bounds: Iterable | DataFrame) -> DataFrame:
     """Messages with ``from <= offset < until`` in each given partition.
 
     A list of :class:`OffsetRange` / tuples becomes a plain predicate, one test per distinct pair of
     bounds whatever their number, so partition pruning and row-group skipping on the offset reach the
-    Parquet scan.  A DataFrame with columns ``topic, partition, from_offset, until_offset`` stays one:
-    the log is joined with it (partitions prune at run time) under the least and greatest bound, which
-    are scalar subqueries that reach the scan.  No bounds read nothing.
+    Parquet scan.  A DataFrame with columns ``topic, partition, from_offset, until_offset`` is computed
+    once, into the scratch folder (one row per partition): its least and greatest bound, and up to
+    ``LISTED_BOUNDS`` partitions, become literals at the scan, and the log is joined with it.  No bounds read
+    nothing.
     """
     if not isinstance(bounds, DataFrame):
         ranges = _as_ranges(bounds)
         return log.filter(_ranges_predicate(ranges)) if ranges else log.filter(F.lit(False))
-    table = bounds.select(
-        F.col("topic").alias("__t"), F.col("partition").alias("__p"),
-        F.col("from_offset").alias("__lo"), F.col("until_offset").alias("__hi"),
-    )
-    least = table.agg(F.coalesce(F.min(F.coalesce("__lo", F.lit(-(1 << 63)))), F.lit(0))).scalar()
-    most = table.agg(F.coalesce(F.max(F.coalesce("__hi", F.lit((1 << 63) - 1))), F.lit(0))).scalar()
-    window = log.filter((F.col("offset") >= least) & (F.col("offset") <= most))
+    own = scratch_path(log.sparkSession, "bounds")
+    bounds.select(
+        F.col("topic").alias("__t"), F.col("partition").cast("int").alias("__p"),
+        F.col("from_offset").cast("long").alias("__lo"), F.col("until_offset").cast("long").alias("__hi"),
+    ).write.parquet(own)
+    table = log.sparkSession.read.schema("__t string, __p int, __lo long, __hi long").parquet(own)
+    few = table.limit(LISTED_BOUNDS + 1).collect()
+    if not few:
+        return log.filter(F.lit(False))
+    listed = len(few) <= LISTED_BOUNDS
+    least, most = F.min(F.coalesce("__lo", F.lit(-(1 << 63)))).alias("lo"), F.max(F.coalesce("__hi", F.lit((1 << 63) - 1))).alias("hi")
+    lo, hi = (None, None) if listed else table.agg(least, most).first()
+    if listed:
+        lo = None if any(r["__lo"] is None for r in few) else min(r["__lo"] for r in few)
+        hi = None if any(r["__hi"] is None for r in few) else max(r["__hi"] for r in few)
+    window = log.filter(_within((lo, hi)))
+    if listed:  # these partitions only; a NULL topic or partition holds nothing
+        window = window.filter(_ranges_predicate([OffsetRange(*p) for p in sorted({(r["__t"], r["__p"]) for r in few if None not in (r["__t"], r["__p"])})] or [OffsetRange("", -1)]))
     inside = F.col("offset").between(F.coalesce("__lo", F.col("offset")), F.coalesce(F.col("__hi") - 1, F.col("offset")))
     same = (F.col("topic") == F.col("__t")) & (F.col("partition") == F.col("__p"))
-    return window.join(_checked_bounds(table), same & inside).select(*log.columns)
+    side = F.broadcast(table) if listed or table.count() <= BROADCAST_BOUNDS else table
+    return window.join(side, same & inside).select(*log.columns)
 
 
 def read_from_offsets(log: DataFrame, starts: Iterable | DataFrame) -> DataFrame:

@@ -18,13 +18,20 @@ checkpoint, so a new query (new checkpoint) of the same app continues after the
 batches already recorded instead of replacing them.  Bad payloads go to an
 optional quarantine path, keyed the same way; without one they fail the batch
 (or are left out, if ``on_bad="drop"``).
+
+With ``committed`` step 2 writes to a new folder for every attempt and the batch is shown by one
+record (``sinks.manifest``): readers of ``read_committed`` see each batch whole, as it was or as it is.
+With ``idle_partitions`` step 3 also records, as a consumer of all its partitions does, an empty range
+for every partition known so far that had no message in the batch.
 """
 
 from __future__ import annotations
 
 import logging
+import time
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation
@@ -33,11 +40,13 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ledgerline.operators.codec import BAD_COL, decode_payload
-from ledgerline.operators.offsets import batch_offsets
+from ledgerline.operators.offsets import batch_offsets, with_idle_partitions
 from ledgerline.operators.transform import transform_chain
 from ledgerline.plans.replay import decode_messages
 from ledgerline.schemas import OFFSET_LOG, PARTITION_FIELDS
-from ledgerline.sinks.tables import batch_path, overwrite_batch, path_missing, register_batch, write_offset_log
+from ledgerline.session import path_exists
+from ledgerline.sinks.manifest import commit_batch, new_attempt
+from ledgerline.sinks.tables import batch_path, overwrite_batch, path_missing, register_batch, write_batch_folder, write_offset_log
 
 # Fixed value: the default interval between micro-batches, in seconds.
 DEFAULT_TRIGGER_SECONDS = 180
@@ -49,6 +58,16 @@ def _log_metrics(batch_id: int, metrics: dict) -> None:
     _log.info("ingest batch %s: %s", batch_id, metrics)
 
 
+def _observed(seen: Observation, batch: DataFrame) -> dict:
+    """The counts of the batch's write.  Where nothing was left to write, the adaptive plan may have
+    dropped the observed node: then every message was bad."""
+    try:
+        return dict(seen.get)
+    except Py4JJavaError:
+        n = batch.count()
+        return {"rows": n, "bad_rows": n}
+
+
 def batch_writer(
     schema: T.StructType,
     time_field: str,
@@ -65,6 +84,8 @@ def batch_writer(
     with_year: bool = False,
     table: str | None = None,
     on_bad: str | None = None,
+    committed: bool = False,
+    idle_partitions: bool = False,
 ):
     """The ``foreachBatch`` function of :func:`start_ingest`.
 
@@ -78,6 +99,15 @@ def batch_writer(
     """
     parts = [*(["year"] if with_year else []), *PARTITION_FIELDS]
     on_bad = on_bad or ("quarantine" if quarantine else "fail")
+    if committed and table:
+        raise ValueError("a committed sink is read by read_committed; it has no catalog table")
+
+    def ends_before(spark, batch_id: int) -> DataFrame:
+        """What earlier batches recorded, one row per topic partition."""
+        there = path_exists(spark, offset_log_path)
+        recorded = spark.read.schema(OFFSET_LOG).parquet(offset_log_path) if there else spark.createDataFrame([], OFFSET_LOG)
+        mine = recorded.filter((F.col("appname") == F.lit(appname)) & (F.col("batch_id") < batch_id))
+        return mine.groupBy("topic", "partition").agg(F.max_by("end_offset", "batch_id").alias("end_offset"))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
         batch_id = int(batch_base) + int(epoch_id)
@@ -99,13 +129,25 @@ def batch_writer(
                                    avro_schema=avro_schema, counts=seen)
             out = transform_chain(rows, steps)
             messages = sum(r["end_offset"] - r["start_offset"] for r in ranges)
-            overwrite_batch(out, sink, appname, batch_id, parts, messages)
+            spark = batch.sparkSession
+            if committed:
+                folder = new_attempt(sink, appname, batch_id)
+                write_batch_folder(out.withColumn("appname", F.lit(appname)), folder, parts, messages)
+            else:
+                overwrite_batch(out, sink, appname, batch_id, parts, messages)
             if table:
-                register_batch(batch.sparkSession, table, sink, out, appname, batch_id, parts)
-            offsets = batch.sparkSession.createDataFrame(ranges, OFFSET_LOG)
+                register_batch(spark, table, sink, out, appname, batch_id, parts)
+            offsets = spark.createDataFrame(ranges, OFFSET_LOG)
+            if idle_partitions:
+                newest = max(r["batch_ts"] for r in ranges)
+                offsets = with_idle_partitions(offsets, ends_before(spark, batch_id), appname, batch_id, newest)
+            if committed:
+                cells = offsets.select("topic", "partition", "batch_ts", "start_offset", "end_offset").collect()  # one per topic partition
+                counts = _observed(seen, batch)
+                commit_batch(spark, sink, appname, batch_id, folder, cells, counts["rows"] - counts["bad_rows"], counts["bad_rows"])
             write_offset_log(offsets.coalesce(1), offset_log_path)
             if on_metrics:
-                on_metrics(batch_id, dict(seen.get))
+                on_metrics(batch_id, _observed(seen, batch))
         finally:
             if hold:
                 batch.unpersist()
@@ -114,8 +156,11 @@ def batch_writer(
 
 
 def _fetched_by_query(stream: DataFrame) -> bool:
-    """Whether each read of a micro-batch fetches from brokers again (a Kafka source)."""
-    return "kafka" in stream._jdf.queryExecution().analyzed().toString().lower()
+    """Whether each read of a micro-batch fetches from brokers again: a source that is not files."""
+    plan = stream._jdf.queryExecution().analyzed()
+    leaves = plan.collectLeaves()
+    names = [leaves.apply(i).getClass().getSimpleName() for i in range(leaves.size())]
+    return any(n != "StreamingRelation" for n in names)  # file streams are StreamingRelation, Kafka's StreamingRelationV2
 
 
 def start_ingest(
@@ -138,11 +183,13 @@ def start_ingest(
     with_year: bool = False,
     table: str | None = None,
     on_bad: str | None = None,
+    committed: bool = False,
+    idle_partitions: bool = False,
 ) -> StreamingQuery:
     """Start the ingest query; ``available_now`` drains what is there and stops.
 
     One ingest query per ``appname`` at a time (as with a single consumer).  With ``table`` the rows
-    are also a catalog table over ``sink``.  ``cache_batch`` defaults to the source's kind: batches from
+    are also a catalog table over ``sink``; with ``committed`` they are read by ``sinks.manifest.read_committed``.  ``cache_batch`` defaults to the source's kind: batches from
     Kafka are cached, those from files are not.
     """
     decode_payload(stream, schema, fmt=fmt, avro_schema=avro_schema)  # a missing connector shows here
@@ -150,7 +197,7 @@ def start_ingest(
     base = batch_id_base(stream.sparkSession, checkpoint, offset_log_path, appname)
     writer = stream.writeStream.foreachBatch(
         batch_writer(schema, time_field, sink, offset_log_path, appname, steps, fmt, quarantine, on_metrics,
-                     cache_batch, base, avro_schema, with_year, table, on_bad)
+                     cache_batch, base, avro_schema, with_year, table, on_bad, committed, idle_partitions)
     ).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
@@ -198,6 +245,21 @@ def run_ingest(query: StreamingQuery, timeout_s: float | None = None) -> bool:
     return bool(query.awaitTermination(timeout_s))
 
 
+def run_batches(query: StreamingQuery, batches: int, timeout_s: float) -> None:
+    """Let a query with an interval trigger run until ``batches`` batches with messages are done, and stop it."""
+    until = time.monotonic() + timeout_s
+    while True:
+        if query.exception():
+            raise query.exception()
+        done = {p["batchId"] for p in query.recentProgress if p["numInputRows"] > 0}
+        if len(done) >= batches or time.monotonic() > until:
+            query.stop()
+            if len(done) < batches:
+                raise TimeoutError(f"{len(done)} of {batches} batches after {timeout_s:g} s")
+            return
+        time.sleep(0.2)
+
+
 def drain(query: StreamingQuery, timeout_s: float) -> None:
     """Wait for a query that stops by itself; a query that has not ended by then is stopped and a
     ``TimeoutError`` raised, as what it wrote is only a part."""

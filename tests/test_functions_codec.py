@@ -3,6 +3,7 @@
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerline.functions import (
     keyword_match,
@@ -123,3 +124,15 @@ def test_wall_clock_epochs_ignore_the_session_zone(spark):
             assert [(r["mon"], r["day"], r["hour"]) for r in rows] == [(d.month, d.day, d.hour) for d in map(datetime.fromisoformat, times)]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_one_parse_finds_every_bad_payload(spark):
+    bad = ["", " ", "{}", "null", "[]", "1", '{"a": 1', '{"a": 1}{"a": 2}', '{"a": 1}, {"a": 2}', '[{"a": 1}]', '{"a": "x"}', '{"a": 1} x', '{"b": 1}', '"s"', '{"a": null}']
+    good = ['{"a": 1}', ' {"a": 1, "c": {"d": [1]}} ', '{"a": 1, "s": "]}"}']
+    rows = [(i, t.encode()) for i, t in enumerate(bad + good)] + [(99, None)]
+    df = spark.createDataFrame(rows, "i int, value binary")
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("s", T.StringType())])
+    got = {r["i"]: (r["is_bad"], r["a"]) for r in decode_payload(df, schema, keep=["i"]).collect()}
+    assert got == {i: (True, None) for i in range(len(bad))} | {len(bad) + k: (False, 1) for k in range(len(good))} | {99: (True, None)}
+    plan = decode_payload(df, schema, keep=["i"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("from_json") == 1 and "json_array_length" not in plan

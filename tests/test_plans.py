@@ -26,7 +26,10 @@ def test_replay_from_a_log_at_rest_has_no_shuffle_and_pushes_offsets(spark, scra
     # the log side is never shuffled: the bounds, one row per partition, are broadcast
     assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
     log_scan = next(x for x in plan.split("FileScan") if "value" in x.split("ReadSchema")[-1][:80])
-    assert "subquery" in log_scan and "PartitionFilters: [" in log_scan
+    # the bounds are computed once: the least and the greatest, and the partitions, are literals at the scan
+    assert "GreaterThanOrEqual(offset" in log_scan and "LessThan(offset" in log_scan
+    assert "partition#" in log_scan.split("PartitionFilters: [")[1].split("]")[0]
+    assert plan.count("FileScan") <= 3  # the log, the bounds, and these once more where partitions prune at run time
 
 
 def test_replay_of_listed_ranges_is_a_pushed_down_scan(spark, scratch):

@@ -99,7 +99,9 @@ def test_many_ranges_are_one_predicate(spark, scratch):
     joined = read_offset_range(log, table)
     assert joined.exceptAll(got).count() == 0 and joined.count() == 24
     plan = joined._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "subquery" in plan.split("FileScan")[1]
+    assert "BroadcastHashJoin" in plan and plan.count("FileScan") == 2  # the log, the bounds
+    scan = plan.split("FileScan")[1]
+    assert "GreaterThanOrEqual(offset,0)" in scan and "LessThan(offset,9)" in scan and "partition#" in scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert read_offset_range(log, table.limit(0)).count() == 0
 
 

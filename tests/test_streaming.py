@@ -318,3 +318,44 @@ def test_offset_log_compaction_prunes_on_time(spark, scratch):
     assert len(compact.inputFiles()) <= 3
     plan = scan_offset_log(compact, ev.APPNAME, 0, 5)._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(batch_ts" in plan and "PartitionFilters: [isnotnull(appname" in plan
+
+
+def test_app_names_are_whole_in_the_catalog_table(spark, scratch):
+    """Names with characters that paths escape, and others that they do not."""
+    root = scratch("names")
+    table = "names_" + root.rsplit("/", 1)[-1]
+    batch = ev.events_log(spark, SF_SMALL).filter("offset < 20")
+    apps = ["app+1", "a,b", "caf\u00e9", "x=1%20/y", "it's \\ \"q\" #[]{}", "app one/a", "a:b*c?^"]
+    for app in apps:
+        batch_writer(EVENT_RECORD, "ts_ms", os.path.join(root, "table"), os.path.join(root, "offsets"), app, table=table)(batch, 0)
+    n = batch.count()
+    assert {r["appname"]: r["count"] for r in spark.table(table).groupBy("appname").count().collect()} == dict.fromkeys(apps, n)
+    assert {r["appname"]: r["count"] for r in spark.read.parquet(os.path.join(root, "table")).groupBy("appname").count().collect()} == dict.fromkeys(apps, n)
+    assert spark.table(table).filter("appname = 'app+1' AND batch_id = 0").count() == n
+    with pytest.raises(ValueError):
+        batch_writer(EVENT_RECORD, "ts_ms", os.path.join(root, "table"), os.path.join(root, "offsets"), "")(batch, 0)
+
+
+def test_a_batch_of_only_bad_payloads_with_a_catalog_table(spark, scratch):
+    for more in ({"quarantine": True}, {"on_bad": "drop"}):
+        root = scratch("allbad")
+        table = "allbad_" + root.rsplit("/", 1)[-1]
+        if "quarantine" in more:
+            more = {"quarantine": os.path.join(root, "bad")}
+        seen = {}
+        write = batch_writer(EVENT_RECORD, "ts_ms", os.path.join(root, "table"), os.path.join(root, "offsets"), "a", table=table,
+                             on_metrics=lambda b, m, s=seen: s.setdefault(b, m), **more)
+        log = ev.events_log(spark, SF_SMALL).filter("offset < 30")
+        write(log.withColumn("value", F.lit(b"{")), 0)
+        write(log, 1)
+        n = log.count()
+        assert spark.table(table).count() == n and seen == {0: {"rows": n, "bad_rows": n}, 1: {"rows": n, "bad_rows": 0}}
+
+
+def test_batches_of_files_are_not_cached(spark, scratch):
+    from ledgerline.streaming.ingest import _fetched_by_query
+
+    path = os.path.join(scratch("kafka"), "kafka")  # the name of a path says nothing about the source
+    ev.events_log(spark, SF_SMALL).limit(5).write.parquet(path)
+    assert not _fetched_by_query(read_log_stream(spark, path))
+    assert _fetched_by_query(spark.readStream.format("rate").load())
