@@ -28,7 +28,7 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -175,16 +175,16 @@ def one_edit(long: np.ndarray, short: np.ndarray) -> np.ndarray:
     return ahead + behind >= short.shape[1]
 
 
-def partners(rows: pd.DataFrame) -> pd.DataFrame:
+def partners(rows: pa.Table) -> pa.Table:
     """Of one task's blocks: word, how many near words it met, the best of them (largest n, then
     smallest word) and its n."""
     out = []
-    rows = rows.sort_values(["block", "tile", "visit_tile"], kind="stable")
-    keys = rows[["block", "tile", "visit_tile"]].to_numpy()
-    starts = np.flatnonzero(np.r_[True, (keys[1:] != keys[:-1]).any(axis=1)])
+    rows = rows.sort_by([(c, "ascending") for c in ("block", "tile", "visit_tile")])
+    keys = [rows[c].to_numpy() for c in ("block", "tile", "visit_tile")]
+    starts = np.flatnonzero(np.r_[True, np.logical_or.reduce([k[1:] != k[:-1] for k in keys])])
     words, ns, home, same = (rows[c].to_numpy() for c in ("word", "n", "home", "own"))
     letters = Letters(words)
-    for start, end in zip(starts, np.r_[starts[1:], len(rows)], strict=True):
+    for start, end in zip(starts, np.r_[starts[1:], len(words)], strict=True):
         at, visit = start + np.flatnonzero(home[start:end]), start + np.flatnonzero(~home[start:end])
         if not len(at) or not len(visit):
             continue
@@ -192,13 +192,17 @@ def partners(rows: pd.DataFrame) -> pd.DataFrame:
         once = ~same[b] | (words[a] < words[b])  # two words of one block meet twice
         if once.any():
             out.append((np.r_[a[once], b[once]], np.r_[b[once], a[once]]))
-    if not out:
-        return pd.DataFrame({"word": [], "met": [], "best": [], "best_n": []})
-    one, other = (np.concatenate(x) for x in zip(*out, strict=True))
-    pairs = pd.DataFrame({"word": words[one], "best": words[other], "best_n": ns[other]})
-    pairs = pairs.sort_values(["word", "best_n", "best"], ascending=[True, False, True])
-    met = pairs.groupby("word", sort=False).agg(met=("best", "size"), best=("best", "first"), best_n=("best_n", "first"))
-    return met.reset_index()
+    one, other = (np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, int), np.zeros(0, int))
+    # a word's partners together, the best of them first
+    names = np.unique(words, return_inverse=True)[1]  # numbers in the order of the words
+    order = np.lexsort((names[other], -ns[other], names[one]))
+    one, other = one[order], other[order]
+    first = np.flatnonzero(np.r_[True, names[one][1:] != names[one][:-1]]) if len(one) else one
+    met = np.diff(np.r_[first, len(one)])
+    return pa.table({
+        "word": pa.array(words[one[first]], pa.string()), "met": pa.array(met, pa.int64()),
+        "best": pa.array(words[other[first]], pa.string()), "best_n": pa.array(ns[other[first]], pa.int64()),
+    })
 
 
 def near_words(
@@ -229,7 +233,7 @@ def near_words(
     guests = guests.select("word", "n", "block", spread("tiles").alias("tile"), dealt("visit_tiles").alias("visit_tile"), F.lit(False).alias("home"), (F.col("from") == F.col("block")).alias("own"))
     meet = home.unionByName(guests)
     task = F.pmod(F.xxhash64("block", "tile", "visit_tile"), F.lit(tasks))
-    met = meet.groupBy(task.alias("task")).applyInPandas(partners, "word string, met long, best string, best_n long")
+    met = meet.groupBy(task.alias("task")).applyInArrow(partners, "word string, met long, best string, best_n long")
     most = F.min(F.struct((-F.col("best_n")).alias("m"), "best"))
     return met.groupBy("word").agg(F.sum("met").alias("n_near"), most.alias("top")).select("word", "n_near", "top.best", (-F.col("top.m")).alias("best_n"))
 

@@ -146,3 +146,62 @@ def article_text(page):
     """Main text of the given pages, whose main text is their only article."""
     inside = re.search(r"<article>(.*?)</article>", page, re.S)[1]
     return " ".join(html.unescape(re.sub(r"<[^>]*>", " ", re.sub(r"</?b>", "", inside))).split())
+
+
+def hard_negatives(rows, is_anchor, k=5, low=80, scale=256):
+    """(vec_id, vector, label) rows -> set of (anchor, positive, rank, negative, positive score, negative score)."""
+    ok = lambda v: v and all(x is not None and math.isfinite(x) for x in v)
+    one = {}
+    for i, v, label in rows:
+        if i is not None and label is not None and ok(v):
+            entry = (label, [math.floor(scale * x) for x in v])
+            one[i] = min(one.get(i, entry), entry)
+    lengths = Counter(len(v) for _, v in one.values())
+    dim = max(lengths, key=lambda n: (lengths[n], n), default=0)
+    one = {i: e for i, e in one.items() if len(e[1]) == dim}
+    out = set()
+    for a, (label, v) in one.items():
+        if not is_anchor(a):
+            continue
+        scored = sorted((-sum(x * y for x, y in zip(v, w, strict=True)), i, other) for i, (other, w) in one.items() if i != a)
+        for s, p, _ in [x for x in scored if x[2] == label][:k]:
+            fit = [(t, n) for t, n, other in scored if other != label and low * -s <= 100 * -t <= 100 * -s]
+            out |= {(a, p, r, n, -s, -t) for r, (t, n) in enumerate(fit[:k], 1)}
+    return out
+
+
+def spelling(docs, typo_every=31, min_length=7, min_count=2, factor=10):
+    """(doc_id, text) rows -> set of (word, form, root, n, n_near, form_n)."""
+    counts = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = run.translate(LOWER)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if typo_every and h % typo_every == 0:
+                at = h % len(run)
+                run = run[:at] + run[at + 1 :]
+            counts[run] += 1
+    words = {w: n for w, n in counts.items() if len(w) >= min_length and n >= min_count}
+    near = defaultdict(set)
+    gaps = defaultdict(list)
+    for w in words:
+        for i in range(len(w)):
+            gaps[w[:i], w[i + 1 :]].append(w)
+            if w[:i] + w[i + 1 :] in words:
+                near[w].add(w[:i] + w[i + 1 :])
+                near[w[:i] + w[i + 1 :]].add(w)
+    for same in gaps.values():
+        for w in same:
+            near[w].update(x for x in same if x != w)
+    form = {}
+    for w, n in words.items():
+        best = min(near[w], key=lambda x: (-words[x], x), default=None)
+        if best is not None and words[best] >= factor * n:
+            form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {(w, form.get(w), root(w), n, len(near[w]), words.get(form.get(w))) for w, n in words.items()}
