@@ -27,6 +27,7 @@ from ledgerline.functions.timefields import (
 )
 from ledgerline.operators.audit import audit_offsets, range_islands
 from ledgerline.operators.codec import decode_payload
+from ledgerline.operators.keywords import keyword_semi_join
 from ledgerline.operators.merge import merge_by_key, merge_chain, prefilter_for, unchanged_rows
 from ledgerline.operators.offsets import (
     batch_counts,
@@ -42,12 +43,14 @@ from ledgerline.operators.offsets import (
 )
 from ledgerline.operators.transform import preview, transform_chain
 from ledgerline.plans import events as ev
+from ledgerline.plans.buckets import merge_bucketed_version, write_bucketed
 from ledgerline.plans.publish import publish
 from ledgerline.plans.replay import decode_messages, minute_text_to_epoch, replay_and_merge, replay_offsets, replay_time
 from ledgerline.plans.versions import merge_chain_version, merge_version
 from ledgerline.schemas import EVENT_RECORD
 from ledgerline.session import scratch_path
 from ledgerline.sinks.manifest import committed_offsets, read_committed
+from ledgerline.sinks.snapshots import latest_recorded, snapshot_offsets
 from ledgerline.sinks.tables import (
     append_partitioned,
     create_like,
@@ -96,6 +99,8 @@ AUDIT_SKIP, AUDIT_AGAIN = (10, 3), (7, 2)  # batches left out, and batches that
 AUDIT_EARLY = 5  # offsets by which they do
 AUDIT_HOLE = (50, (1, 2))  # offsets that the log has lost: offset % a in b
 IDLE_STRETCH = 250  # offsets of a source file in the stream with idle partitions
+BUCKETS = 8
+BENCH_PAIR, BENCH_WORD = r"([a-z]{4,} [a-z]{5,})", r"([a-z]{11,})"  # terms of a benchmark text: its first long pair, its first long word
 ODD_APPS = ("app+1", "caf\u00e9, =1%")  # names that need care in paths
 DELTA_STEPS = {  # replay-and-merge: the deltas carry upper-cased event types
     "sql01": "SELECT event_id, ts_ms, user_id, upper(event_type) AS event_type, value, props, mon, day, hour",
@@ -296,6 +301,15 @@ def q_range_islands(spark, sf_dir):
     return range_islands(_faulty_batches(spark, sf_dir)[1]).drop("appname")
 
 
+def q_latest_recorded(spark, sf_dir):
+    """The latest offsets from a snapshot of the first batches and the folders of the later ones."""
+    path, olog = scratch_path(spark, "offsets"), _offset_log(spark, sf_dir)
+    olog.filter(F.col("batch_ts") <= RESUME_AT).write.partitionBy("appname", "batch_id").parquet(path)
+    snapshot_offsets(spark, path, ev.APPNAME)
+    olog.filter(F.col("batch_ts") > RESUME_AT).write.mode("append").partitionBy("appname", "batch_id").parquet(path)
+    return latest_recorded(spark, path, ev.APPNAME)
+
+
 def q_rows_as_bounds(spark, sf_dir):
     """Resume points as plain rows, made a table again with their schema, and read from."""
     log = _log_at_rest(spark, sf_dir)
@@ -427,6 +441,16 @@ def q_merge_chain(spark, sf_dir):
     return merge_chain(_some_keys_null(base), [_some_keys_null(d) for d in _order_chain(spark, sf_dir)], "o_orderkey")
 
 
+def q_merge_bucketed(spark, sf_dir):
+    """Two merges of a bucketed base, each into a bucketed version, without an exchange of the base."""
+    name = _unique_name("orders_bucketed")
+    base, _ = _orders_versions(spark, sf_dir)
+    write_bucketed(base, name, BUCKETS, ["o_orderkey"], scratch_path(spark, "tables", name))
+    for deltas, year in zip(_order_chain(spark, sf_dir), CHAIN_YEARS, strict=True):
+        name = merge_bucketed_version(spark, name, deltas, f"v{year}", scratch_path(spark, "tables", name, year))
+    return spark.table(name)
+
+
 def q_merge_chain_version(spark, sf_dir):
     """The same chain as catalog tables, into the version of the last, with a filter."""
     name, versions = _unique_name("orders"), [f"v{y}" for y in CHAIN_YEARS]
@@ -515,6 +539,27 @@ def q_publish(spark, sf_dir):
     return decoded.drop("is_bad")
 
 
+def q_keyword_many(spark, sf_dir):
+    """Documents that hold any of a table of terms: a pair of words and a word of each benchmark text."""
+    docs = _t(spark, sf_dir, "documents")
+    texts = _t(spark, sf_dir, "benchmark").select(F.lower("text").alias("t"))
+    terms = texts.select(F.explode(F.array(F.regexp_extract("t", BENCH_PAIR, 1), F.regexp_extract("t", BENCH_WORD, 1))).alias("term"))
+    return keyword_semi_join(docs, "text", terms, "doc_id").select("doc_id", "lang", "source")
+
+
+def q_publish_once(spark, sf_dir):
+    """Documents published in two goes, each go twice under its id, and read back by offset range."""
+    docs = _t(spark, sf_dir, "documents")
+    path = scratch_path(spark, "published")
+    for part in (0, 0, 1, 1, 0):
+        some = docs.filter(F.pmod("doc_id", F.lit(2)) == part)
+        publish_log(publish(some, "text", KEYWORDS, "doc_id", "source", PUBLISH_PARTITIONS, "documents", ["doc_id", "lang"]),
+                    path, publish_id=f"go {part}")
+    back = read_offset_range(read_log(spark, path), [OffsetRange("documents", p, 0, None) for p in range(PUBLISH_PARTITIONS)])
+    decoded = decode_payload(back, docs.select("doc_id", "lang").schema, keep=["partition", "offset"], required=["doc_id"])
+    return decoded.filter(~F.col("is_bad")).drop("is_bad")
+
+
 def q_publish_replay(spark, sf_dir):
     """Documents published in two goes to a log in the shared folder, and read back by offset range."""
     docs = _t(spark, sf_dir, "documents")
@@ -708,6 +753,10 @@ def _core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "continuity_audit": q_continuity_audit,  # S3 E2 (gaps and islands)
         "range_islands": q_range_islands,  # E2 (coverage)
         "rows_as_bounds": q_rows_as_bounds,  # S7 T6 S2
+        "keyword_many": q_keyword_many,  # P5 (a table of terms)
+        "publish_once": q_publish_once,  # K3 (publish ids)
+        "latest_recorded": q_latest_recorded,  # L2 T6 K2 (snapshot and tail)
+        "merge_bucketed": q_merge_bucketed,  # K4 M4 (bucketed versions)
         "stream_committed": q_stream_committed,  # M3 K1 (commit records)
         "stream_committed_offsets": q_stream_committed_offsets,  # K2 T4 E2 (commit records, idle partitions)
         "stream_app_names": q_stream_app_names,  # M3 T3 (catalog table)
@@ -967,6 +1016,19 @@ def _core_oracle() -> dict[str, str]:
         "rows_as_bounds": f"WITH {_LOG} SELECT topic, \"partition\", \"offset\", CAST(event_id AS VARCHAR) AS key_text "
                           f"FROM log JOIN (SELECT \"partition\" AS p, max(end_offset) AS s FROM olog WHERE batch_ts <= {RESUME_AT} "
                           f"GROUP BY 1) ON \"partition\" = p WHERE \"offset\" >= s",
+        "keyword_many": f"WITH t AS (SELECT DISTINCT unnest([regexp_extract(lower(text), '{BENCH_PAIR}', 1), "
+                        f"regexp_extract(lower(text), '{BENCH_WORD}', 1)]) AS term FROM benchmark) "
+                        f"SELECT doc_id, lang, source FROM documents WHERE EXISTS (SELECT 1 FROM t WHERE term <> '' AND "
+                        f"regexp_matches(lower(text), '(^|[^a-z0-9_])' || regexp_escape(term) || '([^a-z0-9_]|$)'))",
+        "publish_once": f"SELECT doc_id, lang, \"partition\", row_number() OVER (PARTITION BY \"partition\" "
+                        f"ORDER BY doc_id % 2, doc_id) - 1 AS \"offset\" FROM (SELECT doc_id, lang, "
+                        f"CAST({_ROUTE.format(c='source', n=PUBLISH_PARTITIONS)} AS INTEGER) AS \"partition\" "
+                        f"FROM documents WHERE regexp_matches(lower(text), '{_KW}'))",
+        "latest_recorded": f"WITH {_LOG} SELECT topic, \"partition\", arg_max(batch_id, batch_ts) AS batch_id, "
+                           f"max(batch_ts) AS batch_ts, arg_max(start_offset, batch_ts) AS start_offset, "
+                           f"arg_max(end_offset, batch_ts) AS end_offset FROM olog "
+                           f"WHERE appname = 'events_ingest' GROUP BY topic, \"partition\"",
+        "merge_bucketed": _chain_sql("SELECT * FROM ({t})"),
         "stream_committed": f"WITH {_LOG} " + _chain(f"SELECT {_REC_FIELDS} FROM log"),
         "stream_committed_offsets": f"WITH {_LOG} SELECT topic, \"partition\", min(\"offset\") AS start_offset, "
                                     f"max(\"offset\") + 1 AS end_offset, true AS in_every_batch FROM log GROUP BY ALL",

@@ -212,11 +212,14 @@ def read_offset_log(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).select(*OFFSET_LOG_COLUMNS)
 
 
-def _log_ends(spark: SparkSession, path: str) -> DataFrame | None:
+ENDS_DDL = "topic string, partition int, next long, publish string"  # publish: the id that took the offsets, if any
+
+
+def log_ends(spark: SparkSession, path: str) -> DataFrame | None:
     """Next offset per (topic, partition): from the small table of ends that appends keep beside the log,
     or once from a log that has none; None if there is no log."""
     try:
-        ends = spark.read.schema("topic string, partition int, next long").parquet(_ends_path(path))
+        ends = spark.read.schema(ENDS_DDL).parquet(ends_path(path))
         return ends.groupBy("topic", "partition").agg(F.max("next").alias("next"))
     except AnalysisException as exc:
         if not path_missing(exc):
@@ -229,7 +232,7 @@ def _log_ends(spark: SparkSession, path: str) -> DataFrame | None:
     return None
 
 
-def _ends_path(path: str) -> str:
+def ends_path(path: str) -> str:
     return path.rstrip("/") + "-ends"
 
 
@@ -241,22 +244,28 @@ def append_log(spark: SparkSession, path: str, messages: DataFrame, order_col: s
     are written, so a failed append leaves a gap in the offsets, never an offset used twice.  One writer
     per log at a time, as with a partition leader.
     """
-    numbered = _numbered(spark, path, messages, order_col)
+    numbered = number_messages(spark, path, messages, order_col)
     if _record_ends(spark, path, numbered):
-        write_log(numbered, path, mode="append")
+        append_numbered(numbered, path)
+
 
+def append_numbered(numbered: DataFrame, path: str) -> None:
+    """Add messages that have their offsets to the log."""
+    write_log(numbered, path, mode="append")
 
-def _numbered(spark: SparkSession, path: str, messages: DataFrame, order_col: str) -> DataFrame:
-    """``messages`` with the offsets that continue the log, computed and written once."""
+
+def number_messages(spark: SparkSession, path: str, messages: DataFrame, order_col: str, own: str | None = None) -> DataFrame:
+    """``messages`` with the offsets that continue the log, computed and written once, to the folder
+    ``own`` (else to a scratch folder)."""
     numbered = assign_sequence(messages, ["topic", "partition"], order_col, "offset")
-    ends = _log_ends(spark, path)
+    ends = log_ends(spark, path)
     if ends is not None:
         starts = ends.withColumnRenamed("next", "__next")
         starts = F.broadcast(starts) if starts.count() <= BROADCAST_BOUNDS else starts
         numbered = numbered.join(starts, ["topic", "partition"], "left").withColumn(
             "offset", F.col("offset") + F.coalesce("__next", F.lit(0)))
-    own = scratch_path(spark, "numbered")
-    numbered.select(*LOG_COLUMNS).write.parquet(own)
+    own = own or scratch_path(spark, "numbered")
+    numbered.select(*LOG_COLUMNS).write.mode("overwrite").parquet(own)
     return read_log(spark, own)
 
 
@@ -265,12 +274,12 @@ def _record_ends(spark: SparkSession, path: str, numbered: DataFrame) -> bool:
     ends = numbered.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("next"))
     if ends.isEmpty():
         return False
-    before = _log_ends(spark, path)
+    before = log_ends(spark, path)
     if before is not None:  # ends of partitions that this append does not touch
         ends = ends.unionByName(before).groupBy("topic", "partition").agg(F.max("next").alias("next"))
     target = scratch_path(spark, "ends")
     ends.write.parquet(target)
-    spark.read.parquet(target).coalesce(1).write.mode("append").parquet(_ends_path(path))
+    spark.read.parquet(target).coalesce(1).write.mode("append").parquet(ends_path(path))
     return True
 
 
@@ -289,16 +298,24 @@ def write_log(log: DataFrame, path: str, mode: str = "errorifexists", slice_widt
     sliced.sortWithinPartitions(*keys).write.mode(mode).partitionBy("topic", "partition").parquet(path)
 
 
-def publish_log(df: DataFrame, sink: str, fmt: str = "parquet", bootstrap_servers: str | None = None) -> None:
+def publish_log(df: DataFrame, sink: str, fmt: str = "parquet", bootstrap_servers: str | None = None, publish_id: str | None = None) -> None:
     """K3: write keyed, routed messages (``plans.publish.publish``'s output).
 
     ``fmt="kafka"`` sends them to Kafka (needs the connector), which assigns offsets; its errors pass
     through.  ``parquet`` appends them to the log at ``sink`` with offsets that continue it, so
-    ``read_log`` and replays read them back.
+    ``read_log`` and replays read them back; under a ``publish_id`` a repeat adds nothing
+    (``sinks.ledger``).
     """
     if fmt != "kafka":
+        if publish_id is not None:
+            from ledgerline.sinks.ledger import publish_once
+
+            publish_once(df.sparkSession, sink, df, publish_id)
+            return
         append_log(df.sparkSession, sink, df)
         return
+    if publish_id is not None:
+        raise ValueError("Kafka keeps no ledger of publish ids")
     try:
         df.select("key", "value", "topic", "partition").write.format("kafka").option(
             "kafka.bootstrap.servers", bootstrap_servers or "").save()

@@ -44,13 +44,15 @@ from ledgerline.operators.offsets import batch_offsets, with_idle_partitions
 from ledgerline.operators.transform import transform_chain
 from ledgerline.plans.replay import decode_messages
 from ledgerline.schemas import OFFSET_LOG, PARTITION_FIELDS
-from ledgerline.session import path_exists
 from ledgerline.sinks.manifest import commit_batch, new_attempt
+from ledgerline.sinks.snapshots import recent_entries, snapshot_offsets
 from ledgerline.sinks.tables import batch_path, overwrite_batch, path_missing, register_batch, write_batch_folder, write_offset_log
 
 # Fixed value: the default interval between micro-batches, in seconds.
 DEFAULT_TRIGGER_SECONDS = 180
 
+SNAPSHOT_EVERY = 100  # batches between snapshots of the ends, where idle partitions are recorded
+
 _log = logging.getLogger(__name__)
 
 
@@ -104,9 +106,7 @@ def batch_writer(
 
     def ends_before(spark, batch_id: int) -> DataFrame:
         """What earlier batches recorded, one row per topic partition."""
-        there = path_exists(spark, offset_log_path)
-        recorded = spark.read.schema(OFFSET_LOG).parquet(offset_log_path) if there else spark.createDataFrame([], OFFSET_LOG)
-        mine = recorded.filter((F.col("appname") == F.lit(appname)) & (F.col("batch_id") < batch_id))
+        mine = recent_entries(spark, offset_log_path, appname, before=batch_id)
         return mine.groupBy("topic", "partition").agg(F.max_by("end_offset", "batch_id").alias("end_offset"))
 
     def write_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -146,6 +146,8 @@ def batch_writer(
                 counts = _observed(seen, batch)
                 commit_batch(spark, sink, appname, batch_id, folder, cells, counts["rows"] - counts["bad_rows"], counts["bad_rows"])
             write_offset_log(offsets.coalesce(1), offset_log_path)
+            if idle_partitions and (batch_id + 1) % SNAPSHOT_EVERY == 0:
+                snapshot_offsets(spark, offset_log_path, appname)
             if on_metrics:
                 on_metrics(batch_id, _observed(seen, batch))
         finally:
