@@ -49,7 +49,7 @@ from ledgerline.plans.replay import decode_messages, minute_text_to_epoch, repla
 from ledgerline.plans.versions import merge_chain_version, merge_version
 from ledgerline.schemas import EVENT_RECORD
 from ledgerline.session import scratch_path
-from ledgerline.sinks.manifest import committed_offsets, read_committed
+from ledgerline.sinks.manifest import committed_offsets, compact_committed, read_committed
 from ledgerline.sinks.snapshots import latest_recorded, snapshot_offsets
 from ledgerline.sinks.tables import (
     append_partitioned,
@@ -618,6 +618,15 @@ def q_stream_committed(spark, sf_dir):
     return read_committed(spark, sink, _ingested_schema(spark)).drop("appname", "batch_id")
 
 
+def q_stream_compacted(spark, sf_dir):
+    """An ingest shown by commit records, compacted by size tiers, then ingested into again."""
+    root, half = scratch_path(spark, "stream"), F.pmod("partition", F.lit(2)) == 0
+    _run_stream(spark, sf_dir, ev.APPNAME, root, half, committed=True)
+    compact_committed(spark, f"{root}/table", _ingested_schema(spark), fanout=2)
+    sink, _ = _run_stream(spark, sf_dir, "second", root, ~half, committed=True)
+    return read_committed(spark, sink, _ingested_schema(spark)).drop("batch_id")
+
+
 def q_stream_committed_offsets(spark, sf_dir):
     """What the commit records of an ingest with idle partitions tell: per partition the offsets read, and
     whether every batch from its first on has a row for it."""
@@ -758,6 +767,7 @@ def _core_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_recorded": q_latest_recorded,  # L2 T6 K2 (snapshot and tail)
         "merge_bucketed": q_merge_bucketed,  # K4 M4 (bucketed versions)
         "stream_committed": q_stream_committed,  # M3 K1 (commit records)
+        "stream_compacted": q_stream_compacted,  # K1 M3 (size-tiered compaction)
         "stream_committed_offsets": q_stream_committed_offsets,  # K2 T4 E2 (commit records, idle partitions)
         "stream_app_names": q_stream_app_names,  # M3 T3 (catalog table)
         "stream_interval": q_stream_interval,  # T1
@@ -1030,6 +1040,9 @@ def _core_oracle() -> dict[str, str]:
                            f"WHERE appname = 'events_ingest' GROUP BY topic, \"partition\"",
         "merge_bucketed": _chain_sql("SELECT * FROM ({t})"),
         "stream_committed": f"WITH {_LOG} " + _chain(f"SELECT {_REC_FIELDS} FROM log"),
+        "stream_compacted": f"WITH {_LOG}, rows AS (" + _chain(f"SELECT {_REC_FIELDS} FROM log") + ") SELECT rows.*, CASE WHEN "
+                            f"\"partition\" % 2 = 0 THEN 'events_ingest' ELSE 'second' END AS appname "
+                            f"FROM rows JOIN log USING (event_id)".replace("rows.*", "rows.event_id, rows.ts_ms, rows.user_id, rows.event_type, rows.value, rows.props, mon, day, hour"),
         "stream_committed_offsets": f"WITH {_LOG} SELECT topic, \"partition\", min(\"offset\") AS start_offset, "
                                     f"max(\"offset\") + 1 AS end_offset, true AS in_every_batch FROM log GROUP BY ALL",
         "stream_app_names": f"WITH {_LOG} SELECT CASE WHEN \"partition\" % 2 = 0 THEN '{ODD_APPS[0]}' ELSE '{ODD_APPS[1]}' END AS appname, "

@@ -11,10 +11,13 @@ from ledgerline.schemas import EVENT_RECORD
 from ledgerline.sinks.manifest import (
     commit_batch,
     committed_batches,
+    compact_committed,
     committed_offsets,
     drop_superseded,
+    generations,
     new_attempt,
     read_committed,
+    tier_of,
 )
 from ledgerline.sinks.tables import read_offset_log
 from ledgerline.streaming import ingest
@@ -119,3 +122,55 @@ def test_idle_partitions_are_recorded(spark, scratch):
 def test_a_catalog_table_and_commit_records_exclude_each_other(scratch):
     with pytest.raises(ValueError):
         batch_writer(EVENT_RECORD, "ts_ms", scratch("x"), scratch("y"), APP, committed=True, table="t")
+
+
+def _rows(df):
+    return sorted(map(tuple, df.select("batch_id", "event_id", "event_type", "hour").collect()))
+
+
+def test_compaction_by_tiers(spark, scratch, schema):
+    sink, olog, write = _writer(scratch("tiers"))
+    log = ev.events_log(spark, SF_SMALL)
+    for i in range(5):
+        write(log.filter(f"offset >= {10 * i} AND offset < {10 * i + 10}"), i)
+    want = _rows(read_committed(spark, sink, schema))
+    assert len(compact_committed(spark, sink, schema)) == 1
+    assert _rows(read_committed(spark, sink, schema)) == want
+    assert all("/generations/" in f for f in read_committed(spark, sink, schema).inputFiles())
+    # a second pass has one generation and three batches of the tier: it reads these alone
+    assert compact_committed(spark, sink, schema) == []
+    for i in range(5, 8):
+        write(log.filter(f"offset >= {10 * i} AND offset < {10 * i + 10}"), i)
+    assert {("data" if "/data/" in f else "generations") for f in read_committed(spark, sink, schema).inputFiles()} == {"data", "generations"}
+    write(log.filter("offset < 3"), 2)  # a covered batch is rewritten
+    want = [r for r in want if r[0] != 2] + _rows(read_committed(spark, sink, schema, F.col("batch_id").isin(2, 5, 6, 7)))
+    assert _rows(read_committed(spark, sink, schema)) == sorted(want)
+    assert sum(r[0] == 2 for r in want) == log.filter("offset < 3").count()
+    made = compact_committed(spark, sink, schema)
+    assert len(made) == 1 and [r["gen"] for r in generations(spark, sink).collect()] == made
+    assert _rows(read_committed(spark, sink, schema)) == sorted(want)
+    assert read_committed(spark, sink, schema, F.col("batch_id") == 6).count() == log.filter("offset >= 60 AND offset < 70").count()
+
+
+def test_a_pass_reads_only_what_came_since(spark, scratch, schema, monkeypatch):
+    """Large generations stay: a pass touches the batches since the last one."""
+    from ledgerline.sinks import manifest
+
+    sink, olog, write = _writer(scratch("since"))
+    log = ev.events_log(spark, SF_SMALL)
+    for i in range(8):
+        write(log.filter(f"offset >= {10 * i} AND offset < {10 * i + 10}"), i)
+        if i == 3:
+            compact_committed(spark, sink, schema, smallest=200_000)
+            first = {f for r in generations(spark, sink).collect() for f in r["files"]}
+    read = []
+    real = manifest._read_files
+    monkeypatch.setattr(manifest, "_read_files", lambda s, k, b, files, full: read.extend(files) or real(s, k, b, files, full))
+    monkeypatch.setattr(manifest, "tier_of", lambda size, *a: 1 if size >= manifest._bytes(spark, sink, sorted(first)) else 0)
+    assert len(compact_committed(spark, sink, schema)) == 1
+    assert read and not set(read) & first and all(f.startswith("data/") and int(f.split("batch_id=")[1].split("/")[0]) > 3 for f in read)
+    assert read_committed(spark, sink, schema).count() == log.filter("offset < 80").count()
+
+
+def test_tiers():
+    assert [tier_of(s, 100, 4) for s in (0, 100, 101, 400, 401, 1600, 1601)] == [0, 0, 1, 1, 2, 2, 3]
