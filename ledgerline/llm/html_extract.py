@@ -10,7 +10,8 @@ sample (about ``sample_rows``, drawn by hash) of the pages given, labelled by th
 
 Text inside a block has its character references decoded and its white space made one space; blocks
 are joined in page order by one space.  Scripts, styles, the head and form controls hold no text of
-the page.  Defined cases: a null or empty html gives an empty text; broken markup is read as far as it
+the page; formulas, drawings and fallback text belong to the block they stand in.  A class or id counts as a
+hint at boilerplate only if nothing else is named in it.  Defined cases: a null or empty html gives an empty text; broken markup is read as far as it
 goes (an unclosed element ends with its parent, an unclosed tag or comment with the page); repeated
 rows each get their result; the whole html is read whatever its length; other columns are ignored.
 """
@@ -33,12 +34,13 @@ SEED = 5
 
 # Element roles of HTML.
 INLINE = frozenset(
-    "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark meter nobr output picture q rp rt ruby s "
-    "samp small span strike strong sub sup time tt u var wbr".split()
+    "a abbr acronym annotation audio b bdi bdo big canvas cite code data del dfn em font i img ins kbd label map mark math meter mfrac "
+    "mi mn mo mover mrow ms mspace msqrt mstyle msub msubsup msup mtext munder nobr noscript object output picture q rp rt ruby s samp "
+    "semantics small span strike strong sub sup svg time tspan tt u var video wbr".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = frozenset("script style noscript template title textarea iframe svg math object audio video canvas select option button".split())
-RAW = "script|style|noscript|template|title|textarea|iframe|svg|math|object|audio|video|canvas|select|button"
+RAW = "script|style|title|textarea|template|iframe"  # what they hold is no text of the page
+CONTROLS = frozenset("button select option datalist".split())  # parts of forms; one that is not closed ends with its parent
 CLOSES = {  # an opening tag ends an open element of these
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
     "option": {"option"}, "thead": {"tr", "td", "th"}, "tbody": {"tr", "td", "th", "thead"}, "body": {"head"},
@@ -54,6 +56,12 @@ BOILER_WORDS = frozenset(
     "notification overlay pagination paywall popup popover promo promoted promotion recommend recommended related reply replies respond "
     "search share sharing sidebar signup social sponsor sponsored subscribe subscription tags toolbar topbar widget alert".split()
 )
+# Words that say nothing by themselves: a name made of these and of boiler words is a boiler name.
+NEUTRAL_WORDS = frozenset(
+    "area articles aside bar block body bottom box btn button buttons class col column container content div el element first form global group "
+    "header home id inner item items js last layout left links list main module more new news outer page panel post posts primary right "
+    "row section secondary site small stories text the thread top user users wrap wrapper".split()
+)
 CONTENT_WORDS = frozenset("article articlebody body content entry main mainbody maincontent post postbody story storybody text".split())
 BOILER_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog form menu menubar".split())
 
@@ -99,6 +107,16 @@ class Node:
         self.length = self.links = 0
 
 
+def boiler_name(value: str) -> bool:
+    """Whether one of the names in a class or id says boiler and nothing else: ``cookie-notice``, ``site-footer``,
+    ``ad``; not ``ad-hoc``, ``comment-on-law``."""
+    for name in value.split():
+        words = {w for w in SPLIT.split(CAMEL.sub(" ", name).lower()) if w}
+        if words & BOILER_WORDS and words <= BOILER_WORDS | NEUTRAL_WORDS:
+            return True
+    return False
+
+
 def _hints(attributes: str) -> tuple[frozenset[str], bool]:
     found, label = set(), False
     for name, value in HINTS.findall(attributes):
@@ -110,7 +128,7 @@ def _hints(attributes: str) -> tuple[frozenset[str], bool]:
         if name == "role":
             found |= {"boiler"} if words & BOILER_ROLES else {"content"} if words & {"main", "article"} else set()
         else:
-            found |= ({"boiler"} if words & BOILER_WORDS else set()) | ({"content"} if words & CONTENT_WORDS else set())
+            found |= ({"boiler"} if boiler_name(value) else set()) | ({"content"} if words & CONTENT_WORDS else set())
     return frozenset(found), label
 
 
@@ -119,9 +137,10 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
     Block boundaries come as (node, None) pieces."""
     nodes, pieces = [Node(-1, "page", frozenset(), False)], []
     stack: list[tuple[str, int]] = [("page", 0)]  # open nodes
+    controls = "<button" in (low := page.lower()) or "<select" in low or "<option" in low or "<datalist" in low
     links, hidden, at = 0, 0, 0
     for m in TOKEN.finditer(page):
-        if m.start() > at and not hidden:
+        if m.start() > at and not hidden and not (controls and any(t in CONTROLS for t, _ in stack)):
             pieces.append((stack[-1][1], page[at : m.start()], links > 0))
         at = m.end()
         if m[3] is None and m[6] is None:
@@ -169,7 +188,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str]]]:
             pieces.append((stack[-1][1], None, False))
         nodes.append(Node(stack[-1][1], tag, hints, label))
         stack.append((tag, len(nodes) - 1))
-    if at < len(page) and not hidden:
+    if at < len(page) and not hidden and not any(t in CONTROLS for t, _ in stack):
         pieces.append((stack[-1][1], page[at:], links > 0))
     for node, text, linked in pieces:
         if text:
@@ -299,7 +318,7 @@ def extract_pages(pages: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame
     rows = pages.select("page_id", "url", "html")
     share = sample_rows / max(rows.count(), 1)
     drawn = F.pmod(F.xxhash64(F.lit(SEED), "page_id"), F.lit(1 << 30)) < int(share * (1 << 30)) + 1
-    sample = rows.where("html is not null").where(drawn).select("html").limit(2 * sample_rows)  # a draw of about sample_rows by hash
+    sample = rows.where("html is not null").where(drawn).orderBy("page_id", F.xxhash64("html")).select("html").limit(2 * sample_rows)  # a draw of about sample_rows by hash
     model = train(r["html"] for r in sample.collect())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -217,3 +217,32 @@ def test_lookup_and_payloads(spark):
 
 def test_empty_archive(spark):
     assert warc.archive_round_trip(pages_of(spark, [])).count() == 0
+
+
+@pytest.mark.parametrize(
+    "inside, want",
+    [
+        ("<p>Let <math><mi>x</mi>=1</math> hold.</p>", "Let x=1 hold."),
+        ("<p>One <svg width=1><text>two</text> three.</p><p>Four, and more words.</p>", "One two three. Four, and more words."),
+        ("<p>Here <object data=x>a fallback</p><p>goes on for some words.</p>", "Here a fallback goes on for some words."),
+        ("<p>No <noscript>script</noscript>, no <video>film</video>.</p>", "No script, no film."),
+        ("<p class=ad-hoc>An ad hoc text of words.</p><div id=comment-on-law>Of the law, some words.</div>", "An ad hoc text of words. Of the law, some words."),
+        ("<p>Kept text of some words.</p><div class=cookie-notice><p>We use cookies.</p></div><div class='x ad'><p>Buy this.</p></div>", "Kept text of some words."),
+        ("<p>Press it: <button class=x>Share</button> and go on.</p><select><option>1<option>2</select>", "Press it: and go on."),
+        ("<p>All of this stays, and</p><script>var x = '<p>no</p>'</script><style>p {}", "All of this stays, and"),
+    ],
+)
+def test_article_text_is_kept_whole(inside, want):
+    model = html_extract.train([])
+    page = f"<html><body><nav><a href=1>Home</a></nav><article><h1>A title of the page</h1>{inside}</article></body></html>"
+    assert html_extract.extract(page, model) == "A title of the page " + want
+
+
+def test_repeated_and_empty_pages(spark):
+    page = "<body><article><p>Some words of an article.</p></article></body>"
+    rows = [(1, "u", page), (1, "u", page), (None, None, page), (2, "v", None), (3, "", "")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((tuple(r) for r in html_extract.extract_pages(df).collect()), key=repr)
+    text = "Some words of an article."
+    assert got == sorted([(1, "u", text, 25), (1, "u", text, 25), (None, None, text, 25), (2, "v", "", 0), (3, "", "", 0)], key=repr)
+    assert html_extract.extract_pages(df.limit(0)).collect() == []
