@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, DataType, StringType, StructType
 
 from ledgerline.session import scratch_path
 
 ASCII_WORD = r"[^\x20\x09-\x0D]+"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 BROADCAST_ROWS = 1_000_000  # most rows of a side that is broadcast; beyond it the join shuffles
+BROADCAST_BYTES = 64 << 20  # most bytes of a side whose rows hold arrays or texts
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,6 +42,23 @@ def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFram
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+def _bytes(col: Column, kind: DataType) -> Column:
+    if isinstance(kind, (StringType, BinaryType)):
+        return F.octet_length(col) + 16
+    if isinstance(kind, ArrayType):
+        if isinstance(kind.elementType, StructType):
+            return 8 * len(kind.elementType) * F.size(col)
+        return F.octet_length(F.array_join(col, " ")) if isinstance(kind.elementType, StringType) else 8 * F.size(col)
+    return F.lit(8)
+
+
+def sized_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``checked_broadcast`` for rows that hold arrays or texts: their bytes are bounded too."""
+    size = sum((F.coalesce(_bytes(F.col(f.name), f.dataType), F.lit(0)) for f in df.schema), F.lit(0)).cast("long")
+    rows, held = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+    return F.broadcast(df) if rows <= max_rows and held <= max_bytes else df
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z lower-cased and nothing else (``lower`` alone would fold other letters too)."""
     plain = F.octet_length(col) == F.char_length(col)

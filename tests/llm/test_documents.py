@@ -6,7 +6,7 @@ from tests.llm import brute
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerline.llm import decontaminate, line_dedup, mixing, ngram_jaccard, ngram_lm, quality
+from ledgerline.llm import common, decontaminate, line_dedup, mixing, ngram_jaccard, ngram_lm, quality
 
 SF = "/root/testdata/sf0.001"
 
@@ -143,6 +143,21 @@ def test_line_dedup_odd_rows(make_docs, odd_rows):
     assert (4, None) in texts and (5, "") in texts and texts.count((2, "")) == 2
 
 
+def test_word_hashes_tell_words_apart():
+    texts = ["", " \n", "a", "ab ba\u00a0ab\u2003é \x1c x", "a" * 300_000 + " b " + "a" * 299_999 + " " + "a" * 299_998 + "ba", "w " * 200_000 + "end"]
+    seen = {}
+    for text in texts:
+        words, hashes = text.split(), line_dedup.word_hashes(text).tolist()
+        assert len(words) == len(hashes) and all(seen.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
+    assert len(set(seen.values())) == len(seen) == 10
+
+
+def test_broadcasts_are_bounded_by_bytes(spark):
+    df = spark.range(10).select("id", F.sequence(F.lit(0), F.col("id")).alias("a"), F.array(F.lit("xy")).alias("b"), F.array(F.struct("id")).alias("c"))
+    joined = lambda **bound: spark.range(10).join(common.sized_broadcast(df, **bound), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert "strategy=broadcast" in joined() and "strategy=broadcast" not in joined(max_bytes=500) and "strategy=broadcast" not in joined(max_rows=9)
+
+
 def test_line_dedup_inside_lines(make_docs):
     """Passages that start or end inside a line, of which no whole lines hold 50 words, against every window in plain Python."""
     import random
