@@ -1,10 +1,12 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer network.
 
 Every word and every word shape (case, digits, punctuation, length) has a sparse random index vector
-drawn from its hash; a word's vector is its own index vector plus those of its neighbours, summed over
-a bounded sample of labelled texts (``sample_rows``).  A document is the mean of its words' vectors and
-of its shapes' vectors, with the shares of repeated words and of line ends.  A two-layer numpy network is
-fitted on that sample, and its probabilities are calibrated by one temperature on a held-back part of it.
+drawn from its hash, so no word is without one; a word's vector is its own index vector plus those of its
+neighbours, summed over a bounded sample of labelled texts (``sample_rows`` documents, of together at most
+``sample_bytes``), and a word that the sample does not hold has its index vector alone.  A document is the
+mean of its words' vectors and of its shapes' vectors, with the shares of repeated words, of line ends and
+of words that the sample does not hold.  A two-layer numpy network is fitted on that sample, and its
+probabilities are calibrated by one temperature on a held-back part of it.
 
 Texts are scored whole, in tasks that hold the small model; nothing but text enters a score.
 
@@ -23,29 +25,44 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ledgerline.llm.common import staged
+
 SAMPLE_ROWS = 3_000
+SAMPLE_BYTES = 64 << 20
 WORD_DIM, SHAPE_DIM = 64, 64
 NONZERO = 4
 WINDOW = 2
-VOCABULARY = 20_000
 HIDDEN = 32
 ROUNDS = 60
-CACHE = 400_000
+CACHE = 200_000
 SEED = 3
 
 LETTERS = re.compile(r"[^\W\d_]+")
 EDGES = re.compile(r"^([\W_]*)(.*?)([\W_]*)$", re.S)
 
 
-def index_vector(name: str, dim: int) -> np.ndarray:
-    """A sparse ternary vector drawn from the hash of ``name``."""
-    rng = np.random.default_rng(xxhash.xxh64_intdigest(name.encode("utf-8"), SEED))
-    out = np.zeros(dim, np.float32)
-    out[rng.permutation(dim)[:NONZERO]] = rng.choice([-1.0, 1.0], NONZERO)
+def name_hash(name: str) -> int:
+    return xxhash.xxh64_intdigest(name.encode("utf-8"), SEED) - (1 << 63)
+
+
+def index_sums(hashes: np.ndarray, times: np.ndarray, dim: int) -> np.ndarray:
+    """Sum of the sparse index vectors of signed 64-bit ``hashes``, each taken ``times``: ``NONZERO`` places
+    with signs, all read from the hash.  ``dim`` is a power of two."""
+    out = np.zeros(dim)
+    for k in range(NONZERO):
+        out += np.bincount((hashes >> 12 * k) & (dim - 1), times * (1 - 2 * ((hashes >> 12 * k + 11) & 1)), dim)
+    return out.astype(np.float32)
+
+
+def index_rows(names: list[str], dim: int) -> np.ndarray:
+    """Row 0: zero; then the index vector of every name."""
+    h, out = np.array([name_hash(x) for x in names], np.int64), np.zeros((len(names) + 1, dim), np.float32)
+    for k in range(NONZERO):
+        np.add.at(out, (np.arange(1, len(h) + 1), (h >> 12 * k) & (dim - 1)), 1 - 2 * ((h >> 12 * k + 11) & 1))
     return out
 
 
@@ -75,30 +92,22 @@ class Vectors:
 
     def __init__(self, texts: Iterable[str]):
         docs = [t.split() for t in texts]
-        counts: dict[str, int] = {}
-        cores = {}
-        for words in docs:
-            for w in words:
-                if w not in cores:
-                    cores[w] = core_of(w)
-                c = cores[w]
-                counts[c] = counts.get(c, 0) + 1
-        common = sorted((c for c in counts if counts[c] > 1), key=lambda c: (-counts[c], c))[:VOCABULARY]
-        self.words = {c: i + 1 for i, c in enumerate(common)}  # row 0: words not seen
-        index = np.stack([np.zeros(WORD_DIM, np.float32), *(index_vector("word " + c, WORD_DIM) for c in common)])
+        cores = {w: core_of(w) for words in docs for w in words}
+        held = sorted(set(cores.values()))
+        self.words = {c: i + 1 for i, c in enumerate(held)}  # row 0: words that the sample does not hold
+        index = index_rows(held, WORD_DIM)
         context = np.zeros_like(index)
         for words in docs:
-            rows = np.array([self.words.get(cores[w], 0) for w in words], np.int64)
+            rows = np.array([self.words[cores[w]] for w in words], np.int64)
             for step in range(1, WINDOW + 1):
                 if len(rows) > step:
                     np.add.at(context, rows[:-step], index[rows[step:]])
                     np.add.at(context, rows[step:], index[rows[:-step]])
-        context[0] = 0
         norm = np.sqrt((context**2).sum(1, keepdims=True))
         self.word_rows = index + context / np.maximum(norm, 1e-9)
         shapes = sorted({shape_of(w) for w in cores})
         self.shapes = {s: i + 1 for i, s in enumerate(shapes)}
-        self.shape_rows = np.stack([np.zeros(SHAPE_DIM, np.float32), *(index_vector("shape " + s, SHAPE_DIM) for s in shapes)])
+        self.shape_rows = index_rows(["shape " + s for s in shapes], SHAPE_DIM)
 
 
 class Pooler:
@@ -108,9 +117,12 @@ class Pooler:
         self.v, self.known = vectors, {}
 
     def look(self, word: str) -> tuple[int, int]:
+        """A word's row, or the hash (below zero) of a word without one, and its shape's row."""
         if len(self.known) > CACHE:
             self.known.clear()
-        out = self.known[word] = (self.v.words.get(core_of(word), 0), self.v.shapes.get(shape_of(word), 0))
+        core = core_of(word)
+        row = self.v.words.get(core, 0) or name_hash(core) | -(1 << 63)
+        out = self.known[word] = (row, self.v.shapes.get(shape_of(word), 0))
         return out
 
     def pool(self, texts: list[str | None]) -> np.ndarray:
@@ -120,15 +132,16 @@ class Pooler:
             if not words:
                 continue
             known, look, n = self.known, self.look, len(words)
-            pairs = np.array([known.get(w) or look(w) for w in words], np.int32)
+            pairs = np.array([known.get(w) or look(w) for w in words], np.int64)
             ids, shapes = pairs[:, 0], pairs[:, 1]
             # words and shapes that come often are summed by count
             rows, times = np.unique(ids, return_counts=True)
-            out[i, :WORD_DIM] = times @ self.v.word_rows[rows] / n
+            new = np.searchsorted(rows, 0)  # those before have no row
+            out[i, :WORD_DIM] = (times[new:] @ self.v.word_rows[rows[new:]] + index_sums(rows[:new], times[:new], WORD_DIM)) / n
             rows, times = np.unique(shapes, return_counts=True)
             out[i, WORD_DIM : WORD_DIM + SHAPE_DIM] = times @ self.v.shape_rows[rows] / n
             again = np.count_nonzero((pairs[1:] == pairs[:-1]).all(axis=1)) / n
-            unseen = np.count_nonzero(ids == 0) / n
+            unseen = np.count_nonzero(ids < 0) / n
             out[i, -3:] = again, text.count("\n") / n, unseen
         return out
 
@@ -177,16 +190,21 @@ def held_out(doc_id: Column, folds: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % folds == 0, F.lit(False))
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> pd.DataFrame:
-    """text, quality of at most ``sample_rows`` labelled documents that are not held out, by hash."""
+def labelled_sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, sample_bytes: int = SAMPLE_BYTES) -> pd.DataFrame:
+    """text, quality of at most ``sample_rows`` labelled documents that are not held out, by hash; of these
+    the first whose texts have at most ``sample_bytes`` bytes together."""
+    drawn = F.xxhash64(F.lit(SEED), "doc_id")
     known = (
         labels.where("quality is not null and doc_id is not null").where(~held_out(F.col("doc_id")))
         .groupBy("doc_id").agg(F.min("quality").alias("quality"))
-        .orderBy(F.xxhash64(F.lit(SEED), "doc_id"), "doc_id").limit(sample_rows)
+        .orderBy(drawn, "doc_id").limit(sample_rows)
     )
     found = docs.select("doc_id", "text").join(F.broadcast(known), "doc_id")  # at most sample_rows rows
-    one = found.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))
-    return one.orderBy("doc_id").select("text", "quality").toPandas()
+    one = staged(found.groupBy("doc_id", "quality").agg(F.min("text").alias("text")), "quality_sample")
+    sizes = one.select("doc_id", drawn.alias("drawn"), F.coalesce(F.octet_length("text"), F.lit(0)).alias("size"))
+    so_far = sizes.withColumn("held", F.sum("size").over(Window.orderBy("drawn", "doc_id")))  # at most sample_rows rows
+    fits = F.broadcast(so_far.where(F.col("held") <= sample_bytes).select("doc_id"))
+    return one.join(fits, "doc_id").orderBy("doc_id").select("text", "quality").toPandas()
 
 
 def _scored(docs: DataFrame, labels: DataFrame, columns: list[str], sample_rows: int) -> DataFrame:

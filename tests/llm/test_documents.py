@@ -149,7 +149,7 @@ def test_word_hashes_tell_words_apart():
     for text in texts:
         words, hashes = text.split(), line_dedup.word_hashes(text).tolist()
         assert len(words) == len(hashes) and all(seen.setdefault(w, h) == h for w, h in zip(words, hashes, strict=True))
-    assert len(set(seen.values())) == len(seen) == 10
+    assert len(set(seen.values())) == len(seen) == 11
 
 
 def test_broadcasts_are_bounded_by_bytes(spark):
@@ -265,6 +265,32 @@ def test_quality_held_out_accuracy(spark):
     assert right > 0.93 and all(0 <= r["score"] <= 1 for r in scored)
 
 
+def test_every_word_has_a_vector():
+    """Pooled vectors against plain sums, for words that the sample holds (also once) and for others."""
+    import numpy as np
+
+    vectors = quality.Vectors(["One two two, three.", "four one"])
+    assert set(vectors.words) == {"one", "two", "three", "four"}
+    pooler, dim = quality.Pooler(vectors), quality.WORD_DIM
+    text = "Two never seen one words seen three three"
+    want = np.zeros(dim)
+    for word in text.lower().split():
+        at = vectors.words.get(word)
+        want += vectors.word_rows[at] if at else quality.index_rows([word], dim)[1]
+        assert np.abs(quality.index_rows([word], dim)[1]).sum() > 0
+    got = pooler.pool([text, "", None])
+    assert np.allclose(got[0, :dim], want / 8, atol=1e-5) and np.isclose(got[0, -1], 4 / 8) and not got[1:].any()
+
+
+def test_quality_sample_is_bounded(spark, make_docs):
+    docs = make_docs([(i, "x" * 100) for i in range(40)] + [(3, "y"), (None, "z")])
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    held = {i for i in range(40) if brute.held_out(i, 5)}
+    assert len(quality.labelled_sample(docs, labels)) == 40 - len(held)
+    assert len(quality.labelled_sample(docs, labels, sample_rows=7)) == 7
+    assert len(quality.labelled_sample(docs, labels, sample_bytes=1000)) == 10
+
+
 def test_quality_odd_rows(spark, make_docs, odd_rows):
     docs = make_docs(odd_rows)
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
