@@ -32,8 +32,7 @@ MIN_SUPPORT = 0.002
 MIN_COUNT = 20  # labelled urls that a rule must rest on, however few there are
 SAMPLE_ROWS = 500_000  # labelled pages that rules are mined from
 SEED = 17
-MIN_CONFIDENCE = 0.6
-MIN_LIFT = 1.2
+MIN_LIFT = 1.5
 
 
 class UrlRule(NamedTuple):
@@ -90,12 +89,13 @@ def url_tokens(url: Column) -> Column:
 def mine_rules(
     labelled: DataFrame,
     min_support: float = MIN_SUPPORT,
-    min_confidence: float = MIN_CONFIDENCE,
+    min_confidence: float | None = None,
     min_lift: float = MIN_LIFT,
     min_count: int = MIN_COUNT,
 ) -> DataFrame:
     """``labelled``: url, bad (boolean).  Returns rule (id), tokens, key (the rarest token),
-    confidence, support."""
+    confidence, support.  Unless given, the least confidence follows from the share of bad urls: ``min_lift``
+    times it, but no more than half way from it to 1."""
     spark = labelled.sparkSession
     tokens = labelled.where("bad is not null").select("bad", url_tokens(F.col("url")).alias("tokens")).where(F.size("tokens") > 0)
     items = F.when(F.col("bad"), F.concat("tokens", F.array(F.lit(BAD)))).otherwise(F.col("tokens"))
@@ -104,7 +104,11 @@ def mine_rules(
     n, bad = items.agg(F.count(F.lit(1)), F.count_if(F.array_contains("items", BAD))).first()
     if bad < min_count:
         return empty
-    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence).fit(items)
+    base = bad / n
+    if min_confidence is None:
+        min_confidence, min_lift = min(min_lift * base, (1 + base) / 2), 1.0
+    tasks = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    model = FPGrowth(itemsCol="items", minSupport=max(min_support, min_count / n), minConfidence=min_confidence, numPartitions=tasks).fit(items)
     rules = staged(
         model.associationRules.where(F.col("consequent") == F.array(F.lit(BAD)))
         .where(F.col("lift") >= min_lift)
@@ -176,10 +180,11 @@ def judge_urls(pages: DataFrame, labelled: DataFrame, rules: Sequence[UrlRule] =
 
 def labelled_pages(pages: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """url, bad of the pages that ``labels`` covers (a page's id is its label's doc_id): bad is low
-    quality or toxic.  Of more than ``sample_rows`` labels, about so many are drawn by a hash of the id."""
+    quality or toxic.  Of more than ``sample_rows`` such pages, about so many are drawn by a hash of the id."""
     bad = F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))
     given = labels.where("doc_id is not null and (quality is not null or toxic is not null)")
-    share = min(1.0, sample_rows / max(1, given.count()))
-    drawn = F.pmod(F.xxhash64(F.lit(SEED), "doc_id"), F.lit(1 << 30)) < int(share * (1 << 30))
-    known = given.where(drawn).groupBy(F.col("doc_id").alias("page_id")).agg(F.max(bad).alias("bad"))
-    return pages.select("page_id", "url").join(known, "page_id").select("url", "bad")
+    known = given.groupBy(F.col("doc_id").alias("page_id")).agg(F.max(bad).alias("bad"))
+    found = staged(pages.select("page_id", "url").join(known, "page_id"), "url_labelled")
+    share = min(1.0, sample_rows / max(1, found.count()))
+    drawn = F.pmod(F.xxhash64(F.lit(SEED), "page_id"), F.lit(1 << 30)) < int(share * (1 << 30))
+    return found.where(drawn).select("url", "bad")

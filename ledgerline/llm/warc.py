@@ -9,8 +9,11 @@ packed into compressed blocks, and a sparse directory keeps the first key of eac
 binary-searches the directory, then the block, and reads the records by (file, offset, length).
 The directory has a bounded number of entries: blocks get longer as the archive grows.
 
-Reading: the offsets of one file are gathered (a file has at most ``records_per_file`` records),
-each byte range is cut out, parsed, and its digest taken from the payload that was read.
+Reading: files are opened by pyarrow's file systems (local and shared folders, S3, HDFS where its client
+is installed), so only ranges travel.  The scan for offsets reads headers and skips over what follows them.
+To fetch records, the offsets of one file are gathered (a file has at most ``records_per_file`` records),
+neighbouring ranges are read together up to ``READ_BYTES``, and each record's digest is taken from the
+payload that was read.
 
 Defined cases: a null html is an empty payload; a null url is written as an empty target; a null
 page_id has no id header and never counts as the smallest; equal rows are written as often as they
@@ -28,6 +31,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +44,8 @@ DATE = "2024-01-01T00:00:00Z"
 RECORDS_PER_FILE = 2000
 BLOCK_LINES = 3000
 MAX_DIRECTORY = 500_000
+READ_BYTES = 4 << 20  # most bytes of neighbouring records that are read together
+HEADER_BYTES = 1 << 12
 
 CAPTURE_SCHEMA = "key string, file string, offset long, length long, record_type string"
 RECORD_SCHEMA = "page_id long, url string, record_type string, refers_to long, payload_bytes long, payload_digest string, payload binary"
@@ -120,8 +126,14 @@ def write_archive(pages: DataFrame, path: str, min_revisit_bytes: int = 0, recor
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:
+    """file: the archive's part files (their contents are not read)."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select(F.col("path").alias("file"), "content")
+    return files.select(F.col("path").alias("file"))
+
+
+def _open(file: str) -> pa.NativeFile:
+    store, path = pa.fs.FileSystem.from_uri(file)
+    return store.open_input_file(path)
 
 
 def _header(data: bytes, start: int) -> tuple[dict[str, str], int]:
@@ -131,15 +143,29 @@ def _header(data: bytes, start: int) -> tuple[dict[str, str], int]:
     return dict(x.split(": ", 1) for x in lines[1:]), end + 4
 
 
+def _headers(source: pa.NativeFile) -> Iterator[tuple[dict[str, str], int, int]]:
+    """Fields, offset and length of every record; of what follows a header, no more is read than came with it."""
+    size, at, held, begin = source.size(), 0, b"", 0
+    while at < size:
+        want = HEADER_BYTES
+        while at < begin or held.find(b"\r\n\r\n", at - begin) < 0:
+            if begin <= at and at - begin + want <= len(held):
+                want *= 2  # a header that long
+            source.seek(at)
+            held, begin = source.read(want), at
+            if len(held) < want and held.find(b"\r\n\r\n") < 0:
+                raise ValueError(f"no record at {at} of {size} bytes")
+        fields, block = _header(held, at - begin)
+        end = begin + block + int(fields["Content-Length"])
+        yield fields, at, end - at
+        at = end + len(SEPARATOR)
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for file, content in zip(batch["file"], batch["content"], strict=True):
-            data, at, out = content.as_buffer().to_pybytes(), 0, []
-            while at < len(data):
-                fields, block = _header(data, at)
-                end = block + int(fields["Content-Length"])
-                out.append((fields["WARC-Target-URI"], file.as_py(), at, end - at, fields["WARC-Type"]))
-                at = end + len(SEPARATOR)
+        for file in batch["file"].to_pylist():
+            with _open(file) as source:
+                out = [(fields["WARC-Target-URI"], file, at, length, fields["WARC-Type"]) for fields, at, length in _headers(source)]
             cols = list(zip(*out, strict=True)) or [[]] * 5
             kinds = (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string())
             yield pa.RecordBatch.from_arrays(
@@ -250,26 +276,36 @@ def build_index(spark: SparkSession, path: str, block_lines: int = BLOCK_LINES)
     return CaptureIndex(staged(blocks, "warc_blocks"))
 
 
-def fetch(spark: SparkSession, path: str, captures: DataFrame, with_payload: bool = True) -> DataFrame:
-    """The records of ``captures`` (file, offset, length), each cut out of its file and parsed.
+def fetch(captures: DataFrame, with_payload: bool = True) -> DataFrame:
+    """The records of ``captures`` (file, offset, length), each read from its file by its range and parsed.
     Digests and sizes of responses come from the payload as read; of revisits, whose payload is not
     in the record, from its headers."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for content, ranges in zip(batch["content"], batch["ranges"].to_pylist(), strict=True):
-                data, out = memoryview(content.as_buffer()), []
-                for r in ranges:
-                    record = bytes(data[r["offset"] : r["offset"] + r["length"]])
-                    out.append(_record(record, with_payload))
-                cols = list(zip(*out, strict=True)) or [[]] * 7
-                kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-                names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
-
-    ranges = captures.groupBy("file").agg(F.collect_list(F.struct("offset", "length")).alias("ranges"))
-    ranges = checked_broadcast(staged(ranges, "warc_ranges"), 20_000)
-    return _files(spark, path).join(ranges, "file").select("content", "ranges").mapInArrow(cut, RECORD_SCHEMA)
+            for file, ranges in zip(batch["file"].to_pylist(), batch["ranges"].to_pylist(), strict=True):
+                with _open(file) as source:
+                    for records in _ranges(source, sorted((r["offset"], r["length"]) for r in ranges)):
+                        cols = list(zip(*(_record(r, with_payload) for r in records), strict=True))
+                        kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.binary())
+                        names = ["page_id", "url", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload"]
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names)
+
+    ranges = captures.groupBy("file").agg(F.collect_list(F.struct("offset", "length")).alias("ranges"))  # one file's records
+    return ranges.mapInArrow(cut, RECORD_SCHEMA)
+
+
+def _ranges(source: pa.NativeFile, ranges: list[tuple[int, int]]) -> Iterator[list[bytes]]:
+    """The bytes of the ranges, in order; neighbours are one read of at most ``READ_BYTES`` (or one record)."""
+    at = 0
+    while at < len(ranges):
+        begin, stop = ranges[at][0], at + 1
+        while stop < len(ranges) and sum(ranges[stop]) - begin <= READ_BYTES and ranges[stop][0] - sum(ranges[stop - 1]) <= HEADER_BYTES:
+            stop += 1
+        source.seek(begin)
+        data = source.read(sum(ranges[stop - 1]) - begin)
+        yield [data[offset - begin : offset - begin + length] for offset, length in ranges[at:stop]]
+        at = stop
 
 
 def _record(record: bytes, with_payload: bool) -> tuple:
@@ -286,8 +322,9 @@ def _record(record: bytes, with_payload: bool) -> tuple:
 
 
 def archive_round_trip(pages: DataFrame, min_revisit_bytes: int = 0) -> DataFrame:
-    """Write ``pages`` to archives in the shared scratch folder, index them, read every record back."""
+    """Write ``pages`` to archives in the shared scratch folder, index them, and read the records of every
+    page's url back, as the index finds them."""
     spark = pages.sparkSession
     path = scratch_path(spark, "llm", "warc")
     write_archive(pages, path, min_revisit_bytes)
-    return fetch(spark, path, build_index(spark, path).captures(), with_payload=False).drop("payload")
+    return fetch(build_index(spark, path).lookup(pages), with_payload=False).drop("payload")

@@ -123,6 +123,43 @@ def test_mined_rules(spark):
     assert all((verdicts[i] == "block") == bad for i, (_, bad) in enumerate(urls))
 
 
+def test_mined_rules_equal_brute_force(spark):
+    """Rules before pruning are all token sets that imply "bad" often enough; pruned ones are implied by a part."""
+    from collections import Counter
+    from itertools import combinations
+
+    rnd = random.Random(4)
+    urls = []
+    for i in range(600):
+        host, word = rnd.choice(["a.net", "b.net", "c.info"]), rnd.choice(["win", "read", "shop"])
+        urls.append((f"http://{host}/{word}/{rnd.choice('xy')}", rnd.random() < (0.8 if (host, word) == ("b.net", "win") else 0.5 if host == "c.info" else 0.1)))
+    labelled = spark.createDataFrame(urls, "url string, bad boolean")
+    tokens = {r["url"]: sorted(r["t"]) for r in labelled.select("url", url_rules.url_tokens(F.col("url")).alias("t")).distinct().collect()}
+    count, bad = Counter(), Counter()
+    for u, is_bad in urls:
+        for size in range(1, len(tokens[u]) + 1):
+            for part in combinations(tokens[u], size):
+                count[part] += 1
+                bad[part] += is_bad
+    base = sum(b for _, b in urls) / len(urls)
+    least = min(url_rules.MIN_LIFT * base, (1 + base) / 2)
+    rules = {p: bad[p] / count[p] for p in count if bad[p] >= url_rules.MIN_COUNT and bad[p] / count[p] >= least}
+    want = {p: c for p, c in rules.items() if not any(q in rules and rules[q] >= c for k in range(1, len(p)) for q in combinations(p, k))}
+    got = {tuple(r["tokens"]): r["confidence"] for r in url_rules.mine_rules(labelled).collect()}
+    assert got.keys() == want.keys() and len(want) > 2
+    assert all(abs(got[p] - want[p]) < 1e-12 for p in want)
+
+
+def test_rules_are_mined_from_the_given_tables(spark):
+    pages, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("pages", "labels"))
+    labelled = url_rules.labelled_pages(pages, labels)
+    mined = url_rules.mine_rules(labelled).collect()
+    base = labelled.agg(F.avg(F.col("bad").cast("int"))).first()[0]
+    assert mined and all(r["confidence"] >= url_rules.MIN_LIFT * base - 1e-9 for r in mined)
+    judged = url_rules.judge_urls(pages, labelled)
+    assert judged.where("rule is null and verdict = 'block' and confidence is not null").count() > 0
+
+
 # --- html -------------------------------------------------------------------------------------
 
 WRITTEN = [
@@ -208,13 +245,38 @@ def test_lookup_and_payloads(spark):
     warc.write_archive(pages_of(spark, PAGES), path)
     index = warc.build_index(spark, path, block_lines=2)
     asked = spark.createDataFrame([("HTTP://B.ORG/x#part",), ("https://B.org/none",), ("w\tw\\w",)], "url string")
-    found = warc.fetch(spark, path, index.lookup(asked)).collect()
+    found = warc.fetch(index.lookup(asked)).collect()
     assert sorted((r["page_id"] or 0, r["record_type"]) for r in found) == [(0, "revisit"), (3, "response"), (3, "response"), (8, "response")]
     assert {bytes(r["payload"]) for r in found if r["payload"]} == {b"same", b"x" * 100_000}
     keys = [r["key"] for r in index.captures().collect()]
     assert len(keys) == len(PAGES) and len(index.directory) >= 4
 
 
+@pytest.mark.parametrize("header, read", [(4096, 4 << 20), (16, 300), (64, 1)])
+def test_only_ranges_are_read(spark, tmp_path, monkeypatch, header, read):
+    """The scan skips payloads, neighbours are read together, and both give what the whole file holds."""
+    import pyarrow.fs
+
+    monkeypatch.setattr(warc, "HEADER_BYTES", header)
+    monkeypatch.setattr(warc, "READ_BYTES", read)
+    path = str(tmp_path / "w")
+    pages = [*PAGES, (100, "http://long.org/" + "u" * 9000, "y")]
+    warc.write_archive(pages_of(spark, pages).coalesce(1), f"file://{path}")
+    for file in tmp_path.glob("w/part-*"):
+        whole = file.read_bytes()
+        with pyarrow.fs.LocalFileSystem().open_input_file(str(file)) as source:
+            found = list(warc._headers(source))
+            ranges = [(at, length) for _, at, length in found]
+            assert b"".join(whole[a : a + n] + warc.SEPARATOR.encode() for a, n in ranges) == whole
+            assert [r for part in warc._ranges(source, ranges[::2]) for r in part] == [whole[a : a + n] for a, n in ranges[::2]]
+            assert all(f["WARC-Type"] in ("response", "revisit") for f, _, _ in found)
+
+
+def test_urls_of_empty_pages(spark):
+    none, labels = pages_of(spark, []), spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert url_rules.judge_urls(none, url_rules.labelled_pages(none, labels)).count() == 0
+
+
 def test_empty_archive(spark):
     assert warc.archive_round_trip(pages_of(spark, [])).count() == 0
 
