@@ -3,16 +3,15 @@
 Rows of the incidence matrix are distinct n-gram sets (documents with equal sets are one row), columns
 are n-gram hashes.  Columns stand in one global order, frequent ones last (any order gives whole results;
 this one keeps rare columns in front).  If two sets reach the threshold, their first ``k`` common n-grams
-lie in the leading columns of both, whose number follows from the set's size; the product is formed over
-those column blocks only, its cells are accumulated per pair, and pairs below the size-derived bounds are
-discarded.  What is left is settled by the overlap of the whole sets.
+lie in the leading columns of both, whose number follows from the set's size.  Only leading columns that
+two rows share are kept, and a row with fewer than ``k`` of them is linked with nothing and goes.
 
-A row that shares fewer than ``k`` leading columns with all others together is linked with nothing and
-goes first.  Within a column, rows are not paired with each other but with the column's first row.  Links found so
-join rows to classes; then only classes that still share a column are compared, by their first rows.  The
-Jaccard distance is a metric: two classes whose first rows are further apart than the threshold and both
-radii have no link between them, and only for the others are the rows of the shared columns paired.  So a
-group of copies costs links in proportion to its size, and no link between different classes is lost.
+Columns with the same first row form a block of the product, with the rows that hold any of them: two linked
+rows share a leading column, so they meet in its block.  A block's rows come with their whole sets, and a task
+multiplies them (columns in strips, overlaps accumulated), so its counts are final and pairs below the
+threshold end there.  What leaves the task is a forest of its links, less than a row per row.  Large blocks are
+cut into tiles by size class and hash; two tiles meet if their sizes allow a link, and every tile holds a
+bounded number of rows and n-grams (one row at least), so a hot column costs work in pairs of tiles, not memory.
 
 Defined cases: a null or wordless text has no n-grams and is linked with nothing (its component is its own
 doc_id); fewer than ``n`` words are one n-gram; rows repeated in full fall in one class; a null doc_id is
@@ -22,13 +21,14 @@ ignored.  Sets are compared by 64-bit n-gram hashes.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
@@ -41,7 +41,9 @@ LOCAL_COUNT = 3  # a column's count is reported by a chunk of documents from thi
 FREQUENT_LEAST = 8  # columns with at least so many counted rows come last in the order
 MAX_FREQUENT = 2_000_000  # and at most so many, the most frequent
 CHUNK = 4_000_000
-CORE_ROUNDS = 2
+TILE_ROWS = 1024  # rows of a tile of a block, and their n-grams together
+TILE_CELLS = 1_000_000
+STRIP = 4_000_000  # numbers of the dense strip of a tile's matrix
 CACHE = 500_000
 
 
@@ -120,32 +122,33 @@ def lead_length(size: int, percent: int, lead: int) -> tuple[int, int]:
 
 
 def incidence(docs: DataFrame, frequent: Broadcast, n: int, percent: int, lead: int) -> DataFrame:
-    """doc_id, size, row (hash of the whole set), k, lead (leading columns) per document."""
+    """doc_id, size, row (hash of the whole set), k, rare and often (leading columns) per document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, (last, place) = WordHashes(), frequent.value
         for batch in batches:
-            sizes, names, leads, asked = [], [], [], []
+            sizes, names, rare, common, asked = [], [], [], [], []
             for text in batch["text"].to_pylist():
                 columns = ngram_set(text, hashes, n)
                 length, k = lead_length(len(columns), percent, lead) if len(columns) else (0, 0)
                 names.append(xxhash.xxh64_intdigest(columns.tobytes()) if len(columns) else 0)
-                head = columns
+                head, tail = columns, columns[:0]
                 if len(columns) and len(last):
                     at = np.searchsorted(last, columns)
                     at = np.minimum(at, len(last) - 1)
                     often = last[at] == columns
-                    head = np.concatenate([columns[~often], columns[often][np.argsort(place[at[often]], kind="stable")]])
+                    head, tail = columns[~often], columns[often][np.argsort(place[at[often]], kind="stable")]
                 sizes.append(len(columns))
-                leads.append(head[:length])
+                rare.append(head[:length])
+                common.append(tail[: max(0, length - len(head))])
                 asked.append(k)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), _signed(np.array(names, np.uint64)), pa.array(asked, pa.int32()), _lists(leads)],
-                ["doc_id", "size", "row", "k", "lead"],
+                [batch["doc_id"], pa.array(sizes, pa.int64()), _signed(np.array(names, np.uint64)), pa.array(asked, pa.int32()), _lists(rare), _lists(common)],
+                ["doc_id", "size", "row", "k", "rare", "often"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, size long, row long, k int, lead array<long>")
+    return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, size long, row long, k int, rare array<long>, often array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -170,6 +173,51 @@ def components(links: DataFrame) -> DataFrame:
             )
 
 
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of all ``sets`` with each other: the product of their incidence matrix
+    with its transpose, accumulated over strips of the columns that two of them share."""
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = count[column] > 1
+    owner, column = owner[shared], (np.cumsum(count > 1) - 1)[column[shared]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    width = max(1, STRIP // len(sets))
+    kind = np.float32 if max(map(len, sets)) < 1 << 24 else np.float64  # whole numbers are exact up to 2^24
+    out = np.zeros((len(sets), len(sets)), kind)
+    for least in range(0, int(column[-1]) + 1 if len(column) else 0, width):
+        lo, hi = np.searchsorted(column, [least, least + width])
+        strip = np.zeros((len(sets), min(width, int(column[-1]) + 1 - least)), kind)
+        strip[owner[lo:hi], column[lo:hi] - least] = 1
+        out += strip @ strip.T
+    return out
+
+
+def forest(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """For each set the smallest place of a set that links within ``sets`` reach."""
+    label = np.arange(len(sets))
+    if len(sets) == 2:
+        a, b = sets
+        common = len(np.intersect1d(a, b, assume_unique=True))
+        return label * (100 * common < percent * (len(a) + len(b) - common))
+    common, size = overlaps(sets), np.array([len(s) for s in sets])
+    left, right = [], []
+    for least in range(0, len(sets), 256):
+        part = common[least : least + 256].astype(np.int64)
+        i, j = np.nonzero(100 * part >= percent * (size[least : least + 256, None] + size[None] - part))
+        later = j > i + least
+        left.append(i[later] + least)
+        right.append(j[later])
+    i, j = np.concatenate(left), np.concatenate(right)
+    while True:
+        before, least = label.copy(), np.minimum(label[i], label[j])
+        np.minimum.at(label, i, least)
+        np.minimum.at(label, j, least)
+        label = label[label]
+        if np.array_equal(before, label):
+            return label
+
+
 class Product:
     """The incidence matrix of ``docs`` and the steps of its product with itself."""
 
@@ -181,13 +229,9 @@ class Product:
         order = np.argsort(tokens)
         shared = spark.sparkContext.broadcast((tokens[order], frequent["n"].to_numpy().astype(np.int64)[order]))
         self.rows = staged(incidence(self.docs, shared, n, percent, lead), "incidence")
-        sets = staged(
-            self.rows.where("size > 0")
-            .groupBy("row")
-            .agg(F.min("doc_id").alias("doc_id"), F.first("size").alias("size"), F.first("k").alias("k"), F.first("lead").alias("lead"))
-            .withColumnRenamed("row", "hash"),
-            "incidence_rows",
-        )
+        first = [F.first(c).alias(c) for c in ("size", "k", "rare", "often")]
+        sets = self.rows.where("size > 0").groupBy("row").agg(F.min("doc_id").alias("doc_id"), *first)
+        sets = staged(sets.withColumnRenamed("row", "hash"), "incidence_rows")
         # a row is named by its smallest doc_id, so that a column's first row is the oldest text; by its
         # hash if the doc_id is null, no whole number, or names several rows
         name = F.col("hash")
@@ -197,39 +241,45 @@ class Product:
             name = F.coalesce(F.when(F.col("twice").isNull(), F.col("doc_id").cast("long")), name)
         sets = sets.withColumn("row", name)
         self.sets = sets.select("row", "hash", "doc_id", "size", "k")
-        self.cells = self._cells(sets.select("row", F.explode("lead").alias("token")))
-
-    def _cells(self, columns: DataFrame) -> DataFrame:
-        """token, row, first: the leading columns of two rows or more, and their first row.  A row with
-        fewer than ``k`` of them is linked with nothing and goes, which may leave other rows too few."""
-        cells = columns
-        for again in range(CORE_ROUNDS + 1):
-            firsts = cells.groupBy("token").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first <> last")
-            firsts = checked_broadcast(staged(firsts.select("token", "first"), "columns"))
-            cells = staged(cells.select("token", "row").join(firsts, "token"), "cells")
-            if again == CORE_ROUNDS:
-                return cells
-            held = cells.groupBy("row").agg(F.count(F.lit(1)).alias("held"))
-            core = held.join(self.sets.select("row", "k"), "row").where("held >= k").select("row")
-            cells = cells.join(checked_broadcast(staged(core, "core")), "row", "left_semi")
-
-    def enough(self, common: Column, a: Column, b: Column) -> Column:
-        return common * 100 >= (a + b - common) * self.percent
-
-    def bounded(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b, cells) that their sizes and accumulated leading cells allow."""
-        side = lambda x: self.sets.select(F.col("row").alias(x), F.col("size").alias(f"size_{x}"), F.col("k").alias(f"k_{x}"))
-        fits = F.least("size_a", "size_b") * 100 >= F.greatest("size_a", "size_b") * self.percent
-        joined = pairs.join(side("a"), "a").join(side("b"), "b")
-        return joined.where(fits).where(F.col("cells") >= F.least("k_a", "k_b")).select("a", "b")
-
-    def overlaps(self, pairs: DataFrame) -> DataFrame:
-        """a, b, jaccard of the whole sets, which are made anew from the texts of the rows asked for."""
-        pairs = staged(pairs, "pairs")
-        if pairs.isEmpty():
-            return pairs.select("a", "b", F.lit(0.0).alias("jaccard"), F.lit(False).alias("linked"))
-        asked = pairs.select(F.col("a").alias("row")).union(pairs.select(F.col("b").alias("row"))).distinct()
-        asked = staged(self.sets.select("row", "hash", "doc_id").join(asked, "row"), "asked")
+        self.cells = self._cells(sets)
+
+    def _cells(self, sets: DataFrame) -> DataFrame:
+        """row, first: the rows of every block, which is named by the first row of its columns.  Frequent
+        columns, of which one may hold a third of all rows, are aggregated before they move."""
+        token = Window.partitionBy("token")
+        rare = sets.select("row", F.explode("rare").alias("token"))
+        rare = rare.select("row", F.min("row").over(token).alias("first"), F.max("row").over(token).alias("last")).where("first <> last")
+        often = sets.select("row", F.explode("often").alias("token"))
+        firsts = often.groupBy("token").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first <> last")
+        often = often.join(checked_broadcast(staged(firsts.select("token", "first"), "columns")), "token")
+        cells = rare.select("row", "first").union(often.select("row", "first"))
+        cells = staged(cells.groupBy("row", "first").agg(F.count(F.lit(1)).alias("held")), "cells")
+        # a row that shares fewer than k leading columns with all others together is linked with nothing
+        held = cells.groupBy("row").agg(F.sum("held").alias("held"))
+        core = held.join(self.sets.select("row", "size", "k"), "row").where("held >= k").select("row", "size")
+        return staged(cells.select("row", "first").join(checked_broadcast(staged(core, "core")), "row"), "core_cells")
+
+    def tiles(self) -> DataFrame:
+        """first, lo, hi, row: the rows of every pair of tiles.  A block within a tile's bounds is one; a larger
+        one is cut by size class, whose base is more than the ratio that linked sizes can have, and by hash."""
+        base = 1.001 * 100 / self.percent
+        blocks = self.cells.groupBy("first").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("cells")).where("n > 1")
+        large = (F.col("n") > TILE_ROWS) | (F.col("cells") > TILE_CELLS)
+        cells = staged(self.cells.join(blocks.select("first", large.alias("large")), "first"), "blocks")
+        small = cells.where("not large").select("first", F.lit(0).cast("long").alias("lo"), F.lit(0).cast("long").alias("hi"), "row")
+        cells = cells.where("large").select("first", "row", "size", F.floor(F.log("size") / math.log(base)).alias("level"))
+        cuts = F.greatest(F.ceil(F.count(F.lit(1)) / TILE_ROWS), F.ceil(F.sum("size") / TILE_CELLS))
+        cuts = staged(cells.groupBy("first", "level").agg(cuts.alias("cuts")), "cuts")
+        tile = lambda level, cut: F.shiftleft(level, 40) + cut
+        own = cells.join(cuts, ["first", "level"]).withColumn("tile", tile(F.col("level"), F.pmod(F.xxhash64("row"), F.col("cuts"))))
+        own = own.select("first", "row", "tile", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)).alias("level"))
+        met = own.join(cuts, ["first", "level"]).select("first", "row", "tile", "level", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("cut"))
+        other = tile(F.col("level"), F.col("cut"))
+        return small.union(met.select("first", F.least("tile", other).alias("lo"), F.greatest("tile", other).alias("hi"), "row"))
+
+    def whole_sets(self, asked: DataFrame) -> DataFrame:
+        """row, columns: the whole sets of the rows asked for, made anew from their texts."""
+        asked = staged(self.sets.select("row", "hash", "doc_id").join(asked, "row", "left_semi"), "asked")
         names = checked_broadcast(asked.select(F.col("doc_id").alias("name")).distinct())
         texts = self.docs.join(names, self.docs["doc_id"].eqNullSafe(names["name"]), "left_semi")
         n = self.n
@@ -243,51 +293,44 @@ class Product:
                 yield pa.RecordBatch.from_arrays([_signed(name), _lists(sets)], ["hash", "columns"])
 
         made = texts.select("text").mapInArrow(make, "hash long, columns array<long>")
-        made = staged(made.join(asked.select("hash", "row"), "hash").groupBy("row").agg(F.first("columns").alias("columns")), "sets")
-        side = lambda x: made.select(F.col("row").alias(x), F.col("columns").alias(f"columns_{x}"))
-        common = F.size(F.array_intersect("columns_a", "columns_b"))
-        whole = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", common.alias("common"), F.size("columns_a").alias("na"), F.size("columns_b").alias("nb"))
-        return staged(
-            whole.select("a", "b", (F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))).alias("jaccard"),
-                         self.enough(F.col("common"), F.col("na"), F.col("nb")).alias("linked")),
-            "overlaps",
-        )
+        made = made.join(checked_broadcast(asked.select("hash", "row")), "hash")
+        return made.groupBy("row").agg(F.first("columns").alias("columns"))
 
     def links(self) -> DataFrame:
-        """a, b: enough links between rows to give every component of the whole join."""
-        cells = F.count(F.lit(1)).alias("cells")
-        pair = lambda x, y: (F.least(x, y).alias("a"), F.greatest(x, y).alias("b"))
-        stars = self.cells.where("row <> first").groupBy(*pair("row", "first")).agg(cells)
-        stars = self.overlaps(self.bounded(stars)).where("linked")
-        links = stars.select("a", "b")
-        classes = staged(components(links), "classes")
-        # columns that rows of several classes share; a row without a class is one
-        placed = self.cells.join(classes.withColumnRenamed("node", "row"), "row", "left")
-        placed = placed.withColumn("component", F.coalesce("component", "row"))
-        split = placed.groupBy("token").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("token")
-        placed = staged(placed.join(split, "token", "left_semi").select("token", "row", "component"), "placed")
-        reach = placed.select("token", "component").distinct()
-        met = reach.select("token", F.col("component").alias("a")).join(reach.select("token", F.col("component").alias("b")), "token")
-        met = met.where("a < b").groupBy("a", "b").agg(cells)
-        # a class's radius (distance of its rows from its first one, where that is known) and sizes
-        inside = classes.join(self.sets.select(F.col("row").alias("node"), "size", "k"), "node")
-        inside = inside.join(stars.select(F.col("a").alias("component"), F.col("b").alias("node"), "jaccard"), ["component", "node"], "left")
-        away = F.when(F.col("node") == F.col("component"), 0.0).otherwise(F.coalesce(1 - F.col("jaccard"), F.lit(1.0)))
-        spread = inside.groupBy("component").agg(F.max(away).alias("radius"), F.min("size").alias("low"), F.max("size").alias("high"), F.min("k").alias("k"))
-        alone = self.sets.select(F.col("row").alias("component"), F.lit(0.0).alias("radius"), F.col("size").alias("low"), F.col("size").alias("high"), "k")
-        spread = staged(spread.union(alone.join(classes, alone["component"] == classes["node"], "left_anti")), "spread")
-        side = lambda x: spread.select(*[F.col(c).alias(x if c == "component" else f"{c}_{x}") for c in spread.columns])
-        met = met.join(side("a"), "a").join(side("b"), "b").where(F.col("cells") >= F.least("k_a", "k_b"))
-        met = met.where(F.least("high_a", "high_b") * 100 >= F.greatest("low_a", "low_b") * self.percent)
-        met = staged(met.select("a", "b", (F.col("radius_a") + F.col("radius_b")).alias("radii")), "met")
-        near = self.overlaps(met.select("a", "b"))  # first rows against first rows
-        links = links.union(near.where("linked").select("a", "b"))
-        open_ = near.where("not linked").join(met.where("radii > 0"), ["a", "b"])
-        open_ = open_.where((1 - F.col("jaccard")) <= (1 - self.percent / 100) + F.col("radii") + 1e-9).select("a", "b")
-        left = placed.select("token", F.col("row").alias("ra"), F.col("component").alias("a"))
-        right = placed.select("token", F.col("row").alias("rb"), F.col("component").alias("b"))
-        rest = open_.join(left, "a").join(right, ["token", "b"]).groupBy(*pair("ra", "rb")).agg(cells)
-        return links.union(self.overlaps(self.bounded(rest)).where("linked").select("a", "b"))
+        """a, b: rows that links reach from each other, enough to give every component of the whole join."""
+        tiles = staged(self.tiles(), "tiles")
+        sets = staged(self.whole_sets(tiles.select("row").distinct()), "sets")
+        percent = self.percent
+
+        def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            key, rows, sets = None, [], []
+
+            def linked() -> tuple[np.ndarray, np.ndarray]:
+                names = np.array(rows, np.int64)
+                if len(sets) < 2:
+                    return names[:0], names[:0]
+                label = forest(sets, percent)
+                moved = label != np.arange(len(sets))
+                return names[moved], names[label[moved]]
+
+            for batch in batches:
+                found = []
+                values, ends = batch["columns"].values.to_numpy(), batch["columns"].offsets.to_numpy()
+                keys = zip(*(batch[c].to_pylist() for c in ("first", "lo", "hi")), strict=True)
+                for i, (now, row) in enumerate(zip(keys, batch["row"].to_pylist(), strict=True)):
+                    if now != key:
+                        found.append(linked())
+                        key, rows, sets = now, [], []
+                    rows.append(row)
+                    sets.append(values[ends[i] : ends[i + 1]])
+                a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 2
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            a, b = linked()
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+        key = ["first", "lo", "hi"]
+        blocks = tiles.join(sets, "row").select(*key, "row", "columns").repartition(*key).sortWithinPartitions(*key)
+        return staged(blocks.mapInArrow(multiply, "a long, b long"), "links")
 
 
 def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, lead: int = LEAD) -> DataFrame:

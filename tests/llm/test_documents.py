@@ -110,6 +110,31 @@ def test_jaccard_chains(make_docs, monkeypatch, frequent):
     assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(docs), key=repr)
 
 
+@pytest.mark.parametrize("bounds", [(3, 10**6), (1024, 200), (1, 1)])
+def test_jaccard_tiles(make_docs, monkeypatch, bounds):
+    """Blocks cut into tiles by size class and hash give the same components."""
+    monkeypatch.setattr(ngram_jaccard, "TILE_ROWS", bounds[0])
+    monkeypatch.setattr(ngram_jaccard, "TILE_CELLS", bounds[1])
+    docs = _chains()
+    got = ngram_jaccard.jaccard_components(make_docs(docs))
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(docs), key=repr)
+
+
+def test_product_of_sets(monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(ngram_jaccard, "STRIP", 50)  # strips of a few columns
+    hashes = ngram_jaccard.WordHashes()
+    sets = [ngram_jaccard.ngram_set(text, hashes) for _, text in _chains()]
+    want = [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+    got = ngram_jaccard.overlaps(sets)
+    off = ~np.eye(len(sets), dtype=bool)  # columns of one row alone are left out, which only the diagonal shows
+    assert (got[off] == np.array(want)[off]).all()
+    chain = [np.arange(i, i + 20, dtype=np.uint64) for i in (0, 2, 4, 40)]
+    assert ngram_jaccard.forest(chain, 80).tolist() == [0, 0, 0, 3]
+    assert ngram_jaccard.forest(chain[:2], 80).tolist() == [0, 0] and ngram_jaccard.forest(chain[2:], 80).tolist() == [0, 1]
+
+
 def test_components(spark):
     links = [(9, 8), (8, 7), (7, 1), (1, 1), (20, 30), (30, 25), (41, 40), (40, 39), (39, 38), (38, 37), (37, 36), (36, 41)]
     got = ngram_jaccard.components(spark.createDataFrame(links, "a long, b long"))
