@@ -4,7 +4,7 @@ Rows of the incidence matrix are distinct n-gram sets (documents with equal sets
 are n-gram hashes.  Columns stand in one global order, frequent ones last (any order gives whole results;
 this one keeps rare columns in front).  If two sets reach the threshold, their first ``k`` common n-grams
 lie in the leading columns of both, whose number follows from the set's size.  Only leading columns that
-two rows share are kept, and a row with fewer than ``k`` of them is linked with nothing and goes.
+two rows of like size share are kept, and a row with too few of them is linked with nothing and goes.
 
 Columns with the same first row form a block of the product, with the rows that hold any of them: two linked
 rows share a leading column, so they meet in its block.  A block's rows come with their whole sets, and a task
@@ -36,11 +36,13 @@ from ledgerline.llm.common import checked_broadcast, staged
 
 N = 5
 PERCENT = 80  # threshold, in hundredths
-LEAD = 8  # common n-grams asked for among the leading columns
+LEAD = 8  # common n-grams asked for among the leading columns,
+LEAD_SHARE = 32  # or one in so many of a larger set
 LOCAL_COUNT = 3  # a column's count is reported by a chunk of documents from this on
 FREQUENT_LEAST = 8  # columns with at least so many counted rows come last in the order
 MAX_FREQUENT = 2_000_000  # and at most so many, the most frequent
 CHUNK = 4_000_000
+CORE_ROUNDS = 2
 TILE_ROWS = 1024  # rows of a tile of a block, and their n-grams together
 TILE_CELLS = 1_000_000
 STRIP = 4_000_000  # numbers of the dense strip of a tile's matrix
@@ -115,14 +117,16 @@ def frequent_columns(docs: DataFrame, n: int = N) -> DataFrame:
 
 
 def lead_length(size: int, percent: int, lead: int) -> tuple[int, int]:
-    """Leading columns of a set of this size, and the common ones to ask for."""
+    """Leading columns of a set of this size, and the common ones that a linked set has at least among the
+    leading columns of both: those that the smallest set it may be linked with asks for."""
     least = -(-size * percent // 100)
-    k = max(1, min(lead, least))
-    return size - least + k, k
+    asked = lambda m: max(1, min(max(lead, m // LEAD_SHARE), -(-m * percent // 100)))
+    return size - least + asked(size), asked(least)
 
 
 def incidence(docs: DataFrame, frequent: Broadcast, n: int, percent: int, lead: int) -> DataFrame:
-    """doc_id, size, row (hash of the whole set), k, rare and often (leading columns) per document."""
+    """doc_id, size, row (hash of the whole set), k (common columns asked for), rare and often (leading columns)
+    per document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,6 +227,7 @@ class Product:
 
     def __init__(self, docs: DataFrame, n: int, percent: int, lead: int):
         self.docs, self.n, self.percent = docs.select("doc_id", "text"), n, percent
+        self.base = 1.001 * 100 / percent  # of the size classes: more than the ratio that linked sizes can have
         spark = docs.sparkSession
         frequent = frequent_columns(docs, n).toArrow()  # at most MAX_FREQUENT
         tokens = frequent["token"].to_numpy().astype(np.int64).view(np.uint64)
@@ -253,21 +258,33 @@ class Product:
         firsts = often.groupBy("token").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first <> last")
         often = often.join(checked_broadcast(staged(firsts.select("token", "first"), "columns")), "token")
         cells = rare.select("row", "first").union(often.select("row", "first"))
-        cells = staged(cells.groupBy("row", "first").agg(F.count(F.lit(1)).alias("held")), "cells")
-        # a row that shares fewer than k leading columns with all others together is linked with nothing
-        held = cells.groupBy("row").agg(F.sum("held").alias("held"))
-        core = held.join(self.sets.select("row", "size", "k"), "row").where("held >= k").select("row", "size")
-        return staged(cells.select("row", "first").join(checked_broadcast(staged(core, "core")), "row"), "core_cells")
+        cells = cells.groupBy("row", "first").agg(F.count(F.lit(1)).alias("held")).join(self.sets.select("row", "size", "k"), "row")
+        cells = staged(cells.withColumn("level", F.floor(F.log("size") / math.log(self.base))), "cells")
+        for _ in range(CORE_ROUNDS):
+            cells = self._core(cells)
+        return cells
+
+    def _core(self, cells: DataFrame) -> DataFrame:
+        """Cells without those of rows that meet no row of a like size in a block, and without the rows that
+        then share fewer than ``k`` leading columns with all others together: they are linked with nothing."""
+        levels = cells.groupBy("first", "level").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("low"), F.max("size").alias("high"))
+        block = Window.partitionBy("first").orderBy("level")  # a row per size class
+        below = F.when(F.lag("level").over(block) == F.col("level") - 1, F.lag("high").over(block))
+        above = F.when(F.lead("level").over(block) == F.col("level") + 1, F.lead("low").over(block))
+        levels = checked_broadcast(staged(levels.select("first", "level", "n", below.alias("below"), above.alias("above")), "levels"))
+        meets = (F.col("n") > 1) | (F.col("below") * 100 >= F.col("size") * self.percent) | (F.col("size") * 100 >= F.col("above") * self.percent)
+        met = cells.join(levels, ["first", "level"]).where(meets).select(*cells.columns)
+        core = met.groupBy("row").agg(F.sum("held").alias("all"), F.first("k").alias("k")).where("all >= k").select("row")
+        return staged(met.join(checked_broadcast(staged(core, "core")), "row", "left_semi"), "core_cells")
 
     def tiles(self) -> DataFrame:
         """first, lo, hi, row: the rows of every pair of tiles.  A block within a tile's bounds is one; a larger
-        one is cut by size class, whose base is more than the ratio that linked sizes can have, and by hash."""
-        base = 1.001 * 100 / self.percent
+        one is cut by size class and by hash."""
         blocks = self.cells.groupBy("first").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("cells")).where("n > 1")
         large = (F.col("n") > TILE_ROWS) | (F.col("cells") > TILE_CELLS)
         cells = staged(self.cells.join(blocks.select("first", large.alias("large")), "first"), "blocks")
         small = cells.where("not large").select("first", F.lit(0).cast("long").alias("lo"), F.lit(0).cast("long").alias("hi"), "row")
-        cells = cells.where("large").select("first", "row", "size", F.floor(F.log("size") / math.log(base)).alias("level"))
+        cells = cells.where("large")
         cuts = F.greatest(F.ceil(F.count(F.lit(1)) / TILE_ROWS), F.ceil(F.sum("size") / TILE_CELLS))
         cuts = staged(cells.groupBy("first", "level").agg(cuts.alias("cuts")), "cuts")
         tile = lambda level, cut: F.shiftleft(level, 40) + cut

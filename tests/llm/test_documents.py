@@ -110,13 +110,14 @@ def test_jaccard_chains(make_docs, monkeypatch, frequent):
     assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(docs), key=repr)
 
 
-@pytest.mark.parametrize("bounds", [(3, 10**6), (1024, 200), (1, 1)])
-def test_jaccard_tiles(make_docs, monkeypatch, bounds):
-    """Blocks cut into tiles by size class and hash give the same components."""
+@pytest.mark.parametrize(("bounds", "lead"), [((3, 10**6), 8), ((1024, 200), 1), ((1, 1), 2)])
+def test_jaccard_tiles(make_docs, monkeypatch, bounds, lead):
+    """Blocks cut into tiles by size class and hash give the same components, also where the common columns
+    asked for grow with the size."""
     monkeypatch.setattr(ngram_jaccard, "TILE_ROWS", bounds[0])
     monkeypatch.setattr(ngram_jaccard, "TILE_CELLS", bounds[1])
     docs = _chains()
-    got = ngram_jaccard.jaccard_components(make_docs(docs))
+    got = ngram_jaccard.jaccard_components(make_docs(docs), lead=lead)
     assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(docs), key=repr)
 
 
