@@ -125,8 +125,8 @@ def lead_length(size: int, percent: int, lead: int) -> tuple[int, int]:
 
 
 def incidence(docs: DataFrame, frequent: Broadcast, n: int, percent: int, lead: int) -> DataFrame:
-    """doc_id, size, row (hash of the whole set), k (common columns asked for), rare and often (leading columns)
-    per document."""
+    """doc_id, text_hash, size, row (hash of the whole set), k (common columns asked for), rare and often
+    (leading columns) per document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,11 +148,12 @@ def incidence(docs: DataFrame, frequent: Broadcast, n: int, percent: int, lead:
                 common.append(tail[: max(0, length - len(head))])
                 asked.append(k)
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], pa.array(sizes, pa.int64()), _signed(np.array(names, np.uint64)), pa.array(asked, pa.int32()), _lists(rare), _lists(common)],
-                ["doc_id", "size", "row", "k", "rare", "often"],
+                [batch["doc_id"], batch["text_hash"], pa.array(sizes, pa.int64()), _signed(np.array(names, np.uint64)), pa.array(asked, pa.int32()), _lists(rare), _lists(common)],
+                ["doc_id", "text_hash", "size", "row", "k", "rare", "often"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(rows, f"doc_id {kind}, size long, row long, k int, rare array<long>, often array<long>")
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
+    return texts.mapInArrow(rows, f"doc_id {kind}, text_hash long, size long, row long, k int, rare array<long>, often array<long>")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -368,15 +369,31 @@ def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, lead
 
 
 def one_of_each(docs: DataFrame, n: int = N, percent: int = PERCENT) -> DataFrame:
-    """``docs`` with the smallest doc_id of each component; rows without n-grams or doc_id stay, and of
-    rows that share the kept doc_id one stays (the first by its text)."""
-    keep = staged(jaccard_components(docs, n, percent), "near_duplicates")
-    gone = keep.where("doc_id <> component_id").select(F.col("doc_id").alias("__id")).distinct()
-    again = staged(keep.where("n_shingles > 0").groupBy("doc_id").count().where("count > 1 and doc_id is not null").select(F.col("doc_id").alias("__id")), "again")
-    gone = checked_broadcast(staged(gone, "gone"))
-    kept = docs.join(gone, docs["doc_id"] == gone["__id"], "left_anti")
+    """``docs`` with one row of each component, that of its smallest doc_id (null comes last), then text hash.
+    Rows are told apart by doc_id and text, so a row goes only if its own text is linked with the one that
+    stays: other texts under a repeated doc_id, and rows without n-grams, stay.  Of rows that share the doc_id
+    and text kept one stays, the first by its other columns."""
+    product = Product(docs, n, percent, LEAD)
+    classes = staged(components(product.links()), "classes_all")
+    named = product.sets.select("row", "hash").join(classes.withColumnRenamed("node", "row"), "row", "left")
+    named = named.select("hash", F.coalesce("component", "row").alias("component"))
+    rows = product.rows.where("size > 0").select(F.col("row").alias("hash"), "doc_id", "text_hash")
+    row = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "text_hash")
+    sets = staged(rows.groupBy("hash").agg(F.min(row).alias("least"), F.count(F.lit(1)).alias("held")), "set_firsts").join(named, "hash")
+    firsts = sets.groupBy("component").agg(F.min("least").alias("stays"), F.sum("held").alias("held")).where("held > 1")
+    stays = staged(sets.join(firsts.select("component", "stays"), "component").select("hash", "stays"), "stays")
+    member = rows.join(checked_broadcast(stays), "hash")
+    same = F.col("doc_id").eqNullSafe(F.col("stays.doc_id")) & (F.col("text_hash") == F.col("stays.text_hash"))
+    name = [F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text")]
+    counted = staged(member.groupBy("doc_id", "text_hash", same.alias("same")).agg(F.count(F.lit(1)).alias("held")), "near_duplicates")
+    gone = staged(counted.where("not same").select(*name), "gone")
+    again = staged(counted.where("same and held > 1").select(*name), "again")
+    is_of = lambda left, right: left["doc_id"].eqNullSafe(right["__id"]) & (F.xxhash64(left["text"]) == right["__text"])
+    kept = docs.join(checked_broadcast(gone), is_of(docs, gone), "left_anti")
     if again.isEmpty():
         return kept
-    twice = kept.join(again, kept["doc_id"] == again["__id"], "left_semi")
-    once = kept.join(again, kept["doc_id"] == again["__id"], "left_anti")
-    return once.unionByName(twice.groupBy("doc_id").agg(F.min(F.struct("text", *[f"`{c}`" for c in docs.columns if c not in ("doc_id", "text")])).alias("__r")).select("doc_id", "__r.*").select(*docs.columns))
+    again = checked_broadcast(again)
+    twice, once = (kept.join(again, is_of(kept, again), how) for how in ("left_semi", "left_anti"))
+    others = [f"`{c}`" for c in docs.columns if c not in ("doc_id", "text")]
+    one = twice.groupBy("doc_id", "text").agg(F.min(F.struct(F.lit(0).alias("__0"), *others)).alias("__r"))
+    return once.unionByName(one.select("doc_id", "text", "__r.*").select(*[f"`{c}`" for c in docs.columns]))

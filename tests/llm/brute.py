@@ -69,8 +69,8 @@ def items_hash(items):
     return hashlib.sha256(",".join(items).encode()).hexdigest()
 
 
-def jaccard_components(docs, n=5, percent=80):
-    """(doc_id, text) rows -> list of (doc_id, set size, component)."""
+def jaccard_groups(docs, n=5, percent=80):
+    """(doc_id, text) rows -> (set, some place of its group) of each row."""
     sets = []
     for _, text in docs:
         w = spaced(text)
@@ -90,11 +90,38 @@ def jaccard_components(docs, n=5, percent=80):
     for (a, b), c in common.items():
         if 100 * c >= percent * (len(sets[a]) + len(sets[b]) - c):
             up[root(a)] = root(b)
+    return [(s, root(i)) for i, s in enumerate(sets)]
+
+
+def jaccard_components(docs, n=5, percent=80):
+    """(doc_id, text) rows -> list of (doc_id, set size, component)."""
+    found = jaccard_groups(docs, n, percent)
     groups = defaultdict(list)
-    for i in range(len(docs)):
-        groups[root(i)].append(docs[i][0])
-    least = {r: min((d for d in ds if d is not None), default=None) for r, ds in groups.items()}
-    return [(docs[i][0], len(sets[i]), least[root(i)] if sets[i] else docs[i][0]) for i in range(len(docs))]
+    for (doc, _), (_, g) in zip(docs, found, strict=True):
+        groups[g].append(doc)
+    least = {g: min((d for d in ds if d is not None), default=None) for g, ds in groups.items()}
+    return [(doc, len(s), least[g] if s else doc) for (doc, _), (s, g) in zip(docs, found, strict=True)]
+
+
+def one_of_each(docs, n=5, percent=80):
+    """(doc_id, text) rows -> for each group the texts that may stay, under the doc_id that stays; rows without n-grams alone."""
+    groups = defaultdict(list)
+    for i, ((doc, text), (s, g)) in enumerate(zip(docs, jaccard_groups(docs, n, percent), strict=True)):
+        groups[g if s else ("none", i)].append((doc is None, doc, text))
+    least = [(min(x[:2] for x in rows), rows) for rows in groups.values()]
+    return [(doc, {t for *k, t in rows if k == [late, doc]}) for (late, doc), rows in least]
+
+
+def dedup_words(docs, min_words=50):
+    """(doc_id, text) rows with distinct ids -> {doc_id: words without later repeated passages}."""
+    first, places = {}, []
+    for doc, text in sorted(docs, key=lambda d: (d[0] is None, d[0])):
+        w = (text or "").split()
+        for i in range(len(w) - min_words + 1):
+            here = first.setdefault(tuple(w[i : i + min_words]), (doc, i))
+            places.append((doc, i, here))
+    gone = {(doc, i + k) for doc, i, (d, j) in places if d != doc or i >= j + min_words for k in range(min_words)}
+    return {doc: [x for i, x in enumerate((text or "").split()) if (doc, i) not in gone] for doc, text in docs}
 
 
 def dedup_lines(docs, min_words=50):

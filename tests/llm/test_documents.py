@@ -143,11 +143,30 @@ def test_components(spark):
     assert {r["node"]: r["component"] for r in got.collect()} == want
 
 
+def _fits(kept, want):
+    """Every kept (doc_id, text) row is one that may stay, and there is one for each group."""
+    kept, want = list(kept), list(want)
+    assert len(kept) == len(want)
+    for doc, texts in want:
+        row = next(r for r in kept if r[0] == doc and r[1] in texts)
+        kept.remove(row)
+
+
 def test_one_of_each(make_docs, odd_rows):
-    docs = make_docs(odd_rows)
-    kept = [r["doc_id"] for r in ngram_jaccard.one_of_each(docs).select("doc_id").collect()]
-    want = {d for d, _, c in brute.jaccard_components([r[:2] for r in odd_rows]) if d is None or d == c}
-    assert sorted(kept, key=repr) == sorted(want, key=repr)
+    near = " ".join(odd_rows[0][1].split()[:150])
+    rows = [
+        *odd_rows,
+        (1, "some unrelated words under an id that is used twice"), (20, "other words under the id of a copy"),
+        (None, near), (None, near), (None, near + " x"), (30, "a b c d e f"), (30, "a b c d e f"), (30, "g h i j k"), (None, None), (None, ""),
+    ]
+    docs = make_docs(rows)
+    kept = ngram_jaccard.one_of_each(docs)
+    assert kept.schema == docs.schema
+    kept = [(r["doc_id"], r["text"]) for r in kept.collect()]
+    _fits(kept, brute.one_of_each([r[:2] for r in rows]))
+    assert [d for d, _ in kept].count(30) == 2 and (20, rows[17][1]) in kept and (1, rows[16][1]) in kept
+    again = ngram_jaccard.one_of_each(make_docs(rows, 7)).collect()
+    assert sorted(map(repr, kept)) == sorted(repr((r["doc_id"], r["text"])) for r in again)
 
 
 # --- line dedup -------------------------------------------------------------------------------
