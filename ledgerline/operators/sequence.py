@@ -10,12 +10,13 @@ group of more than ``block_rows`` rows is cut into blocks along its order key:
    segment's share of rows asks for - sparse, clustered and outlying ids all
    give blocks of about ``block_rows`` rows;
 3. rows per (group, block) are counted, with partial aggregation; a prefix sum
-   over the counts gives each block's base.  There are at most
+   over the counts gives each block's base, written once, as every use of the
+   numbered rows needs it.  There are at most
    rows / block_rows + SEGMENTS + 1 blocks in a group, whatever its ids;
 4. rows are numbered within their block and the base is added.
 
-Step 4's window and the join with the bases share one shuffle on
-(group, block).  If no group has more than ``block_rows`` rows, step 1 says so
+Rows are shuffled once, by step 4's window: the bases are broadcast unless they
+are very many.  If no group has more than ``block_rows`` rows, step 1 says so
 and the rows are numbered by the plain window, whose tasks are then no larger.
 
 Rows with a NULL order key come first; a NULL group is a group.  No row is
@@ -32,7 +33,9 @@ from ledgerline.session import scratch_path
 
 DEFAULT_BLOCK_ROWS = 1 << 20
 SEGMENTS = 64
+STRIDE = 8  # bounds between those looked at first
 BROADCAST_GROUPS = 20_000
+BROADCAST_BLOCKS = 1_000_000
 
 
 def group_bounds(df: DataFrame, group_cols: list[str], order_col: str) -> DataFrame:
@@ -63,32 +66,48 @@ def assign_sequence(
     group_bounds(df, group_cols, order_col).write.parquet(path)
     names = {c: f"__g_{c}" for c in group_cols}
     bounds = spark.read.parquet(path).withColumnsRenamed(names)
+    each = F.sequence(F.lit(STRIDE - 1), F.lit(SEGMENTS), F.lit(STRIDE))
+    bounds = bounds.withColumn("__coarse", F.transform(each, lambda i: F.get("__bounds", i)))
     if bounds.count() <= BROADCAST_GROUPS:
         bounds = F.broadcast(bounds)
     same = None
     for c, g in names.items():
         test = df[c].eqNullSafe(bounds[g])
         same = test if same is None else same & test
-    key = F.col(order_col).cast("long")
-    parts = F.ceil(F.col("__rows") / (SEGMENTS * block_rows))
-    segment = F.size(F.filter("__bounds", lambda b: b <= key))  # 0: below all; SEGMENTS + 1: at the last or above
-    low = F.get("__bounds", segment - 1)
-    width = F.get("__bounds", segment) - low
-    part = F.least(parts - 1, F.floor((key - low) * parts / F.greatest(width, F.lit(1))))
-    block = F.when(key.isNull(), F.lit(-1)).otherwise(segment * parts + F.coalesce(part, F.lit(0)))
     blk = "__blk"
-    tagged = df.join(bounds, same).withColumn(blk, block.cast("long")).select(*df.columns, blk)
+    tagged = df.join(bounds, same).withColumn(blk, F.col(order_col).cast("long"))
+    tagged = _with_blocks(tagged, blk, block_rows).select(*df.columns, blk)
     keys = [*group_cols, blk]
 
     counts = tagged.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*group_cols).orderBy(blk).rowsBetween(Window.unboundedPreceding, -1)
-    bases = counts.select(
+    path = scratch_path(spark, "sequence")
+    counts.select(
         *[F.col(c).alias(f"__b_{c}") for c in keys], F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__base")
-    )
+    ).write.parquet(path)
+    bases = spark.read.parquet(path)
+    if bases.count() <= BROADCAST_BLOCKS:
+        bases = F.broadcast(bases)
     within = Window.partitionBy(*keys).orderBy(order_col)
     numbered = tagged.withColumn("__rn", F.row_number().over(within))
-    same = numbered[blk] == bases[f"__b_{blk}"]
+    same = numbered[blk].eqNullSafe(bases[f"__b_{blk}"])  # never null; == would repeat the block's expression in a filter
     for c in group_cols:
         same = same & numbered[c].eqNullSafe(bases[f"__b_{c}"])
     out = (F.col("__base") + F.col("__rn") - 1 + F.lit(start)).cast("long")
     return numbered.join(bases, same).withColumn(out_col, out).select(*df.columns, out_col)
+
+
+def _with_blocks(rows: DataFrame, blk: str, block_rows: int) -> DataFrame:
+    """``blk``, the order key, replaced by the row's block.
+
+    The segment is the number of bounds up to the key.  It is counted among every ``STRIDE``-th bound, then
+    among those that follow, in columns of their own, so that each row looks once at few bounds."""
+    key, at = F.col(blk), F.col("__at")
+    up_to = lambda bounds: F.size(F.filter(bounds, lambda b: b <= key))
+    rows = rows.withColumn("__at", up_to(F.col("__coarse")) * STRIDE)
+    rows = rows.withColumn("__at", at + up_to(F.slice("__bounds", at + 1, F.lit(STRIDE))))
+    rows = rows.withColumn("__low", F.get("__bounds", at - 1)).withColumn("__width", F.get("__bounds", at) - F.col("__low"))
+    rows = rows.withColumn("__parts", F.ceil(F.col("__rows") / (SEGMENTS * block_rows)))
+    part = F.least(F.col("__parts") - 1, F.floor((key - F.col("__low")) * F.col("__parts") / F.greatest("__width", F.lit(1))))
+    block = F.when(key.isNull(), F.lit(-1)).otherwise(at * F.col("__parts") + F.coalesce(part, F.lit(0)))  # at 0: below all
+    return rows.withColumn(blk, block.cast("long"))

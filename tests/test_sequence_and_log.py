@@ -145,3 +145,27 @@ def test_log_at_rest_splits_a_hot_partition(spark, scratch):
     assert len(files) > 1
     back = read_log(spark, path)
     assert back.count() == 1000 and back.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
+
+
+def test_blocks_are_found_once_and_rows_shuffled_once(spark):
+    import ledgerline.operators.sequence as seq
+
+    rows = spark.range(20_000).select((F.col("id") * F.col("id") % 99_991).alias("id"), (F.col("id") % 3).cast("int").alias("g"), F.lit("x").alias("v"))
+    rows = rows.dropDuplicates(["id", "g"])
+    out = assign_sequence(rows, ["g"], "id", block_rows=10)
+    assert out.select("id", "g", "offset").exceptAll(_naive(rows).select("id", "g", "offset")).isEmpty()
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("filter(") == 2  # each level of bounds is looked at once a row
+    executed = assign_sequence(spark.range(20_000).withColumn("g", F.lit(1)), ["g"], "id", block_rows=10)
+    assert executed._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+    assert seq.STRIDE < seq.SEGMENTS
+
+
+def test_blocks_at_and_beyond_every_bound(spark):
+    for least in (-90, 0):  # keys below, at and above the bounds, null keys and null groups
+        rows = [(i * 3 + least, g) for i in range(300) for g in (1, None)]
+        rows += [(None, 1), (None, None), (-(1 << 60), 1), (1 << 60, None)]
+        df = spark.createDataFrame(rows, "id long, g int")
+        for width in (1, 50):
+            got = assign_sequence(df, ["g"], "id", block_rows=width)
+            assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, _naive(df).collect()), key=repr)
