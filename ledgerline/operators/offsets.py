@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from ledgerline.functions.timefields import floor_div, reverse_time_key
+from ledgerline.session import scratch_path
 
 # The column family and the two qualifiers of an offset cell.
 OFFSET_FAMILY = "tp_offsets"
@@ -64,7 +65,11 @@ def carry_forward(offset_log: DataFrame) -> DataFrame:
     A partition without new messages in a batch has the empty range at its end so far, with the
     batch's time: what a consumer records that asks all its partitions.  The rows that are there stay as
     they are.  Batches follow by ``batch_id``.  The join is on the app; its size is that of the result.
+    The offset log is computed once, into the scratch folder, as it is read three times.
     """
+    own = scratch_path(offset_log.sparkSession, "offset_log")
+    offset_log.write.parquet(own)
+    offset_log = offset_log.sparkSession.read.schema(offset_log.schema).parquet(own)
     part = ["appname", "topic", "partition"]
     batches = offset_log.groupBy("appname", "batch_id").agg(F.max("batch_ts").alias("__ts"))
     first = offset_log.groupBy(*part).agg(F.min("batch_id").alias("__first"))

@@ -91,3 +91,9 @@ def test_carry_forward(spark):
     got = sorted((r["appname"], r["batch_id"], r["partition"], r["batch_ts"], r["start_offset"], r["end_offset"])
                  for r in carry_forward(spark.createDataFrame(rows, RANGES)).collect())
     assert got == [("a", 1, 0, 10, 0, 5), ("a", 2, 0, 20, 5, 5), ("a", 2, 1, 20, 7, 9), ("a", 4, 0, 40, 5, 6), ("a", 4, 1, 40, 9, 9), ("b", 3, 0, 30, 0, 1)]
+
+
+def test_carry_forward_computes_its_offset_log_once(spark):
+    rows = [("a", "t", 0, 1, 100, 0, 5), ("a", "t", 1, 2, 200, 0, 3)]
+    plan = carry_forward(spark.createDataFrame(rows, RANGES).where("batch_id * 1234567 > 0"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "1234567" not in plan
