@@ -3,8 +3,8 @@
 The rows are those of ``functions.text.keyword_match`` (a term as a whole token of the lower-cased
 text), but the terms are a table.  A text's distinct tokens are taken once and matched with the terms
 by a hash join, so the time does not depend on the number of terms; a term that is more than one token
-is found by its first token, and one without any token by its first character, and then verified in the
-text.  The terms are broadcast when they are few; else both sides shuffle on the token, where Spark's
+is found by its longest token, and one without any token by its first character, and then verified in the
+text, first as a substring.  The terms are broadcast when they are few; else both sides shuffle on the token, where Spark's
 skew-join split deals with tokens that most texts hold.  Only row keys travel, and candidates' texts.
 """
 
@@ -32,10 +32,12 @@ def keyword_semi_join(df: DataFrame, text_col: str, terms: DataFrame, key_cols:
     keys = [key_cols] if isinstance(key_cols, str) else list(key_cols)
     low = F.lower(F.col(text_col))
     wanted = terms.select(F.lower(F.col(term_col)).alias("__term")).filter("__term <> ''").dropDuplicates()
-    first = F.regexp_extract("__term", f"({TOKEN})", 1)
+    sized = F.transform(F.regexp_extract_all("__term", F.lit(f"({TOKEN})"), F.lit(1)), lambda t: F.struct(F.length(t).alias("n"), t.alias("t")))
+    wanted = wanted.withColumn("__longest", F.coalesce(F.array_max(sized)["t"], F.lit("")))
+    longest = F.col("__longest")
     wanted = wanted.select(
-        "__term", F.when(first == "", F.concat(F.lit(LETTER), F.substring("__term", 1, 1))).otherwise(first).alias("__token"),
-        (first != F.col("__term")).alias("__verify"), (first == "").alias("__by_letter"),
+        "__term", F.when(longest == "", F.concat(F.lit(LETTER), F.substring("__term", 1, 1))).otherwise(longest).alias("__token"),
+        (longest != F.col("__term")).alias("__verify"), (longest == "").alias("__by_letter"),
     )
     by_letter = not wanted.filter("__by_letter").isEmpty()
     side = F.broadcast(wanted) if wanted.count() <= BROADCAST_TERMS else wanted
@@ -46,5 +48,7 @@ def keyword_semi_join(df: DataFrame, text_col: str, terms: DataFrame, key_cols:
     hits = tokens.join(side, "__token")
     sure = hits.filter(~F.col("__verify")).select(*keys)
     perhaps = hits.filter("__verify").select(*keys, "__term")
-    held = perhaps.join(df.select(*keys, low.alias("__low")), keys).filter(F.rlike(F.col("__low"), term_pattern(F.col("__term"))))
+    there = perhaps.join(df.select(*keys, low.alias("__low")), keys)
+    whole = F.rlike(F.col("__low"), term_pattern(F.col("__term")))  # compiles a pattern a row, so for the few that hold the term
+    held = there.filter(F.when(F.contains(F.col("__low"), F.col("__term")), whole).otherwise(F.lit(False)))
     return df.join(sure.unionByName(held.select(*keys)).dropDuplicates(keys), keys, "left_semi").select(*df.columns)

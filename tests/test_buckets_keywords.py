@@ -61,3 +61,12 @@ def test_term_table_equals_the_pattern(spark, monkeypatch, broadcast):
         assert got.columns == df.columns and _sorted(got) == _sorted(keyword_filter(df, "text", some))
     assert keyword_semi_join(df, "text", spark.createDataFrame([], "term string"), "id").count() == 0
     assert keyword_semi_join(df.limit(0), "text", spark.createDataFrame([("a",)], "term string"), ["id"]).count() == 0
+
+
+def test_terms_of_several_words_are_looked_for_before_patterns_are_compiled(spark):
+    docs = spark.createDataFrame([(1, "the old zebra"), (2, "The, zebra"), (3, "the zebras"), (4, "a the zebra."), (5, "the the"), (6, None)], "doc_id long, text string")
+    terms = spark.createDataFrame([("the zebra",), ("the, ze",), ("the  the",), ("",), (None,)], "term string")
+    got = keyword_semi_join(docs, "text", terms, "doc_id")
+    assert [r["doc_id"] for r in got.collect()] == [4]
+    plan = got._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.index("contains(__low") < plan.index("rlike")
