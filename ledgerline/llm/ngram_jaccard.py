@@ -83,28 +83,37 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(ends), _signed(flat))
 
 
+def repeated(values: np.ndarray) -> pa.RecordBatch:
+    """token, n of the ``values`` that come ``LOCAL_COUNT`` times or more.  Sorts them where they are, so that
+    a task holds its chunk once."""
+    values.sort()
+    far = LOCAL_COUNT - 1
+    many = values[far:] == values[: len(values) - far]
+    many[1:] &= values[1 : len(many)] != values[: max(0, len(many) - 1)]  # where a run begins
+    tokens = values[: len(many)][many]
+    times = np.searchsorted(values, tokens, "right") - np.searchsorted(values, tokens, "left")
+    return pa.RecordBatch.from_arrays([_signed(tokens), pa.array(times.astype(np.int64))], ["token", "n"])
+
+
 def frequent_columns(docs: DataFrame, n: int = N) -> DataFrame:
     """n-gram hashes that several rows hold, the most frequent first, from counts over all documents.
     Columns that stay below ``LOCAL_COUNT`` in every chunk are not reported, and those beyond
     ``MAX_FREQUENT`` are left out; they only keep their place in the order."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, held, size = WordHashes(), [], 0
-
-        def report() -> pa.RecordBatch:
-            values, times = np.unique(np.concatenate(held), return_counts=True)
-            many = times >= LOCAL_COUNT
-            return pa.RecordBatch.from_arrays([_signed(values[many]), pa.array(times[many])], ["token", "n"])
-
+        hashes, held, size = WordHashes(), np.empty(CHUNK, np.uint64), 0
         for batch in batches:
             for text in batch["text"].to_pylist():
-                held.append(ngram_set(text, hashes, n))
-                size += len(held[-1])
-                if size >= CHUNK:
-                    yield report()
-                    held, size = [], 0
-        if held:
-            yield report()
+                columns = ngram_set(text, hashes, n)
+                if size + len(columns) > len(held):
+                    yield repeated(held[:size])
+                    size = 0
+                    if len(columns) > len(held):
+                        held = np.empty(len(columns), np.uint64)
+                held[size : size + len(columns)] = columns
+                size += len(columns)
+        if size:
+            yield repeated(held[:size])
 
     counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
     counted = staged(counted.where(F.col("n") >= FREQUENT_LEAST), "frequent")

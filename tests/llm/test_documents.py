@@ -360,3 +360,23 @@ def test_empty_tables(spark, make_docs):
     assert line_dedup.drop_repeated_lines(empty).count() == 0
     assert ngram_lm.score_texts(empty).count() == 0
     assert quality.score_quality(empty, none).count() == 0
+
+
+def test_repeated_columns_are_counted_where_they_are():
+    import tracemalloc
+
+    import numpy as np
+
+    from ledgerline.llm import ngram_jaccard as nj
+
+    for size, top in ((0, 5), (1, 5), (2, 1), (3, 1), (50, 9), (1000, 300), (1000, 2)):
+        values = np.random.default_rng(size + top).integers(0, top, size).astype(np.uint64) * np.uint64(0xF000000000000001)
+        want = {int(v): int(n) for v, n in zip(*np.unique(values.view(np.int64), return_counts=True)) if n >= nj.LOCAL_COUNT}
+        got = nj.repeated(values.copy())
+        assert dict(zip(got["token"].to_pylist(), got["n"].to_pylist())) == want
+    values = np.random.default_rng(1).integers(0, 1 << 60, 1_000_000).astype(np.uint64)
+    tracemalloc.start()
+    nj.repeated(values)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < values.nbytes  # sorted in place, and only the frequent ones leave
