@@ -7,9 +7,10 @@ lie in the leading columns of both, whose number follows from the set's size.  O
 two rows of like size share are kept, and a row with too few of them is linked with nothing and goes.
 
 Columns with the same first row form a block of the product, with the rows that hold any of them: two linked
-rows share a leading column, so they meet in its block.  A block's rows come with their whole sets, and a task
-multiplies them (columns in strips, overlaps accumulated), so its counts are final and pairs below the
-threshold end there.  What leaves the task is a forest of its links, less than a row per row.  Large blocks are
+rows share a leading column, so they meet in its block.  Rows first meet with the leading columns that others
+hold too; whole sets go only to rows that have enough of these in common with another one, and of the blocks
+that the two share only to the first.  A task multiplies them (columns in strips,
+overlaps accumulated), so its counts are final and pairs below the threshold end there.  What leaves the task is a forest of its links, less than a row per row.  Large blocks are
 cut into tiles by size class and hash; two tiles meet if their sizes allow a link, and every tile holds a
 bounded number of rows and n-grams (one row at least), so a hot column costs work in pairs of tiles, not memory.
 
@@ -45,7 +46,9 @@ CHUNK = 4_000_000
 CORE_ROUNDS = 2
 TILE_ROWS = 1024  # rows of a tile of a block, and their n-grams together
 TILE_CELLS = 1_000_000
+TILE_KEY = ["first", "lo", "hi"]  # of a pair of tiles: the block, and both tiles
 STRIP = 4_000_000  # numbers of the dense strip of a tile's matrix
+SEND_ROWS = 10_000  # rows that leave a task at a time
 CACHE = 500_000
 
 
@@ -125,12 +128,16 @@ def frequent_columns(docs: DataFrame, n: int = N) -> DataFrame:
     return counted.where(F.col("n") >= least)
 
 
+def common_asked(size: int, percent: int, lead: int) -> int:
+    """Leading columns that a set of this size has in common with every larger one it is linked with, at least."""
+    return max(1, min(max(lead, size // LEAD_SHARE), -(-size * percent // 100)))
+
+
 def lead_length(size: int, percent: int, lead: int) -> tuple[int, int]:
     """Leading columns of a set of this size, and the common ones that a linked set has at least among the
     leading columns of both: those that the smallest set it may be linked with asks for."""
     least = -(-size * percent // 100)
-    asked = lambda m: max(1, min(max(lead, m // LEAD_SHARE), -(-m * percent // 100)))
-    return size - least + asked(size), asked(least)
+    return size - least + common_asked(size, percent, lead), common_asked(least, percent, lead)
 
 
 def incidence(docs: DataFrame, frequent: Broadcast, n: int, percent: int, lead: int) -> DataFrame:
@@ -232,11 +239,53 @@ def forest(sets: list[np.ndarray], percent: int) -> np.ndarray:
             return label
 
 
+def may_link(first: int, blocks: list[np.ndarray], leading: list[np.ndarray], sizes: list[int], tiles: list[int], percent: int, lead: int) -> np.ndarray:
+    """For each row of a pair of tiles of the block ``first`` whether its set is needed there, from the ``leading``
+    columns in all its ``blocks``.  Two rows are left to the first block that both are in, and there to the pair of
+    tiles that tells them apart."""
+    size = np.array(sizes, np.int64)
+    asked = np.array([common_asked(s, percent, lead) for s in sizes], np.int64)
+    met = overlaps(leading) >= np.minimum.outer(asked, asked)
+    met &= 100 * np.minimum.outer(size, size) >= percent * np.maximum.outer(size, size)
+    if len(apart := np.unique(tiles)) > 1:
+        met &= np.not_equal.outer(*[np.searchsorted(apart, tiles)] * 2)
+    owner, block = np.repeat(np.arange(len(blocks)), [len(b) for b in blocks]), np.concatenate(blocks)
+    owner, block = owner[block < first], block[block < first]
+    order = np.argsort(block, kind="stable")
+    for rows in np.split(owner[order], np.flatnonzero(np.diff(block[order])) + 1):
+        if len(rows) > 1:
+            met[np.ix_(rows, rows)] = False
+    np.fill_diagonal(met, False)
+    return met.any(axis=1)
+
+
+def by_tiles(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[tuple[tuple, list[tuple]]]:
+    """The key of one pair of tiles after another, and its rows' columns ``names``, lists as arrays."""
+    key, rows = None, []
+    for batch in batches:
+        columns = []
+        for column in (batch[c] for c in names):
+            if pa.types.is_list(column.type):
+                values, ends = column.values.to_numpy(), column.offsets.to_numpy()
+                columns.append([values[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)])
+            else:
+                columns.append(column.to_pylist())
+        keys = zip(*(batch[c].to_pylist() for c in TILE_KEY), strict=True)
+        for now, *row in zip(keys, *columns, strict=True):
+            if now != key:
+                if rows:
+                    yield key, [*zip(*rows, strict=True)]
+                key, rows = now, []
+            rows.append(row)
+    if rows:
+        yield key, [*zip(*rows, strict=True)]
+
+
 class Product:
     """The incidence matrix of ``docs`` and the steps of its product with itself."""
 
     def __init__(self, docs: DataFrame, n: int, percent: int, lead: int):
-        self.docs, self.n, self.percent = docs.select("doc_id", "text"), n, percent
+        self.docs, self.n, self.percent, self.lead = docs.select("doc_id", "text"), n, percent, lead
         self.base = 1.001 * 100 / percent  # of the size classes: more than the ratio that linked sizes can have
         spark = docs.sparkSession
         frequent = frequent_columns(docs, n).toArrow()  # at most MAX_FREQUENT
@@ -263,13 +312,16 @@ class Product:
         columns, of which one may hold a third of all rows, are aggregated before they move."""
         token = Window.partitionBy("token")
         rare = sets.select("row", F.explode("rare").alias("token"))
-        rare = rare.select("row", F.min("row").over(token).alias("first"), F.max("row").over(token).alias("last")).where("first <> last")
+        rare = rare.select("row", "token", F.min("row").over(token).alias("first"), F.max("row").over(token).alias("last")).where("first <> last")
         often = sets.select("row", F.explode("often").alias("token"))
         firsts = often.groupBy("token").agg(F.min("row").alias("first"), F.max("row").alias("last")).where("first <> last")
         often = often.join(checked_broadcast(staged(firsts.select("token", "first"), "columns")), "token")
-        cells = rare.select("row", "first").union(often.select("row", "first"))
-        cells = cells.groupBy("row", "first").agg(F.count(F.lit(1)).alias("held")).join(self.sets.select("row", "size", "k"), "row")
-        cells = staged(cells.withColumn("level", F.floor(F.log("size") / math.log(self.base))), "cells")
+        cells = rare.select("row", "first", "token").union(often.select("row", "first", "token"))
+        cells = cells.groupBy("row", "first").agg(F.collect_list("token").alias("leading")).join(self.sets.select("row", "size", "k"), "row")
+        cells = cells.withColumn("held", F.size("leading")).withColumn("level", F.floor(F.log("size") / math.log(self.base)))
+        cells = staged(cells, "cells")
+        self.leading = cells.select("row", "first", "leading", "size")
+        cells = cells.drop("leading")
         for _ in range(CORE_ROUNDS):
             cells = self._core(cells)
         return cells
@@ -288,12 +340,12 @@ class Product:
         return staged(met.join(checked_broadcast(staged(core, "core")), "row", "left_semi"), "core_cells")
 
     def tiles(self) -> DataFrame:
-        """first, lo, hi, row: the rows of every pair of tiles.  A block within a tile's bounds is one; a larger
+        """first, lo, hi, tile, row: the rows of every pair of tiles, and the tile they are of.  A block within a tile's bounds is one; a larger
         one is cut by size class and by hash."""
         blocks = self.cells.groupBy("first").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("cells")).where("n > 1")
         large = (F.col("n") > TILE_ROWS) | (F.col("cells") > TILE_CELLS)
         cells = staged(self.cells.join(blocks.select("first", large.alias("large")), "first"), "blocks")
-        small = cells.where("not large").select("first", F.lit(0).cast("long").alias("lo"), F.lit(0).cast("long").alias("hi"), "row")
+        small = cells.where("not large").select("first", *(F.lit(0).cast("long").alias(c) for c in ("lo", "hi", "tile")), "row")
         cells = cells.where("large")
         cuts = F.greatest(F.ceil(F.count(F.lit(1)) / TILE_ROWS), F.ceil(F.sum("size") / TILE_CELLS))
         cuts = staged(cells.groupBy("first", "level").agg(cuts.alias("cuts")), "cuts")
@@ -302,7 +354,32 @@ class Product:
         own = own.select("first", "row", "tile", F.explode(F.array(F.col("level") - 1, F.col("level"), F.col("level") + 1)).alias("level"))
         met = own.join(cuts, ["first", "level"]).select("first", "row", "tile", "level", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cuts") - 1)).alias("cut"))
         other = tile(F.col("level"), F.col("cut"))
-        return small.union(met.select("first", F.least("tile", other).alias("lo"), F.greatest("tile", other).alias("hi"), "row"))
+        return small.union(met.select("first", F.least("tile", other).alias("lo"), F.greatest("tile", other).alias("hi"), "tile", "row"))
+
+    def met(self, tiles: DataFrame) -> DataFrame:
+        """first, lo, hi, row: the rows of ``tiles`` that may link there, as told from their leading columns."""
+        lists = self.leading.join(checked_broadcast(tiles.select("row").distinct()), "row", "left_semi")
+        lists = lists.groupBy("row").agg(F.first("size").alias("size"), F.collect_list(F.struct("first", "leading")).alias("own"))
+        lists = lists.select("row", "size", F.col("own.first").alias("blocks"), F.flatten("own.leading").alias("leading"))
+        percent, lead = self.percent, self.lead
+
+        def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            found, size = [[np.empty(0, np.int64)] for _ in range(4)], 0
+            for key, (rows, tile, sizes, blocks, leading) in by_tiles(batches, ["row", "tile", "size", "blocks", "leading"]):
+                if len(rows) < 2:
+                    continue
+                here = np.array(rows, np.int64)[may_link(key[0], blocks, leading, sizes, tile, percent, lead)]
+                for column, values in zip(found, (*(np.full(len(here), k) for k in key), here), strict=True):
+                    column.append(values)
+                size += len(here)
+                if size >= SEND_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], [*TILE_KEY, "row"])
+                    found, size = [[np.empty(0, np.int64)] for _ in range(4)], 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], [*TILE_KEY, "row"])
+
+        asked = tiles.join(lists, "row").select(*TILE_KEY, "tile", "row", "size", "blocks", "leading")
+        asked = asked.repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY)
+        return asked.mapInArrow(choose, "first long, lo long, hi long, row long")
 
     def whole_sets(self, asked: DataFrame) -> DataFrame:
         """row, columns: the whole sets of the rows asked for, made anew from their texts."""
@@ -325,38 +402,26 @@ class Product:
 
     def links(self) -> DataFrame:
         """a, b: rows that links reach from each other, enough to give every component of the whole join."""
-        tiles = staged(self.tiles(), "tiles")
+        tiles = staged(self.met(staged(self.tiles(), "tiles")), "met")
         sets = staged(self.whole_sets(tiles.select("row").distinct()), "sets")
         percent = self.percent
 
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            key, rows, sets = None, [], []
-
-            def linked() -> tuple[np.ndarray, np.ndarray]:
-                names = np.array(rows, np.int64)
-                if len(sets) < 2:
-                    return names[:0], names[:0]
-                label = forest(sets, percent)
+            found, size = [[np.empty(0, np.int64)] for _ in range(2)], 0
+            for _, (rows, sets) in by_tiles(batches, ["row", "columns"]):
+                if len(rows) < 2:
+                    continue
+                names, label = np.array(rows, np.int64), forest(list(sets), percent)
                 moved = label != np.arange(len(sets))
-                return names[moved], names[label[moved]]
-
-            for batch in batches:
-                found = []
-                values, ends = batch["columns"].values.to_numpy(), batch["columns"].offsets.to_numpy()
-                keys = zip(*(batch[c].to_pylist() for c in ("first", "lo", "hi")), strict=True)
-                for i, (now, row) in enumerate(zip(keys, batch["row"].to_pylist(), strict=True)):
-                    if now != key:
-                        found.append(linked())
-                        key, rows, sets = now, [], []
-                    rows.append(row)
-                    sets.append(values[ends[i] : ends[i + 1]])
-                a, b = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0, np.int64),) * 2
-                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-            a, b = linked()
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-
-        key = ["first", "lo", "hi"]
-        blocks = tiles.join(sets, "row").select(*key, "row", "columns").repartition(*key).sortWithinPartitions(*key)
+                for column, values in zip(found, (names[moved], names[label[moved]]), strict=True):
+                    column.append(values)
+                size += moved.sum()
+                if size >= SEND_ROWS:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], ["a", "b"])
+                    found, size = [[np.empty(0, np.int64)] for _ in range(2)], 0
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], ["a", "b"])
+
+        blocks = tiles.join(sets, "row").select(*TILE_KEY, "row", "columns").repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY)
         return staged(blocks.mapInArrow(multiply, "a long, b long"), "links")
 
 

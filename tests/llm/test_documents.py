@@ -121,6 +121,34 @@ def test_jaccard_tiles(make_docs, monkeypatch, bounds, lead):
     assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(docs), key=repr)
 
 
+@pytest.mark.parametrize("rows_of_tile", [3, 1024])
+def test_sets_go_where_they_may_link(make_docs, monkeypatch, rows_of_tile):
+    """Rows that share a passage with each of many others are sent nowhere, and linked rows meet."""
+    from collections import Counter
+    from itertools import combinations
+
+    monkeypatch.setattr(ngram_jaccard, "TILE_ROWS", rows_of_tile)
+    passage = lambda i, j: " ".join(f"p{min(i, j)}x{max(i, j)}x{k}" for k in range(12))
+    loose = [(5000 + i, " ".join(passage(i, j) for j in range(12) if j != i)) for i in range(12)]
+    docs = _chains() + loose
+    product = ngram_jaccard.Product(make_docs(docs), 5, 80, 8)
+    tiles = common.staged(product.tiles(), "tiles")
+    met = common.staged(product.met(tiles), "met")
+    assert {r["row"] for r in tiles.where("row >= 5000").collect()} == {d for d, _ in loose}  # as whole sets did before
+    assert met.where("row >= 5000").isEmpty()
+    groups, own = {}, {(*r[:3], r["row"]): r["tile"] for r in tiles.collect()}
+    for r in met.collect():
+        groups.setdefault(tuple(r[:3]), []).append(r["row"])
+    apart = lambda key, a, b: key[1] == key[2] or own[*key, a] != own[*key, b]
+    times = Counter(tuple(sorted(p)) for key, found in groups.items() for p in combinations(found, 2) if apart(key, *p))
+    sets = {d: {tuple(t.split()[i : i + 5]) for i in range(len(t.split()) - 4)} for d, t in docs}
+    linked = [p for p in combinations(sorted(sets), 2) if 100 * len(sets[p[0]] & sets[p[1]]) >= 80 * len(sets[p[0]] | sets[p[1]])]
+    assert linked and all(times[p] >= 1 for p in linked)
+    assert len(groups) < len({tuple(r[:3]) for r in tiles.collect()})
+    got = ngram_jaccard.jaccard_components(make_docs(docs))
+    assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(docs), key=repr)
+
+
 def test_product_of_sets(monkeypatch):
     import numpy as np
 
