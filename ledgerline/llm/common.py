@@ -19,20 +19,27 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH_ROWS = 500  # rows with whole texts or sets that a Python task gets at a time
 
 
-def staged(df: DataFrame, name: str = "stage") -> DataFrame:
+def staged(df: DataFrame, name: str = "stage", batch_rows: int | None = None) -> DataFrame:
     """``df`` written once to the shared scratch folder and read back: cuts the lineage and
     survives a lost executor, whose share Spark reads again from the files.  The shuffle files
-    of the write go with it, as nothing reads them again."""
+    of the write go with it, as nothing reads them again.  ``batch_rows``: most rows that Python
+    functions in ``df`` get at a time, for rows that hold whole texts or sets."""
     spark = df.sparkSession
     path = scratch_path(spark, "llm", name)
-    before = spark.conf.get(CLEANUP, "false")
+    before = {CLEANUP: spark.conf.get(CLEANUP, "false")}
     spark.conf.set(CLEANUP, "true")
+    if batch_rows is not None:
+        before[BATCH] = spark.conf.get(BATCH)
+        spark.conf.set(BATCH, str(min(batch_rows, int(before[BATCH])) if int(before[BATCH]) > 0 else batch_rows))
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import sized_broadcast, staged
+from ledgerline.llm.common import BATCH_ROWS, sized_broadcast, staged
 
 MIN_WORDS = 50
 CHUNK = 1 << 17  # bytes of a text that are hashed at a time
@@ -139,7 +139,7 @@ def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 arrays = [pa.array(np.concatenate(x)) for x in cols]
                 yield pa.RecordBatch.from_arrays([batch["doc_id"].take(where), batch["th"].take(where), *arrays], WINDOW_COLUMNS)
 
-    marked = staged(rows.mapInArrow(mark, f"doc_id {kind}, th long, marks array<long>"), "line_marks")
+    marked = staged(rows.mapInArrow(mark, f"doc_id {kind}, th long, marks array<long>"), "line_marks", BATCH_ROWS)
     row = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id")
     copied = marked.groupBy("th").agg(F.min(row).alias("least"), F.max(row).alias("most"))
     copied = copied.where(~F.col("least").eqNullSafe(F.col("most"))).select("th", F.col("least.doc_id").alias("__least"))
@@ -151,7 +151,7 @@ def repeated_windows(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     wanted = sent.join(sized_broadcast(twice), "fingerprint").groupBy("doc_id", "th").agg(F.collect_set("fingerprint").alias("wanted"))
     wanted = sized_broadcast(staged(wanted, "line_wanted").withColumnsRenamed({"doc_id": "__id", "th": "__th"}))
     asked = rows.join(wanted, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("th") == F.col("__th"))).select("doc_id", "th", "text", "wanted")
-    windows = staged(asked.mapInArrow(send, f"doc_id {kind}, th long, start int, fingerprint long, window long"), "line_windows")
+    windows = staged(asked.mapInArrow(send, f"doc_id {kind}, th long, start int, fingerprint long, window long"), "line_windows", BATCH_ROWS)
     place = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "start")
     firsts = (
         windows.groupBy("fingerprint", "window")

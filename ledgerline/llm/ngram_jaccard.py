@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
-from ledgerline.llm.common import checked_broadcast, staged
+from ledgerline.llm.common import BATCH_ROWS, checked_broadcast, staged
 
 N = 5
 PERCENT = 80  # threshold, in hundredths
@@ -119,7 +119,7 @@ def frequent_columns(docs: DataFrame, n: int = N) -> DataFrame:
             yield repeated(held[:size])
 
     counted = docs.select("text").mapInArrow(count, "token long, n long").groupBy("token").agg(F.sum("n").alias("n"))
-    counted = staged(counted.where(F.col("n") >= FREQUENT_LEAST), "frequent")
+    counted = staged(counted.where(F.col("n") >= FREQUENT_LEAST), "frequent", BATCH_ROWS)
     # the counts that at most MAX_FREQUENT columns reach; the order may hold any set of columns
     least, held = FREQUENT_LEAST, counted.count()
     while held > MAX_FREQUENT:
@@ -292,7 +292,7 @@ class Product:
         tokens = frequent["token"].to_numpy().astype(np.int64).view(np.uint64)
         order = np.argsort(tokens)
         shared = spark.sparkContext.broadcast((tokens[order], frequent["n"].to_numpy().astype(np.int64)[order]))
-        self.rows = staged(incidence(self.docs, shared, n, percent, lead), "incidence")
+        self.rows = staged(incidence(self.docs, shared, n, percent, lead), "incidence", BATCH_ROWS)
         first = [F.first(c).alias(c) for c in ("size", "k", "rare", "often")]
         sets = self.rows.where("size > 0").groupBy("row").agg(F.min("doc_id").alias("doc_id"), *first)
         sets = staged(sets.withColumnRenamed("row", "hash"), "incidence_rows")
@@ -402,8 +402,8 @@ class Product:
 
     def links(self) -> DataFrame:
         """a, b: rows that links reach from each other, enough to give every component of the whole join."""
-        tiles = staged(self.met(staged(self.tiles(), "tiles")), "met")
-        sets = staged(self.whole_sets(tiles.select("row").distinct()), "sets")
+        tiles = staged(self.met(staged(self.tiles(), "tiles")), "met", BATCH_ROWS)
+        sets = staged(self.whole_sets(tiles.select("row").distinct()), "sets", BATCH_ROWS)
         percent = self.percent
 
         def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -422,7 +422,7 @@ class Product:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in found], ["a", "b"])
 
         blocks = tiles.join(sets, "row").select(*TILE_KEY, "row", "columns").repartition(*TILE_KEY).sortWithinPartitions(*TILE_KEY)
-        return staged(blocks.mapInArrow(multiply, "a long, b long"), "links")
+        return staged(blocks.mapInArrow(multiply, "a long, b long"), "links", BATCH_ROWS)
 
 
 def jaccard_components(docs: DataFrame, n: int = N, percent: int = PERCENT, lead: int = LEAD) -> DataFrame:

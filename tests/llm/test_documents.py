@@ -149,6 +149,30 @@ def test_sets_go_where_they_may_link(make_docs, monkeypatch, rows_of_tile):
     assert rows(got, "doc_id", "n_shingles", "component_id") == sorted(brute.jaccard_components(docs), key=repr)
 
 
+def test_tasks_get_few_texts_at_a_time(spark, make_docs, monkeypatch):
+    """Python tasks of near duplicates and line dedup never get a batch of Spark's full size."""
+    def sizes(batches):
+        for b in batches:
+            yield b.from_pydict({"n": [b.num_rows]})
+
+    before = spark.conf.get(common.BATCH)
+    small = common.staged(spark.range(100).repartition(1).mapInArrow(sizes, "n long"), "sizes", 8)
+    assert max(r["n"] for r in small.collect()) == 8 and spark.conf.get(common.BATCH) == before
+    seen = []
+
+    def spy(df, name="stage", batch_rows=None):
+        if "MapInArrow" in df._jdf.queryExecution().analyzed().toString():
+            seen.append((name, batch_rows))
+        return common.staged(df, name, batch_rows)
+
+    monkeypatch.setattr(ngram_jaccard, "staged", spy)
+    monkeypatch.setattr(line_dedup, "staged", spy)
+    docs = make_docs(_chains()[:20])
+    ngram_jaccard.Product(docs, 5, 80, 8).links()
+    line_dedup.repeated_windows(docs)
+    assert len(seen) == 7 and all(rows is not None and rows <= 1000 for _, rows in seen)
+
+
 def test_product_of_sets(monkeypatch):
     import numpy as np
 
