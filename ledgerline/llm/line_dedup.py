@@ -211,7 +211,8 @@ def _cut(min_words: int) -> Column:
         kept, removed = zip(*out, strict=True) if out else ((), ())
         return pa.StructArray.from_arrays([pa.array(kept, pa.string()), pa.array(removed, pa.int64())], ["text", "removed"])
 
-    return cut("__cut_text", "__firsts", "__lasts")
+    # not to be repeated: Spark evaluates a deterministic function once more for a filter on n_removed, in other Python workers
+    return cut.asNondeterministic()("__cut_text", "__firsts", "__lasts")
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -49,7 +49,7 @@ TILE_CELLS = 1_000_000
 TILE_KEY = ["first", "lo", "hi"]  # of a pair of tiles: the block, and both tiles
 STRIP = 4_000_000  # numbers of the dense strip of a tile's matrix
 SEND_ROWS = 10_000  # rows that leave a task at a time
-CACHE = 500_000
+CACHE = 50_000  # words; a larger one costs a task more memory and no less time
 
 
 class WordHashes(dict):

@@ -20,9 +20,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from typing import TYPE_CHECKING
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
@@ -31,6 +31,9 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ledgerline.llm.common import staged
 
+if TYPE_CHECKING:  # the driver's alone: tasks would hold it for nothing
+    import pandas as pd
+
 SAMPLE_ROWS = 3_000
 SAMPLE_BYTES = 64 << 20
 WORD_DIM, SHAPE_DIM = 64, 64

@@ -173,6 +173,17 @@ def test_tasks_get_few_texts_at_a_time(spark, make_docs, monkeypatch):
     assert len(seen) == 7 and all(rows is not None and rows <= 1000 for _, rows in seen)
 
 
+def test_word_cache_is_small(monkeypatch):
+    """A task's word cache stays small, and sets are the same however often it is emptied."""
+    texts = [text for _, text in _chains()]
+    assert ngram_jaccard.CACHE <= 100_000
+    hashes = ngram_jaccard.WordHashes()
+    whole = [ngram_jaccard.ngram_set(t, hashes).tolist() for t in texts]
+    monkeypatch.setattr(ngram_jaccard, "CACHE", 5)
+    hashes = ngram_jaccard.WordHashes()
+    assert [ngram_jaccard.ngram_set(t, hashes).tolist() for t in texts] == whole and len(hashes) <= 6
+
+
 def test_product_of_sets(monkeypatch):
     import numpy as np
 
@@ -240,6 +251,17 @@ def test_line_dedup_odd_rows(make_docs, odd_rows):
     assert (4, None) in texts and (5, "") in texts and texts.count((2, "")) == 2
 
 
+def test_texts_are_cut_once(spark, make_docs):
+    """A filter on what went does not have every text cut a second time, by two more Python workers of a task."""
+    import corpus_pipeline
+
+    run = " ".join(f"w{i}" for i in range(60))
+    docs = make_docs([(1, run), (2, "before\n" + run + "\nafter"), (3, "\n".join(run.split(" ")[:55])), (4, "few words"), (5, None)])
+    cut = corpus_pipeline.without_repeated_lines(spark, docs, SF)
+    assert cut._jdf.queryExecution().executedPlan().toString().count("EvalPython") == 1
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in cut.collect()} == {1: (run, len(run)), 2: ("before\nafter", 12), 4: ("few words", 9), 5: (None, 0)}
+
+
 def test_word_hashes_tell_words_apart():
     texts = ["", " \n", "a", "ab ba\u00a0ab\u2003é \x1c x", "a" * 300_000 + " b " + "a" * 299_999 + " " + "a" * 299_998 + "ba", "w " * 200_000 + "end"]
     seen = {}
